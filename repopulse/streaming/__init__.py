@@ -1,0 +1 @@
+"""Empty on purpose: the work is a daily batch with full refresh, so there is nothing to stream."""
