@@ -5,6 +5,7 @@ Dates and timestamps leave these queries as ISO text; the library functions retu
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,24 +42,19 @@ def _query(build: Query) -> Query:
     return run
 
 
-def _staged(spark: SparkSession, sf_dir: str, views: dict = FEW) -> dict[str, DataFrame]:
-    return staging.stage_all(raw_tables(spark, sf_dir, views))
+STREAMS = ("issues", "pull_requests", "comments")
 
 
-def _streams(spark: SparkSession, sf_dir: str, views: dict = FEW) -> list[DataFrame]:
-    staged = _staged(spark, sf_dir, views)
-    return [staged[name] for name in ("issues", "pull_requests", "comments")]
+def _staged(spark: SparkSession, sf_dir: str, *names: str, views: dict = FEW) -> list[DataFrame]:
+    return [staging.stage(name, raw_view(spark, sf_dir, views[name])) for name in names]
 
 
 def _daily(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
-    staged = _staged(spark, sf_dir, views)
-    return marts.repo_daily_activity(
-        staged["issues"], staged["pull_requests"], staged["comments"], staged["repositories"]
-    )
+    return marts.repo_daily_activity(*_staged(spark, sf_dir, *STREAMS, "repositories", views=views))
 
 
 def _stats(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
-    repositories = _staged(spark, sf_dir, views)["repositories"]
+    (repositories,) = _staged(spark, sf_dir, "repositories", views=views)
     return marts.repo_current_stats(repositories, _daily(spark, sf_dir, views), AS_OF)
 
 
@@ -78,31 +74,30 @@ def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    issues, prs, comments = _staged(spark, sf_dir, *STREAMS)
     return (
-        checks.null_keys(staged["issues"], "issues", ["repo_name", "issue_created_at"])
-        .unionByName(checks.null_keys(staged["pull_requests"], "pull_requests", ["repo_name", "pr_created_at"]))
-        .unionByName(checks.null_keys(staged["comments"], "comments", ["repo_name", "comment_created_at"]))
+        checks.null_keys(issues, "issues", ["repo_name", "issue_created_at"])
+        .unionByName(checks.null_keys(prs, "pull_requests", ["repo_name", "pr_created_at"]))
+        .unionByName(checks.null_keys(comments, "comments", ["repo_name", "comment_created_at"]))
     )
 
 
 def _duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
+    comments, repositories = _staged(spark, sf_dir, "comments", "repositories")
     daily = _daily(spark, sf_dir)
     return (
-        checks.duplicate_keys(staged["repositories"], "repositories", ["repo_full_name"])
+        checks.duplicate_keys(repositories, "repositories", ["repo_full_name"])
         .unionByName(checks.duplicate_keys(daily, "repo_daily_activity", ["repo_full_name", "day"]))
-        .unionByName(checks.duplicate_keys(staged["comments"], "comments", ["comment_id"], checks.WARN))
+        .unionByName(checks.duplicate_keys(comments, "comments", ["comment_id"], checks.WARN))
     )
 
 
 def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    staged = _staged(spark, sf_dir)
-    results = None
-    for name in ("issues", "pull_requests", "comments"):
-        found = checks.orphans(staged[name], name, "repo_name", staged["repositories"], "repo_full_name")
-        results = found if results is None else results.unionByName(found)
-    return results
+    *streams, repositories = _staged(spark, sf_dir, *STREAMS, "repositories")
+    found = [
+        checks.orphans(df, name, "repo_name", repositories, "repo_full_name") for name, df in zip(STREAMS, streams)
+    ]
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def _refreshed(spark: SparkSession, sf_dir: str):
@@ -124,10 +119,10 @@ def queries() -> dict[str, Query]:
         "stage_pull_requests": _stage(FEW["pull_requests"]),
         "stage_repositories": _stage(MANY["repositories"]),
         "stage_users": _stage(FEW["users"]),
-        "issue_daily": lambda spark, sf: activity.issue_daily(_staged(spark, sf)["issues"]),
-        "pr_daily": lambda spark, sf: activity.pr_daily(_staged(spark, sf)["pull_requests"]),
-        "comment_daily": lambda spark, sf: activity.comment_daily(_staged(spark, sf)["comments"]),
-        "activity_spine": lambda spark, sf: activity.activity_spine(*_streams(spark, sf)),
+        "issue_daily": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues")),
+        "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
+        "comment_daily": lambda spark, sf: activity.comment_daily(*_staged(spark, sf, "comments")),
+        "activity_spine": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS)),
         "repo_daily_activity": _daily,
         "repo_daily_activity_many_repos": lambda spark, sf: _daily(spark, sf, MANY),
         "activity_trailing_30d": lambda spark, sf: activity.trailing_totals(_daily(spark, sf), AS_OF),
@@ -142,8 +137,8 @@ def queries() -> dict[str, Query]:
         "pr_lead_time": lambda spark, sf: insights.pr_lead_time(
             staging.stage_pull_requests(raw_view(spark, sf, TIMED_PULL_REQUESTS))
         ),
-        "issue_backlog": lambda spark, sf: insights.issue_backlog(_staged(spark, sf)["issues"]),
-        "contributor_activity": lambda spark, sf: insights.contributor_activity(*_streams(spark, sf)),
+        "issue_backlog": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues")),
+        "contributor_activity": lambda spark, sf: insights.contributor_activity(*_staged(spark, sf, *STREAMS)),
         "repo_rolling_30d": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf)),
         "published_daily_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
         "published_stats_roundtrip": lambda spark, sf: _refreshed(spark, sf).stats,

@@ -1,24 +1,25 @@
 from __future__ import annotations
 
 import datetime
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def json_text(column: Column, path: str) -> Column:
-    """Text at a JSON path. Malformed JSON raises; a missing key, a JSON null or a parent that
-    is no object gives NULL."""
-    return F.variant_get(F.parse_json(column), path, "string")
+def json_text(value: str, path: str) -> str:
+    """Expression for the text at a JSON path. Malformed JSON raises; a missing key, a JSON null
+    or a parent that is no object gives NULL."""
+    return f"variant_get(parse_json({value}), '{path}', 'string')"
 
 
 def zero_if_null(column: Column) -> Column:
     return F.coalesce(column, F.lit(0))
 
 
-def counter(column: Column) -> Column:
-    """A whole number where NULL means none."""
-    return zero_if_null(column).cast("long")
+def present(*names: str) -> Column:
+    """True where no named column is NULL. Unlike `dropna`, it reaches the scan."""
+    return functools.reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names))
 
 
 def day_of(moment: Column) -> Column:

@@ -12,7 +12,7 @@ import functools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.functions import as_date, day_of
+from repopulse.functions import as_date, day_of, present
 
 KEYS = ("repo_full_name", "day")
 MEASURES = ("issues_created", "prs_created", "prs_merged", "comments_created")
@@ -77,7 +77,7 @@ def activity_counts(issues: DataFrame, prs: DataFrame, comments: DataFrame) -> D
 def without_unkeyed(counts: DataFrame) -> DataFrame:
     """Zero counts where the repository or the day is NULL: such keys stay in the table once,
     but nothing equals NULL, so their counts belong to no row."""
-    keyed = F.col("repo_full_name").isNotNull() & F.col("day").isNotNull()
+    keyed = present(*KEYS)
     return counts.select(*KEYS, *[F.when(keyed, F.col(m)).otherwise(0).alias(m) for m in MEASURES])
 
 

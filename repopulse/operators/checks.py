@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from repopulse.functions import present
 from repopulse.operators.activity import MEASURES
 
 WARN, ERROR = "warn", "error"
@@ -44,8 +45,7 @@ def null_keys(
 
 def duplicate_keys(df: DataFrame, relation: str, keys: Sequence[str], severity: str = ERROR) -> DataFrame:
     """Keys that occur more than once; rows with a NULL in the key do not count."""
-    whole = df.dropna(subset=list(keys))
-    repeated = whole.groupBy(*keys).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    repeated = df.where(present(*keys)).groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > 1)
     return _results(repeated, "duplicate_keys", relation, severity, {",".join(keys): F.count("*")})
 
 
@@ -63,9 +63,9 @@ def orphans(
     Rows are counted per key before the join, so a key with a third of the rows is one row in it.
     """
     weight = F.lit(1) if weight is None else weight
-    per_key = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(weight).alias("n"))
+    per_key = df.where(present(key)).groupBy(key).agg(F.sum(weight).alias("_rows"))
     known = parents.select(F.col(parent_key).alias(key)).distinct()
-    return _results(per_key.join(known, key, "left_anti"), "orphans", relation, severity, {key: F.sum("n")})
+    return _results(per_key.join(known, key, "left_anti"), "orphans", relation, severity, {key: F.sum("_rows")})
 
 
 def bad_measures(daily: DataFrame, relation: str, severity: str = ERROR) -> DataFrame:

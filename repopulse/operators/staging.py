@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from repopulse.functions import counter, json_text
+from repopulse.functions import json_text
 from repopulse.sources.layout import LAYOUT, Staged
 
 
-def _staged(column: Staged) -> Column:
-    source = F.col(f"`{column.field}`")  # quoted: `user` is a reserved word in SQL
+def _expression(column: Staged) -> str:
+    value = f"`{column.field}`"  # quoted: `user` is a reserved word
     if column.path:
-        source = json_text(source, column.path)
-    typed = counter(source) if column.kind == "counter" else source.cast(column.kind)
-    return typed.alias(column.name)
+        value = json_text(value, column.path)
+    if column.kind == "counter":
+        return f"cast(coalesce({value}, 0) as long) as `{column.name}`"
+    return f"cast({value} as {column.kind}) as `{column.name}`"
 
 
 def stage(table: str, raw: DataFrame) -> DataFrame:
-    return raw.select(*[_staged(column) for column in LAYOUT[table]])
+    """One projection, given as text: a wide list of columns goes to Spark in one call."""
+    return raw.selectExpr(*[_expression(column) for column in LAYOUT[table]])
 
 
 def stage_comments(raw: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repopulse.functions import day_of
+from repopulse.functions import day_of, present
 from repopulse.operators.activity import MEASURES
 
 HOUR = 3600
@@ -18,11 +18,10 @@ def pr_lead_time(prs: DataFrame) -> DataFrame:
     one task. So lead times, in whole seconds, are counted first; the hour that holds the middle
     is found among the counts per hour; and only that hour's seconds are looked at again.
     """
-    merged = prs.where(F.col("repo_name").isNotNull()).select(
+    merged = prs.where(present("repo_name", "pr_created_at", "pr_merged_at")).select(
         F.col("repo_name").alias("repo_full_name"),
-        (F.unix_timestamp("pr_merged_at") - F.unix_timestamp("pr_created_at")).alias("seconds"),
+        (F.unix_seconds("pr_merged_at") - F.unix_seconds("pr_created_at")).alias("seconds"),
     )
-    merged = merged.where(F.col("seconds").isNotNull())
     hour = F.floor(F.col("seconds") / HOUR).alias("hour")
     by_second = merged.groupBy("repo_full_name", hour, "seconds").agg(F.count("*").alias("n"))
 
@@ -78,12 +77,12 @@ def issue_backlog(issues: DataFrame) -> DataFrame:
 
     The window sorts one row per day of a repository, so its size is bounded by the calendar.
     """
-    days = issues.where(F.col("repo_name").isNotNull()).select(
+    days = issues.where(present("repo_name")).select(
         F.col("repo_name").alias("repo_full_name"),
         day_of(F.col("issue_created_at")).alias("opened"),
         day_of(F.col("issue_closed_at")).alias("closed"),
     )
-    changes = days.unpivot("repo_full_name", ["opened", "closed"], "change", "day").where(F.col("day").isNotNull())
+    changes = days.unpivot("repo_full_name", ["opened", "closed"], "change", "day").where(present("day"))
     daily = changes.groupBy("repo_full_name", "day").agg(
         F.count_if(F.col("change") == "opened").alias("opened"),
         F.count_if(F.col("change") == "closed").alias("closed"),
@@ -104,7 +103,7 @@ def contributor_activity(issues: DataFrame, prs: DataFrame, comments: DataFrame)
     kinds = [kind for *_, kind in streams]
     events = None
     for df, login, moment, own in streams:
-        part = df.where(F.col("repo_name").isNotNull()).select(
+        part = df.where(present("repo_name")).select(
             F.col("repo_name").alias("repo_full_name"),
             F.col(login).alias("login"),
             day_of(F.col(moment)).alias("day"),
@@ -124,7 +123,7 @@ def repo_rolling_totals(daily: DataFrame, days: int = 30) -> DataFrame:
     Days are summed up first, so the window sees one row per day of a repository even where the
     repository is listed several times.
     """
-    keyed = daily.where(F.col("repo_full_name").isNotNull() & F.col("day").isNotNull())
+    keyed = daily.where(present("repo_full_name", "day"))
     per_day = keyed.groupBy("repo_full_name", "day").agg(*[F.sum(m).alias(m) for m in MEASURES])
     window = Window.partitionBy("repo_full_name").orderBy(F.unix_date("day")).rangeBetween(-days, 0)
     return per_day.select(

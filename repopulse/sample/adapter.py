@@ -10,11 +10,20 @@ customers the users.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from repopulse.sources.layout import raw_schema
+from repopulse.sources.layout import TABLES, raw_schema
+
+# Columns read, with the types of the files. Stated, so that opening a table starts no job.
+SOURCE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp_ntz",
+}
 
 _NATION_OF_ORDER = "concat('NATION_', o_custkey % 30)"
 _NATION_OF_ITEM = "concat('NATION_', l_suppkey % 30)"
@@ -144,15 +153,18 @@ def raw_view(spark: SparkSession, sf_dir: str, view: tuple, times: str = "timest
     table, source, where, _ = view
     iso = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")" if times == "string" else "cast({} as timestamp)"
     expressions = field_expressions(view, iso)
-    df = spark.read.parquet(f"{sf_dir}/{source}.parquet")
+    df = spark.read.schema(SOURCE_SCHEMAS[source]).parquet(f"{sf_dir}/{source}.parquet")
     if where:
         df = df.where(where)
-    columns = []
-    for field in raw_schema(table, times):
-        value = F.expr(expressions[field.name]) if field.name in expressions else F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name))
-    return df.select(*columns)
-
-
-def raw_tables(spark: SparkSession, sf_dir: str, views: dict = FEW, times: str = "timestamp") -> dict[str, DataFrame]:
-    return {name: raw_view(spark, sf_dir, view, times) for name, view in views.items()}
+    return df.selectExpr(
+        *[
+            f"cast({expressions.get(field.name, 'null')} as {field.dataType.simpleString()}) as `{field.name}`"
+            for field in raw_schema(table, times)
+        ]
+    )
+
+
+def raw_tables(
+    spark: SparkSession, sf_dir: str, views: dict = FEW, names: Sequence[str] = TABLES
+) -> dict[str, DataFrame]:
+    return {name: raw_view(spark, sf_dir, views[name]) for name in names}

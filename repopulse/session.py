@@ -17,7 +17,8 @@ RESULT_SETTINGS = {
 }
 
 # Runtime re-planning: merge small shuffle partitions, split skewed join partitions, and
-# broadcast a join side only once its measured size is below the threshold.
+# broadcast a join side only once its measured size is below the threshold. Timestamps are
+# stored in the form that has file statistics.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,6 +26,7 @@ CLUSTER_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 MB = 1024 * 1024

@@ -1,0 +1,73 @@
+"""Raw frames from a few fields per row, and the hand-made case with its golden rows."""
+
+import datetime
+
+from repopulse.operators.staging import stage_all
+from repopulse.sources.layout import TABLES, raw_schema
+
+
+def raw_frame(spark, table, rows, times="string"):
+    schema = raw_schema(table, times)
+    return spark.createDataFrame([tuple(row.get(f.name) for f in schema) for row in rows], schema)
+
+
+def raw_frames(spark, **rows):
+    return {table: raw_frame(spark, table, rows.get(table, [])) for table in TABLES}
+
+
+def day(text):
+    return datetime.date.fromisoformat(text) if text else None
+
+
+def _activity(*rows):
+    return [dict(zip(("repository", "created_at", "merged_at"), row)) for row in rows]
+
+
+REPOSITORIES = [{"id": i, "full_name": name} for i, name in ((1, "o/a"), (2, "o/b"), (3, "o/c"))]
+ISSUES = _activity(
+    ("o/a", "2024-01-10T00:00:00Z"),
+    ("o/a", "2024-01-10T23:59:59Z"),
+    ("o/a", "2023-12-31T12:00:00Z"),
+    ("o/x", "2024-01-11T01:00:00Z"),
+    (None, "2024-01-10T05:00:00Z"),
+    ("o/a", None),
+)
+PULL_REQUESTS = _activity(
+    ("o/a", "2024-01-10T08:00:00Z", "2024-01-12T08:00:00Z"),
+    ("o/a", "2024-01-10T09:00:00Z", None),
+    ("o/b", "2024-01-12T09:00:00Z", "2024-01-12T10:00:00Z"),
+    ("o/a", "2023-12-30T09:00:00Z", "2024-01-05T00:00:00Z"),
+)
+COMMENTS = _activity(
+    ("o/a", "2024-01-10T10:00:00Z"), ("o/b", "2024-01-13T10:00:00Z"), ("o/a", "2024-02-02T10:00:00Z")
+)
+
+DAILY = [
+    (None, None, day("2024-01-10"), 0, 0, 0, 0),
+    (None, None, day("2024-01-11"), 1, 0, 0, 0),
+    (1, "o/a", None, 0, 0, 0, 0),
+    (1, "o/a", day("2023-12-30"), 0, 1, 1, 0),
+    (1, "o/a", day("2023-12-31"), 1, 0, 0, 0),
+    (1, "o/a", day("2024-01-10"), 2, 2, 1, 1),
+    (1, "o/a", day("2024-02-02"), 0, 0, 0, 1),
+    (2, "o/b", day("2024-01-12"), 0, 1, 1, 0),
+    (2, "o/b", day("2024-01-13"), 0, 0, 0, 1),
+]
+
+
+def golden_raw(spark, repositories=REPOSITORIES):
+    return raw_frames(
+        spark, repositories=repositories, issues=ISSUES, pull_requests=PULL_REQUESTS, comments=COMMENTS
+    )
+
+
+def golden_staged(spark, repositories=REPOSITORIES):
+    return stage_all(golden_raw(spark, repositories))
+
+
+def tuples(df):
+    return [tuple(row) for row in df.collect()]
+
+
+def unordered(rows):
+    return sorted(rows, key=repr)
