@@ -6,13 +6,14 @@ Dates and timestamps leave these queries as ISO text; the library functions retu
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.operators import activity, checks, staging
-from repopulse.plans import dashboard, insights, marts
+from repopulse.plans import dashboard, insights, layers, marts
 from repopulse.plans.refresh import refresh
 from repopulse.sample.adapter import FEW, MANY, TIMED_PULL_REQUESTS, raw_tables, raw_view
 from repopulse.sample.oracle import AS_OF, ORACLE
@@ -73,6 +74,16 @@ def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_issues(read_raw(spark, root, "issues", fmt="json"))
 
 
+def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark)
+    for name, view in FEW.items():
+        raw_view(spark, sf_dir, view).write.parquet(f"{root}/{name}")
+    layer = f"repopulse_{uuid.uuid4().hex}"
+    layers.register_raw(spark, root, f"{layer}_raw")
+    layers.create_staging_views(spark, f"{layer}_staging", f"{layer}_raw")
+    return spark.table(f"{layer}_staging.comments")
+
+
 def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     issues, prs, comments = _staged(spark, sf_dir, *STREAMS)
     return (
@@ -119,6 +130,7 @@ def queries() -> dict[str, Query]:
         "stage_pull_requests": _stage(FEW["pull_requests"]),
         "stage_repositories": _stage(MANY["repositories"]),
         "stage_users": _stage(FEW["users"]),
+        "staging_view_comments": _staging_view_comments,
         "issue_daily": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues")),
         "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
         "comment_daily": lambda spark, sf: activity.comment_daily(*_staged(spark, sf, "comments")),

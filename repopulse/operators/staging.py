@@ -17,9 +17,13 @@ def _expression(column: Staged) -> str:
     return f"cast({value} as {column.kind}) as `{column.name}`"
 
 
+def staging_columns(table: str) -> list[str]:
+    """Expressions of the staged columns, for a projection or a view."""
+    return [_expression(column) for column in LAYOUT[table]]
+
+
 def stage(table: str, raw: DataFrame) -> DataFrame:
-    """One projection, given as text: a wide list of columns goes to Spark in one call."""
-    return raw.selectExpr(*[_expression(column) for column in LAYOUT[table]])
+    return raw.selectExpr(*staging_columns(table))
 
 
 def stage_comments(raw: DataFrame) -> DataFrame:

@@ -50,8 +50,13 @@ def pr_lead_time(prs: DataFrame) -> DataFrame:
         .orderBy("seconds")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # Null-safe equality, though no key is NULL: plain equality would add a filter to one of the two
+    # uses of the counts, and Spark would scan and count the pull requests once for each.
+    same = F.col("m.repo_full_name").eqNullSafe(F.col("s.repo_full_name")) & F.col("m.hour").eqNullSafe(F.col("s.hour"))
     ranked = (
-        middle_hours.join(by_second, ["repo_full_name", "hour"])
+        middle_hours.alias("m")
+        .join(by_second.alias("s"), same)
+        .select("m.*", "s.seconds", "s.n")
         .withColumn("upto", F.col("before") + F.sum("n").over(up_to_second))
         .withColumn("before", F.col("upto") - F.col("n"))
     )

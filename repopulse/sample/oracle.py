@@ -226,6 +226,7 @@ ORACLE = {
     "stage_pull_requests": _stage_query(FEW, "pull_requests"),
     "stage_repositories": _stage_query(MANY, "repositories"),
     "stage_users": _stage_query(FEW, "users"),
+    "staging_view_comments": _stage_query(FEW, "comments"),
     "issue_daily": _counts("issues", _ISSUE_DAYS, "opened AS issues_created"),
     "pr_daily": _counts("pull_requests", _PR_DAYS, "opened AS prs_created, merged AS prs_merged"),
     "comment_daily": _counts("comments", _COMMENT_DAYS, "written AS comments_created"),
