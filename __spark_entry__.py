@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repopulse import sinks
 from repopulse.operators import activity, checks, staging
 from repopulse.plans import dashboard, insights, layers, marts
 from repopulse.plans.refresh import refresh
@@ -67,6 +68,13 @@ def _stage(view: tuple) -> Query:
     return lambda spark, sf_dir: staging.stage(view[0], raw_view(spark, sf_dir, view, times="string"))
 
 
+def _raw_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = raw_tables(spark, sf_dir).items()
+    return functools.reduce(
+        DataFrame.unionByName, [df.select(F.lit(name).alias("relation"), "id", "_airbyte_raw_id") for name, df in tables]
+    )
+
+
 def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
     landed = raw_view(spark, sf_dir, FEW["issues"]).withColumn("user", F.parse_json("user"))
@@ -76,11 +84,12 @@ def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
-    for name, view in FEW.items():
-        raw_view(spark, sf_dir, view).write.parquet(f"{root}/{name}")
+    raw_view(spark, sf_dir, FEW["comments"]).write.parquet(f"{root}/comments")
     layer = f"repopulse_{uuid.uuid4().hex}"
-    layers.register_raw(spark, root, f"{layer}_raw")
-    layers.create_staging_views(spark, f"{layer}_staging", f"{layer}_raw")
+    for kind in ("raw", "staging"):
+        sinks.ensure_layer(spark, f"{layer}_{kind}", f"{root}/{kind}.db")
+    layers.register_raw(spark, root, f"{layer}_raw", tables=["comments"])
+    layers.create_staging_views(spark, f"{layer}_staging", f"{layer}_raw", tables=["comments"])
     return spark.table(f"{layer}_staging.comments")
 
 
@@ -124,6 +133,7 @@ def queries() -> dict[str, Query]:
         "scan_raw_pull_requests": _scan(FEW["pull_requests"]),
         "scan_raw_repositories": _scan(MANY["repositories"]),
         "scan_raw_users": _scan(FEW["users"]),
+        "raw_pass_through": _raw_pass_through,
         "landed_json_issues": _landed_json_issues,
         "stage_comments": _stage(FEW["comments"]),
         "stage_issues": _stage(FEW["issues"]),
@@ -152,7 +162,7 @@ def queries() -> dict[str, Query]:
         "issue_backlog": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues")),
         "contributor_activity": lambda spark, sf: insights.contributor_activity(*_staged(spark, sf, *STREAMS)),
         "repo_rolling_30d": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf)),
-        "published_daily_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
+        "published_mart_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
         "published_stats_roundtrip": lambda spark, sf: _refreshed(spark, sf).stats,
     }
     return {name: _query(build) for name, build in builds.items()}

@@ -5,6 +5,8 @@ Views are expanded and pruned per query: a column nobody reads is not parsed, an
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from repopulse.operators.staging import staging_columns
@@ -13,12 +15,17 @@ from repopulse.sources.layout import TABLES, raw_schema
 
 
 def register_raw(
-    spark: SparkSession, root: str, layer: str = "raw", fmt: str = "parquet", times: str = "timestamp"
+    spark: SparkSession,
+    root: str,
+    layer: str = "raw",
+    fmt: str = "parquet",
+    times: str = "timestamp",
+    tables: Sequence[str] = TABLES,
 ) -> None:
     """Raw tables over the folders `<root>/<table>`. The files stay where they are."""
     ensure_layer(spark, layer)
     options = " OPTIONS (mode 'FAILFAST')" if fmt == "json" else ""
-    for table in TABLES:
+    for table in tables:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(table, times))
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {qualified(table, layer)} ({columns}) USING {fmt}{options}"
@@ -26,10 +33,12 @@ def register_raw(
         )
 
 
-def create_staging_views(spark: SparkSession, layer: str = "staging", raw_layer: str = "raw") -> None:
+def create_staging_views(
+    spark: SparkSession, layer: str = "staging", raw_layer: str = "raw", tables: Sequence[str] = TABLES
+) -> None:
     """One view per raw table, kept in the catalog for later sessions."""
     ensure_layer(spark, layer)
-    for table in TABLES:
+    for table in tables:
         spark.sql(
             f"CREATE OR REPLACE VIEW {qualified(table, layer)} AS"
             f" SELECT {', '.join(staging_columns(table))} FROM {qualified(table, raw_layer)}"

@@ -21,6 +21,17 @@ from repopulse.session import apply_settings, scratch_dir
 
 DAILY, STATS = "repo_daily_activity", "repo_current_stats"
 
+COMMENTS = {
+    DAILY: "Issues, pull requests and comments per repository and day of their creation.",
+    STATS: "One row per repository: its attributes and its activity over the trailing days.",
+}
+COLUMN_COMMENTS = {
+    "repo_id": "NULL for activity of a repository that is not listed",
+    "repo_full_name": "NULL for activity of a repository that is not listed",
+    "prs_merged": "Pull requests created on this day that were merged at any time since",
+    "prs_merged_30d": "Pull requests created in the trailing days that were merged at any time since",
+}
+
 
 @dataclass(frozen=True)
 class Refreshed:
@@ -58,12 +69,14 @@ def refresh(
     layer: str = "mart",
     location: str | None = None,
     keep: int = 2,
+    enforce: bool = True,
 ) -> Refreshed:
     """Stage, count, check, build both marts, check, and only then publish them.
 
     The raw activity is scanned once: the counts per repository and day are kept for the length of
     the run as a table in the shared scratch folder, and the checks and the marts read those.
-    Doubled repositories stop the run before they can multiply the daily mart.
+    Doubled repositories stop the run before they can multiply the daily mart. With
+    `enforce=False` the marts are published whatever the checks find.
     """
     apply_settings(spark)
     if as_of is None:
@@ -78,10 +91,10 @@ def refresh(
     try:
         counts = activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
         counts = sinks.write_run(counts, "activity_counts", run, work)
-        checked = gate(*check_inputs(counts, staged))
+        checked = gate(*check_inputs(counts, staged), enforce=enforce)
         built = daily_from_counts(counts, staged["repositories"])
         daily = sinks.write_run(built, DAILY, run, layer, ("day", "repo_full_name", "repo_id"))
-        checked += gate(*check_daily(daily))
+        checked += gate(*check_daily(daily), enforce=enforce)
         stats = repo_current_stats(staged["repositories"], daily, as_of)
         sinks.write_run(stats, STATS, run, layer, ("repo_full_name", "repo_id"))
     except Exception:
@@ -90,7 +103,9 @@ def refresh(
         raise
     finally:
         sinks.drop_layer(spark, work)
-    daily, stats = (sinks.publish(spark, name, run, layer) for name in (DAILY, STATS))
+    daily, stats = (
+        sinks.publish(spark, name, run, layer, COMMENTS[name], COLUMN_COMMENTS) for name in (DAILY, STATS)
+    )
     for name in (DAILY, STATS):
         sinks.retire(spark, name, keep, layer)
     return Refreshed(run, daily, stats, checked)

@@ -21,17 +21,17 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--layer", default="mart")
     parser.add_argument("--location", help="folder of the layer; the warehouse's own if not given")
     parser.add_argument("--keep", type=int, default=2, help="runs to keep")
-    parser.add_argument("--shuffle-gb", type=int, help="expected shuffle volume, to size its partitions")
-    parser.add_argument("--cores", type=int, default=8)
+    parser.add_argument("--warn-only", action="store_true", help="publish whatever the checks find")
+    parser.add_argument("--shuffle-gb", type=int, default=1024, help="expected shuffle volume, for its partitions")
+    parser.add_argument("--cores", type=int, default=8, help="cores of the cluster")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    shuffle_bytes = args.shuffle_gb * 1024**3 if args.shuffle_gb else None
-    spark = cluster_session(shuffle_bytes=shuffle_bytes, cores=args.cores)
+    spark = cluster_session(shuffle_bytes=args.shuffle_gb * 1024**3, cores=args.cores)
     raw = read_all(spark, args.raw, args.format, args.times)
-    done = refresh(spark, raw, args.as_of, args.layer, args.location, args.keep)
+    done = refresh(spark, raw, args.as_of, args.layer, args.location, args.keep, not args.warn_only)
     print(f"published run {done.run}")
     for row in done.checks:
         print(f"{row.severity} {row.check} {row.relation}.{row.key}: {row.failures}")

@@ -220,6 +220,9 @@ ORACLE = {
     "scan_raw_pull_requests": _raw(FEW["pull_requests"]),
     "scan_raw_repositories": _raw(MANY["repositories"]),
     "scan_raw_users": _raw(FEW["users"]),
+    "raw_pass_through": " UNION ALL ".join(
+        f"SELECT '{name}' AS relation, id, _airbyte_raw_id FROM ({_raw(view)})" for name, view in FEW.items()
+    ),
     "landed_json_issues": _stage_query(FEW, "issues"),
     "stage_comments": _stage_query(FEW, "comments"),
     "stage_issues": _stage_query(FEW, "issues"),
@@ -249,6 +252,6 @@ ORACLE = {
     "issue_backlog": _BACKLOG,
     "contributor_activity": _CONTRIBUTORS,
     "repo_rolling_30d": _ROLLING,
-    "published_daily_roundtrip": _daily(FEW),
+    "published_mart_roundtrip": _daily(FEW),
     "published_stats_roundtrip": _stats(FEW),
 }

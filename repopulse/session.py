@@ -51,15 +51,17 @@ def shuffle_partitions(shuffle_bytes: int, cores: int) -> int:
 
 def cluster_session(
     app: str = "repopulse",
-    shuffle_bytes: int | None = None,
+    shuffle_bytes: int = 0,
     cores: int = 8,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session for a scheduled run. The master comes from `spark-submit`."""
-    settings = {**CLUSTER_SETTINGS, **RESULT_SETTINGS}
-    if shuffle_bytes is not None:
-        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(shuffle_bytes, cores))
-    settings.update(extra or {})
+    settings = {
+        **CLUSTER_SETTINGS,
+        **RESULT_SETTINGS,
+        "spark.sql.shuffle.partitions": str(shuffle_partitions(shuffle_bytes, cores)),
+        **(extra or {}),
+    }
     builder = SparkSession.builder.appName(app)
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -7,7 +7,7 @@ see one run or the other, and a failed run changes nothing for them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,12 +53,23 @@ def write_run(df: DataFrame, name: str, run: str, layer: str | None = None, orde
     return df.sparkSession.table(table)
 
 
-def publish(spark: SparkSession, name: str, run: str, layer: str | None = None) -> DataFrame:
-    """Point readers of the table to a run of it."""
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {qualified(name, layer)} AS SELECT * FROM {qualified(run_table(name, run), layer)}"
+def publish(
+    spark: SparkSession,
+    name: str,
+    run: str,
+    layer: str | None = None,
+    comment: str = "",
+    column_comments: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Point readers of the table to a run of it. Comments may not contain quotes."""
+    view, stored = qualified(name, layer), qualified(run_table(name, run), layer)
+    comments = column_comments or {}
+    columns = ", ".join(
+        f"`{column}`" + (f" COMMENT '{comments[column]}'" if column in comments else "")
+        for column in spark.table(stored).columns
     )
-    return spark.table(qualified(name, layer))
+    spark.sql(f"CREATE OR REPLACE VIEW {view} ({columns}) COMMENT '{comment}' AS SELECT * FROM {stored}")
+    return spark.table(view)
 
 
 def runs(spark: SparkSession, name: str, layer: str | None = None) -> list[str]:

@@ -59,6 +59,23 @@ def test_failed_gate_leaves_the_old_marts(spark, layer):
     assert work_layers(spark) == []
 
 
+def test_checks_that_are_not_enforced_let_the_copies_multiply(spark, layer):
+    raw = golden_raw(spark, REPOSITORIES + REPOSITORIES[:1])
+    done = refresh(spark, raw, "2024-01-31", layer, enforce=False)
+    assert done.daily.count() == 14
+    assert {(c.relation, c.failures) for c in done.checks if c.check == "duplicate_keys"} == {
+        ("repositories", 1),
+        (DAILY, 5 - 1),
+    }
+
+
+def test_published_marts_carry_comments(spark, layer):
+    refresh(spark, golden_raw(spark), "2024-01-31", layer)
+    described = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE {layer}.{DAILY}").collect()}
+    assert "merged at any time since" in described["prs_merged"]
+    assert "per repository and day" in spark.catalog.getTable(f"{layer}.{DAILY}").description
+
+
 def test_failure_while_building_drops_the_new_runs(spark, layer, monkeypatch):
     first = refresh(spark, golden_raw(spark), "2024-01-31", layer)
 
