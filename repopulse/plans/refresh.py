@@ -42,9 +42,9 @@ class Refreshed:
 
 
 def new_run(as_of: datetime.date) -> str:
-    """Run names sort by time, and two runs never share one."""
+    """Run names sort by the time of the run, and two runs never share one."""
     now = datetime.datetime.now(datetime.timezone.utc)
-    return f"{as_of:%Y%m%d}_{now:%Y%m%d%H%M%S%f}_{uuid.uuid4().hex[:8]}"
+    return f"{now:%Y%m%d%H%M%S%f}_{as_of:%Y%m%d}_{uuid.uuid4().hex[:8]}"
 
 
 def check_inputs(counts: DataFrame, staged: dict[str, DataFrame]) -> tuple[DataFrame, ...]:
@@ -107,5 +107,5 @@ def refresh(
         sinks.publish(spark, name, run, layer, COMMENTS[name], COLUMN_COMMENTS) for name in (DAILY, STATS)
     )
     for name in (DAILY, STATS):
-        sinks.retire(spark, name, keep, layer)
+        sinks.retire(spark, name, run, keep, layer)
     return Refreshed(run, daily, stats, checked)

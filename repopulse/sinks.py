@@ -75,19 +75,19 @@ def publish(
 def runs(spark: SparkSession, name: str, layer: str | None = None) -> list[str]:
     """Stored runs of a table, in name order."""
     prefix = run_table(name, "")
-    tables = spark.catalog.listTables(layer or DEFAULT_LAYER)
-    return sorted(t.name[len(prefix) :] for t in tables if t.name.startswith(prefix) and not t.isTemporary)
+    found = spark.sql(f"SHOW TABLES IN `{layer or DEFAULT_LAYER}` LIKE '{prefix}*'").collect()
+    return sorted(row.tableName[len(prefix) :] for row in found if not row.isTemporary)
 
 
 def drop_run(spark: SparkSession, name: str, run: str, layer: str | None = None) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {qualified(run_table(name, run), layer)}")
 
 
-def retire(spark: SparkSession, name: str, keep: int, layer: str | None = None) -> list[str]:
-    """Drop all but the last `keep` runs. Keep as many as the longest reader needs."""
+def retire(spark: SparkSession, name: str, published: str, keep: int, layer: str | None = None) -> list[str]:
+    """Drop all runs but the published one and the last `keep`. Keep as many as readers need."""
     if keep < 1:
-        raise ValueError("the published run must stay")
-    old = runs(spark, name, layer)[:-keep]
+        raise ValueError("keep must be at least 1")
+    old = [run for run in runs(spark, name, layer)[:-keep] if run != published]
     for run in old:
         drop_run(spark, name, run, layer)
     return old

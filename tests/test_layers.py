@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from repopulse import run, sinks
@@ -41,5 +43,5 @@ def test_command_line(spark, tmp_path, names, capsys):
     land(golden_raw(spark), tmp_path, "parquet")
     run.main(["--raw", str(tmp_path), "--as-of", "2024-01-31", "--layer", names["mart"], "--keep", "1", "--shuffle-gb", "1"])
     printed = capsys.readouterr().out
-    assert printed.startswith("published run 20240131_") and "warn orphans activity.repo_full_name: 1" in printed
+    assert re.match(r"published run \d{20}_20240131_", printed) and "warn orphans activity.repo_full_name: 1" in printed
     assert unordered(tuples(spark.table(f"{names['mart']}.repo_daily_activity"))) == unordered(DAILY)

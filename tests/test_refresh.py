@@ -96,7 +96,24 @@ def test_a_run_is_never_overwritten(spark, layer):
         sinks.write_run(spark.range(4), "t", "r1", layer, ("id",))
     assert sinks.publish(spark, "t", "r1", layer).count() == 3
     with pytest.raises(ValueError):
-        sinks.retire(spark, "t", 0, layer)
+        sinks.retire(spark, "t", "r1", 0, layer)
+
+
+def test_retire_spares_the_published_run(spark, layer):
+    sinks.ensure_layer(spark, layer)
+    for run in ("r1", "r2", "r3"):
+        sinks.write_run(spark.range(1), "t", run, layer)
+    sinks.write_run(spark.range(1), "tt", "r0", layer)
+    sinks.publish(spark, "t", "r1", layer)
+    assert sinks.retire(spark, "t", "r1", 1, layer) == ["r2"]
+    assert sinks.runs(spark, "t", layer) == ["r1", "r3"] and sinks.runs(spark, "tt", layer) == ["r0"]
+
+
+def test_refresh_for_an_earlier_day_comes_last(spark, layer):
+    refresh(spark, golden_raw(spark), "2024-02-10", layer, keep=1)
+    back = refresh(spark, golden_raw(spark), "2024-01-31", layer, keep=1)
+    assert sinks.runs(spark, STATS, layer) == [back.run]
+    assert {r.issues_created_30d for r in spark.table(f"{layer}.{STATS}").collect()} == {0, 2}
 
 
 def test_layer_names():
