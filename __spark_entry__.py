@@ -16,7 +16,7 @@ from repopulse import sinks
 from repopulse.operators import activity, checks, staging
 from repopulse.plans import dashboard, insights, layers, marts
 from repopulse.plans.refresh import refresh
-from repopulse.sample.adapter import FEW, MANY, TIMED_PULL_REQUESTS, raw_tables, raw_view
+from repopulse.sample.adapter import FEW, FULL, GAPS, MANY, TIMED_PULL_REQUESTS, raw_tables, raw_view
 from repopulse.sample.oracle import AS_OF, ORACLE
 from repopulse.session import apply_settings, scratch_dir
 from repopulse.sources.readers import read_raw
@@ -77,14 +77,14 @@ def _raw_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
-    landed = raw_view(spark, sf_dir, FEW["issues"]).withColumn("user", F.parse_json("user"))
+    landed = raw_view(spark, sf_dir, FULL["issues"]).withColumn("user", F.parse_json("user"))
     landed.write.json(f"{root}/issues")
     return staging.stage_issues(read_raw(spark, root, "issues", fmt="json"))
 
 
 def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
-    raw_view(spark, sf_dir, FEW["comments"]).write.parquet(f"{root}/comments")
+    raw_view(spark, sf_dir, FULL["comments"]).write.parquet(f"{root}/comments")
     layer = f"repopulse_{uuid.uuid4().hex}"
     for kind in ("raw", "staging"):
         sinks.ensure_layer(spark, f"{layer}_{kind}", f"{root}/{kind}.db")
@@ -93,8 +93,8 @@ def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{layer}_staging.comments")
 
 
-def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues, prs, comments = _staged(spark, sf_dir, *STREAMS)
+def _null_keys(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
+    issues, prs, comments = _staged(spark, sf_dir, *STREAMS, views=views)
     return (
         checks.null_keys(issues, "issues", ["repo_name", "issue_created_at"])
         .unionByName(checks.null_keys(prs, "pull_requests", ["repo_name", "pr_created_at"]))
@@ -102,9 +102,9 @@ def _null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments, repositories = _staged(spark, sf_dir, "comments", "repositories")
-    daily = _daily(spark, sf_dir)
+def _duplicate_keys(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
+    comments, repositories = _staged(spark, sf_dir, "comments", "repositories", views=views)
+    daily = _daily(spark, sf_dir, views)
     return (
         checks.duplicate_keys(repositories, "repositories", ["repo_full_name"])
         .unionByName(checks.duplicate_keys(daily, "repo_daily_activity", ["repo_full_name", "day"]))
@@ -112,8 +112,8 @@ def _duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    *streams, repositories = _staged(spark, sf_dir, *STREAMS, "repositories")
+def _orphans(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
+    *streams, repositories = _staged(spark, sf_dir, *STREAMS, "repositories", views=views)
     found = [
         checks.orphans(df, name, "repo_name", repositories, "repo_full_name") for name, df in zip(STREAMS, streams)
     ]
@@ -128,18 +128,18 @@ def _refreshed(spark: SparkSession, sf_dir: str):
 
 def queries() -> dict[str, Query]:
     builds: dict[str, Query] = {
-        "scan_raw_comments": _scan(FEW["comments"]),
-        "scan_raw_issues": _scan(FEW["issues"]),
-        "scan_raw_pull_requests": _scan(FEW["pull_requests"]),
-        "scan_raw_repositories": _scan(MANY["repositories"]),
-        "scan_raw_users": _scan(FEW["users"]),
+        "scan_raw_comments": _scan(FULL["comments"]),
+        "scan_raw_issues": _scan(FULL["issues"]),
+        "scan_raw_pull_requests": _scan(FULL["pull_requests"]),
+        "scan_raw_repositories": _scan(FULL["repositories"]),
+        "scan_raw_users": _scan(FULL["users"]),
         "raw_pass_through": _raw_pass_through,
         "landed_json_issues": _landed_json_issues,
-        "stage_comments": _stage(FEW["comments"]),
-        "stage_issues": _stage(FEW["issues"]),
-        "stage_pull_requests": _stage(FEW["pull_requests"]),
-        "stage_repositories": _stage(MANY["repositories"]),
-        "stage_users": _stage(FEW["users"]),
+        "stage_comments": _stage(FULL["comments"]),
+        "stage_issues": _stage(FULL["issues"]),
+        "stage_pull_requests": _stage(FULL["pull_requests"]),
+        "stage_repositories": _stage(FULL["repositories"]),
+        "stage_users": _stage(FULL["users"]),
         "staging_view_comments": _staging_view_comments,
         "issue_daily": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues")),
         "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
@@ -147,14 +147,19 @@ def queries() -> dict[str, Query]:
         "activity_spine": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS)),
         "repo_daily_activity": _daily,
         "repo_daily_activity_many_repos": lambda spark, sf: _daily(spark, sf, MANY),
+        "repo_daily_activity_gaps": lambda spark, sf: _daily(spark, sf, GAPS),
         "activity_trailing_30d": lambda spark, sf: activity.trailing_totals(_daily(spark, sf), AS_OF),
         "repo_current_stats": _stats,
         "repo_current_stats_many_repos": lambda spark, sf: _stats(spark, sf, MANY),
+        "repo_current_stats_gaps": lambda spark, sf: _stats(spark, sf, GAPS),
         "activity_time_series": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf)),
         "top_repos_by_prs": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf)),
         "dq_null_keys": _null_keys,
+        "dq_null_keys_gaps": lambda spark, sf: _null_keys(spark, sf, GAPS),
         "dq_duplicate_keys": _duplicate_keys,
+        "dq_duplicate_keys_gaps": lambda spark, sf: _duplicate_keys(spark, sf, GAPS),
         "dq_orphans": _orphans,
+        "dq_orphans_gaps": lambda spark, sf: _orphans(spark, sf, GAPS),
         "dq_measures": lambda spark, sf: checks.bad_measures(_daily(spark, sf), "repo_daily_activity"),
         "pr_lead_time": lambda spark, sf: insights.pr_lead_time(
             staging.stage_pull_requests(raw_view(spark, sf, TIMED_PULL_REQUESTS))

@@ -127,6 +127,131 @@ MANY = {
     "repositories": ("repositories", "customer", None, _CUSTOMER_REPOSITORIES),
     "users": FEW["users"],
 }
+# The same records with holes and copies: some without repository or time, one repository without
+# a name, three listed twice and two whose name belongs to two repositories.
+GAPS = {
+    "comments": (
+        "comments",
+        "lineitem",
+        None,
+        {
+            **_comments(f"case when l_orderkey % 10 > 0 then {_NATION_OF_ITEM} end"),
+            "created_at": "case when l_orderkey % 11 > 0 then iso(l_shipdate) end",
+        },
+    ),
+    "issues": (
+        "issues",
+        "orders",
+        URGENT,
+        {
+            **_issues(f"case when o_orderkey % 10 > 0 then {_NATION_OF_ORDER} end"),
+            "created_at": "case when o_orderkey % 11 > 0 then iso(o_orderdate) end",
+        },
+    ),
+    "pull_requests": (
+        "pull_requests",
+        "orders",
+        None,
+        {
+            **_pull_requests(f"case when o_orderkey % 13 > 0 then {_NATION_OF_ORDER} end"),
+            "created_at": "case when o_orderkey % 17 > 0 then iso(o_orderdate) end",
+        },
+    ),
+    "repositories": (
+        "repositories",
+        "nation",
+        None,
+        {
+            **_NATION_REPOSITORIES,
+            "id": "case when n_nationkey < 23 then n_nationkey % 20 else n_nationkey end",
+            "full_name": "case when n_nationkey <> 7 then concat('NATION_', n_nationkey % 20) end",
+        },
+    ),
+    "users": FEW["users"],
+}
+# The same records with a value in every raw field, for the staging projections.
+FULL = {
+    "comments": (
+        "comments",
+        "lineitem",
+        None,
+        {
+            **FEW["comments"][3],
+            "updated_at": "iso(l_shipdate + interval 1 hour)",
+            "html_url": "concat('https://host.example/comments/', l_orderkey, '/', l_linenumber)",
+            "issue_url": "concat('https://host.example/issues/', l_orderkey)",
+            "body": "concat('Item ', l_linenumber, ' of \"order\" ', l_orderkey)",
+            "author_association": "case when l_partkey % 3 = 0 then 'MEMBER' else 'NONE' end",
+        },
+    ),
+    "issues": (
+        "issues",
+        "orders",
+        URGENT,
+        {
+            **FEW["issues"][3],
+            "repository_url": f"concat('https://host.example/repos/', {_NATION_OF_ORDER})",
+            "state_reason": "case when o_orderstatus = 'F' then 'completed' end",
+            "title": "concat('Order ', o_orderkey)",
+            "body": "concat('Priority ', o_orderpriority)",
+            "updated_at": "iso(o_orderdate + interval 90 minutes)",
+            "html_url": "concat('https://host.example/issues/', o_orderkey)",
+        },
+    ),
+    "pull_requests": (
+        "pull_requests",
+        "orders",
+        None,
+        {
+            **FEW["pull_requests"][3],
+            "state": "case when o_orderstatus = 'O' then 'open' else 'closed' end",
+            "title": "concat('Order ', o_orderkey)",
+            "body": "case when o_orderkey % 4 > 0 then concat('Priority ', o_orderpriority) end",
+            "updated_at": "iso(o_orderdate + interval 90 minutes)",
+            "closed_at": "case when o_orderstatus <> 'O' then iso(o_orderdate + interval 4 days) end",
+            "html_url": "concat('https://host.example/pulls/', o_orderkey)",
+            "diff_url": "concat('https://host.example/pulls/', o_orderkey, '.diff')",
+            "patch_url": "concat('https://host.example/pulls/', o_orderkey, '.patch')",
+            "issue_url": "concat('https://host.example/issues/', o_orderkey)",
+            "merge_commit_sha": "case when o_orderstatus = 'F' then md5(cast(o_orderkey as string)) end",
+            "author_association": "case when o_custkey % 3 = 0 then 'MEMBER' else 'NONE' end",
+        },
+    ),
+    "repositories": (
+        "repositories",
+        "customer",
+        None,
+        {
+            **_CUSTOMER_REPOSITORIES,
+            "html_url": "concat('https://host.example/', c_name)",
+            "open_issues_count": "case when c_custkey % 6 > 0 then c_custkey % 17 end",
+            "watchers_count": "c_custkey % 19",
+            "private": "c_custkey % 3 = 0",
+            "archived": "c_custkey % 4 = 0",
+            "disabled": "c_custkey % 5 = 0",
+            "visibility": "case when c_custkey % 3 = 0 then 'private' else 'public' end",
+            "default_branch": "'main'",
+            "updated_at": "iso(timestamp '2021-02-03 04:05:06')",
+            "pushed_at": "case when c_custkey % 4 > 0 then iso(timestamp '2022-03-04 05:06:07') end",
+            "description": "concat('In the segment ', c_mktsegment)",
+            "homepage": "concat('https://host.example/', c_custkey)",
+        },
+    ),
+    "users": (
+        "users",
+        "customer",
+        None,
+        {
+            **_USERS,
+            "html_url": "concat('https://host.example/user', c_custkey)",
+            "avatar_url": "concat('https://host.example/avatars/', c_custkey)",
+            "organization": "c_mktsegment",
+            "repos_url": "concat('https://host.example/user', c_custkey, '/repos')",
+            "followers_url": "concat('https://host.example/user', c_custkey, '/followers')",
+            "following_url": "concat('https://host.example/user', c_custkey, '/following')",
+        },
+    ),
+}
 # Pull requests whose time to the merge differs from one to the next.
 TIMED_PULL_REQUESTS = (
     "pull_requests",

@@ -5,7 +5,7 @@ Dates and timestamps are compared as ISO text, so no engine's own rendering matt
 
 from __future__ import annotations
 
-from repopulse.sample.adapter import FEW, MANY, TIMED_PULL_REQUESTS, field_expressions
+from repopulse.sample.adapter import FEW, FULL, GAPS, MANY, TIMED_PULL_REQUESTS, field_expressions
 from repopulse.sources.layout import LAYOUT, Staged, raw_schema
 
 AS_OF = "2001-07-31"
@@ -122,7 +122,7 @@ def _check(check: str, relation: str, key: str, severity: str, failures: str) ->
     )
 
 
-def _null_keys() -> str:
+def _null_keys(views: dict = FEW) -> str:
     keys = {
         "issues": ("repo_name", "issue_created_at"),
         "pull_requests": ("repo_name", "pr_created_at"),
@@ -133,12 +133,13 @@ def _null_keys() -> str:
         for table, columns in keys.items()
         for key in columns
     ]
-    return f"WITH {_staged(FEW, *keys)} " + " UNION ALL ".join(rows)
+    return f"WITH {_staged(views, *keys)} " + " UNION ALL ".join(rows)
 
 
-def _duplicate_keys() -> str:
+def _duplicate_keys(views: dict = FEW) -> str:
     def repeated(table: str, keys: str) -> str:
-        return f"SELECT count(*) FROM (SELECT {keys} FROM {table} GROUP BY ALL HAVING count(*) > 1)"
+        present = " AND ".join(f"{key} IS NOT NULL" for key in keys.split(", "))
+        return f"SELECT count(*) FROM (SELECT {keys} FROM {table} WHERE {present} GROUP BY ALL HAVING count(*) > 1)"
 
     rows = [
         _check("duplicate_keys", "repositories", "repo_full_name", "error", repeated("repositories", "repo_full_name")),
@@ -147,14 +148,14 @@ def _duplicate_keys() -> str:
             "repo_daily_activity",
             "repo_full_name,day",
             "error",
-            repeated("(FROM daily WHERE repo_full_name IS NOT NULL)", "repo_full_name, day"),
+            repeated("daily", "repo_full_name, day"),
         ),
         _check("duplicate_keys", "comments", "comment_id", "warn", repeated("comments", "comment_id")),
     ]
-    return f"{_with_daily(FEW)} " + " UNION ALL ".join(rows)
+    return f"{_with_daily(views)} " + " UNION ALL ".join(rows)
 
 
-def _orphans() -> str:
+def _orphans(views: dict = FEW) -> str:
     tables = ("issues", "pull_requests", "comments")
     rows = [
         _check(
@@ -162,11 +163,12 @@ def _orphans() -> str:
             table,
             "repo_name",
             "warn",
-            f"SELECT count(*) FROM {table} WHERE repo_name NOT IN (SELECT repo_full_name FROM repositories)",
+            f"SELECT count(*) FROM {table} WHERE repo_name IS NOT NULL AND NOT EXISTS"
+            f" (SELECT 1 FROM repositories WHERE repo_full_name = {table}.repo_name)",
         )
         for table in tables
     ]
-    return f"WITH {_staged(FEW, *tables, 'repositories')} " + " UNION ALL ".join(rows)
+    return f"WITH {_staged(views, *tables, 'repositories')} " + " UNION ALL ".join(rows)
 
 
 def _bad_measures() -> str:
@@ -215,21 +217,21 @@ WINDOW recent_days AS (PARTITION BY repo_full_name ORDER BY day
                     RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)"""
 
 ORACLE = {
-    "scan_raw_comments": _raw(FEW["comments"]),
-    "scan_raw_issues": _raw(FEW["issues"]),
-    "scan_raw_pull_requests": _raw(FEW["pull_requests"]),
-    "scan_raw_repositories": _raw(MANY["repositories"]),
-    "scan_raw_users": _raw(FEW["users"]),
+    "scan_raw_comments": _raw(FULL["comments"]),
+    "scan_raw_issues": _raw(FULL["issues"]),
+    "scan_raw_pull_requests": _raw(FULL["pull_requests"]),
+    "scan_raw_repositories": _raw(FULL["repositories"]),
+    "scan_raw_users": _raw(FULL["users"]),
     "raw_pass_through": " UNION ALL ".join(
         f"SELECT '{name}' AS relation, id, _airbyte_raw_id FROM ({_raw(view)})" for name, view in FEW.items()
     ),
-    "landed_json_issues": _stage_query(FEW, "issues"),
-    "stage_comments": _stage_query(FEW, "comments"),
-    "stage_issues": _stage_query(FEW, "issues"),
-    "stage_pull_requests": _stage_query(FEW, "pull_requests"),
-    "stage_repositories": _stage_query(MANY, "repositories"),
-    "stage_users": _stage_query(FEW, "users"),
-    "staging_view_comments": _stage_query(FEW, "comments"),
+    "landed_json_issues": _stage_query(FULL, "issues"),
+    "stage_comments": _stage_query(FULL, "comments"),
+    "stage_issues": _stage_query(FULL, "issues"),
+    "stage_pull_requests": _stage_query(FULL, "pull_requests"),
+    "stage_repositories": _stage_query(FULL, "repositories"),
+    "stage_users": _stage_query(FULL, "users"),
+    "staging_view_comments": _stage_query(FULL, "comments"),
     "issue_daily": _counts("issues", _ISSUE_DAYS, "opened AS issues_created"),
     "pr_daily": _counts("pull_requests", _PR_DAYS, "opened AS prs_created, merged AS prs_merged"),
     "comment_daily": _counts("comments", _COMMENT_DAYS, "written AS comments_created"),
@@ -237,16 +239,21 @@ ORACLE = {
     f" {_COMMENT_DAYS}, {_SPINE} SELECT repo AS repo_full_name, CAST(day AS VARCHAR) AS day FROM spine",
     "repo_daily_activity": _daily(FEW),
     "repo_daily_activity_many_repos": _daily(MANY),
+    "repo_daily_activity_gaps": _daily(GAPS),
     "activity_trailing_30d": f"{_with_daily(FEW)} {_recent(AS_OF)}",
     "repo_current_stats": _stats(FEW),
     "repo_current_stats_many_repos": _stats(MANY),
+    "repo_current_stats_gaps": _stats(GAPS),
     "activity_time_series": f"{_with_daily(FEW)} SELECT CAST(day AS VARCHAR) AS day, {_sums()}"
     " FROM daily GROUP BY daily.day ORDER BY 1",
     "top_repos_by_prs": f"{_with_daily(FEW)} SELECT repo_full_name, CAST(sum(prs_created) AS BIGINT) AS prs_created"
     " FROM daily WHERE repo_full_name IS NOT NULL GROUP BY ALL ORDER BY prs_created DESC, repo_full_name LIMIT 5",
     "dq_null_keys": _null_keys(),
+    "dq_null_keys_gaps": _null_keys(GAPS),
     "dq_duplicate_keys": _duplicate_keys(),
+    "dq_duplicate_keys_gaps": _duplicate_keys(GAPS),
     "dq_orphans": _orphans(),
+    "dq_orphans_gaps": _orphans(GAPS),
     "dq_measures": _bad_measures(),
     "pr_lead_time": _LEAD_TIME,
     "issue_backlog": _BACKLOG,

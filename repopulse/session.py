@@ -17,15 +17,16 @@ RESULT_SETTINGS = {
 }
 
 # Runtime re-planning: merge small shuffle partitions, split skewed join partitions, and
-# broadcast a join side only once its measured size is below the threshold. Timestamps are
-# stored in the form that has file statistics.
+# broadcast a join side only once its measured size is below the threshold. Scans read a few
+# narrow columns, so a task takes 1 GB of file, of which it reads a small part: 100 TB make
+# 100,000 tasks. Timestamps are stored in the form that has file statistics.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "1g",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 

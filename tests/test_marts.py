@@ -103,6 +103,14 @@ def test_days_follow_the_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_names_join_by_exact_equality_on_the_full_name(spark):
+    repositories = [{"id": 1, "full_name": "o/a", "name": "a"}]
+    issues = [{"repository": name, "created_at": "2024-01-01T00:00:00Z"} for name in ("o/a", "O/a", "a", "o/a ")]
+    staged = stage_all(raw_frames(spark, repositories=repositories, issues=issues))
+    rows = daily_of(staged).collect()
+    assert sorted((r.repo_full_name or "", r.issues_created) for r in rows) == [("", 1)] * 3 + [("o/a", 1)]
+
+
 def test_trailing_totals_keep_unknown_repositories_as_one_group(spark):
     rows = {r.repo_full_name: tuple(r)[1:] for r in activity.trailing_totals(daily_of(golden_staged(spark)), "2024-02-09").collect()}
     assert rows == {None: (1, 0, 0, 0), "o/a": (2, 2, 1, 2), "o/b": (0, 1, 1, 1)}

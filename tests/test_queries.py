@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from repopulse.sample.adapter import FULL
+from repopulse.sources.layout import raw_schema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ("nation", "customer", "orders", "lineitem")
@@ -26,6 +28,11 @@ def test_every_query_has_its_sql():
     assert entry.queries().keys() == entry.oracle_sql().keys()
 
 
+def test_staging_queries_fill_every_raw_field():
+    for table, (_, _, _, fields) in FULL.items():
+        assert fields.keys() == set(raw_schema(table).names)
+
+
 @pytest.mark.parametrize("name", entry.queries())
 def test_query_equals_its_sql(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)
