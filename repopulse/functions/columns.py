@@ -13,19 +13,15 @@ def json_text(value: str, path: str) -> str:
     return f"variant_get(parse_json({value}), '{path}', 'string')"
 
 
-def zero_if_null(column: Column) -> Column:
-    return F.coalesce(column, F.lit(0))
-
-
 def present(*names: str) -> Column:
     """True where no named column is NULL. Unlike `dropna`, it reaches the scan."""
     return functools.reduce(lambda a, b: a & b, (F.col(name).isNotNull() for name in names))
 
 
-def day_of(moment: Column) -> Column:
-    """Calendar day in the session zone. Written as `to_date`, since a filter on it then
-    becomes a range on the timestamp in the scan; a filter on `date_trunc` does not."""
-    return F.to_date(moment)
+def day_of(moment: str) -> str:
+    """Expression for the calendar day in the session zone. Written as `to_date`, since a filter
+    on it then becomes a range on the timestamp in the scan; a filter on `date_trunc` does not."""
+    return f"to_date({moment})"
 
 
 def as_date(day: datetime.date | str | Column | None) -> Column:
@@ -40,10 +36,7 @@ def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
 
     Rows are opened in blocks, so no array grows with the whole number of copies.
     """
-    first = F.sequence(F.lit(0), F.expr(f"({times} - 1) div {block}"))
-    rest = F.col(times) - F.col("_block") * block
-    return (
-        df.withColumn("_block", F.explode(first))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(F.lit(block), rest))))
-        .drop("_block", "_copy", times)
-    )
+    kept = [name for name in df.columns if name != times]
+    blocks = f"explode(sequence(0, ({times} - 1) div {block})) as _block"
+    rows = f"explode(sequence(1, least({block}, {times} - _block * {block}))) as _copy"
+    return df.selectExpr("*", blocks).selectExpr(*kept, rows).select(*kept)

@@ -9,37 +9,34 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.functions import as_date, day_of, present
+from repopulse.functions import as_date, day_of
 
 KEYS = ("repo_full_name", "day")
 MEASURES = ("issues_created", "prs_created", "prs_merged", "comments_created")
 
 
-def _events(df: DataFrame, moment: str, **ones: Column) -> DataFrame:
+def _events(df: DataFrame, moment: str, **ones: str) -> DataFrame:
     """One row per record: its repository, its day, and 0 or 1 for each measure."""
-    return df.select(
-        F.col("repo_name").alias("repo_full_name"),
-        day_of(F.col(moment)).alias("day"),
-        *[ones.get(measure, F.lit(0)).alias(measure) for measure in MEASURES],
-    )
+    measures = [f"{ones.get(measure, 0)} as {measure}" for measure in MEASURES]
+    return df.selectExpr("repo_name as repo_full_name", f"{day_of(moment)} as day", *measures)
 
 
 def issue_events(issues: DataFrame) -> DataFrame:
-    return _events(issues, "issue_created_at", issues_created=F.lit(1))
+    return _events(issues, "issue_created_at", issues_created="1")
 
 
 def pr_events(prs: DataFrame) -> DataFrame:
     """`prs_merged` marks a pull request on the day it was created if it was merged at any time
     since: it does not count merges per day of the merge."""
-    merged = F.when(F.col("pr_merged_at").isNotNull(), 1).otherwise(0)
-    return _events(prs, "pr_created_at", prs_created=F.lit(1), prs_merged=merged)
+    merged = "case when pr_merged_at is not null then 1 else 0 end"
+    return _events(prs, "pr_created_at", prs_created="1", prs_merged=merged)
 
 
 def comment_events(comments: DataFrame) -> DataFrame:
-    return _events(comments, "comment_created_at", comments_created=F.lit(1))
+    return _events(comments, "comment_created_at", comments_created="1")
 
 
 def count_by_day(events: DataFrame, *measures: str) -> DataFrame:
@@ -77,8 +74,8 @@ def activity_counts(issues: DataFrame, prs: DataFrame, comments: DataFrame) -> D
 def without_unkeyed(counts: DataFrame) -> DataFrame:
     """Zero counts where the repository or the day is NULL: such keys stay in the table once,
     but nothing equals NULL, so their counts belong to no row."""
-    keyed = present(*KEYS)
-    return counts.select(*KEYS, *[F.when(keyed, F.col(m)).otherwise(0).alias(m) for m in MEASURES])
+    keyed = " and ".join(f"{key} is not null" for key in KEYS)
+    return counts.selectExpr(*KEYS, *[f"if({keyed}, {m}, 0) as {m}" for m in MEASURES])
 
 
 def trailing_totals(daily: DataFrame, as_of=None, days: int = 30) -> DataFrame:

@@ -82,10 +82,10 @@ def issue_backlog(issues: DataFrame) -> DataFrame:
 
     The window sorts one row per day of a repository, so its size is bounded by the calendar.
     """
-    days = issues.where(present("repo_name")).select(
-        F.col("repo_name").alias("repo_full_name"),
-        day_of(F.col("issue_created_at")).alias("opened"),
-        day_of(F.col("issue_closed_at")).alias("closed"),
+    days = issues.where(present("repo_name")).selectExpr(
+        "repo_name as repo_full_name",
+        f"{day_of('issue_created_at')} as opened",
+        f"{day_of('issue_closed_at')} as closed",
     )
     changes = days.unpivot("repo_full_name", ["opened", "closed"], "change", "day").where(present("day"))
     daily = changes.groupBy("repo_full_name", "day").agg(
@@ -108,11 +108,11 @@ def contributor_activity(issues: DataFrame, prs: DataFrame, comments: DataFrame)
     kinds = [kind for *_, kind in streams]
     events = None
     for df, login, moment, own in streams:
-        part = df.where(present("repo_name")).select(
-            F.col("repo_name").alias("repo_full_name"),
-            F.col(login).alias("login"),
-            day_of(F.col(moment)).alias("day"),
-            *[F.lit(int(kind == own)).alias(kind) for kind in kinds],
+        part = df.where(present("repo_name")).selectExpr(
+            "repo_name as repo_full_name",
+            f"{login} as login",
+            f"{day_of(moment)} as day",
+            *[f"{int(kind == own)} as {kind}" for kind in kinds],
         )
         events = part if events is None else events.unionByName(part)
     return events.groupBy("repo_full_name", "login").agg(

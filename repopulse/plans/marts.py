@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.functions import repeat_rows, zero_if_null
+from repopulse.functions import repeat_rows
 from repopulse.operators.activity import MEASURES, activity_counts, trailing_totals, without_unkeyed
 
 
@@ -22,9 +22,7 @@ def with_repository(counts: DataFrame, repositories: DataFrame) -> DataFrame:
     joined = counts.withColumnRenamed("repo_full_name", "name").join(
         known, F.col("name") == F.col("repo_full_name"), "left"
     )
-    rows = joined.select(
-        "repo_id", "repo_full_name", "day", *MEASURES, F.coalesce("copies", F.lit(1).cast("long")).alias("copies")
-    )
+    rows = joined.selectExpr("repo_id", "repo_full_name", "day", *MEASURES, "coalesce(copies, 1) as copies")
     return repeat_rows(rows, "copies")
 
 
@@ -43,7 +41,7 @@ def repo_current_stats(repositories: DataFrame, daily: DataFrame, as_of=None, da
     """One row per repository with its totals since `as_of - days`, zero where there are none."""
     totals = trailing_totals(daily, as_of, days).withColumnRenamed("repo_full_name", "name")
     joined = repositories.join(totals, F.col("repo_full_name") == F.col("name"), "left")
-    return joined.select(
+    return joined.selectExpr(
         "repo_id",
         "repo_full_name",
         "language",
@@ -52,5 +50,5 @@ def repo_current_stats(repositories: DataFrame, daily: DataFrame, as_of=None, da
         "open_issues_count",
         "repo_created_at",
         "repo_updated_at",
-        *[zero_if_null(F.col(f"{m}_{days}d")).alias(f"{m}_{days}d") for m in MEASURES],
+        *[f"coalesce({m}_{days}d, 0) as {m}_{days}d" for m in MEASURES],
     )
