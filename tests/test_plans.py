@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from repopulse.operators import activity
+from repopulse.operators import activity, checks
 from repopulse.operators.staging import stage_all
 from repopulse.plans import insights, marts
 from repopulse.sources.layout import TABLES
@@ -59,6 +59,28 @@ def test_daily_reads_two_repository_columns_and_forces_no_broadcast(spark, stage
     assert "Broadcast" not in text
 
 
+def test_orphans_are_counted_per_key_before_a_shuffled_join(spark, staged):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(checks.orphans(staged["issues"], "issues", "repo_name", staged["repositories"], "repo_full_name"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text.index("SortMergeJoin")
+    assert "LeftAnti" in text[join:]
+    assert text.index("keys=[repo_name") > join
+
+
+def test_lead_time_scans_the_pull_requests_once(spark, staged):
+    df = insights.pr_lead_time(staged["pull_requests"])
+    df.collect()
+    final = plan(df).split("Initial Plan")[0]
+    assert operators(final, "FileScan") == 1 and "ReusedExchange" in final
+
+
+def test_backlog_scans_the_issues_once(staged):
+    assert operators(plan(insights.issue_backlog(staged["issues"])), "FileScan") == 1
+
+
 def test_trailing_filter_reaches_the_raw_scans(staged):
     text = plan(marts.repo_current_stats(staged["repositories"], daily_of(staged), "2024-01-31"))
     assert text.count("GreaterThanOrEqual(created_at,2024-01-01 00:00:00.0)") == 3
