@@ -21,6 +21,7 @@ def register_raw(
     fmt: str = "parquet",
     times: str = "timestamp",
     tables: Sequence[str] = TABLES,
+    prefix: str = "",
 ) -> None:
     """Raw tables over the folders `<root>/<table>`. The files stay where they are."""
     ensure_layer(spark, layer)
@@ -28,22 +29,27 @@ def register_raw(
     for table in tables:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(table, times))
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {qualified(table, layer)} ({columns}) USING {fmt}{options}"
+            f"CREATE TABLE IF NOT EXISTS {qualified(prefix + table, layer)} ({columns}) USING {fmt}{options}"
             f" LOCATION '{root.rstrip('/')}/{table}'"
         )
 
 
 def create_staging_views(
-    spark: SparkSession, layer: str = "staging", raw_layer: str = "raw", tables: Sequence[str] = TABLES
+    spark: SparkSession,
+    layer: str = "staging",
+    raw_layer: str = "raw",
+    tables: Sequence[str] = TABLES,
+    prefix: str = "",
+    raw_prefix: str = "",
 ) -> None:
     """One view per raw table, kept in the catalog for later sessions."""
     ensure_layer(spark, layer)
     for table in tables:
         spark.sql(
-            f"CREATE OR REPLACE VIEW {qualified(table, layer)} AS"
-            f" SELECT {', '.join(staging_columns(table))} FROM {qualified(table, raw_layer)}"
+            f"CREATE OR REPLACE VIEW {qualified(prefix + table, layer)} AS"
+            f" SELECT {', '.join(staging_columns(table))} FROM {qualified(raw_prefix + table, raw_layer)}"
         )
 
 
-def raw_frames(spark: SparkSession, layer: str = "raw") -> dict[str, DataFrame]:
-    return {table: spark.table(qualified(table, layer)) for table in TABLES}
+def raw_frames(spark: SparkSession, layer: str = "raw", prefix: str = "") -> dict[str, DataFrame]:
+    return {table: spark.table(qualified(prefix + table, layer)) for table in TABLES}

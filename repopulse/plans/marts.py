@@ -15,8 +15,8 @@ def with_repository(counts: DataFrame, repositories: DataFrame) -> DataFrame:
     Activity of an unknown repository stays, with NULL id and name. A repository that is listed
     several times multiplies its rows. Such copies are counted before the join and opened after
     it, so that they never meet in one join task. No broadcast is forced: Spark broadcasts the
-    repositories if their measured size allows, and otherwise shuffles both sides by name, of
-    which each holds at most one row per day.
+    repositories if their measured size allows, and otherwise shuffles both sides by name. On the
+    left a name then has one row per day, on the right one per id.
     """
     known = repositories.groupBy("repo_id", "repo_full_name").agg(F.count("*").alias("copies"))
     joined = counts.withColumnRenamed("repo_full_name", "name").join(

@@ -70,13 +70,15 @@ def refresh(
     location: str | None = None,
     keep: int = 2,
     enforce: bool = True,
+    prefix: str = "",
 ) -> Refreshed:
     """Stage, count, check, build both marts, check, and only then publish them.
 
     The raw activity is scanned once: the counts per repository and day are kept for the length of
     the run as a table in the shared scratch folder, and the checks and the marts read those.
     Doubled repositories stop the run before they can multiply the daily mart. With
-    `enforce=False` the marts are published whatever the checks find.
+    `enforce=False` the marts are published whatever the checks find. `prefix` goes before the names
+    of both marts, for readers that know them by longer names.
     """
     apply_settings(spark)
     if as_of is None:
@@ -84,6 +86,7 @@ def refresh(
     elif isinstance(as_of, str):
         as_of = datetime.date.fromisoformat(as_of)
     run = new_run(as_of)
+    daily_name, stats_name = prefix + DAILY, prefix + STATS
     work = f"repopulse_work_{run}"
     sinks.ensure_layer(spark, layer, location)
     sinks.ensure_layer(spark, work, scratch_dir(spark))
@@ -93,19 +96,18 @@ def refresh(
         counts = sinks.write_run(counts, "activity_counts", run, work)
         checked = gate(*check_inputs(counts, staged), enforce=enforce)
         built = daily_from_counts(counts, staged["repositories"])
-        daily = sinks.write_run(built, DAILY, run, layer, ("day", "repo_full_name", "repo_id"))
+        daily = sinks.write_run(built, daily_name, run, layer, ("day", "repo_full_name", "repo_id"))
         checked += gate(*check_daily(daily), enforce=enforce)
         stats = repo_current_stats(staged["repositories"], daily, as_of)
-        sinks.write_run(stats, STATS, run, layer, ("repo_full_name", "repo_id"))
+        sinks.write_run(stats, stats_name, run, layer, ("repo_full_name", "repo_id"))
     except Exception:
-        for name in (DAILY, STATS):
+        for name in (daily_name, stats_name):
             sinks.drop_run(spark, name, run, layer)
         raise
     finally:
         sinks.drop_layer(spark, work)
-    daily, stats = (
-        sinks.publish(spark, name, run, layer, COMMENTS[name], COLUMN_COMMENTS) for name in (DAILY, STATS)
-    )
-    for name in (DAILY, STATS):
+    daily = sinks.publish(spark, daily_name, run, layer, COMMENTS[DAILY], COLUMN_COMMENTS)
+    stats = sinks.publish(spark, stats_name, run, layer, COMMENTS[STATS], COLUMN_COMMENTS)
+    for name in (daily_name, stats_name):
         sinks.retire(spark, name, run, keep, layer)
     return Refreshed(run, daily, stats, checked)

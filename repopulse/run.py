@@ -19,6 +19,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--times", choices=("timestamp", "string"), default="timestamp", help="as Parquet holds them")
     parser.add_argument("--as-of", help="last day of the trailing window, YYYY-MM-DD; today if not given")
     parser.add_argument("--layer", default="mart")
+    parser.add_argument("--prefix", default="", help="put before the names of the marts")
     parser.add_argument("--location", help="folder of the layer; the warehouse's own if not given")
     parser.add_argument("--keep", type=int, default=2, help="runs to keep")
     parser.add_argument("--warn-only", action="store_true", help="publish whatever the checks find")
@@ -31,7 +32,16 @@ def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = cluster_session(shuffle_bytes=args.shuffle_gb * 1024**3, cores=args.cores)
     raw = read_all(spark, args.raw, args.format, args.times)
-    done = refresh(spark, raw, args.as_of, args.layer, args.location, args.keep, not args.warn_only)
+    done = refresh(
+        spark,
+        raw,
+        args.as_of,
+        layer=args.layer,
+        location=args.location,
+        keep=args.keep,
+        enforce=not args.warn_only,
+        prefix=args.prefix,
+    )
     print(f"published run {done.run}")
     for row in done.checks:
         print(f"{row.severity} {row.check} {row.relation}.{row.key}: {row.failures}")

@@ -39,6 +39,21 @@ def test_views_over_landed_files(spark, tmp_path, names, fmt):
     assert unordered(tuples(done.daily)) == unordered(DAILY)
 
 
+def test_relations_under_longer_names(spark, tmp_path, names):
+    raw = golden_raw(spark)
+    land(raw, tmp_path, "parquet")
+    layers.register_raw(spark, str(tmp_path), names["raw"], prefix="gh_")
+    layers.create_staging_views(spark, names["staging"], names["raw"], prefix="stg_gh_", raw_prefix="gh_")
+    assert spark.table(f"{names['staging']}.stg_gh_issues").count() == 6
+    refresh(spark, layers.raw_frames(spark, names["raw"], "gh_"), "2024-01-31", names["mart"], prefix="mart_")
+    top = spark.sql(
+        f"SELECT repo_full_name, sum(prs_created) FROM {names['mart']}.mart_repo_daily_activity"
+        " WHERE repo_full_name IS NOT NULL GROUP BY 1 ORDER BY 2 DESC LIMIT 1"
+    )
+    assert tuples(top) == [("o/a", 3)]
+    assert spark.table(f"{names['mart']}.mart_repo_current_stats").count() == 3
+
+
 def test_command_line(spark, tmp_path, names, capsys):
     land(golden_raw(spark), tmp_path, "parquet")
     run.main(["--raw", str(tmp_path), "--as-of", "2024-01-31", "--layer", names["mart"], "--keep", "1", "--shuffle-gb", "1"])

@@ -133,6 +133,14 @@ def test_scratch_is_below_the_folder_the_cluster_names(spark):
     assert scratch_dir(spark) != scratch_dir(spark)
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Session:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session)
+
+
 def test_shuffle_partitions():
     mb = 1024**2
     assert shuffle_partitions(0, 8) == 8
