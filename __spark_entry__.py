@@ -145,6 +145,7 @@ def queries() -> dict[str, Query]:
         "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
         "comment_daily": lambda spark, sf: activity.comment_daily(*_staged(spark, sf, "comments")),
         "activity_spine": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS)),
+        "activity_spine_gaps": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS, views=GAPS)),
         "repo_daily_activity": _daily,
         "repo_daily_activity_many_repos": lambda spark, sf: _daily(spark, sf, MANY),
         "repo_daily_activity_gaps": lambda spark, sf: _daily(spark, sf, GAPS),
@@ -153,6 +154,7 @@ def queries() -> dict[str, Query]:
         "repo_current_stats_many_repos": lambda spark, sf: _stats(spark, sf, MANY),
         "repo_current_stats_gaps": lambda spark, sf: _stats(spark, sf, GAPS),
         "activity_time_series": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf)),
+        "activity_time_series_gaps": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf, GAPS)),
         "top_repos_by_prs": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf)),
         "dq_null_keys": _null_keys,
         "dq_null_keys_gaps": lambda spark, sf: _null_keys(spark, sf, GAPS),
@@ -165,8 +167,13 @@ def queries() -> dict[str, Query]:
             staging.stage_pull_requests(raw_view(spark, sf, TIMED_PULL_REQUESTS))
         ),
         "issue_backlog": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues")),
+        "issue_backlog_gaps": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues", views=GAPS)),
         "contributor_activity": lambda spark, sf: insights.contributor_activity(*_staged(spark, sf, *STREAMS)),
+        "contributor_activity_gaps": lambda spark, sf: insights.contributor_activity(
+            *_staged(spark, sf, *STREAMS, views=GAPS)
+        ),
         "repo_rolling_30d": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf)),
+        "repo_rolling_30d_gaps": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf, GAPS)),
         "published_mart_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
         "published_stats_roundtrip": lambda spark, sf: _refreshed(spark, sf).stats,
     }

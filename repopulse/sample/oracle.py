@@ -189,32 +189,51 @@ SELECT repo_name AS repo_full_name, count(*) AS prs_merged,
        quantile_cont(seconds, 0.5) / 3600 AS median_hours
 FROM lead GROUP BY ALL"""
 
-_BACKLOG = f"""WITH {_staged(FEW, "issues")}, changes AS (
-    SELECT repo_name, CAST(issue_created_at AS DATE) AS day, 1 AS opened, 0 AS closed FROM issues
-    UNION ALL
-    SELECT repo_name, CAST(issue_closed_at AS DATE), 0, 1 FROM issues WHERE issue_closed_at IS NOT NULL),
-per_day AS (
-    SELECT repo_name, day, CAST(sum(opened) AS BIGINT) AS opened, CAST(sum(closed) AS BIGINT) AS closed
-    FROM changes GROUP BY ALL)
-SELECT repo_name AS repo_full_name, CAST(day AS VARCHAR) AS day, opened, closed,
-       CAST(sum(opened - closed) OVER (PARTITION BY repo_name ORDER BY day) AS BIGINT) AS backlog
-FROM per_day"""
-
-_CONTRIBUTORS = f"""WITH {_staged(FEW, "issues", "pull_requests", "comments")}, acts AS (
-    SELECT repo_name, author_login AS login, issue_created_at AS moment, 'issue' AS kind FROM issues
-    UNION ALL SELECT repo_name, author_login, pr_created_at, 'pr' FROM pull_requests
-    UNION ALL SELECT repo_name, commenter_login, comment_created_at, 'comment' FROM comments)
-SELECT repo_name AS repo_full_name, login, count(*) FILTER (kind = 'issue') AS issues,
-       count(*) FILTER (kind = 'pr') AS prs, count(*) FILTER (kind = 'comment') AS comments,
-       strftime(min(moment), '%Y-%m-%d') AS first_day, strftime(max(moment), '%Y-%m-%d') AS last_day
-FROM acts GROUP BY ALL"""
-
-_ROLLING = f"""{_with_daily(FEW)}
-SELECT repo_full_name, CAST(day AS VARCHAR) AS day, {", ".join(
-    f"CAST(sum({m}) OVER recent_days AS BIGINT) AS {m}_30d" for m in _MEASURES)}
-FROM daily WHERE repo_full_name IS NOT NULL
-WINDOW recent_days AS (PARTITION BY repo_full_name ORDER BY day
-                    RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)"""
+
+def _spine(views: dict = FEW) -> str:
+    return f"""WITH {_staged(views, "issues", "pull_requests", "comments")},
+    {_ISSUE_DAYS}, {_PR_DAYS}, {_COMMENT_DAYS}, {_SPINE}
+    SELECT repo AS repo_full_name, CAST(day AS VARCHAR) AS day FROM spine"""
+
+
+def _time_series(views: dict = FEW) -> str:
+    return f"""{_with_daily(views)} SELECT CAST(day AS VARCHAR) AS day, {_sums()}
+    FROM daily WHERE daily.day IS NOT NULL GROUP BY daily.day ORDER BY 1"""
+
+
+def _backlog(views: dict = FEW) -> str:
+    return f"""WITH {_staged(views, "issues")}, changes AS (
+        SELECT repo_name, CAST(issue_created_at AS DATE) AS day, 1 AS opened, 0 AS closed FROM issues
+        UNION ALL
+        SELECT repo_name, CAST(issue_closed_at AS DATE), 0, 1 FROM issues),
+    per_day AS (
+        SELECT repo_name, day, CAST(sum(opened) AS BIGINT) AS opened, CAST(sum(closed) AS BIGINT) AS closed
+        FROM changes WHERE repo_name IS NOT NULL AND day IS NOT NULL GROUP BY ALL)
+    SELECT repo_name AS repo_full_name, CAST(day AS VARCHAR) AS day, opened, closed,
+           CAST(sum(opened - closed) OVER (PARTITION BY repo_name ORDER BY day) AS BIGINT) AS backlog
+    FROM per_day"""
+
+
+def _contributors(views: dict = FEW) -> str:
+    return f"""WITH {_staged(views, "issues", "pull_requests", "comments")}, acts AS (
+        SELECT repo_name, author_login AS login, issue_created_at AS moment, 'issue' AS kind FROM issues
+        UNION ALL SELECT repo_name, author_login, pr_created_at, 'pr' FROM pull_requests
+        UNION ALL SELECT repo_name, commenter_login, comment_created_at, 'comment' FROM comments)
+    SELECT repo_name AS repo_full_name, login, count(*) FILTER (kind = 'issue') AS issues,
+           count(*) FILTER (kind = 'pr') AS prs, count(*) FILTER (kind = 'comment') AS comments,
+           strftime(min(moment), '%Y-%m-%d') AS first_day, strftime(max(moment), '%Y-%m-%d') AS last_day
+    FROM acts WHERE repo_name IS NOT NULL GROUP BY ALL"""
+
+
+def _rolling(views: dict = FEW) -> str:
+    rolled = ", ".join(f"CAST(sum({m}) OVER recent_days AS BIGINT) AS {m}_30d" for m in _MEASURES)
+    return f"""{_with_daily(views)}, named AS (
+        SELECT repo_full_name, day, {_sums()} FROM daily
+        WHERE repo_full_name IS NOT NULL AND daily.day IS NOT NULL GROUP BY ALL)
+    SELECT repo_full_name, CAST(day AS VARCHAR) AS day, {rolled} FROM named
+    WINDOW recent_days AS (PARTITION BY repo_full_name ORDER BY day
+                           RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)"""
+
 
 ORACLE = {
     "scan_raw_comments": _raw(FULL["comments"]),
@@ -235,8 +254,8 @@ ORACLE = {
     "issue_daily": _counts("issues", _ISSUE_DAYS, "opened AS issues_created"),
     "pr_daily": _counts("pull_requests", _PR_DAYS, "opened AS prs_created, merged AS prs_merged"),
     "comment_daily": _counts("comments", _COMMENT_DAYS, "written AS comments_created"),
-    "activity_spine": f"WITH {_staged(FEW, 'issues', 'pull_requests', 'comments')}, {_ISSUE_DAYS}, {_PR_DAYS},"
-    f" {_COMMENT_DAYS}, {_SPINE} SELECT repo AS repo_full_name, CAST(day AS VARCHAR) AS day FROM spine",
+    "activity_spine": _spine(),
+    "activity_spine_gaps": _spine(GAPS),
     "repo_daily_activity": _daily(FEW),
     "repo_daily_activity_many_repos": _daily(MANY),
     "repo_daily_activity_gaps": _daily(GAPS),
@@ -244,8 +263,8 @@ ORACLE = {
     "repo_current_stats": _stats(FEW),
     "repo_current_stats_many_repos": _stats(MANY),
     "repo_current_stats_gaps": _stats(GAPS),
-    "activity_time_series": f"{_with_daily(FEW)} SELECT CAST(day AS VARCHAR) AS day, {_sums()}"
-    " FROM daily GROUP BY daily.day ORDER BY 1",
+    "activity_time_series": _time_series(),
+    "activity_time_series_gaps": _time_series(GAPS),
     "top_repos_by_prs": f"{_with_daily(FEW)} SELECT repo_full_name, CAST(sum(prs_created) AS BIGINT) AS prs_created"
     " FROM daily WHERE repo_full_name IS NOT NULL GROUP BY ALL ORDER BY prs_created DESC, repo_full_name LIMIT 5",
     "dq_null_keys": _null_keys(),
@@ -256,9 +275,12 @@ ORACLE = {
     "dq_orphans_gaps": _orphans(GAPS),
     "dq_measures": _bad_measures(),
     "pr_lead_time": _LEAD_TIME,
-    "issue_backlog": _BACKLOG,
-    "contributor_activity": _CONTRIBUTORS,
-    "repo_rolling_30d": _ROLLING,
+    "issue_backlog": _backlog(),
+    "issue_backlog_gaps": _backlog(GAPS),
+    "contributor_activity": _contributors(),
+    "contributor_activity_gaps": _contributors(GAPS),
+    "repo_rolling_30d": _rolling(),
+    "repo_rolling_30d_gaps": _rolling(GAPS),
     "published_mart_roundtrip": _daily(FEW),
     "published_stats_roundtrip": _stats(FEW),
 }
