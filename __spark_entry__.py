@@ -69,10 +69,11 @@ def _stage(view: tuple) -> Query:
 
 
 def _raw_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = raw_tables(spark, sf_dir).items()
-    return functools.reduce(
-        DataFrame.unionByName, [df.select(F.lit(name).alias("relation"), "id", "_airbyte_raw_id") for name, df in tables]
-    )
+    parts = [
+        df.select(F.lit(name).alias("relation"), "id", "_airbyte_raw_id")
+        for name, df in raw_tables(spark, sf_dir).items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,11 +27,14 @@ class ChecksFailed(Exception):
 def _results(df: DataFrame, check: str, relation: str, severity: str, failures: dict[str, Column]) -> DataFrame:
     """One aggregation for all keys of a check, then a row for each."""
     totals = df.agg(*[F.coalesce(count, F.lit(0)).cast("long").alias(key) for key, count in failures.items()])
-    return totals.select(
+    rows = totals.unpivot([], [F.col(f"`{key}`") for key in failures], "key", "failures")
+    return rows.select(
         F.lit(check).alias("check"),
         F.lit(relation).alias("relation"),
-        F.inline(F.array(*[F.struct(F.lit(key).alias("key"), F.col(f"`{key}`").alias("failures")) for key in failures])),
-    ).select("check", "relation", "key", F.lit(severity).alias("severity"), "failures")
+        "key",
+        F.lit(severity).alias("severity"),
+        "failures",
+    )
 
 
 def null_keys(

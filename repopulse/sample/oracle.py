@@ -9,7 +9,7 @@ from repopulse.sample.adapter import FEW, FULL, GAPS, MANY, TIMED_PULL_REQUESTS,
 from repopulse.sources.layout import LAYOUT, Staged, raw_schema
 
 AS_OF = "2001-07-31"
-_SQL_TYPES = {"long": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "timestamp": "VARCHAR"}
+_SQL_TYPES = {"bigint": "BIGINT", "long": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
 _ISO = "%Y-%m-%dT%H:%M:%SZ"
 
 
@@ -17,12 +17,11 @@ def _raw(view: tuple) -> str:
     """Select of a raw-shaped table, timestamps as ISO text."""
     table, source, where, _ = view
     expressions = field_expressions(view, f"strftime({{}}, '{_ISO}')")
-    columns = ", ".join(
-        f"CAST({expressions.get(field.name, 'NULL')} AS {_SQL_TYPES[field.dataType.simpleString().replace('bigint', 'long')]})"
-        f' AS "{field.name}"'
-        for field in raw_schema(table, "string")
-    )
-    return f"SELECT {columns} FROM {source}" + (f" WHERE {where}" if where else "")
+    columns = []
+    for field in raw_schema(table, "string"):
+        kind = _SQL_TYPES[field.dataType.simpleString()]
+        columns.append(f"CAST({expressions.get(field.name, 'NULL')} AS {kind}) AS \"{field.name}\"")
+    return f"SELECT {', '.join(columns)} FROM {source}" + (f" WHERE {where}" if where else "")
 
 
 def _staged_column(column: Staged) -> str:

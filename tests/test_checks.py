@@ -25,7 +25,8 @@ def test_weights_stand_for_rows(spark):
 
 
 def test_duplicate_keys_ignore_nulls(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1), ("b", 1), ("b", 1)], "k string, n long")
+    rows = [("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1), ("b", 1), ("b", 1)]
+    df = spark.createDataFrame(rows, "k string, n long")
     assert failures(checks.duplicate_keys(df, "t", ["k", "n"])) == {"k,n": 2}
     assert failures(checks.duplicate_keys(df, "t", ["k"])) == {"k": 2}
 

@@ -20,7 +20,8 @@ def names(spark):
 def land(raw, root, fmt):
     for table, df in raw.items():
         times = "string" if fmt == "json" else "timestamp"
-        typed = df.selectExpr(*[f"cast(`{f.name}` as {f.dataType.simpleString()}) as `{f.name}`" for f in raw_schema(table, times)])
+        fields = [(f.name, f.dataType.simpleString()) for f in raw_schema(table, times)]
+        typed = df.selectExpr(*[f"cast(`{name}` as {kind}) as `{name}`" for name, kind in fields])
         typed.write.format(fmt).save(f"{root}/{table}")
 
 
@@ -56,7 +57,8 @@ def test_relations_under_longer_names(spark, tmp_path, names):
 
 def test_command_line(spark, tmp_path, names, capsys):
     land(golden_raw(spark), tmp_path, "parquet")
-    run.main(["--raw", str(tmp_path), "--as-of", "2024-01-31", "--layer", names["mart"], "--keep", "1", "--shuffle-gb", "1"])
+    options = f"--raw {tmp_path} --as-of 2024-01-31 --layer {names['mart']} --keep 1 --shuffle-gb 1"
+    run.main(options.split())
     printed = capsys.readouterr().out
     assert re.match(r"published run \d{20}_20240131_", printed) and "warn orphans activity.repo_full_name: 1" in printed
     assert unordered(tuples(spark.table(f"{names['mart']}.repo_daily_activity"))) == unordered(DAILY)

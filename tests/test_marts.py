@@ -112,7 +112,8 @@ def test_names_join_by_exact_equality_on_the_full_name(spark):
 
 
 def test_trailing_totals_keep_unknown_repositories_as_one_group(spark):
-    rows = {r.repo_full_name: tuple(r)[1:] for r in activity.trailing_totals(daily_of(golden_staged(spark)), "2024-02-09").collect()}
+    totals = activity.trailing_totals(daily_of(golden_staged(spark)), "2024-02-09")
+    rows = {r.repo_full_name: tuple(r)[1:] for r in totals.collect()}
     assert rows == {None: (1, 0, 0, 0), "o/a": (2, 2, 1, 2), "o/b": (0, 1, 1, 1)}
 
 
