@@ -9,32 +9,39 @@ from repopulse.functions import repeat_rows
 from repopulse.operators.activity import MEASURES, activity_counts, trailing_totals, without_unkeyed
 
 
-def with_repository(counts: DataFrame, repositories: DataFrame) -> DataFrame:
+def with_repository(counts: DataFrame, repositories: DataFrame, slices: int = 1) -> DataFrame:
     """Put the repository's id and name, as the repositories table has them, on each row.
 
     Activity of an unknown repository stays, with NULL id and name. A repository that is listed
     several times multiplies its rows. Such copies are counted before the join and opened after
     it, so that they never meet in one join task. No broadcast is forced: Spark broadcasts the
-    repositories if their measured size allows, and otherwise shuffles both sides by name. On the
-    left a name then has one row per day, on the right one per id.
+    repositories if their measured size allows, and otherwise shuffles both sides by name.
+
+    Where very many rows list one name, `slices` splits its work: its days go to that many join
+    tasks, and each of them gets the ids of the name.
     """
     known = repositories.groupBy("repo_id", "repo_full_name").agg(F.count("*").alias("copies"))
-    joined = counts.withColumnRenamed("repo_full_name", "name").join(
-        known, F.col("name") == F.col("repo_full_name"), "left"
+    days = counts.withColumnRenamed("repo_full_name", "name")
+    same = F.col("name") == F.col("repo_full_name")
+    if slices > 1:
+        days = days.selectExpr("*", f"coalesce(pmod(unix_date(day), {slices}), 0) as slice")
+        known = known.selectExpr("*", f"explode(sequence(0, {slices - 1})) as known_slice")
+        same &= F.col("slice") == F.col("known_slice")
+    rows = days.join(known, same, "left").selectExpr(
+        "repo_id", "repo_full_name", "day", *MEASURES, "coalesce(copies, 1) as copies"
     )
-    rows = joined.selectExpr("repo_id", "repo_full_name", "day", *MEASURES, "coalesce(copies, 1) as copies")
     return repeat_rows(rows, "copies")
 
 
-def daily_from_counts(counts: DataFrame, repositories: DataFrame) -> DataFrame:
-    return with_repository(without_unkeyed(counts), repositories)
+def daily_from_counts(counts: DataFrame, repositories: DataFrame, slices: int = 1) -> DataFrame:
+    return with_repository(without_unkeyed(counts), repositories, slices)
 
 
 def repo_daily_activity(
-    issues: DataFrame, prs: DataFrame, comments: DataFrame, repositories: DataFrame
+    issues: DataFrame, prs: DataFrame, comments: DataFrame, repositories: DataFrame, slices: int = 1
 ) -> DataFrame:
     """One row per repository and day on which it has an issue, a pull request or a comment."""
-    return daily_from_counts(activity_counts(issues, prs, comments), repositories)
+    return daily_from_counts(activity_counts(issues, prs, comments), repositories, slices)
 
 
 def repo_current_stats(repositories: DataFrame, daily: DataFrame, as_of=None, days: int = 30) -> DataFrame:

@@ -21,6 +21,9 @@ from repopulse.session import apply_settings, scratch_dir
 
 DAILY, STATS = "repo_daily_activity", "repo_current_stats"
 
+# Join tasks per repository name, once the checks have found names that several rows list.
+SLICES = 64
+
 COMMENTS = {
     DAILY: "Issues, pull requests and comments per repository and day of their creation.",
     STATS: "One row per repository: its attributes and its activity over the trailing days.",
@@ -95,7 +98,8 @@ def refresh(
         counts = activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
         counts = sinks.write_run(counts, "activity_counts", run, work)
         checked = gate(*check_inputs(counts, staged), enforce=enforce)
-        built = daily_from_counts(counts, staged["repositories"])
+        shared_names = any(row.check == "duplicate_keys" and row.failures > 0 for row in checked)
+        built = daily_from_counts(counts, staged["repositories"], SLICES if shared_names else 1)
         daily = sinks.write_run(built, daily_name, run, layer, ("day", "repo_full_name", "repo_id"))
         checked += gate(*check_daily(daily), enforce=enforce)
         stats = repo_current_stats(staged["repositories"], daily, as_of)

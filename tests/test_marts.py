@@ -48,6 +48,19 @@ def test_repositories_sharing_a_name_each_get_the_activity(spark):
     assert collections.Counter(r.repo_id for r in daily.collect()) == {None: 2, 1: 5, 9: 5, 2: 2}
 
 
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_slices_change_nothing_but_the_tasks(spark, threshold):
+    staged = golden_staged(spark, REPOSITORIES + REPOSITORIES + [{"id": 9, "full_name": "o/a"}])
+    streams = [staged[name] for name in ("issues", "pull_requests", "comments", "repositories")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        whole = unordered(tuples(marts.repo_daily_activity(*streams)))
+        assert unordered(tuples(marts.repo_daily_activity(*streams, slices=7))) == whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(whole) == 2 + 2 * 5 + 5 + 2 * 2
+
+
 @pytest.mark.parametrize(
     "as_of, expected",
     [
