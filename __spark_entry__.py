@@ -83,6 +83,13 @@ def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_issues(read_raw(spark, root, "issues", fmt="json"))
 
 
+def _stored_variant_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark)
+    objects = {name: F.parse_json(name) for name in ("user", "base", "head")}
+    raw_view(spark, sf_dir, FULL["pull_requests"]).withColumns(objects).write.parquet(f"{root}/pull_requests")
+    return staging.stage_pull_requests(read_raw(spark, root, "pull_requests", objects="variant"))
+
+
 def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark)
     raw_view(spark, sf_dir, FULL["comments"]).write.parquet(f"{root}/comments")
@@ -136,6 +143,7 @@ def queries() -> dict[str, Query]:
         "scan_raw_users": _scan(FULL["users"]),
         "raw_pass_through": _raw_pass_through,
         "landed_json_issues": _landed_json_issues,
+        "stored_variant_pull_requests": _stored_variant_pull_requests,
         "stage_comments": _stage(FULL["comments"]),
         "stage_issues": _stage(FULL["issues"]),
         "stage_pull_requests": _stage(FULL["pull_requests"]),

@@ -7,10 +7,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def json_text(value: str, path: str) -> str:
-    """Expression for the text at a JSON path. Malformed JSON raises; a missing key, a JSON null
-    or a parent that is no object gives NULL."""
-    return f"variant_get(parse_json({value}), '{path}', 'string')"
+def json_text(value: str, path: str, parsed: bool = False) -> str:
+    """Expression for the text at a path of JSON text, or of a variant if it is `parsed` already.
+    Malformed JSON raises; a missing key, a JSON null or a parent that is no object gives NULL."""
+    variant = value if parsed else f"parse_json({value})"
+    return f"variant_get({variant}, '{path}', 'string')"
 
 
 def present(*names: str) -> Column:

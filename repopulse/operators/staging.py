@@ -3,27 +3,28 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType, VariantType
 
 from repopulse.functions import json_text
 from repopulse.sources.layout import LAYOUT, Staged
 
 
-def _expression(column: Staged) -> str:
+def _expression(column: Staged, raw: StructType) -> str:
     value = f"`{column.field}`"  # quoted: `user` is a reserved word
     if column.path:
-        value = json_text(value, column.path)
+        value = json_text(value, column.path, isinstance(raw[column.field].dataType, VariantType))
     if column.kind == "counter":
         return f"cast(coalesce({value}, 0) as long) as `{column.name}`"
     return f"cast({value} as {column.kind}) as `{column.name}`"
 
 
-def staging_columns(table: str) -> list[str]:
-    """Expressions of the staged columns, for a projection or a view."""
-    return [_expression(column) for column in LAYOUT[table]]
+def staging_columns(table: str, raw: StructType) -> list[str]:
+    """Expressions of the staged columns over a raw schema, for a projection or a view."""
+    return [_expression(column, raw) for column in LAYOUT[table]]
 
 
 def stage(table: str, raw: DataFrame) -> DataFrame:
-    return raw.selectExpr(*staging_columns(table))
+    return raw.selectExpr(*staging_columns(table, raw.schema))
 
 
 def stage_comments(raw: DataFrame) -> DataFrame:

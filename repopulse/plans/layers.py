@@ -20,6 +20,7 @@ def register_raw(
     layer: str = "raw",
     fmt: str = "parquet",
     times: str = "timestamp",
+    objects: str = "string",
     tables: Sequence[str] = TABLES,
     prefix: str = "",
 ) -> None:
@@ -27,7 +28,7 @@ def register_raw(
     ensure_layer(spark, layer)
     options = " OPTIONS (mode 'FAILFAST')" if fmt == "json" else ""
     for table in tables:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(table, times))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(table, times, objects))
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {qualified(prefix + table, layer)} ({columns}) USING {fmt}{options}"
             f" LOCATION '{root.rstrip('/')}/{table}'"
@@ -45,10 +46,9 @@ def create_staging_views(
     """One view per raw table, kept in the catalog for later sessions."""
     ensure_layer(spark, layer)
     for table in tables:
-        spark.sql(
-            f"CREATE OR REPLACE VIEW {qualified(prefix + table, layer)} AS"
-            f" SELECT {', '.join(staging_columns(table))} FROM {qualified(raw_prefix + table, raw_layer)}"
-        )
+        raw = qualified(raw_prefix + table, raw_layer)
+        columns = ", ".join(staging_columns(table, spark.table(raw).schema))
+        spark.sql(f"CREATE OR REPLACE VIEW {qualified(prefix + table, layer)} AS SELECT {columns} FROM {raw}")
 
 
 def raw_frames(spark: SparkSession, layer: str = "raw", prefix: str = "") -> dict[str, DataFrame]:

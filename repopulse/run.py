@@ -17,6 +17,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--raw", required=True, help="folder with the five raw tables")
     parser.add_argument("--format", choices=("parquet", "json"), default="parquet")
     parser.add_argument("--times", choices=("timestamp", "string"), default="timestamp", help="as Parquet holds them")
+    parser.add_argument("--objects", choices=("string", "variant"), default="string", help="as JSON objects are read")
     parser.add_argument("--as-of", help="last day of the trailing window, YYYY-MM-DD; today if not given")
     parser.add_argument("--layer", default="mart")
     parser.add_argument("--prefix", default="", help="put before the names of the marts")
@@ -31,7 +32,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = cluster_session(shuffle_bytes=args.shuffle_gb * 1024**3, cores=args.cores)
-    raw = read_all(spark, args.raw, args.format, args.times)
+    raw = read_all(spark, args.raw, args.format, args.times, args.objects)
     done = refresh(
         spark,
         raw,

@@ -244,6 +244,7 @@ ORACLE = {
         f"SELECT '{name}' AS relation, id, _airbyte_raw_id FROM ({_raw(view)})" for name, view in FEW.items()
     ),
     "landed_json_issues": _stage_query(FULL, "issues"),
+    "stored_variant_pull_requests": _stage_query(FULL, "pull_requests"),
     "stage_comments": _stage_query(FULL, "comments"),
     "stage_issues": _stage_query(FULL, "issues"),
     "stage_pull_requests": _stage_query(FULL, "pull_requests"),

@@ -129,16 +129,17 @@ LAYOUT = {
 TABLES = tuple(LAYOUT)
 
 
-def raw_type(column: Staged, times: str = "timestamp") -> str:
+def raw_type(column: Staged, times: str, objects: str) -> str:
     """Type of the raw field behind a staged column."""
     if column.path:
-        return "string"
+        return objects
     return {"counter": "long", "timestamp": times}.get(column.kind, column.kind)
 
 
-def raw_schema(table: str, times: str = "timestamp") -> StructType:
-    """Raw schema of a table. `times="string"` is for files that hold timestamps as ISO text."""
-    fields = {column.field: raw_type(column, times) for column in LAYOUT[table]}
+def raw_schema(table: str, times: str = "timestamp", objects: str = "string") -> StructType:
+    """Raw schema of a table. `times="string"` is for files that hold timestamps as ISO text,
+    `objects="variant"` for files that hold JSON objects as variants instead of text."""
+    fields = {column.field: raw_type(column, times, objects) for column in LAYOUT[table]}
     schema = StructType()
     for name, kind in fields.items():
         schema.add(name, kind)

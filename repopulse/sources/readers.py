@@ -7,19 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from repopulse.sources.layout import TABLES, raw_schema
 
 
-def read_raw(spark: SparkSession, root: str, table: str, fmt: str = "parquet", times: str = "timestamp") -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    root: str,
+    table: str,
+    fmt: str = "parquet",
+    times: str = "timestamp",
+    objects: str = "string",
+) -> DataFrame:
     """One raw table from `<root>/<table>`.
 
-    `fmt="json"` reads landed records, one JSON object per line; embedded objects arrive as
-    their JSON text, and a malformed line raises. `times="string"` reads Parquet that keeps
-    timestamps as ISO text; typed files are better, since filters on a day reach the scan.
+    `fmt="json"` reads landed records, one JSON object per line; a malformed line raises.
+    `times="string"` reads Parquet that keeps timestamps as ISO text; typed files are better, since
+    filters on a day reach the scan. `objects="variant"` reads embedded objects as variants: from
+    JSON lines they are then parsed once, and from Parquet the scan can return only the parts read.
     """
-    reader = spark.read.schema(raw_schema(table, times))
+    reader = spark.read.schema(raw_schema(table, times, objects))
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")
     return reader.format(fmt).load(f"{root.rstrip('/')}/{table}")
 
 
-def read_all(spark: SparkSession, root: str, fmt: str = "parquet", times: str = "timestamp") -> dict[str, DataFrame]:
+def read_all(
+    spark: SparkSession, root: str, fmt: str = "parquet", times: str = "timestamp", objects: str = "string"
+) -> dict[str, DataFrame]:
     """All five raw tables below one folder."""
-    return {table: read_raw(spark, root, table, fmt, times) for table in TABLES}
+    return {table: read_raw(spark, root, table, fmt, times, objects) for table in TABLES}

@@ -1,6 +1,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from repopulse import run, sinks
 from repopulse.operators.staging import stage_all
@@ -17,19 +18,23 @@ def names(spark):
         sinks.drop_layer(spark, layer)
 
 
-def land(raw, root, fmt):
+def land(raw, root, fmt, objects="string"):
     for table, df in raw.items():
         times = "string" if fmt == "json" else "timestamp"
-        fields = [(f.name, f.dataType.simpleString()) for f in raw_schema(table, times)]
-        typed = df.selectExpr(*[f"cast(`{name}` as {kind}) as `{name}`" for name, kind in fields])
+        fields = [(f.name, f.dataType.simpleString()) for f in raw_schema(table, times, objects)]
+        typed = df.selectExpr(*[
+            f"parse_json(`{name}`) as `{name}`" if kind == "variant" else f"cast(`{name}` as {kind}) as `{name}`"
+            for name, kind in fields
+        ])
         typed.write.format(fmt).save(f"{root}/{table}")
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "json"])
-def test_views_over_landed_files(spark, tmp_path, names, fmt):
+@pytest.mark.parametrize("fmt, objects", [("parquet", "string"), ("parquet", "variant"), ("json", "string")])
+def test_views_over_landed_files(spark, tmp_path, names, fmt, objects):
     raw = golden_raw(spark)
-    land(raw, tmp_path, fmt)
-    layers.register_raw(spark, str(tmp_path), names["raw"], fmt)
+    raw["issues"] = raw["issues"].withColumn("user", F.lit('{"login":"ada"}'))
+    land(raw, tmp_path, fmt, objects)
+    layers.register_raw(spark, str(tmp_path), names["raw"], fmt, objects=objects)
     layers.create_staging_views(spark, names["staging"], names["raw"])
     staged = stage_all(raw)
     for table in TABLES:

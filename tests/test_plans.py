@@ -95,7 +95,7 @@ def test_trailing_filter_reaches_the_stored_mart(spark, staged, tmp_path):
 
 def test_unread_json_is_not_parsed(staged):
     text = plan(daily_of(staged))
-    assert "parse_json" not in text and "variant" not in text.lower()
+    assert "parseJson" not in text and "variant" not in text.lower()
 
 
 def test_no_plan_pairs_rows_or_runs_python(staged):

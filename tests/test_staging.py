@@ -3,6 +3,7 @@ import datetime
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from repopulse.functions import json_text
 from repopulse.operators import staging
@@ -172,6 +173,29 @@ def test_landed_json_reads_like_typed_records(spark, tmp_path):
     assert row.pr_created_at == moment("2024-01-10T08:00:00") and row.pr_merged_at is None
 
 
+@pytest.mark.parametrize("fmt", ["json", "parquet"])
+def test_objects_as_variants(spark, tmp_path, fmt):
+    raw = raw_frame(
+        spark,
+        "pull_requests",
+        [
+            {"id": 1, "user": '{"login":"ada","id":1}', "base": '{"repo":{"full_name":"o/a"},"ref":"main"}'},
+            {"id": 2, "user": None, "base": '{"repo":null}'},
+        ],
+    )
+    parsed = raw.withColumns({name: F.parse_json(name) for name in ("user", "base", "head")})
+    times = "timestamp" if fmt == "json" else "string"
+    parsed.write.format(fmt).save(str(tmp_path / "pull_requests"))
+    read = read_raw(spark, str(tmp_path), "pull_requests", fmt, times, objects="variant")
+    assert dict(read.dtypes)["user"] == "variant"
+    staged = staging.stage_pull_requests(read)
+    assert sorted(staged.collect()) == sorted(staging.stage_pull_requests(raw).collect())
+    logins = staged.select("author_login")._jdf.queryExecution().executedPlan().toString()
+    assert "parseJson" not in logins
+    if fmt == "parquet":
+        assert "ReadSchema: struct<user:struct<0:string>>" in logins
+
+
 def test_malformed_landed_json_raises(spark, tmp_path):
     (tmp_path / "users").mkdir()
     (tmp_path / "users" / "part.json").write_text('{"id":1}\n{"id":\n')
