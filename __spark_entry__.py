@@ -21,6 +21,13 @@ from repopulse.sample.oracle import AS_OF, ORACLE
 from repopulse.session import apply_settings, scratch_dir
 from repopulse.sources.readers import read_raw
 
+try:
+    from repopulse.llm import queries as llm
+except ModuleNotFoundError as missing:  # the package and its pipeline may be left out
+    if missing.name not in ("repopulse.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 ROUNDTRIP_LAYER = "repopulse_roundtrip"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -186,11 +193,12 @@ def queries() -> dict[str, Query]:
         "published_mart_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
         "published_stats_roundtrip": lambda spark, sf: _refreshed(spark, sf).stats,
     }
-    return {name: _query(build) for name, build in builds.items()}
+    registered = {name: _query(build) for name, build in builds.items()}
+    return registered | (llm.queries() if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
+    return ORACLE | (llm.oracle_sql() if llm else {})
 
 
 def entry(spark: SparkSession) -> DataFrame:
