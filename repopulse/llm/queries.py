@@ -6,18 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import toxicity
+from repopulse.llm import jaccard, toxicity
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op7_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op7_token_group_join": op7_token_group_join,
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
     }
 
