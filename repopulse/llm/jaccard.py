@@ -106,7 +106,7 @@ def _blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
 def ranks(counts: np.ndarray) -> np.ndarray:
     """0 for slots with about the mean count, and one more for each doubling."""
     usual = max(1.0, float(counts.mean()) * 1.5)
-    return np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 63).astype(np.uint64)
+    return np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 63).astype(np.uint8)
 
 
 def _prefix_lengths(n: np.ndarray, least: int) -> np.ndarray:
@@ -155,7 +155,8 @@ def _describe(docs: DataFrame, rank: np.ndarray, size: int, least: int) -> DataF
                     for k, seed in enumerate(seeds):
                         mins[rows, k] = np.minimum.reduceat(T.mix(value ^ seed), first)
                 # Rank above, hash below: sorts from rare to frequent.
-                token = (shared.value[(value >> shift).astype(np.int64)] << _RANK_SHIFT) | (value >> np.uint64(6))
+                rank = shared.value[(value >> shift).astype(np.int64)].astype(np.uint64)
+                token = (rank << _RANK_SHIFT) | (value >> np.uint64(6))
                 order = np.lexsort((token, row))
                 token = token[order]
                 keep = _prefix_lengths(n, least)

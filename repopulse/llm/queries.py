@@ -4,26 +4,44 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from repopulse.llm import jaccard, toxicity
+import corpus_pipeline
+from repopulse.llm import decontaminate, jaccard, packing, pii, toxicity
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
+def op6_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_contextual_pii": op3_contextual_pii,
+        "op6_seeded_alignment": op6_seeded_alignment,
         "op7_token_group_join": op7_token_group_join,
+        "op8_grouping_genetic_packing": op8_grouping_genetic_packing,
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -47,20 +48,30 @@ def bucket(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Slots of both classes, [ordinary, toxic]: discounted bigram counts, and per context their
-    total and the total before the discount; discounted continuation counts; shared ones."""
-
-    bigrams: np.ndarray
-    contexts: np.ndarray
-    kept: np.ndarray
-    unigrams: np.ndarray
-    shared: np.ndarray
-    backoff: np.ndarray
-    bigram_tags: np.ndarray
-    unigram_tags: np.ndarray
-    weights: np.ndarray
+    """Logarithms per slot for both classes, [ordinary, toxic], as half floats.
+
+    `words`: a word by continuation counts and backoff. `unseen`: the same of a word no class knows,
+    one number a class. `pairs`: discounted counts of bigrams; `totals` and `spare`: per context,
+    all its bigrams, and those whose mass goes to the word's own probability.
+    """
+
+    words: np.ndarray
+    unseen: np.ndarray
+    pairs: np.ndarray
+    totals: np.ndarray
+    spare: np.ndarray
+    word_tags: np.ndarray
+    pair_tags: np.ndarray
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """A model in the executors' memory, and the regression on its figures."""
+
+    model: Broadcast
     center: np.ndarray
     scale: np.ndarray
+    weights: np.ndarray
 
 
 def _pairs(chunk: T.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,8 +99,8 @@ def _slot(hashes: np.ndarray) -> np.ndarray:
 
 
 def _tag(hashes: np.ndarray) -> np.ndarray:
-    """1 to 2**16, from other bits than the slot; 0 is an empty slot."""
-    return ((hashes >> np.uint64(44)) & np.uint64(0xFFFF)).astype(np.int32) + 1
+    """1 to 2**15, from other bits than the slot; 0 is an empty slot."""
+    return ((hashes >> np.uint64(44)) & np.uint64(0x7FFF)).astype(np.int32) + 1
 
 
 def _bigram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -125,8 +136,6 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         toxic = batch.column("_toxic").to_numpy()
         for chunk in T.chunks(batch.column("_text")):
             before, word, row = _pairs(chunk)
-            key = np.empty(len(word), [("b", "u8"), ("w", "u8")])
-            key["b"], key["w"] = before, word
             order = np.lexsort((word, before))
             before, word, kind = before[order], word[order], toxic[chunk.first + row[order]]
             if not len(word):
@@ -186,35 +195,40 @@ def _model(found: pa.Table) -> Model:
     for c in (0, 1):
         tables[kind, c, slot] = found[f"x{c}"].to_numpy()
     tags[kind, slot] = found["tag"].to_numpy()
-    bigrams, kept, contexts, types = tables
-    total = np.maximum(types.sum(axis=1, keepdims=True), 1)
+    seen, kept, contexts, types = tables
+    every = np.maximum(types.sum(axis=1, keepdims=True), 1)
     # Half a class for a word never seen; all that meet in a slot share it.
     shared = (types > 0).sum(axis=0) + 0.5
     shared = shared / shared.sum()
-    unigrams = np.maximum(types - DISCOUNT, 0) / total
-    return Model(
-        *(x.astype(np.float32) for x in (bigrams, contexts, kept, unigrams, shared, 1 - unigrams.sum(axis=1))),
-        bigram_tags=tags[0],
-        unigram_tags=tags[3],
-        weights=np.zeros(FEATURES + 1),
-        center=np.zeros(FEATURES),
-        scale=np.ones(FEATURES),
-    )
+    own = np.maximum(types - DISCOUNT, 0) / every
+    backoff = 1 - own.sum(axis=1, keepdims=True)
+    with np.errstate(divide="ignore"):
+        return Model(
+            words=np.log(own + backoff * shared).astype(np.float16),
+            unseen=np.log(backoff * shared.min()).ravel(),
+            pairs=np.log(seen).astype(np.float16),
+            totals=np.log(contexts + 1).astype(np.float16),
+            spare=np.log(contexts - kept + 1).astype(np.float16),
+            word_tags=tags[3].astype(np.uint16),
+            pair_tags=tags[0].astype(np.uint16),
+        )
 
 
 def _ratios(model: Model, before: np.ndarray, word: np.ndarray) -> np.ndarray:
     """log P(word | before, toxic) - log P(word | before, ordinary)."""
     hashes = _bigram(before, word)
     pair, context, single = _slot(hashes), _slot(before), _slot(word)
-    known_pair = model.bigram_tags[pair] == _tag(hashes)
-    known_word = model.unigram_tags[single] == _tag(word)
-    shared = np.where(known_word, model.shared[single], model.shared.min())
+    known_pair = model.pair_tags[pair] == _tag(hashes)
+    known_word = model.word_tags[single] == _tag(word)
     logs = []
     for c in (0, 1):
-        lower = known_word * model.unigrams[c][single] + model.backoff[c] * shared
-        total, kept = model.contexts[c][context], model.kept[c][context]
-        seen = known_pair * np.minimum(model.bigrams[c][pair], kept)
-        logs.append(np.log((seen + (total - kept + 1) * lower) / (total + 1)))
+        value = np.where(known_word, model.words[c][single], model.unseen[c]).astype(np.float32)
+        total = model.totals[c][context].astype(np.float32)
+        value += model.spare[c][context] - total
+        pairs = np.flatnonzero(known_pair)
+        more = np.minimum(model.pairs[c][pair[pairs]].astype(np.float32) - total[pairs], 0)
+        value[pairs] = np.logaddexp(value[pairs], more)
+        logs.append(value)
     return logs[1] - logs[0]
 
 
@@ -263,10 +277,10 @@ def fit(
     text: str = "text",
     per_class: int = MAX_PER_CLASS,
     calibration: int = MAX_CALIBRATION,
-) -> Model:
+) -> Scorer:
     """Train on labelled documents, whole texts, that are not held out: two quarters of the ids
     give the counts and one the regression. `per_class` and `calibration` bound the rows of each
-    class. Without labels of both classes every score is 1/2 at most and follows the counts."""
+    class. Without labels of both classes every score is 1/2."""
     rows = training_rows(labels, per_class, calibration)
     texts = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"))
     # At most 2 * (per_class + calibration) rows of two numbers and a flag.
@@ -287,22 +301,19 @@ def fit(
     x = np.stack([held[f"f{k}"].to_numpy() for k in range(FEATURES)], axis=1)
     y = held["toxic"].to_numpy().astype(float)
     if len(x) == 0 or y.min() == y.max():
-        return model
+        return Scorer(shared, np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1))
     center, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
-    # The sample may hold more of one class than the labels do; what counts is the share it has here.
-    return Model(**{**model.__dict__, "weights": _regression((x - center) / scale, y), "center": center, "scale": scale})
+    return Scorer(shared, center, scale, _regression((x - center) / scale, y))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", column: str = "_score") -> DataFrame:
+def score(docs: DataFrame, scorer: Scorer, text: str = "text", column: str = "_score") -> DataFrame:
     """All rows and columns of `docs`, and a score from 0 to 1 of each whole text. A null or empty
     text gets the score of one without any evidence. Nothing but the text goes into it."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            x = (features(model, batch.column(text)) - model.center) / model.scale
-            value = 1 / (1 + np.exp(-np.clip(x @ model.weights[:-1] + model.weights[-1], -30, 30)))
+            x = (features(scorer.model.value, batch.column(text)) - scorer.center) / scorer.scale
+            value = 1 / (1 + np.exp(-np.clip(x @ scorer.weights[:-1] + scorer.weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=[*batch.schema.names, column])
 
     schema = StructType([*docs.schema.fields, StructField(column, DoubleType())])
@@ -315,9 +326,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
     Rows that share an id are scored one by one; a row without an id counts as the empty text of
     one. Other columns of `docs` and `labels` are ignored. No labels: every score is 1/2.
     """
-    model = fit(docs, labels, **bounds)
+    scorer = fit(docs, labels, **bounds)
     rows = docs.select("doc_id", F.col("text").alias("_text"))
-    return score(rows, model, "_text").select(
+    return score(rows, scorer, "_text").select(
         "doc_id",
         (bucket(F.col("doc_id")) == 2).alias("held_out"),
         F.col("_score").alias("score"),
@@ -328,7 +339,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **bounds: int) -> DataFrame:
     """The rows of `docs` with a score below the threshold, with their columns. A document with a
     null or empty text has nothing to be rejected for and stays."""
-    model = fit(docs, labels, **bounds)
-    scored = score(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), model, "_text")
+    scorer = fit(docs, labels, **bounds)
+    scored = score(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), scorer, "_text")
     empty = F.coalesce(F.length(F.trim("_text")), F.lit(0)) == 0
     return scored.where((F.col("_score") < threshold) | empty).select("_row.*")
