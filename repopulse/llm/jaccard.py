@@ -11,7 +11,8 @@ component holds what links connect. The join is exact:
    frequent, and only a set's first tokens go in: two sets with similarity 0.8 share some of these,
    so a set's overlap with a group's row bounds its overlap with any member.
 4. A query opens a group of which the bound is high enough, and no other. Candidates from opened
-   groups are compared with whole sets.
+   groups are compared with whole sets: first the likeliest of each group, then whatever this leaves
+   in different components.
 
 What groups there are decides how fast the join is, and never what it finds.
 """
@@ -32,10 +33,10 @@ from repopulse.llm.store import IdFilter, stored, without
 SHINGLE = 5
 #: Least similarity, in hundredths.
 LEAST = 80
-#: Common tokens, of the first ones, that a linked pair must have (fewer in the smallest sets).
-SHARED = 4
-#: From this size on, any linked pair has SHARED tokens to share.
-SHARED_FROM = 7
+#: How many more first tokens than one common one would need.
+MORE = 3
+#: Pairs that are compared at a time.
+_PAIRS = 256
 MIN_HASHES = 6
 #: Slots of the table of token frequencies: fixed, so it may be broadcast.
 SKETCH_BITS = 20
@@ -110,9 +111,25 @@ def ranks(counts: np.ndarray) -> np.ndarray:
 
 
 def _prefix_lengths(n: np.ndarray, least: int) -> np.ndarray:
-    """How many of a set's first tokens a linked set shares SHARED of."""
+    """How many of a set's tokens are first tokens. A linked set has at least `least` hundredths of a
+    set's tokens, so it shares one of the others' number plus one, and k of that number plus k."""
     common = -(-n * least // 100)
-    return np.minimum(n, n - common + np.minimum(SHARED, common))
+    return np.minimum(n, n - common + 1 + MORE)
+
+
+def _rest(n: str, least: int) -> str:
+    """SQL: the number of tokens that are no first tokens."""
+    return f"greatest(0, ceil({least} * {n} / 100) - {1 + MORE})"
+
+
+def _needed(a: str, b: str, least: int) -> str:
+    """SQL: how many first tokens sets of the sizes a and b share at least if they link.
+
+    Of the common tokens, all that are first tokens of the set whose first tokens end sooner are first
+    tokens of the other too; no more than the rest of that set can be missing.
+    """
+    common = f"ceil({least} * ({a} + {b}) / {100 + least})"
+    return f"greatest(1, {common} - greatest({_rest(a, least)}, {_rest(b, least)}))"
 
 
 def _sets(chunk: T.Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -218,12 +235,14 @@ def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, leas
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [_per_text(batch.column(c), size) for c in ("text_a", "text_b")]
-            similar = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(*sides)):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                similar[i] = 100 * common >= least * (len(x) + len(y) - common)
-            yield batch.select(["a", "b"]).filter(pa.array(similar))
+            for at in range(0, batch.num_rows, _PAIRS):
+                part = batch.slice(at, _PAIRS)
+                sides = [_per_text(part.column(c), size) for c in ("text_a", "text_b")]
+                similar = np.zeros(part.num_rows, bool)
+                for i, (x, y) in enumerate(zip(*sides)):
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    similar[i] = 100 * common >= least * (len(x) + len(y) - common)
+                yield part.select(["a", "b"]).filter(pa.array(similar))
 
     sided = pairs.join(texts.selectExpr("node as a", "text as text_a"), "a").join(
         texts.selectExpr("node as b", "text as text_b"), "b"
@@ -261,24 +280,30 @@ def _opened_pairs(nodes: DataFrame, groups: DataFrame, least: int) -> DataFrame:
     token = Window.partitionBy("token")
     meeting = rows.select("*", (F.min("grp").over(token) < F.max("grp").over(token)).alias("_meets"))
     queries = stored(meeting.where("_meets").drop("_meets"), "queries")
-    matrix = queries.groupBy("token", "grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    sizes = queries.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    matrix = queries.select("token", "grp").distinct().join(sizes, "grp")
     q, m = queries.alias("q"), matrix.alias("m")
-    least_shared = f"if(n >= {SHARED_FROM}, {SHARED}, 1)"
+    # The bound is lowest at the ends of the sizes in a group that could link with the query.
+    lo, hi = f"greatest(lo, ceil(n * {least} / 100))", f"least(hi, floor(n * 100 / {least}))"
     fits = f"100 * q.n >= {least} * m.lo and 100 * m.hi >= {least} * q.n"
     opened = (
         q.join(m, F.expr(f"q.token = m.token and q.grp < m.grp and {fits}"))
-        .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"))
+        .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"), "m.lo", "m.hi")
         .agg(F.count("*").alias("bound"))
-        .where(f"bound >= {least_shared}")
     )
+    # One less, since sizes are whole numbers.
+    bound = f"least({_needed('n', lo, least)}, {_needed('n', hi, least)}) - 1"
+    opened = opened.where(f"bound >= greatest(1, {bound})")
     opened = stored(opened.select("node", "grp"), "opened")
     asked = queries.select("node", "n", "token").join(opened, "node")
     s = queries.alias("s")
     met = asked.alias("q").join(s, F.expr("q.token = s.token and q.grp = s.grp")).where(
         f"100 * least(q.n, s.n) >= {least} * greatest(q.n, s.n)"
     )
-    counted = met.groupBy(F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"))
-    return counted.agg(F.count("*").alias("common")).where(f"common >= {least_shared}").select("a", "b")
+    counted = met.groupBy(
+        F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"), F.col("s.n").alias("m"), "q.grp"
+    ).agg(F.count("*").alias("common"))
+    return counted.where(f"common >= {_needed('n', 'm', least)}").select("a", "b", "grp", "common")
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -301,8 +326,16 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     near = stored(_linked(docs, nodes, stored(_star_pairs(nodes), "star"), size, least), "near")
     groups = components(near)
     rest = stored(_opened_pairs(nodes, groups, least), "candidates")
-    links = near.unionByName(_linked(docs, nodes, rest, size, least))
+    # The likeliest member of each opened group first; once it links, the others need not be compared.
+    best = rest.groupBy("a", "grp").agg(F.max(F.struct("common", "b")).alias("best")).select("a", "best.b")
+    links = stored(near.unionByName(_linked(docs, nodes, stored(best, "best"), size, least)), "links")
     found = components(links)
+    apart = rest.select("a", "b").join(best, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        side = found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
+        apart = apart.join(side, end, "left")
+    apart = apart.where("coalesce(a_in, a) <> coalesce(b_in, b)").select("a", "b")
+    found = components(links.unionByName(_linked(docs, nodes, stored(apart, "apart"), size, least)))
     ids = nodes.select("node", "rep", "d1", "d2").join(found, "node", "left")
     ids = ids.selectExpr("d1", "d2", "rep", "coalesce(component, node) as component")
     least_ids = ids.groupBy("component").agg(F.min("rep").alias("least_id"))
