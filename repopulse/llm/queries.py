@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from repopulse.llm import decontaminate, jaccard, packing, pii, toxicity
+from repopulse.llm import chat, decontaminate, jaccard, packing, pii, quality, toxicity, urls
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,14 @@ def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_likelihood_ratio_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_hashed_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"), urls.rule_table(spark))
+
+
 def op6_seeded_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,6 +38,12 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = "conv_id long, turn long, role string, text string"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.formatted(rows.unionByName(spark.createDataFrame(list(chat.ADDED), columns))))
+
+
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -37,13 +51,16 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op3_contextual_pii": op3_contextual_pii,
+        "op4_likelihood_ratio_quality": op4_likelihood_ratio_quality,
+        "op5_hashed_url_rules": op5_hashed_url_rules,
         "op6_seeded_alignment": op6_seeded_alignment,
         "op7_token_group_join": op7_token_group_join,
         "op8_grouping_genetic_packing": op8_grouping_genetic_packing,
+        "op9_prefix_target_chat": op9_prefix_target_chat,
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_hashed_url_rules": urls.oracle(), "op9_prefix_target_chat": chat.ORACLE}
