@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from repopulse.llm import chat, decontaminate, jaccard, packing, pii, quality, toxicity, urls
+from repopulse.llm import chat, decontaminate, jaccard, lm_score, packing, pii, quality, substrings, toxicity, urls
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.stupid_backoff(table(spark, sf_dir, "documents"))
+
+
 def op3_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -50,6 +58,8 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentence_span_dedup": op1_sentence_span_dedup,
+        "op2_stupid_backoff": op2_stupid_backoff,
         "op3_contextual_pii": op3_contextual_pii,
         "op4_likelihood_ratio_quality": op4_likelihood_ratio_quality,
         "op5_hashed_url_rules": op5_hashed_url_rules,
