@@ -35,18 +35,43 @@ GENERATIONS = 3
 POPULATION = 4
 #: A sequence is final from this fill on.
 FULL = 0.99
-#: Words whose ids a task remembers at most.
-MEMORY = 400_000
+#: Units whose ids a process remembers at most.
+MEMORY = 1_500_000
 _TEXT_BYTES = 1 << 21
 
 Bins = list[list[int]]
 
 
+#: Kinds of bytes after lowering A-Z: white space, letters, signs, digits, others. Letters are a-z and,
+#: as the two bytes of each, the Latin letters U+00C0 to U+00FF. An apostrophe is among the others,
+#: since the tokenizer keeps some of them with letters.
+_SPACES, _LETTERS, _SIGNS, _DIGITS, _OTHERS = range(5)
+_KINDS = np.full(256, _OTHERS, np.uint8)
+_KINDS[33:127] = _SIGNS
+_KINDS[48:58] = _DIGITS
+_KINDS[97:123] = _LETTERS
+_KINDS[[9, 10, 11, 12, 13, 32]] = _SPACES
+_KINDS[39] = _OTHERS
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    kinds = _KINDS[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    after = data[lead + 1]
+    # Not the signs of multiplication and division.
+    lead = lead[(after >= 0x80) & (after <= 0xBF) & (after != 0x97) & (after != 0xB7)]
+    kinds[lead] = kinds[lead + 1] = _LETTERS
+    return kinds
+
+
 class WordIds:
-    """Token ids of texts, by words.
+    """Token ids of texts, by units that the tokenizer works on one by one.
 
-    The tokenizer never joins characters across ASCII white space, so a text's ids are those of its
-    words one after the other, and a word is encoded once for all its occurrences that are remembered.
+    It never joins characters across white space, nor letters, digits and signs, so a text's ids are
+    those of its units one after the other: runs of letters, single digits, runs of signs, and whole words
+    where there is anything else in them. A unit is encoded once for all its occurrences that are
+    remembered. Each unit but a whole word ends with the one id in it that ends a token's word, so many
+    are encoded as one text.
     """
 
     def __init__(self, path: str):
@@ -54,48 +79,121 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._known: dict[bytes, np.ndarray] = {}
-
-    def _ids(self, words: list[bytes]) -> list[np.ndarray]:
-        new = [w for w in words if w not in self._known]
-        if len(self._known) + len(new) > MEMORY:
-            self._known.clear()
-            new = words
-        encoded = self._tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self._known.update((w, np.array(e.ids, np.uint32)) for w, e in zip(new, encoded))
-        return [self._known[w] for w in words]
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=False)
+        self._ends = np.zeros(max(self._tokenizer.get_vocab().values()) + 1, bool)
+        self._ends[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes = np.zeros(0, np.uint64)  # of known units, sorted
+        self._begin = self._length = np.zeros(0, np.int64)
+        self._flat = np.zeros(0, np.uint32)
+
+    def _units(self, chunk: T.Chunk, data: np.ndarray) -> tuple[T.Words, np.ndarray]:
+        """Units in order, and which of them are whole words."""
+        kinds = _kinds(data)
+        runs = T.spans(kinds, chunk, skip=_SPACES)
+        kind = kinds[runs.start]
+        # Special tokens begin so; their strings are words for the tokenizer to find.
+        odd = kind == _OTHERS
+        special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
+        odd[np.searchsorted(runs.start, special, "right") - 1] = True
+        words = T.words(chunk)
+        in_word = np.searchsorted(words.start, runs.start, "right") - 1
+        whole = np.zeros(len(words.start), bool)
+        whole[in_word[odd]] = True
+        part = ~whole[in_word]
+        digits = part & (kind == _DIGITS)
+        plain = part & ~digits
+        single = np.flatnonzero((kinds == _DIGITS))
+        single = single[~whole[np.searchsorted(words.start, single, "right") - 1]]
+        start = np.concatenate([runs.start[plain], single, words.start[whole]])
+        end = np.concatenate([runs.end[plain], single + 1, words.end[whole]])
+        order = np.argsort(start, kind="stable")
+        start, end = start[order], end[order]
+        is_word = (np.arange(len(order)) >= plain.sum() + len(single))[order]
+        return T.Words(start, end, np.searchsorted(chunk.offsets, start, "right") - 1), is_word
+
+    def _learn(self, hashes: np.ndarray, units: list[bytes], whole: np.ndarray) -> None:
+        """Encode units that are not known yet; `hashes` are sorted and distinct."""
+        if len(self._hashes) + len(hashes) > MEMORY:
+            self._forget()
+        plain = [u for u, w in zip(units, whole) if not w]
+        encoded = self._tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids
+        flat = np.array(encoded, np.uint32)
+        stop = np.flatnonzero(self._ends[flat]) + 1
+        if len(stop) != len(plain) or (len(stop) and stop[-1] != len(flat)):
+            raise ValueError("this tokenizer does not end each unit with one id of its own")
+        length = np.zeros(len(units), np.int64)
+        length[~whole] = np.diff(np.r_[0, stop])
+        begin = np.zeros(len(units), np.int64)
+        begin[~whole] = np.r_[0, stop[:-1]] if len(stop) else 0
+        words = [u.decode() for u, w in zip(units, whole) if w]
+        ids = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        length[whole] = [len(x) for x in ids]
+        begin[whole] = len(flat) + np.cumsum(length[whole]) - length[whole]
+        flat = np.concatenate([flat, *ids])
+        place = np.searchsorted(self._hashes, hashes)
+        self._hashes = np.insert(self._hashes, place, hashes)
+        self._begin = np.insert(self._begin, place, begin + len(self._flat))
+        self._length = np.insert(self._length, place, length)
+        self._flat = np.concatenate([self._flat, flat])
 
     def rows(self, chunk: T.Chunk) -> list[np.ndarray]:
         """The ids of each text of a chunk."""
-        found = T.words(chunk)
-        hashes = T.word_hashes(chunk.data, found)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        data = chunk.data.tobytes()
-        starts, ends = found.start[first].tolist(), found.end[first].tolist()
-        ids = self._ids([data[a:b] for a, b in zip(starts, ends)])
-        if not ids:
+        data = T.lower_ascii(chunk.data)
+        found, is_word = self._units(chunk, data)
+        if not len(found.start):
             return [np.zeros(0, np.uint32)] * chunk.rows
-        flat = np.concatenate(ids)
-        length = np.array([len(x) for x in ids])
-        begin = np.cumsum(length) - length
-        many = length[which]
-        total = np.cumsum(many)
-        # Position in `flat` of every id: the word's first one, and onwards.
-        place = np.arange(total[-1]) + np.repeat(begin[which] - (total - many), many)
+        hashes = T.span_hashes(data, found.start, found.end)
+        if is_word.any():  # a whole word's case may make it a special token
+            hashes = np.where(is_word, T.span_hashes(chunk.data, found.start, found.end), hashes)
+        value, first, which = T.distinct(hashes)
+
+        def places() -> tuple[np.ndarray, np.ndarray]:
+            place = np.minimum(np.searchsorted(self._hashes, value), max(0, len(self._hashes) - 1))
+            known = self._hashes[place] == value if len(self._hashes) else np.zeros(len(value), bool)
+            return place, known
+
+        place, known = places()
+        if not known.all():
+            if len(self._hashes) + int((~known).sum()) > MEMORY:
+                self._forget()
+                place, known = places()
+            new = first[~known]
+            lower, own = data.tobytes(), chunk.data.tobytes()
+            ends = zip(found.start[new].tolist(), found.end[new].tolist(), is_word[new].tolist())
+            units = [(own if w else lower)[a:b] for a, b, w in ends]
+            self._learn(value[~known], units, is_word[new])
+            place, known = places()
+        length, begin = self._length[place][which], self._begin[place][which]
+        total = np.cumsum(length)
+        # Position in the remembered ids of every id: the unit's first one, and onwards.
+        at = np.arange(total[-1]) + np.repeat(begin - (total - length), length)
         cut = np.r_[0, total][np.searchsorted(found.row, np.arange(1, chunk.rows))]
-        return np.split(flat[place], cut)
+        return np.split(self._flat[at], cut)
+
+
+_coders: dict[str, WordIds] = {}
+
+
+def coder(path: str) -> WordIds:
+    """The process's own, so that a worker keeps what it has learned from one task to the next."""
+    if path not in _coders:
+        _coders[path] = WordIds(path)
+    return _coders[path]
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = END) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32): every document's ids and an end id, in pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = WordIds(tokenizer)
+        ids_of = coder(tokenizer)
         for batch in batches:
             ids = batch.column("doc_id")
             for chunk in T.chunks(batch.column("text"), _TEXT_BYTES):
                 row, piece, start, length, crc = [], [], [], [], []
-                for k, own in enumerate(coder.rows(chunk)):
+                for k, own in enumerate(ids_of.rows(chunk)):
                     own = np.append(own, np.uint32(end)).astype("<u4")
                     for n, at in enumerate(range(0, len(own), capacity)):
                         part = own[at : at + capacity]

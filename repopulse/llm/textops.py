@@ -128,6 +128,17 @@ def ngrams(hashes: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np
     return mix(value[inside]), inside
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, the place of one of each, and for each value its number among them."""
+    order = np.argsort(values)
+    ranked = values[order]
+    new = np.ones(len(values), bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    which = np.empty(len(values), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ranked[new], order[new], which
+
+
 def per_row(rows: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
     return np.bincount(rows, weights, minlength=n)[:n]
 
