@@ -135,6 +135,7 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
     or empty text stays. A text all of which is repeated becomes empty. Where `docs` has columns of
     the two added names, these are replaced.
     """
+    T.small_batches(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = stored(repeated_runs(texts, size, min_words), "repeated")
     # The runs of one document, so of bounded number.

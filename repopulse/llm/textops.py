@@ -147,5 +147,17 @@ def signed(values: np.ndarray) -> np.ndarray:
     return values.astype(np.uint64, copy=False).view(np.int64)
 
 
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """Let a batch that goes to Python hold `BATCH_ROWS` rows at most, for rows here are whole texts.
+    A session that asks for smaller batches keeps them."""
+    conf = df.sparkSession.conf
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
