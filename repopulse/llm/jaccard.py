@@ -7,12 +7,12 @@ component holds what links connect. The join is exact:
 2. Similar nodes are put into groups: nodes that share min-hashes are compared with the most typical
    of them, and what links forms a group. So thousands of near copies are compared with one node
    instead of with each other.
-3. The matrix holds each group's union of tokens: (token, group). Tokens are ordered from rare to
-   frequent, and only a set's first tokens go in: two sets with similarity 0.8 share some of these,
-   so a set's overlap with a group's row bounds its overlap with any member.
-4. A query opens a group of which the bound is high enough, and no other. Candidates from opened
-   groups are compared with whole sets: first the likeliest of each group, then whatever this leaves
-   in different components.
+3. The matrix holds each group's union of tokens, by bands of size: (token, group, band). Tokens are
+   ordered from rare to frequent, and only a set's first tokens go in: two sets with similarity 0.8
+   share some of these, so a set's overlap with a row bounds its overlap with any member.
+4. A query opens the bands of which the bound is high enough, and no others. It is compared, by whole
+   sets, first with a few typical members, and then, where this leaves both in different components,
+   with every member that has enough first tokens in common.
 
 What groups there are decides how fast the join is, and never what it finds.
 """
@@ -38,6 +38,10 @@ MORE = 3
 #: Pairs that are compared at a time.
 _PAIRS = 256
 MIN_HASHES = 6
+#: Sizes in a band of a group differ by this factor at most, so that bounds by size are close.
+BAND = 1.05
+#: Members of a band that a query is compared with first.
+TYPICAL = 3
 #: Slots of the table of token frequencies: fixed, so it may be broadcast.
 SKETCH_BITS = 20
 _BLOCK = 1 << 14
@@ -273,37 +277,68 @@ def _star_pairs(nodes: DataFrame) -> DataFrame:
     ).where("keys > 1").select("a", "b")
 
 
-def _opened_pairs(nodes: DataFrame, groups: DataFrame, least: int) -> DataFrame:
-    """Candidates from different groups, by the bounds of the token-group matrix."""
-    grouped = nodes.join(groups, "node", "left").selectExpr("node", "n", "tokens", "coalesce(component, node) as grp")
-    rows = grouped.selectExpr("node", "n", "grp", "explode(tokens) as token")
+def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, grp) after links between nodes (a, b) have joined groups; only the groups are gone through."""
+    ends = links.join(groups.selectExpr("node as a", "grp as ga"), "a").join(groups.selectExpr("node as b", "grp as gb"), "b")
+    joined = components(ends.selectExpr("ga as a", "gb as b"))
+    moved = groups.join(joined.withColumnRenamed("node", "grp"), "grp", "left")
+    return stored(moved.selectExpr("node", "coalesce(component, grp) as grp"), "groups")
+
+
+def _queries(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(token, node, n, grp, members, band): first tokens that occur in more than one group."""
+    members = groups.groupBy("grp").agg(F.count("*").alias("members"))
+    grouped = nodes.join(groups.join(members, "grp"), "node").select("node", "n", "tokens", "grp", "members")
+    rows = grouped.select("node", "n", "grp", "members", F.explode("tokens").alias("token"))
     token = Window.partitionBy("token")
     meeting = rows.select("*", (F.min("grp").over(token) < F.max("grp").over(token)).alias("_meets"))
-    queries = stored(meeting.where("_meets").drop("_meets"), "queries")
-    sizes = queries.groupBy("grp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = queries.select("token", "grp").distinct().join(sizes, "grp")
+    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int").alias("band")
+    return stored(meeting.where("_meets").select("token", "node", "n", "grp", "members", band), "queries")
+
+
+def _opened(queries: DataFrame, least: int) -> DataFrame:
+    """(node, n, grp, band): queries and the bands of other groups that the matrix does not rule out.
+
+    Of two groups the smaller asks, so a group of thousands is asked by a few and does not ask itself.
+    """
+    band = queries.groupBy("grp", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    matrix = queries.select("token", "grp", "band", "members").distinct().join(band, ["grp", "band"])
     q, m = queries.alias("q"), matrix.alias("m")
-    # The bound is lowest at the ends of the sizes in a group that could link with the query.
-    lo, hi = f"greatest(lo, ceil(n * {least} / 100))", f"least(hi, floor(n * 100 / {least}))"
+    asks = "q.members < m.members or (q.members = m.members and q.grp < m.grp)"
     fits = f"100 * q.n >= {least} * m.lo and 100 * m.hi >= {least} * q.n"
-    opened = (
-        q.join(m, F.expr(f"q.token = m.token and q.grp < m.grp and {fits}"))
-        .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"), "m.lo", "m.hi")
+    bound = (
+        q.join(m, F.expr(f"q.token = m.token and ({asks}) and {fits}"))
+        .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"), F.col("m.band").alias("band"), "m.lo", "m.hi")
         .agg(F.count("*").alias("bound"))
     )
-    # One less, since sizes are whole numbers.
-    bound = f"least({_needed('n', lo, least)}, {_needed('n', hi, least)}) - 1"
-    opened = opened.where(f"bound >= greatest(1, {bound})")
-    opened = stored(opened.select("node", "grp"), "opened")
-    asked = queries.select("node", "n", "token").join(opened, "node")
+    # The need is lowest at the ends of the sizes in a band that could link with the query; one less,
+    # since sizes are whole numbers.
+    lo, hi = f"greatest(lo, ceil(n * {least} / 100))", f"least(hi, floor(n * 100 / {least}))"
+    need = f"least({_needed('n', lo, least)}, {_needed('n', hi, least)}) - 1"
+    return stored(bound.where(f"bound >= greatest(1, {need})").select("node", "n", "grp", "band"), "opened")
+
+
+def _typical_members(queries: DataFrame, near: DataFrame) -> DataFrame:
+    """(grp, band, member): the members of each band that most others are known to be similar to."""
+    degree = near.selectExpr("explode(array(a, b)) as node").groupBy("node").agg(F.count("*").alias("degree"))
+    members = queries.select("grp", "band", "node").distinct().join(degree, "node", "left")
+    # The best of each part of a band, so that each count keeps one row.
+    part = F.pmod(F.xxhash64("node"), F.lit(TYPICAL)).alias("part")
+    best = F.max(F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("best")
+    return members.groupBy("grp", "band", part).agg(best).select("grp", "band", F.col("best.node").alias("member"))
+
+
+def _members(queries: DataFrame, opened: DataFrame, least: int) -> DataFrame:
+    """(a, b): queries and those members of opened bands that have enough first tokens in common."""
+    asked = queries.select("node", "n", "token").join(opened.select("node", "grp", "band"), "node").alias("q")
     s = queries.alias("s")
-    met = asked.alias("q").join(s, F.expr("q.token = s.token and q.grp = s.grp")).where(
+    met = asked.join(s, F.expr("q.token = s.token and q.grp = s.grp and q.band = s.band")).where(
         f"100 * least(q.n, s.n) >= {least} * greatest(q.n, s.n)"
     )
     counted = met.groupBy(
-        F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"), F.col("s.n").alias("m"), "q.grp"
+        F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"), F.col("s.n").alias("m")
     ).agg(F.count("*").alias("common"))
-    return counted.where(f"common >= {_needed('n', 'm', least)}").select("a", "b", "grp", "common")
+    return counted.where(f"common >= {_needed('n', 'm', least)}").select("a", "b")
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -315,6 +350,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     document: each has the size of its own text, and each text's links count. Other columns of
     `docs` are ignored.
     """
+    T.small_batches(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     rank = ranks(token_counts(docs.select("text"), size))
     described = stored(_describe(docs, rank, size, least), "described")
@@ -324,22 +360,25 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     )
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
     near = stored(_linked(docs, nodes, stored(_star_pairs(nodes), "star"), size, least), "near")
-    groups = components(near)
-    rest = stored(_opened_pairs(nodes, groups, least), "candidates")
-    # The likeliest member of each opened group first; once it links, the others need not be compared.
-    best = rest.groupBy("a", "grp").agg(F.max(F.struct("common", "b")).alias("best")).select("a", "best.b")
-    links = stored(near.unionByName(_linked(docs, nodes, stored(best, "best"), size, least)), "links")
-    found = components(links)
-    apart = rest.select("a", "b").join(best, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        side = found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
-        apart = apart.join(side, end, "left")
-    apart = apart.where("coalesce(a_in, a) <> coalesce(b_in, b)").select("a", "b")
-    found = components(links.unionByName(_linked(docs, nodes, stored(apart, "apart"), size, least)))
-    ids = nodes.select("node", "rep", "d1", "d2").join(found, "node", "left")
-    ids = ids.selectExpr("d1", "d2", "rep", "coalesce(component, node) as component")
-    least_ids = ids.groupBy("component").agg(F.min("rep").alias("least_id"))
-    by_set = ids.join(least_ids, "component").select("d1", "d2", "least_id")
+    first = components(near).withColumnRenamed("component", "grp")
+    groups = nodes.select("node").join(first, "node", "left").selectExpr("node", "coalesce(grp, node) as grp")
+    groups = stored(groups, "groups")
+    queries = _queries(nodes, groups)
+    opened = _opened(queries, least)
+    typical = opened.join(_typical_members(queries, near), ["grp", "band"]).selectExpr("node as a", "member as b")
+    typical = stored(typical, "typical")
+    found = _merged(groups, _linked(docs, nodes, typical, size, least))
+    # What has not come together with an opened group by then is compared with all its members.
+    now = opened.join(found.withColumnRenamed("grp", "own"), "node").join(
+        groups.selectExpr("node as root", "grp").where("root = grp").join(found.selectExpr("node as root", "grp as other"), "root"),
+        "grp",
+    )
+    rest = _members(queries, stored(now.where("own <> other").select("node", "grp", "band"), "apart"), least)
+    rest = stored(rest.join(typical, ["a", "b"], "left_anti"), "rest")
+    found = _merged(found, _linked(docs, nodes, rest, size, least))
+    ids = nodes.select("node", "rep", "d1", "d2").join(found, "node")
+    least_ids = ids.groupBy("grp").agg(F.min("rep").alias("least_id"))
+    by_set = ids.join(least_ids, "grp").select("d1", "d2", "least_id")
     rows = described.select("doc_id", "n", "d1", "d2").join(by_set, ["d1", "d2"], "left")
     return rows.selectExpr(
         "doc_id",
