@@ -6,7 +6,9 @@ Dates and timestamps leave these queries as ISO text; the library functions retu
 from __future__ import annotations
 
 import functools
-import uuid
+import os
+import tempfile
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,20 @@ from repopulse import sinks
 from repopulse.operators import activity, checks, staging
 from repopulse.plans import dashboard, insights, layers, marts
 from repopulse.plans.refresh import refresh
-from repopulse.sample.adapter import FEW, FULL, GAPS, MANY, TIMED_PULL_REQUESTS, raw_tables, raw_view
+from repopulse.sample.adapter import (
+    FEW,
+    FULL,
+    GAPS,
+    MANY,
+    TIMED_GAPS,
+    TIMED_PULL_REQUESTS,
+    bad_daily,
+    raw_tables,
+    raw_view,
+)
 from repopulse.sample.oracle import AS_OF, ORACLE
 from repopulse.session import apply_settings, scratch_dir
+from repopulse.sources.layout import LAYOUT, TABLES
 from repopulse.sources.readers import read_raw
 
 try:
@@ -29,6 +42,8 @@ except ModuleNotFoundError as missing:  # the package and its pipeline may be le
     llm = None
 
 ROUNDTRIP_LAYER = "repopulse_roundtrip"
+# For sessions on this machine that name no shared folder.
+LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "repopulse-queries")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,29 +98,59 @@ def _raw_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _landed_json_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark)
-    landed = raw_view(spark, sf_dir, FULL["issues"]).withColumn("user", F.parse_json("user"))
-    landed.write.json(f"{root}/issues")
-    return staging.stage_issues(read_raw(spark, root, "issues", fmt="json"))
+def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """The query's own folder for these tables in this session: a later call writes over an earlier one."""
+    local = LOCAL_SCRATCH if spark.sparkContext.master.startswith("local") else None
+    tables = f"{zlib.crc32(sf_dir.encode()):08x}"
+    return scratch_dir(spark, f"{spark.sparkContext.applicationId}-{name}-{tables}", local)
+
+
+def _write(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
+    df.write.mode("overwrite").format(fmt).save(folder)
+
+
+OBJECTS = {name: [c.field for c in columns if c.path] for name, columns in LAYOUT.items()}
+
+
+def _landed_json(table: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _folder(spark, sf_dir, f"json-{table}")
+        objects = {name: F.parse_json(name) for name in OBJECTS[table]}
+        _write(raw_view(spark, sf_dir, FULL[table]).withColumns(objects), f"{root}/{table}", "json")
+        return staging.stage(table, read_raw(spark, root, table, fmt="json"))
+
+    return build
 
 
 def _stored_variant_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark)
-    objects = {name: F.parse_json(name) for name in ("user", "base", "head")}
-    raw_view(spark, sf_dir, FULL["pull_requests"]).withColumns(objects).write.parquet(f"{root}/pull_requests")
+    root = _folder(spark, sf_dir, "variants")
+    objects = {name: F.parse_json(name) for name in OBJECTS["pull_requests"]}
+    _write(raw_view(spark, sf_dir, FULL["pull_requests"]).withColumns(objects), f"{root}/pull_requests")
     return staging.stage_pull_requests(read_raw(spark, root, "pull_requests", objects="variant"))
 
 
+def _registered(spark: SparkSession, sf_dir: str, name: str, views: dict, tables: list[str]) -> tuple[str, str]:
+    """Raw tables stored and registered in a layer of the query's own; the layer, and one for staging."""
+    root = _folder(spark, sf_dir, name)
+    for table in tables:
+        _write(raw_view(spark, sf_dir, views[table]), f"{root}/{table}")
+    raw, staged = (f"repopulse_{name}_{kind}_{zlib.crc32(sf_dir.encode()):08x}" for kind in ("raw", "staging"))
+    for layer in (raw, staged):
+        sinks.ensure_layer(spark, layer, f"{root}/{layer}.db")
+    layers.register_raw(spark, root, raw, tables=tables)
+    return raw, staged
+
+
 def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = scratch_dir(spark)
-    raw_view(spark, sf_dir, FULL["comments"]).write.parquet(f"{root}/comments")
-    layer = f"repopulse_{uuid.uuid4().hex}"
-    for kind in ("raw", "staging"):
-        sinks.ensure_layer(spark, f"{layer}_{kind}", f"{root}/{kind}.db")
-    layers.register_raw(spark, root, f"{layer}_raw", tables=["comments"])
-    layers.create_staging_views(spark, f"{layer}_staging", f"{layer}_raw", tables=["comments"])
-    return spark.table(f"{layer}_staging.comments")
+    raw, staged = _registered(spark, sf_dir, "views", FULL, ["comments"])
+    layers.create_staging_views(spark, staged, raw, tables=["comments"])
+    return spark.table(f"{staged}.comments")
+
+
+def _refreshed_staging_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw, staged = _registered(spark, sf_dir, "refreshed", FEW, list(TABLES))
+    _refreshed(spark, sf_dir, layers.raw_frames(spark, raw), staging=staged, raw_layer=raw)
+    return spark.table(f"{staged}.users")
 
 
 def _null_keys(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
@@ -135,10 +180,37 @@ def _orphans(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, found)
 
 
-def _refreshed(spark: SparkSession, sf_dir: str):
-    return refresh(
-        spark, raw_tables(spark, sf_dir), AS_OF, layer=ROUNDTRIP_LAYER, location=scratch_dir(spark), keep=4
-    )
+def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks on the records with gaps, as a gate that lets them pass sees them."""
+    bad = checks.bad_measures(bad_daily(spark, sf_dir), "orders")
+    found = [build(spark, sf_dir, GAPS) for build in (_null_keys, _orphans, _duplicate_keys)]
+    rows = checks.gate(*found, bad, enforce=False)
+    stops = F.expr(f"severity = '{checks.ERROR}' and failures > 0").alias("stops")
+    return spark.createDataFrame(rows).select("*", stops)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame] | None = None, **more: str):
+    """A refresh into one layer for all queries, of which the last runs stay."""
+    place = _folder(spark, "", "roundtrip")
+    raw = raw or raw_tables(spark, sf_dir)
+    scratch = LOCAL_SCRATCH if spark.sparkContext.master.startswith("local") else None
+    return refresh(spark, raw, AS_OF, layer=ROUNDTRIP_LAYER, location=place, keep=2, scratch=scratch, **more)
+
+
+def _crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily mart where a join task may get one id of a name only."""
+    issues, prs, comments, repositories = _staged(spark, sf_dir, *STREAMS, "repositories", views=GAPS)
+    counts = activity.without_unkeyed(activity.activity_counts(issues, prs, comments))
+    return marts.with_repository(counts, repositories, ids_per_task=1).drop(marts.SPREAD)
+
+
+def _rolling(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
+    *streams, repositories = _staged(spark, sf_dir, *STREAMS, "repositories", views=views)
+    return insights.repo_rolling_from_counts(activity.activity_counts(*streams), repositories)
+
+
+def _lead_time(view: tuple) -> Query:
+    return lambda spark, sf: insights.pr_lead_time(staging.stage_pull_requests(raw_view(spark, sf, view)))
 
 
 def queries() -> dict[str, Query]:
@@ -149,7 +221,7 @@ def queries() -> dict[str, Query]:
         "scan_raw_repositories": _scan(FULL["repositories"]),
         "scan_raw_users": _scan(FULL["users"]),
         "raw_pass_through": _raw_pass_through,
-        "landed_json_issues": _landed_json_issues,
+        **{f"landed_json_{table}": _landed_json(table) for table in TABLES},
         "stored_variant_pull_requests": _stored_variant_pull_requests,
         "stage_comments": _stage(FULL["comments"]),
         "stage_issues": _stage(FULL["issues"]),
@@ -157,14 +229,19 @@ def queries() -> dict[str, Query]:
         "stage_repositories": _stage(FULL["repositories"]),
         "stage_users": _stage(FULL["users"]),
         "staging_view_comments": _staging_view_comments,
+        "refreshed_staging_users": _refreshed_staging_users,
         "issue_daily": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues")),
+        "issue_daily_gaps": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues", views=GAPS)),
         "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
+        "pr_daily_gaps": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests", views=GAPS)),
         "comment_daily": lambda spark, sf: activity.comment_daily(*_staged(spark, sf, "comments")),
+        "comment_daily_gaps": lambda spark, sf: activity.comment_daily(*_staged(spark, sf, "comments", views=GAPS)),
         "activity_spine": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS)),
         "activity_spine_gaps": lambda spark, sf: activity.activity_spine(*_staged(spark, sf, *STREAMS, views=GAPS)),
         "repo_daily_activity": _daily,
         "repo_daily_activity_many_repos": lambda spark, sf: _daily(spark, sf, MANY),
         "repo_daily_activity_gaps": lambda spark, sf: _daily(spark, sf, GAPS),
+        "repo_daily_activity_crowded_names": _crowded,
         "activity_trailing_30d": lambda spark, sf: activity.trailing_totals(_daily(spark, sf), AS_OF),
         "repo_current_stats": _stats,
         "repo_current_stats_many_repos": lambda spark, sf: _stats(spark, sf, MANY),
@@ -172,6 +249,9 @@ def queries() -> dict[str, Query]:
         "activity_time_series": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf)),
         "activity_time_series_gaps": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf, GAPS)),
         "top_repos_by_prs": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf)),
+        "top_repos_by_prs_gaps": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf, GAPS)),
+        "published_time_series": lambda spark, sf: dashboard.activity_time_series(_refreshed(spark, sf).daily),
+        "published_top_repos": lambda spark, sf: dashboard.top_repos_by_prs(_refreshed(spark, sf).daily),
         "dq_null_keys": _null_keys,
         "dq_null_keys_gaps": lambda spark, sf: _null_keys(spark, sf, GAPS),
         "dq_duplicate_keys": _duplicate_keys,
@@ -179,17 +259,18 @@ def queries() -> dict[str, Query]:
         "dq_orphans": _orphans,
         "dq_orphans_gaps": lambda spark, sf: _orphans(spark, sf, GAPS),
         "dq_measures": lambda spark, sf: checks.bad_measures(_daily(spark, sf), "repo_daily_activity"),
-        "pr_lead_time": lambda spark, sf: insights.pr_lead_time(
-            staging.stage_pull_requests(raw_view(spark, sf, TIMED_PULL_REQUESTS))
-        ),
+        "dq_measures_gaps": lambda spark, sf: checks.bad_measures(bad_daily(spark, sf), "orders"),
+        "dq_gate_gaps": _gate,
+        "pr_lead_time": _lead_time(TIMED_PULL_REQUESTS),
+        "pr_lead_time_gaps": _lead_time(TIMED_GAPS),
         "issue_backlog": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues")),
         "issue_backlog_gaps": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues", views=GAPS)),
         "contributor_activity": lambda spark, sf: insights.contributor_activity(*_staged(spark, sf, *STREAMS)),
         "contributor_activity_gaps": lambda spark, sf: insights.contributor_activity(
             *_staged(spark, sf, *STREAMS, views=GAPS)
         ),
-        "repo_rolling_30d": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf)),
-        "repo_rolling_30d_gaps": lambda spark, sf: insights.repo_rolling_totals(_daily(spark, sf, GAPS)),
+        "repo_rolling_30d": _rolling,
+        "repo_rolling_30d_gaps": lambda spark, sf: _rolling(spark, sf, GAPS),
         "published_mart_roundtrip": lambda spark, sf: _refreshed(spark, sf).daily,
         "published_stats_roundtrip": lambda spark, sf: _refreshed(spark, sf).stats,
     }

@@ -32,12 +32,14 @@ def as_date(day: datetime.date | str | Column | None) -> Column:
     return day if isinstance(day, Column) else F.lit(day).cast("date")
 
 
-def repeat_rows(df: DataFrame, times: str, block: int = 10_000) -> DataFrame:
-    """Each row as often as the column `times` says, and that column dropped.
+def repeat_rows(df: DataFrame, times: str, copy: str | None = None, block: int = 10_000) -> DataFrame:
+    """Each row as often as the column `times` says, and that column dropped; `copy` names a column
+    for the number of the copy, if wanted.
 
     Rows are opened in blocks, so no array grows with the whole number of copies.
     """
     kept = [name for name in df.columns if name != times]
     blocks = f"explode(sequence(0, ({times} - 1) div {block})) as _block"
     rows = f"explode(sequence(1, least({block}, {times} - _block * {block}))) as _copy"
-    return df.selectExpr("*", blocks).selectExpr(*kept, rows).select(*kept)
+    number = [f"_block * {block} + _copy as {copy}"] if copy else []
+    return df.selectExpr("*", blocks).selectExpr(*kept, "_block", rows).selectExpr(*kept, *number)

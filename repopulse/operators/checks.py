@@ -53,6 +53,15 @@ def duplicate_keys(df: DataFrame, relation: str, keys: Sequence[str], severity:
     return _results(repeated, "duplicate_keys", relation, severity, {",".join(keys): F.count("*")})
 
 
+def doubled_days(counts: DataFrame, repositories: DataFrame, relation: str, severity: str = ERROR) -> DataFrame:
+    """Repositories and days that a daily table made of these counts and repositories holds more than
+    once: those whose name is listed more than once. The table itself need not be grouped for it."""
+    named = repositories.where(present("repo_full_name")).groupBy("repo_full_name").agg(F.count("*").alias("_listed"))
+    days = counts.where(present("repo_full_name", "day"))
+    doubled = days.join(named.where(F.col("_listed") > 1), "repo_full_name", "left_semi")
+    return _results(doubled, "duplicate_keys", relation, severity, {"repo_full_name,day": F.count("*")})
+
+
 def orphans(
     df: DataFrame,
     relation: str,

@@ -122,15 +122,28 @@ def contributor_activity(issues: DataFrame, prs: DataFrame, comments: DataFrame)
     )
 
 
+def _rolled(per_day: DataFrame, days: int) -> DataFrame:
+    window = Window.partitionBy("repo_full_name").orderBy(F.unix_date("day")).rangeBetween(-days, 0)
+    return per_day.select(
+        "repo_full_name", "day", *[F.sum(m).over(window).alias(f"{m}_{days}d") for m in MEASURES]
+    )
+
+
 def repo_rolling_totals(daily: DataFrame, days: int = 30) -> DataFrame:
-    """Per named repository and active day: totals of that day and the `days` before it.
+    """Per named repository and active day of a stored daily table: totals of that day and the `days`
+    before it.
 
     Days are summed up first, so the window sees one row per day of a repository even where the
     repository is listed several times.
     """
     keyed = daily.where(present("repo_full_name", "day"))
-    per_day = keyed.groupBy("repo_full_name", "day").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    window = Window.partitionBy("repo_full_name").orderBy(F.unix_date("day")).rangeBetween(-days, 0)
-    return per_day.select(
-        "repo_full_name", "day", *[F.sum(m).over(window).alias(f"{m}_{days}d") for m in MEASURES]
-    )
+    return _rolled(keyed.groupBy("repo_full_name", "day").agg(*[F.sum(m).alias(m) for m in MEASURES]), days)
+
+
+def repo_rolling_from_counts(counts: DataFrame, repositories: DataFrame, days: int = 30) -> DataFrame:
+    """The same from the counts per name and day: a name that is listed several times has its totals as
+    often. Listings are counted per name, so no row is multiplied and summed up again."""
+    rolled = _rolled(counts.where(present("repo_full_name", "day")), days)
+    listed = repositories.where(present("repo_full_name")).groupBy("repo_full_name").agg(F.count("*").alias("_listed"))
+    totals = [(F.col(f"{m}_{days}d") * F.col("_listed")).alias(f"{m}_{days}d") for m in MEASURES]
+    return rolled.join(listed, "repo_full_name").select("repo_full_name", "day", *totals)

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from repopulse.operators.staging import staging_columns
-from repopulse.sinks import ensure_layer, qualified
+from repopulse.session import apply_settings
+from repopulse.sinks import ensure_layer, qualified, quoted, text_literal
 from repopulse.sources.layout import TABLES, raw_schema
 
 
@@ -24,15 +25,24 @@ def register_raw(
     tables: Sequence[str] = TABLES,
     prefix: str = "",
 ) -> None:
-    """Raw tables over the folders `<root>/<table>`. The files stay where they are."""
+    """Raw tables over the folders `<root>/<table>`. The files stay where they are.
+
+    A raw table that is registered already is registered anew, for its folder, format or types may
+    have changed. Only an entry that names files elsewhere is replaced: anything else raises.
+    """
+    apply_settings(spark)
     ensure_layer(spark, layer)
     options = " OPTIONS (mode 'FAILFAST')" if fmt == "json" else ""
     for table in tables:
-        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in raw_schema(table, times, objects))
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {qualified(prefix + table, layer)} ({columns}) USING {fmt}{options}"
-            f" LOCATION '{root.rstrip('/')}/{table}'"
-        )
+        name = qualified(prefix + table, layer)
+        if spark.catalog.tableExists(name):
+            kind = spark.catalog.getTable(name).tableType
+            if kind != "EXTERNAL":
+                raise ValueError(f"{name} is {kind}, not a raw table")
+            spark.sql(f"DROP TABLE {name}")
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in raw_schema(table, times, objects))
+        place = text_literal(f"{root.rstrip('/')}/{table}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING {fmt}{options} LOCATION {place}")
 
 
 def create_staging_views(
@@ -44,6 +54,7 @@ def create_staging_views(
     raw_prefix: str = "",
 ) -> None:
     """One view per raw table, kept in the catalog for later sessions."""
+    apply_settings(spark)
     ensure_layer(spark, layer)
     for table in tables:
         raw = qualified(raw_prefix + table, raw_layer)
@@ -52,4 +63,5 @@ def create_staging_views(
 
 
 def raw_frames(spark: SparkSession, layer: str = "raw", prefix: str = "") -> dict[str, DataFrame]:
+    apply_settings(spark)
     return {table: spark.table(qualified(prefix + table, layer)) for table in TABLES}

@@ -5,43 +5,70 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from repopulse.functions import repeat_rows
+from repopulse.functions import present, repeat_rows
 from repopulse.operators.activity import MEASURES, activity_counts, trailing_totals, without_unkeyed
 
 
-def with_repository(counts: DataFrame, repositories: DataFrame, slices: int = 1) -> DataFrame:
-    """Put the repository's id and name, as the repositories table has them, on each row.
+# Ids of one name that one join task may get with each of the name's days.
+IDS_PER_TASK = 10_000
+
+# Tells stored rows apart that are equal in day, name and id.
+SPREAD = "_spread"
+
+
+def crowded_names(repositories: DataFrame, ids_per_task: int = IDS_PER_TASK) -> DataFrame:
+    """(crowded_name, parts): names that more ids have than a join task should get."""
+    ids = repositories.where(present("repo_full_name")).groupBy("repo_full_name").agg(
+        F.count_distinct(F.coalesce(F.col("repo_id").cast("string"), F.lit(""))).alias("ids")
+    )
+    return ids.where(F.col("ids") > ids_per_task).selectExpr(
+        "repo_full_name as crowded_name", f"cast(ceil(ids / {ids_per_task}) as int) as parts"
+    )
+
+
+def with_repository(counts: DataFrame, repositories: DataFrame, ids_per_task: int = IDS_PER_TASK) -> DataFrame:
+    """Put the repository's id and name, as the repositories table has them, on each row, and a
+    column `_spread` that differs between rows which are equal otherwise.
 
     Activity of an unknown repository stays, with NULL id and name. A repository that is listed
     several times multiplies its rows. Such copies are counted before the join and opened after
     it, so that they never meet in one join task. No broadcast is forced: Spark broadcasts the
     repositories if their measured size allows, and otherwise shuffles both sides by name.
 
-    Where very many rows list one name, `slices` splits its work: its days go to that many join
-    tasks, and each of them gets the ids of the name.
+    The repositories are looked at first for names that very many ids share. If there are any, the ids
+    of just these names are dealt into as many parts as their number asks for, and just their days
+    are copied for each part. All other repositories and days are joined once.
     """
     known = repositories.groupBy("repo_id", "repo_full_name").agg(F.count("*").alias("copies"))
     days = counts.withColumnRenamed("repo_full_name", "name")
     same = F.col("name") == F.col("repo_full_name")
-    if slices > 1:
-        days = days.selectExpr("*", f"coalesce(pmod(unix_date(day), {slices}), 0) as slice")
-        known = known.selectExpr("*", f"explode(sequence(0, {slices - 1})) as known_slice")
-        same &= F.col("slice") == F.col("known_slice")
-    rows = days.join(known, same, "left").selectExpr(
-        "repo_id", "repo_full_name", "day", *MEASURES, "coalesce(copies, 1) as copies"
-    )
-    return repeat_rows(rows, "copies")
+    crowded = crowded_names(repositories, ids_per_task)
+    if not crowded.isEmpty():
+        known = known.join(crowded, F.col("repo_full_name") == F.col("crowded_name"), "left").selectExpr(
+            "repo_id", "repo_full_name", "copies", "pmod(xxhash64(repo_id), coalesce(parts, 1)) as id_part", "parts"
+        )
+        # Days go to the parts that hold ids and to no others, where they would seem unlisted.
+        used = known.where("parts is not null").selectExpr("repo_full_name as used_name", "id_part as used_part")
+        days = days.join(used.distinct(), F.col("name") == F.col("used_name"), "left").selectExpr(
+            "name", "day", *MEASURES, "coalesce(used_part, 0) as part"
+        )
+        same &= F.col("part") == F.col("id_part")
+    joined = days.join(known, same, "left")
+    rows = joined.selectExpr("repo_id", "repo_full_name", "day", *MEASURES, "name", "coalesce(copies, 1) as copies")
+    spread = f"xxhash64(name, _copy_number) as {SPREAD}"
+    return repeat_rows(rows, "copies", "_copy_number").selectExpr("repo_id", "repo_full_name", "day", *MEASURES, spread)
 
 
-def daily_from_counts(counts: DataFrame, repositories: DataFrame, slices: int = 1) -> DataFrame:
-    return with_repository(without_unkeyed(counts), repositories, slices)
+def daily_from_counts(counts: DataFrame, repositories: DataFrame) -> DataFrame:
+    """The daily mart with its `_spread` column, from the counts per name and day."""
+    return with_repository(without_unkeyed(counts), repositories)
 
 
 def repo_daily_activity(
-    issues: DataFrame, prs: DataFrame, comments: DataFrame, repositories: DataFrame, slices: int = 1
+    issues: DataFrame, prs: DataFrame, comments: DataFrame, repositories: DataFrame
 ) -> DataFrame:
     """One row per repository and day on which it has an issue, a pull request or a comment."""
-    return daily_from_counts(activity_counts(issues, prs, comments), repositories, slices)
+    return daily_from_counts(activity_counts(issues, prs, comments), repositories).drop(SPREAD)
 
 
 def repo_current_stats(repositories: DataFrame, daily: DataFrame, as_of=None, days: int = 30) -> DataFrame:

@@ -14,16 +14,14 @@ from pyspark.sql import functions as F
 
 from repopulse import sinks
 from repopulse.operators.activity import activity_counts
-from repopulse.operators.checks import bad_measures, duplicate_keys, gate, null_keys, orphans
+from repopulse.operators.checks import bad_measures, doubled_days, duplicate_keys, gate, null_keys, orphans
 from repopulse.operators.staging import stage_all
-from repopulse.plans.marts import daily_from_counts, repo_current_stats
+from repopulse.plans.layers import create_staging_views
+from repopulse.plans.marts import SPREAD, daily_from_counts, repo_current_stats
 from repopulse.session import apply_settings, scratch_dir
 
 DAILY, STATS = "repo_daily_activity", "repo_current_stats"
 
-# Join tasks per repository name, once the checks have found names that several rows list.
-SLICES = 64
-
 COMMENTS = {
     DAILY: "Issues, pull requests and comments per repository and day of their creation.",
     STATS: "One row per repository: its attributes and its activity over the trailing days.",
@@ -50,19 +48,24 @@ def new_run(as_of: datetime.date) -> str:
     return f"{now:%Y%m%d%H%M%S%f}_{as_of:%Y%m%d}_{uuid.uuid4().hex[:8]}"
 
 
+STREAMS = {"issues": "issues_created", "pull_requests": "prs_created", "comments": "comments_created"}
+
+
 def check_inputs(counts: DataFrame, staged: dict[str, DataFrame]) -> tuple[DataFrame, ...]:
-    """Checks on the raw records, from the counts per repository and day instead of the records."""
-    rows = F.col("issues_created") + F.col("prs_created") + F.col("comments_created")
+    """Checks on the raw records of each stream, from the counts per repository and day instead of
+    the records, and on the names of the repositories."""
     repositories = staged["repositories"]
-    return (
-        null_keys(counts, "activity", ["repo_full_name", "day"], rows),
-        orphans(counts, "activity", "repo_full_name", repositories, "repo_full_name", rows),
-        duplicate_keys(repositories, "repositories", ["repo_full_name"]),
-    )
+    streams = []
+    for name, rows in STREAMS.items():
+        weight = F.col(rows)
+        streams.append(null_keys(counts, name, ["repo_full_name", "day"], weight))
+        streams.append(orphans(counts, name, "repo_full_name", repositories, "repo_full_name", weight))
+    return *streams, duplicate_keys(repositories, "repositories", ["repo_full_name"])
 
 
-def check_daily(daily: DataFrame) -> tuple[DataFrame, ...]:
-    return duplicate_keys(daily, DAILY, ["repo_full_name", "day"]), bad_measures(daily, DAILY)
+def check_daily(counts: DataFrame, repositories: DataFrame) -> tuple[DataFrame, ...]:
+    """Checks on the daily mart, from the counts and names that it is made of."""
+    return doubled_days(counts, repositories, DAILY), bad_measures(counts, DAILY)
 
 
 def refresh(
@@ -74,14 +77,21 @@ def refresh(
     keep: int = 2,
     enforce: bool = True,
     prefix: str = "",
+    staging: str | None = None,
+    raw_layer: str = "raw",
+    scratch: str | None = None,
 ) -> Refreshed:
-    """Stage, count, check, build both marts, check, and only then publish them.
+    """Stage, count, check, build both marts, and only then publish them.
 
     The raw activity is scanned once: the counts per repository and day are kept for the length of
     the run as a table in the shared scratch folder, and the checks and the marts read those.
     Doubled repositories stop the run before they can multiply the daily mart. With
     `enforce=False` the marts are published whatever the checks find. `prefix` goes before the names
-    of both marts, for readers that know them by longer names.
+    of both marts, for readers that know them by longer names. `staging` names a layer in which the five
+    staging views are made, or made anew, over the raw tables of `raw_layer`. `scratch` is the shared
+    folder where the cluster names none.
+
+    A run that fails, in publishing too, leaves readers both marts as they were and drops what it built.
     """
     apply_settings(spark)
     if as_of is None:
@@ -89,29 +99,34 @@ def refresh(
     elif isinstance(as_of, str):
         as_of = datetime.date.fromisoformat(as_of)
     run = new_run(as_of)
-    daily_name, stats_name = prefix + DAILY, prefix + STATS
+    names = [prefix + DAILY, prefix + STATS]
     work = f"repopulse_work_{run}"
     sinks.ensure_layer(spark, layer, location)
-    sinks.ensure_layer(spark, work, scratch_dir(spark))
+    for name in names:
+        sinks.published_run(spark, name, layer)  # raises if the name is taken by something else
+    if staging:
+        create_staging_views(spark, staging, raw_layer)
+    sinks.ensure_layer(spark, work, scratch_dir(spark, root=scratch))
     staged = stage_all(raw)
     try:
         counts = activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
         counts = sinks.write_run(counts, "activity_counts", run, work)
         checked = gate(*check_inputs(counts, staged), enforce=enforce)
-        shared_names = any(row.check == "duplicate_keys" and row.failures > 0 for row in checked)
-        built = daily_from_counts(counts, staged["repositories"], SLICES if shared_names else 1)
-        daily = sinks.write_run(built, daily_name, run, layer, ("day", "repo_full_name", "repo_id"))
-        checked += gate(*check_daily(daily), enforce=enforce)
+        checked += gate(*check_daily(counts, staged["repositories"]), enforce=enforce)
+        # Stored once before it is dealt into ranges, since finding the ranges reads it one more time.
+        built = sinks.write_run(daily_from_counts(counts, staged["repositories"]), "daily", run, work)
+        daily = sinks.write_run(built, names[0], run, layer, ("day", "repo_full_name", "repo_id"), SPREAD)
         stats = repo_current_stats(staged["repositories"], daily, as_of)
-        sinks.write_run(stats, stats_name, run, layer, ("repo_full_name", "repo_id"))
+        stats = sinks.write_run(stats, "stats", run, work)
+        sinks.write_run(stats, names[1], run, layer, ("repo_full_name", "repo_id"))
+        comments = dict(zip(names, (COMMENTS[DAILY], COMMENTS[STATS])))
+        daily, stats = sinks.publish_all(spark, names, run, layer, comments, COLUMN_COMMENTS)
     except Exception:
-        for name in (daily_name, stats_name):
+        for name in names:
             sinks.drop_run(spark, name, run, layer)
         raise
     finally:
         sinks.drop_layer(spark, work)
-    daily = sinks.publish(spark, daily_name, run, layer, COMMENTS[DAILY], COLUMN_COMMENTS)
-    stats = sinks.publish(spark, stats_name, run, layer, COMMENTS[STATS], COLUMN_COMMENTS)
-    for name in (daily_name, stats_name):
+    for name in names:
         sinks.retire(spark, name, run, keep, layer)
     return Refreshed(run, daily, stats, checked)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import argparse
 
+from repopulse.plans.layers import raw_frames, register_raw
 from repopulse.plans.refresh import refresh
 from repopulse.session import cluster_session
 from repopulse.sources.readers import read_all
@@ -21,6 +22,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", help="last day of the trailing window, YYYY-MM-DD; today if not given")
     parser.add_argument("--layer", default="mart")
     parser.add_argument("--prefix", default="", help="put before the names of the marts")
+    parser.add_argument("--staging", help="layer for the five staging views; none are made if not given")
+    parser.add_argument("--raw-layer", default="raw", help="layer that the raw tables are registered in for them")
     parser.add_argument("--location", help="folder of the layer; the warehouse's own if not given")
     parser.add_argument("--keep", type=int, default=2, help="runs to keep")
     parser.add_argument("--warn-only", action="store_true", help="publish whatever the checks find")
@@ -31,8 +34,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    spark = cluster_session(shuffle_bytes=args.shuffle_gb * 1024**3, cores=args.cores)
-    raw = read_all(spark, args.raw, args.format, args.times, args.objects)
+    scan = "whole" if args.format == "json" else "narrow"
+    spark = cluster_session(shuffle_bytes=args.shuffle_gb * 1024**3, cores=args.cores, scan=scan)
+    if args.staging:
+        register_raw(spark, args.raw, args.raw_layer, args.format, args.times, args.objects)
+        raw = raw_frames(spark, args.raw_layer)
+    else:
+        raw = read_all(spark, args.raw, args.format, args.times, args.objects)
     done = refresh(
         spark,
         raw,
@@ -42,6 +50,8 @@ def main(argv: list[str] | None = None) -> None:
         keep=args.keep,
         enforce=not args.warn_only,
         prefix=args.prefix,
+        staging=args.staging,
+        raw_layer=args.raw_layer,
     )
     print(f"published run {done.run}")
     for row in done.checks:

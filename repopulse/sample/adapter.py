@@ -4,7 +4,7 @@ Each raw field is an expression that Spark and DuckDB both understand, so the sa
 the query and its check. `iso(x)` stands for a timestamp: ISO text, or the timestamp itself.
 Fields that are not listed are typed NULLs. Every table is read whole. Orders play the issues and
 the pull requests, line items the comments, nations or customers the repositories, customers the
-users. In `FEW` an order is an issue if it is urgent; elsewhere each order is one.
+users. Every row of a source table is a record.
 """
 
 from __future__ import annotations
@@ -109,22 +109,20 @@ _USERS = {
     "_airbyte_raw_id": "concat('u', c_custkey)",
 }
 
-URGENT = "o_orderpriority = '1-URGENT'"
-
-# view: (raw table, source table, filter, fields)
+# view: (raw table, source table, fields)
 FEW = {
-    "comments": ("comments", "lineitem", None, _comments(_NATION_OF_ITEM)),
-    "issues": ("issues", "orders", URGENT, _issues(_NATION_OF_ORDER)),
-    "pull_requests": ("pull_requests", "orders", None, _pull_requests(_NATION_OF_ORDER)),
-    "repositories": ("repositories", "nation", None, _NATION_REPOSITORIES),
-    "users": ("users", "customer", None, _USERS),
+    "comments": ("comments", "lineitem", _comments(_NATION_OF_ITEM)),
+    "issues": ("issues", "orders", _issues(_NATION_OF_ORDER)),
+    "pull_requests": ("pull_requests", "orders", _pull_requests(_NATION_OF_ORDER)),
+    "repositories": ("repositories", "nation", _NATION_REPOSITORIES),
+    "users": ("users", "customer", _USERS),
 }
 # The same records with a repository per customer, so that the number of keys grows with the data.
 MANY = {
-    "comments": ("comments", "lineitem", None, _comments(_CUSTOMER_OF_ITEM)),
-    "issues": ("issues", "orders", None, _issues(_CUSTOMER_OF_ORDER)),
-    "pull_requests": ("pull_requests", "orders", None, _pull_requests(_CUSTOMER_OF_ORDER)),
-    "repositories": ("repositories", "customer", None, _CUSTOMER_REPOSITORIES),
+    "comments": ("comments", "lineitem", _comments(_CUSTOMER_OF_ITEM)),
+    "issues": ("issues", "orders", _issues(_CUSTOMER_OF_ORDER)),
+    "pull_requests": ("pull_requests", "orders", _pull_requests(_CUSTOMER_OF_ORDER)),
+    "repositories": ("repositories", "customer", _CUSTOMER_REPOSITORIES),
     "users": FEW["users"],
 }
 # The same records with holes and copies: some without repository or time, one repository without
@@ -133,7 +131,6 @@ GAPS = {
     "comments": (
         "comments",
         "lineitem",
-        None,
         {
             **_comments(f"case when l_orderkey % 10 > 0 then {_NATION_OF_ITEM} end"),
             "created_at": "case when l_orderkey % 11 > 0 then iso(l_shipdate) end",
@@ -142,7 +139,6 @@ GAPS = {
     "issues": (
         "issues",
         "orders",
-        None,
         {
             **_issues(f"case when o_orderkey % 10 > 0 then {_NATION_OF_ORDER} end"),
             "created_at": "case when o_orderkey % 11 > 0 then iso(o_orderdate) end",
@@ -151,7 +147,6 @@ GAPS = {
     "pull_requests": (
         "pull_requests",
         "orders",
-        None,
         {
             **_pull_requests(f"case when o_orderkey % 13 > 0 then {_NATION_OF_ORDER} end"),
             "created_at": "case when o_orderkey % 17 > 0 then iso(o_orderdate) end",
@@ -160,7 +155,6 @@ GAPS = {
     "repositories": (
         "repositories",
         "nation",
-        None,
         {
             **_NATION_REPOSITORIES,
             "id": "case when n_nationkey < 23 then n_nationkey % 20 else n_nationkey end",
@@ -174,9 +168,8 @@ FULL = {
     "comments": (
         "comments",
         "lineitem",
-        None,
         {
-            **FEW["comments"][3],
+            **FEW["comments"][2],
             "updated_at": "iso(l_shipdate + interval 1 hour)",
             "html_url": "concat('https://host.example/comments/', l_orderkey, '/', l_linenumber)",
             "issue_url": "concat('https://host.example/issues/', l_orderkey)",
@@ -187,9 +180,8 @@ FULL = {
     "issues": (
         "issues",
         "orders",
-        None,
         {
-            **FEW["issues"][3],
+            **FEW["issues"][2],
             "repository_url": f"concat('https://host.example/repos/', {_NATION_OF_ORDER})",
             "state_reason": "case when o_orderstatus = 'F' then 'completed' end",
             "title": "concat('Order ', o_orderkey)",
@@ -201,9 +193,8 @@ FULL = {
     "pull_requests": (
         "pull_requests",
         "orders",
-        None,
         {
-            **FEW["pull_requests"][3],
+            **FEW["pull_requests"][2],
             "state": "case when o_orderstatus = 'O' then 'open' else 'closed' end",
             "title": "concat('Order ', o_orderkey)",
             "body": "case when o_orderkey % 4 > 0 then concat('Priority ', o_orderpriority) end",
@@ -220,7 +211,6 @@ FULL = {
     "repositories": (
         "repositories",
         "customer",
-        None,
         {
             **_CUSTOMER_REPOSITORIES,
             "html_url": "concat('https://host.example/', c_name)",
@@ -240,7 +230,6 @@ FULL = {
     "users": (
         "users",
         "customer",
-        None,
         {
             **_USERS,
             "html_url": "concat('https://host.example/user', c_custkey)",
@@ -256,7 +245,6 @@ FULL = {
 TIMED_PULL_REQUESTS = (
     "pull_requests",
     "orders",
-    None,
     {
         **_pull_requests(_NATION_OF_ORDER),
         "merged_at": "case when o_orderstatus = 'F' then"
@@ -264,23 +252,36 @@ TIMED_PULL_REQUESTS = (
     },
 )
 
+# The same with the holes of `GAPS`.
+TIMED_GAPS = (
+    "pull_requests",
+    "orders",
+    {**GAPS["pull_requests"][2], "merged_at": TIMED_PULL_REQUESTS[2]["merged_at"]},
+)
+# Measures that a daily table must not have: a row per order, some below zero, some with more merged
+# than created pull requests.
+BAD_MEASURES = {
+    "issues_created": "o_orderkey % 7 - 1",
+    "prs_created": "o_custkey % 5",
+    "prs_merged": "o_orderkey % 6",
+    "comments_created": "o_custkey % 11 - 2",
+}
+
 _ISO = re.compile(r"iso\(((?:[^()]|\((?:[^()]|\([^()]*\))*\))*)\)")
 
 
 def field_expressions(view: tuple, iso: str) -> dict[str, str]:
     """SQL text per raw field; `iso` is a template for timestamps with `{}` for the value."""
-    _, _, _, fields = view
+    _, _, fields = view
     return {name: _ISO.sub(lambda m: iso.format(m.group(1)), text) for name, text in fields.items()}
 
 
 def raw_view(spark: SparkSession, sf_dir: str, view: tuple, times: str = "timestamp") -> DataFrame:
     """A raw-shaped table. With `times="string"` timestamps are ISO text, as in landed JSON."""
-    table, source, where, _ = view
+    table, source, _ = view
     iso = "date_format({}, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")" if times == "string" else "cast({} as timestamp)"
     expressions = field_expressions(view, iso)
     df = spark.read.schema(SOURCE_SCHEMAS[source]).parquet(f"{sf_dir}/{source}.parquet")
-    if where:
-        df = df.where(where)
     return df.selectExpr(
         *[
             f"cast({expressions.get(field.name, 'null')} as {field.dataType.simpleString()}) as `{field.name}`"
@@ -289,6 +290,11 @@ def raw_view(spark: SparkSession, sf_dir: str, view: tuple, times: str = "timest
     )
 
 
+def bad_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.schema(SOURCE_SCHEMAS["orders"]).parquet(f"{sf_dir}/orders.parquet")
+    return orders.selectExpr(*[f"{value} as {name}" for name, value in BAD_MEASURES.items()])
+
+
 def raw_tables(
     spark: SparkSession, sf_dir: str, views: dict = FEW, names: Sequence[str] = TABLES
 ) -> dict[str, DataFrame]:

@@ -5,8 +5,17 @@ Dates and timestamps are compared as ISO text, so no engine's own rendering matt
 
 from __future__ import annotations
 
-from repopulse.sample.adapter import FEW, FULL, GAPS, MANY, TIMED_PULL_REQUESTS, field_expressions
-from repopulse.sources.layout import LAYOUT, Staged, raw_schema
+from repopulse.sample.adapter import (
+    BAD_MEASURES,
+    FEW,
+    FULL,
+    GAPS,
+    MANY,
+    TIMED_GAPS,
+    TIMED_PULL_REQUESTS,
+    field_expressions,
+)
+from repopulse.sources.layout import LAYOUT, TABLES, Staged, raw_schema
 
 AS_OF = "2001-07-31"
 _SQL_TYPES = {"bigint": "BIGINT", "long": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN"}
@@ -15,13 +24,13 @@ _ISO = "%Y-%m-%dT%H:%M:%SZ"
 
 def _raw(view: tuple) -> str:
     """Select of a raw-shaped table, timestamps as ISO text."""
-    table, source, where, _ = view
+    table, source, _ = view
     expressions = field_expressions(view, f"strftime({{}}, '{_ISO}')")
     columns = []
     for field in raw_schema(table, "string"):
         kind = _SQL_TYPES[field.dataType.simpleString()]
         columns.append(f"CAST({expressions.get(field.name, 'NULL')} AS {kind}) AS \"{field.name}\"")
-    return f"SELECT {', '.join(columns)} FROM {source}" + (f" WHERE {where}" if where else "")
+    return f"SELECT {', '.join(columns)} FROM {source}"
 
 
 def _staged_column(column: Staged) -> str:
@@ -65,18 +74,34 @@ _PR_DAYS = """pr_days AS (
 _COMMENT_DAYS = """comment_days AS (
     SELECT repo_name AS repo, CAST(comment_created_at AS DATE) AS day, count(*) AS written
     FROM comments GROUP BY ALL)"""
-_SPINE = """spine AS (
-    FROM issue_days SELECT repo, day UNION FROM pr_days SELECT repo, day
-    UNION FROM comment_days SELECT repo, day)"""
-_DAILY = """daily AS (
-    SELECT repo_id, repo_full_name, day, ifnull(issue_days.opened, 0) AS issues_created,
-           ifnull(pr_days.opened, 0) AS prs_created, ifnull(merged, 0) AS prs_merged,
-           ifnull(written, 0) AS comments_created
-    FROM spine
-    LEFT JOIN issue_days USING (repo, day)
-    LEFT JOIN pr_days USING (repo, day)
-    LEFT JOIN comment_days USING (repo, day)
-    LEFT JOIN repositories ON repo_full_name = repo)"""
+# Every record as one row of its key and what it counts for, without which the key has zeros.
+_RECORDS = """records AS (
+    SELECT repo_name AS repo, CAST(issue_created_at AS DATE) AS on_day, 'issue' AS kind FROM issues
+    UNION ALL SELECT repo_name, CAST(pr_created_at AS DATE), 'pr' FROM pull_requests
+    UNION ALL SELECT repo_name, CAST(pr_created_at AS DATE), 'merged' FROM pull_requests WHERE pr_merged_at IS NOT NULL
+    UNION ALL SELECT repo_name, CAST(comment_created_at AS DATE), 'comment' FROM comments)"""
+
+
+def _tally(kind: str, name: str) -> str:
+    # A key with a NULL in it is equal to nothing, so its records belong to no row.
+    own = f"kind = '{kind}' AND repo IS NOT NULL AND on_day IS NOT NULL"
+    return f"count(CASE WHEN {own} THEN 1 END) AS {name}"
+
+
+_TALLIES = ", ".join(
+    _tally(kind, name)
+    for kind, name in (
+        ("issue", "issues_created"),
+        ("pr", "prs_created"),
+        ("merged", "prs_merged"),
+        ("comment", "comments_created"),
+    )
+)
+_DAILY = f"""daily AS (
+    SELECT listed.repo_id, listed.repo_full_name, keys.on_day AS day, issues_created, prs_created,
+           prs_merged, comments_created
+    FROM (SELECT repo, on_day, {_TALLIES} FROM records GROUP BY repo, on_day) keys
+    LEFT JOIN repositories listed ON listed.repo_full_name = keys.repo)"""
 _MEASURES = ("issues_created", "prs_created", "prs_merged", "comments_created")
 
 
@@ -86,7 +111,7 @@ def _sums(suffix: str = "") -> str:
 
 def _with_daily(views: dict) -> str:
     staged = _staged(views, "issues", "pull_requests", "comments", "repositories")
-    return f"WITH {staged}, {_ISSUE_DAYS}, {_PR_DAYS}, {_COMMENT_DAYS}, {_SPINE}, {_DAILY}"
+    return f"WITH {staged}, {_RECORDS}, {_DAILY}"
 
 
 def _daily(views: dict) -> str:
@@ -106,10 +131,10 @@ def _stats(views: dict, as_of: str = AS_OF) -> str:
     FROM repositories LEFT JOIN recent USING (repo_full_name)"""
 
 
-def _counts(name: str, days: str, columns: str) -> str:
+def _counts(name: str, days: str, columns: str, views: dict = FEW) -> str:
     table = days.split(" ", 1)[0]
     return (
-        f"WITH {_staged(FEW, name)}, {days}"
+        f"WITH {_staged(views, name)}, {days}"
         f" SELECT repo AS repo_full_name, CAST(day AS VARCHAR) AS day, {columns} FROM {table}"
     )
 
@@ -170,29 +195,56 @@ def _orphans(views: dict = FEW) -> str:
     return f"WITH {_staged(views, *tables, 'repositories')} " + " UNION ALL ".join(rows)
 
 
+_MEASURE_TESTS = {**{m: f"{m} < 0" for m in _MEASURES}, "prs_merged<=prs_created": "prs_merged > prs_created"}
+
+
 def _bad_measures() -> str:
-    tests = {m: f"{m} < 0" for m in _MEASURES}
-    tests["prs_merged<=prs_created"] = "prs_merged > prs_created"
     rows = [
         _check("bad_measures", "repo_daily_activity", key, "error", f"SELECT count(*) FROM daily WHERE {test}")
-        for key, test in tests.items()
+        for key, test in _MEASURE_TESTS.items()
     ]
     return f"{_with_daily(FEW)} " + " UNION ALL ".join(rows)
 
 
-_LEAD_TIME = f"""WITH {_staged({"pull_requests": TIMED_PULL_REQUESTS}, "pull_requests")}, lead AS (
+def _bad_measures_gaps() -> str:
+    columns = ", ".join(f"{value} AS {name}" for name, value in BAD_MEASURES.items())
+    rows = [
+        _check("bad_measures", "orders", key, "error", f"SELECT count(*) FROM bad WHERE {test}")
+        for key, test in _MEASURE_TESTS.items()
+    ]
+    return f"WITH bad AS (SELECT {columns} FROM orders) " + " UNION ALL ".join(rows)
+
+
+def _gate() -> str:
+    """Checks of all three kinds on the records with gaps, and whether each stops a run."""
+    parts = [
+        f"SELECT * FROM ({sql}) q{n}"
+        for n, sql in enumerate((_null_keys(GAPS), _orphans(GAPS), _duplicate_keys(GAPS), _bad_measures_gaps()))
+    ]
+    rows = " UNION ALL ".join(parts)
+    return f"SELECT *, severity = 'error' AND failures > 0 AS stops FROM ({rows}) every_check"
+
+
+def _lead_time(view: tuple) -> str:
+    return f"""WITH {_staged({"pull_requests": view}, "pull_requests")}, lead AS (
     SELECT repo_name, epoch(pr_merged_at)::BIGINT - epoch(pr_created_at)::BIGINT AS seconds
-    FROM pull_requests WHERE pr_merged_at IS NOT NULL)
+    FROM pull_requests WHERE pr_merged_at IS NOT NULL AND pr_created_at IS NOT NULL AND repo_name IS NOT NULL)
 SELECT repo_name AS repo_full_name, count(*) AS prs_merged,
        CAST(sum(seconds) AS DOUBLE) / count(*) / 3600 AS mean_hours,
        quantile_cont(seconds, 0.5) / 3600 AS median_hours
 FROM lead GROUP BY ALL"""
 
 
+def _top(views: dict = FEW) -> str:
+    return (
+        f"{_with_daily(views)} SELECT repo_full_name, CAST(sum(prs_created) AS BIGINT) AS prs_created"
+        " FROM daily WHERE repo_full_name IS NOT NULL GROUP BY ALL ORDER BY prs_created DESC, repo_full_name LIMIT 5"
+    )
+
+
 def _spine(views: dict = FEW) -> str:
     return f"""WITH {_staged(views, "issues", "pull_requests", "comments")},
-    {_ISSUE_DAYS}, {_PR_DAYS}, {_COMMENT_DAYS}, {_SPINE}
-    SELECT repo AS repo_full_name, CAST(day AS VARCHAR) AS day FROM spine"""
+    {_RECORDS} SELECT DISTINCT repo AS repo_full_name, CAST(on_day AS VARCHAR) AS day FROM records"""
 
 
 def _time_series(views: dict = FEW) -> str:
@@ -243,7 +295,7 @@ ORACLE = {
     "raw_pass_through": " UNION ALL ".join(
         f"SELECT '{name}' AS relation, id, _airbyte_raw_id FROM ({_raw(view)})" for name, view in FEW.items()
     ),
-    "landed_json_issues": _stage_query(FULL, "issues"),
+    **{f"landed_json_{name}": _stage_query(FULL, name) for name in TABLES},
     "stored_variant_pull_requests": _stage_query(FULL, "pull_requests"),
     "stage_comments": _stage_query(FULL, "comments"),
     "stage_issues": _stage_query(FULL, "issues"),
@@ -251,22 +303,29 @@ ORACLE = {
     "stage_repositories": _stage_query(FULL, "repositories"),
     "stage_users": _stage_query(FULL, "users"),
     "staging_view_comments": _stage_query(FULL, "comments"),
+    "refreshed_staging_users": _stage_query(FEW, "users"),
     "issue_daily": _counts("issues", _ISSUE_DAYS, "opened AS issues_created"),
+    "issue_daily_gaps": _counts("issues", _ISSUE_DAYS, "opened AS issues_created", GAPS),
     "pr_daily": _counts("pull_requests", _PR_DAYS, "opened AS prs_created, merged AS prs_merged"),
+    "pr_daily_gaps": _counts("pull_requests", _PR_DAYS, "opened AS prs_created, merged AS prs_merged", GAPS),
     "comment_daily": _counts("comments", _COMMENT_DAYS, "written AS comments_created"),
+    "comment_daily_gaps": _counts("comments", _COMMENT_DAYS, "written AS comments_created", GAPS),
     "activity_spine": _spine(),
     "activity_spine_gaps": _spine(GAPS),
     "repo_daily_activity": _daily(FEW),
     "repo_daily_activity_many_repos": _daily(MANY),
     "repo_daily_activity_gaps": _daily(GAPS),
+    "repo_daily_activity_crowded_names": _daily(GAPS),
     "activity_trailing_30d": f"{_with_daily(FEW)} {_recent(AS_OF)}",
     "repo_current_stats": _stats(FEW),
     "repo_current_stats_many_repos": _stats(MANY),
     "repo_current_stats_gaps": _stats(GAPS),
     "activity_time_series": _time_series(),
     "activity_time_series_gaps": _time_series(GAPS),
-    "top_repos_by_prs": f"{_with_daily(FEW)} SELECT repo_full_name, CAST(sum(prs_created) AS BIGINT) AS prs_created"
-    " FROM daily WHERE repo_full_name IS NOT NULL GROUP BY ALL ORDER BY prs_created DESC, repo_full_name LIMIT 5",
+    "top_repos_by_prs": _top(),
+    "top_repos_by_prs_gaps": _top(GAPS),
+    "published_time_series": _time_series(),
+    "published_top_repos": _top(),
     "dq_null_keys": _null_keys(),
     "dq_null_keys_gaps": _null_keys(GAPS),
     "dq_duplicate_keys": _duplicate_keys(),
@@ -274,7 +333,10 @@ ORACLE = {
     "dq_orphans": _orphans(),
     "dq_orphans_gaps": _orphans(GAPS),
     "dq_measures": _bad_measures(),
-    "pr_lead_time": _LEAD_TIME,
+    "dq_measures_gaps": _bad_measures_gaps(),
+    "dq_gate_gaps": _gate(),
+    "pr_lead_time": _lead_time(TIMED_PULL_REQUESTS),
+    "pr_lead_time_gaps": _lead_time(TIMED_GAPS),
     "issue_backlog": _backlog(),
     "issue_backlog_gaps": _backlog(GAPS),
     "contributor_activity": _contributors(),

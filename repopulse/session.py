@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,21 +16,23 @@ RESULT_SETTINGS = {
 }
 
 # Runtime re-planning: merge small shuffle partitions, split skewed join partitions, and
-# broadcast a join side only once its measured size is below the threshold. Scans read a few
-# narrow columns, so a task takes 1 GB of file, of which it reads a small part: 100 TB make
-# 100,000 tasks. Timestamps are stored in the form that has file statistics.
+# broadcast a join side only once its measured size is below the threshold. Timestamps are stored
+# in the form that has file statistics.
 CLUSTER_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.files.maxPartitionBytes": "1g",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 MB = 1024 * 1024
 
+# File bytes per scan task. Counts read a few narrow columns of Parquet, a small part of the file, so
+# 1 GB: 100 TB make 100,000 tasks. JSON lines and whole staged tables are read to the last byte.
+SCAN_BYTES = {"narrow": "1g", "whole": "256m"}
+
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Set the result settings on a session that somebody else started."""
@@ -43,11 +44,10 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shuffle_partitions(shuffle_bytes: int, cores: int) -> int:
     """Initial number of shuffle partitions for an expected shuffle volume.
 
-    About 128 MB each, so that a partition sorts and aggregates in executor memory; at least
-    one per core, and at most 100,000, beyond which the block bookkeeping costs more than it
-    saves. Adaptive execution merges whatever turns out small.
+    About 128 MB each, so that a partition sorts and aggregates in executor memory, and at least
+    one per core. Adaptive execution merges whatever turns out small.
     """
-    return max(cores, min(100_000, -(-shuffle_bytes // (128 * MB))))
+    return max(cores, -(-shuffle_bytes // (128 * MB)))
 
 
 def cluster_session(
@@ -55,10 +55,13 @@ def cluster_session(
     shuffle_bytes: int = 0,
     cores: int = 8,
     extra: dict[str, str] | None = None,
+    scan: str = "narrow",
 ) -> SparkSession:
-    """Session for a scheduled run. The master comes from `spark-submit`."""
+    """Session for a scheduled run. The master comes from `spark-submit`; `scan` says how much of
+    its files a run reads."""
     settings = {
         **CLUSTER_SETTINGS,
+        "spark.sql.files.maxPartitionBytes": SCAN_BYTES[scan],
         **RESULT_SETTINGS,
         "spark.sql.shuffle.partitions": str(shuffle_partitions(shuffle_bytes, cores)),
         **(extra or {}),
@@ -86,14 +89,10 @@ def local_session(cores: int = 8, app: str = "repopulse", extra: dict[str, str]
     return spark
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name below the shared folder the cluster names in `spark.checkpoint.dir`.
-
-    A machine-local folder is used only where that setting is missing and Spark is local.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def scratch_dir(spark: SparkSession, name: str | None = None, root: str | None = None) -> str:
+    """A folder name below the shared folder the cluster names in `spark.checkpoint.dir`: a new one,
+    or that of `name`. `root` is used where the setting is missing, and must be as reachable."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or root
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        root = tempfile.mkdtemp(prefix="repopulse-")
-    return f"{root.rstrip('/')}/repopulse-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return f"{root.rstrip('/')}/repopulse-{name or uuid.uuid4().hex}"

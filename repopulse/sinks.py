@@ -7,26 +7,55 @@ see one run or the other, and a failed run changes nothing for them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_LAYER = "default"
 
 
+def quoted(name: str) -> str:
+    """A name as SQL takes it, whatever signs it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def text_literal(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def qualified(name: str, layer: str | None = None) -> str:
     """A given layer is used as it is, without a prefix; none means the default one."""
-    return f"`{layer or DEFAULT_LAYER}`.`{name}`"
+    return f"{quoted(layer or DEFAULT_LAYER)}.{quoted(name)}"
+
+
+def same_place(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether two locations are the same folder of the same file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def whole(place: str) -> str:
+        # The catalog gives locations as URIs, with signs such as spaces encoded.
+        found = path(unquote(place) if re.match(r"[a-z0-9+.-]+:", place) else place)
+        return found.getFileSystem(conf).makeQualified(found).toString().rstrip("/")
+
+    return whole(one) == whole(other)
 
 
 def ensure_layer(spark: SparkSession, layer: str, location: str | None = None) -> None:
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`{place}")
+    """Create a layer. One that is there already must have the location that is asked for."""
+    if location and spark.catalog.databaseExists(quoted(layer)):
+        there = spark.catalog.getDatabase(quoted(layer)).locationUri
+        if not same_place(spark, there, location):
+            raise ValueError(f"layer {layer} is at {there}, not at {location}")
+    place = f" LOCATION {text_literal(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(layer)}{place}")
 
 
 def drop_layer(spark: SparkSession, layer: str) -> None:
     """Drop a work layer and the tables stored in it."""
-    spark.sql(f"DROP DATABASE IF EXISTS `{layer}` CASCADE")
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(layer)} CASCADE")
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -39,15 +68,21 @@ def run_table(name: str, run: str) -> str:
     return f"{name}__{run}"
 
 
-def write_run(df: DataFrame, name: str, run: str, layer: str | None = None, order: Sequence[str] = ()) -> DataFrame:
+def write_run(
+    df: DataFrame, name: str, run: str, layer: str | None = None, order: Sequence[str] = (), spread: str | None = None
+) -> DataFrame:
     """Store one run of a table and return it as read back.
 
     `order` spreads the rows over the files by range and sorts each file, so that the statistics
     in a file rule it out for filters on the leading column. The number of files follows from the
-    size: adaptive execution merges small ranges.
+    size: adaptive execution merges small ranges. `spread` names a column that tells rows apart which
+    are equal in the others, so that very many of them make several ranges; it is not stored.
     """
     if order:
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        ranges = [*order, spread] if spread else order
+        df = df.repartitionByRange(*ranges).sortWithinPartitions(*order)
+    if spread:
+        df = df.drop(spread)
     table = qualified(run_table(name, run), layer)
     df.write.mode("errorifexists").format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)
@@ -61,22 +96,63 @@ def publish(
     comment: str = "",
     column_comments: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Point readers of the table to a run of it. Comments may not contain quotes."""
+    """Point readers of the table to a run of it."""
     view, stored = qualified(name, layer), qualified(run_table(name, run), layer)
     comments = column_comments or {}
     columns = ", ".join(
-        f"`{column}`" + (f" COMMENT '{comments[column]}'" if column in comments else "")
+        quoted(column) + (f" COMMENT {text_literal(comments[column])}" if column in comments else "")
         for column in spark.table(stored).columns
     )
-    spark.sql(f"CREATE OR REPLACE VIEW {view} ({columns}) COMMENT '{comment}' AS SELECT * FROM {stored}")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} ({columns}) COMMENT {text_literal(comment)} AS SELECT * FROM {stored}")
     return spark.table(view)
 
 
 def runs(spark: SparkSession, name: str, layer: str | None = None) -> list[str]:
     """Stored runs of a table, in name order."""
     prefix = run_table(name, "")
-    found = spark.sql(f"SHOW TABLES IN `{layer or DEFAULT_LAYER}` LIKE '{prefix}*'").collect()
-    return sorted(row.tableName[len(prefix) :] for row in found if not row.isTemporary)
+    found = spark.sql(f"SHOW TABLES IN {quoted(layer or DEFAULT_LAYER)}").collect()
+    names = [row.tableName for row in found if not row.isTemporary]
+    return sorted(name[len(prefix) :] for name in names if name.startswith(prefix))
+
+
+def published_run(spark: SparkSession, name: str, layer: str | None = None) -> str | None:
+    """The run that readers of a table see; none if it was never published. Raises if something else
+    than a published table stands under the name, which a later `publish` could not replace."""
+    view = qualified(name, layer)
+    if not spark.catalog.tableExists(view):
+        return None
+    described = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE EXTENDED {view}").collect()}
+    start = f"SELECT * FROM {qualified(run_table(name, ''), layer)[:-1]}"
+    text = described.get("View Text", "")
+    if described.get("Type") != "VIEW" or not text.startswith(start):
+        raise ValueError(f"{view} is no published table")
+    return text[len(start) :].rstrip("`").replace("``", "`")
+
+
+def publish_all(
+    spark: SparkSession,
+    names: Sequence[str],
+    run: str,
+    layer: str | None = None,
+    comments: Mapping[str, str] | None = None,
+    column_comments: Mapping[str, str] | None = None,
+) -> list[DataFrame]:
+    """Publish one run of several tables. If one of them fails, those before it go back to the runs
+    they had. Between the statements a reader can see the new run of one table and the old of another."""
+    before = {name: published_run(spark, name, layer) for name in names}
+    shown, comments = [], comments or {}
+    try:
+        return [
+            shown.append(name) or publish(spark, name, run, layer, comments.get(name, ""), column_comments)
+            for name in names
+        ]
+    except Exception:
+        for name in shown:
+            if before[name] is not None:
+                publish(spark, name, before[name], layer, comments.get(name, ""), column_comments)
+            elif spark.catalog.tableExists(qualified(name, layer)):
+                spark.sql(f"DROP VIEW IF EXISTS {qualified(name, layer)}")
+        raise
 
 
 def drop_run(spark: SparkSession, name: str, run: str, layer: str | None = None) -> None:

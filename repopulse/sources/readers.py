@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from repopulse.session import apply_settings
 from repopulse.sources.layout import TABLES, raw_schema
 
 
@@ -22,6 +23,7 @@ def read_raw(
     filters on a day reach the scan. `objects="variant"` reads embedded objects as variants: from
     JSON lines they are then parsed once, and from Parquet the scan can return only the parts read.
     """
+    apply_settings(spark)
     reader = spark.read.schema(raw_schema(table, times, objects))
     if fmt == "json":
         reader = reader.option("mode", "FAILFAST")

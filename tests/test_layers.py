@@ -65,5 +65,34 @@ def test_command_line(spark, tmp_path, names, capsys):
     options = f"--raw {tmp_path} --as-of 2024-01-31 --layer {names['mart']} --keep 1 --shuffle-gb 1"
     run.main(options.split())
     printed = capsys.readouterr().out
-    assert re.match(r"published run \d{20}_20240131_", printed) and "warn orphans activity.repo_full_name: 1" in printed
+    assert re.match(r"published run \d{20}_20240131_", printed) and "warn orphans issues.repo_full_name: 1" in printed
     assert unordered(tuples(spark.table(f"{names['mart']}.repo_daily_activity"))) == unordered(DAILY)
+
+
+def test_registering_again_reads_the_new_folder_format_and_types(spark, tmp_path, names):
+    raw = golden_raw(spark)
+    land(raw, tmp_path / "a 'quoted' place", "parquet")
+    few = {name: df.limit(1) for name, df in raw.items()}
+    land(few, tmp_path / "b", "json")
+    layers.register_raw(spark, str(tmp_path / "a 'quoted' place"), names["raw"])
+    assert spark.table(f"{names['raw']}.issues").count() == raw["issues"].count()
+    layers.register_raw(spark, str(tmp_path / "b"), names["raw"], "json", objects="variant")
+    assert spark.table(f"{names['raw']}.issues").count() == 1
+    assert dict(spark.table(f"{names['raw']}.issues").dtypes)["user"] == "variant"
+
+
+def test_a_stored_table_is_not_replaced_by_a_raw_one(spark, tmp_path, names):
+    land(golden_raw(spark), tmp_path, "parquet")
+    sinks.ensure_layer(spark, names["raw"])
+    spark.range(3).write.saveAsTable(f"{names['raw']}.issues")
+    with pytest.raises(ValueError, match="not a raw table"):
+        layers.register_raw(spark, str(tmp_path), names["raw"])
+    assert spark.table(f"{names['raw']}.issues").count() == 3
+
+
+def test_refresh_makes_the_staging_views(spark, tmp_path, names):
+    land(golden_raw(spark), tmp_path, "parquet")
+    options = f"--raw {tmp_path} --as-of 2024-01-31 --layer {names['mart']} --shuffle-gb 1"
+    run.main(f"{options} --staging {names['staging']} --raw-layer {names['raw']}".split())
+    found = {r.tableName for r in spark.sql(f"SHOW TABLES IN {names['staging']}").collect()}
+    assert found == set(TABLES)

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from repopulse.functions import repeat_rows
 from repopulse.operators import activity
-from repopulse.operators.staging import stage_all
+from repopulse.operators.staging import stage, stage_all
 from repopulse.plans import dashboard, marts
+from repopulse.sources.readers import read_raw
 from tests.records import DAILY, REPOSITORIES, day, golden_staged, raw_frames, tuples, unordered
 
 
@@ -49,16 +50,36 @@ def test_repositories_sharing_a_name_each_get_the_activity(spark):
 
 
 @pytest.mark.parametrize("threshold", ["-1", "10m"])
-def test_slices_change_nothing_but_the_tasks(spark, threshold):
-    staged = golden_staged(spark, REPOSITORIES + REPOSITORIES + [{"id": 9, "full_name": "o/a"}])
-    streams = [staged[name] for name in ("issues", "pull_requests", "comments", "repositories")]
+def test_dealing_the_ids_of_crowded_names_changes_nothing_but_the_tasks(spark, threshold):
+    more = [{"id": n, "full_name": "o/a"} for n in (9, 10, 11)] + [{"id": None, "full_name": "o/b"}]
+    staged = golden_staged(spark, REPOSITORIES + REPOSITORIES + more)
+    counts = activity.without_unkeyed(
+        activity.activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
+    )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
-        whole = unordered(tuples(marts.repo_daily_activity(*streams)))
-        assert unordered(tuples(marts.repo_daily_activity(*streams, slices=7))) == whole
+        whole = marts.with_repository(counts, staged["repositories"]).drop(marts.SPREAD)
+        dealt = marts.with_repository(counts, staged["repositories"], ids_per_task=1).drop(marts.SPREAD)
+        assert unordered(tuples(whole)) == unordered(tuples(dealt))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert len(whole) == 2 + 2 * 5 + 5 + 2 * 2
+    assert whole.count() == 2 + 2 * 5 + 3 * 5 + 2 * 2 + 2
+
+
+def test_only_crowded_names_are_dealt(spark):
+    repositories = spark.range(2500).selectExpr("id as repo_id", "if(id < 2400, 'crowd', concat('r', id)) as repo_full_name")
+    found = marts.crowded_names(repositories, ids_per_task=1000)
+    assert tuples(found) == [("crowd", 3)]
+    counts = spark.range(4).selectExpr(
+        "if(id < 2, 'crowd', 'r2450') as repo_full_name",
+        "date_add(date'2024-01-01', cast(id as int)) as day",
+        *[f"1 as {m}" for m in activity.MEASURES],
+    )
+    plain = marts.with_repository(counts, repositories)
+    assert "id_part" not in plain._jdf.queryExecution().toString()
+    dealt = marts.with_repository(counts, repositories, ids_per_task=1000)
+    assert "id_part" in dealt._jdf.queryExecution().toString()
+    assert plain.count() == dealt.count() == 2 * 2400 + 2
 
 
 @pytest.mark.parametrize(
@@ -106,12 +127,13 @@ def test_counts_per_stream_and_spine(spark):
     assert len(tuples(spine)) == 9 and (None, day("2024-01-10")) in tuples(spine)
 
 
-def test_days_follow_the_session_zone(spark):
-    issues = stage_all(raw_frames(spark, issues=[{"repository": "o/a", "created_at": "2024-01-01T23:30:00Z"}]))
-    assert activity.issue_daily(issues["issues"]).first().day == day("2024-01-01")
+def test_days_are_utc_days_whatever_zone_the_session_had(spark, tmp_path):
+    late = [{"repository": "o/a", "created_at": "2024-01-01T23:30:00Z"}]
+    raw_frames(spark, issues=late)["issues"].write.parquet(str(tmp_path / "issues"))
     spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
     try:
-        assert activity.issue_daily(issues["issues"].select("*")).first().day == day("2024-01-02")
+        issues = stage("issues", read_raw(spark, str(tmp_path), "issues", times="string"))
+        assert activity.issue_daily(issues).first().day == day("2024-01-01")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

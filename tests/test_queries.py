@@ -2,6 +2,7 @@
 
 import collections
 import os
+import re
 
 import duckdb
 import pytest
@@ -24,16 +25,19 @@ def tables():
     return connection
 
 
+OWN = [name for name in entry.queries() if name != "pipeline" and not re.match(r"op\d+_", name)]
+
+
 def test_every_query_has_its_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert set(OWN) <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 def test_staging_queries_fill_every_raw_field():
-    for table, (_, _, _, fields) in FULL.items():
+    for table, (_, _, fields) in FULL.items():
         assert fields.keys() == set(raw_schema(table).names)
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", OWN)
 def test_query_equals_its_sql(spark, tables, name):
     df = entry.queries()[name](spark, SF_DIR)
     result = tables.execute(entry.oracle_sql()[name])

@@ -1,10 +1,14 @@
 import datetime
+import statistics
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from repopulse import sinks
+from repopulse.operators.activity import MEASURES
 from repopulse.operators.checks import ChecksFailed
+from repopulse.plans import marts
 from repopulse.plans.refresh import DAILY, STATS, refresh
 from repopulse.session import scratch_dir, shuffle_partitions
 from tests.records import DAILY as DAILY_ROWS
@@ -29,11 +33,12 @@ def test_refresh_publishes_both_marts(spark, layer):
     stats = {r.repo_full_name: tuple(r)[8:] for r in spark.table(f"{layer}.{STATS}").collect()}
     assert stats == {"o/a": (2, 2, 1, 2), "o/b": (0, 1, 1, 1), "o/c": (0, 0, 0, 0)}
     found = {(c.check, c.key): c.failures for c in done.checks}
-    assert found["null_keys", "repo_full_name"] == 1
-    assert found["null_keys", "day"] == 1
-    assert found["orphans", "repo_full_name"] == 1
+    assert sum(c.failures for c in done.checks if (c.check, c.key) == ("null_keys", "repo_full_name")) == 1
+    assert sum(c.failures for c in done.checks if (c.check, c.key) == ("null_keys", "day")) == 1
+    assert {c.relation for c in done.checks if c.check == "null_keys"} == {"issues", "pull_requests", "comments"}
+    assert sum(c.failures for c in done.checks if c.check == "orphans") == 1
     assert found["duplicate_keys", "repo_full_name,day"] == 0
-    assert len(found) == 10
+    assert len(done.checks) == 3 * 3 + 1 + 1 + 5
     assert work_layers(spark) == []
 
 
@@ -89,6 +94,85 @@ def test_failure_while_building_drops_the_new_runs(spark, layer, monkeypatch):
     assert unordered(tuples(spark.table(f"{layer}.{DAILY}"))) == unordered(DAILY_ROWS)
 
 
+def test_failed_publish_leaves_both_old_marts(spark, layer, monkeypatch):
+    first = refresh(spark, golden_raw(spark), "2024-01-31", layer)
+    stats = unordered(tuples(spark.table(f"{layer}.{STATS}")))
+    whole = sinks.publish
+
+    def broken(session, name, run, *more):
+        if name == STATS and run != first.run:
+            raise RuntimeError("lost")
+        return whole(session, name, run, *more)
+
+    monkeypatch.setattr("repopulse.sinks.publish", broken)
+    raw = golden_raw(spark)
+    raw["comments"] = raw["comments"].limit(0)
+    with pytest.raises(RuntimeError):
+        refresh(spark, raw, "2024-01-31", layer)
+    for name in (DAILY, STATS):
+        assert sinks.runs(spark, name, layer) == [first.run] and sinks.published_run(spark, name, layer) == first.run
+    assert unordered(tuples(spark.table(f"{layer}.{DAILY}"))) == unordered(DAILY_ROWS)
+    assert unordered(tuples(spark.table(f"{layer}.{STATS}"))) == stats
+    assert work_layers(spark) == []
+
+
+def test_failed_first_publish_leaves_nothing(spark, layer, monkeypatch):
+    whole = sinks.publish
+
+    def broken(session, name, *more):
+        if name == STATS:
+            raise RuntimeError("lost")
+        return whole(session, name, *more)
+
+    monkeypatch.setattr("repopulse.sinks.publish", broken)
+    with pytest.raises(RuntimeError):
+        refresh(spark, golden_raw(spark), "2024-01-31", layer)
+    assert spark.sql(f"SHOW TABLES IN {layer}").collect() == []
+
+
+def test_a_name_taken_by_something_else_stops_the_run_before_it_builds(spark, layer):
+    sinks.ensure_layer(spark, layer)
+    spark.range(1).write.saveAsTable(f"{layer}.{STATS}")
+    with pytest.raises(ValueError, match="no published table"):
+        refresh(spark, golden_raw(spark), "2024-01-31", layer)
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {layer}").collect()] == [STATS]
+
+
+def test_unlisted_repositories_of_one_day_make_several_files(spark, layer):
+    sinks.ensure_layer(spark, layer)
+    counts = spark.range(40_000).selectExpr(
+        "concat('unlisted/', id) as repo_full_name",
+        "if(id % 10 = 0, date'2024-01-01', date'2024-01-02') as day",
+        *[f"1 as {m}" for m in MEASURES],
+    )
+    repositories = spark.sql("SELECT 1L AS repo_id, 'o/a' AS repo_full_name")
+    daily = marts.daily_from_counts(counts, repositories)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stored = sinks.write_run(daily, "t", "r", layer, ("day", "repo_full_name", "repo_id"), marts.SPREAD)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert marts.SPREAD not in stored.columns
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) <= 2 * statistics.median(sizes)
+    assert stored.where("day = date'2024-01-02'").groupBy(F.input_file_name()).count().count() > 1
+
+
+def test_layer_at_another_place_is_refused(spark, layer, tmp_path):
+    sinks.ensure_layer(spark, layer, str(tmp_path / "it's here"))
+    sinks.ensure_layer(spark, layer, str(tmp_path / "it's here"))
+    with pytest.raises(ValueError, match="not at"):
+        sinks.ensure_layer(spark, layer, str(tmp_path / "there"))
+
+
+def test_comments_and_names_may_have_quotes(spark, layer):
+    sinks.ensure_layer(spark, layer)
+    sinks.write_run(spark.range(1), "t", "r1", layer)
+    sinks.publish(spark, "t", "r1", layer, "it's a \\ test", {"id": "a 'number'"})
+    assert spark.catalog.getTable(f"{layer}.t").description == "it's a \\ test"
+    assert sinks.published_run(spark, "t", layer) == "r1"
+
+
 def test_a_run_is_never_overwritten(spark, layer):
     sinks.ensure_layer(spark, layer)
     sinks.write_run(spark.range(3), "t", "r1", layer, ("id",))
@@ -135,14 +219,15 @@ def test_scratch_is_below_the_folder_the_cluster_names(spark):
 
 def test_a_cluster_without_a_shared_folder_is_refused():
     class Session:
-        conf = {"spark.master": "yarn"}
+        conf = {"spark.master": "local[2]"}
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session)
+    assert scratch_dir(Session, "own", "/shared/") == "/shared/repopulse-own"
 
 
 def test_shuffle_partitions():
     mb = 1024**2
     assert shuffle_partitions(0, 8) == 8
     assert shuffle_partitions(128 * mb * 100 + 1, 8) == 101
-    assert shuffle_partitions(10**16, 8) == 100_000
+    assert shuffle_partitions(128 * mb * 10**6, 8) == 10**6
