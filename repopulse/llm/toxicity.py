@@ -338,9 +338,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, *
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **bounds: int) -> DataFrame:
-    """The rows of `docs` with a score below the threshold, with their columns. A document with a
-    null or empty text has nothing to be rejected for and stays."""
+    """The rows of `docs` with a score below the threshold, with their columns. A document with
+    a null or empty text, or without words, has nothing to be rejected for and stays."""
     scorer = fit(docs, labels, **bounds)
     scored = score(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), scorer, "_text")
-    empty = F.coalesce(F.length(F.trim("_text")), F.lit(0)) == 0
-    return scored.where((F.col("_score") < threshold) | empty).select("_row.*")
+    worded = F.coalesce(F.col("_text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return scored.where((F.col("_score") < threshold) | ~worded).select("_row.*")

@@ -1,0 +1,119 @@
+import collections
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+
+from repopulse.llm import packing as K
+from repopulse.llm import textops as T
+from tests.llm.samples import documents, messy_texts, none, prose, seeded
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+SIGNS = ["a", "B", "é", "É", "×", "÷", "'s", "'", "'RE", "1", "23", ".", "$", "<|", "<|endoftext|>", "|>", " ", "\n", "\t",
+         " ", "​", "́", "ſ", "İ", "Σ", "日本", "½", "٣", "—", "\x1c", "\x85", "\x00", "🙂"]
+
+
+def ids_by_tokenizer(texts):
+    found = K.coder(PATH)._tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [list(e.ids) for e in found]
+
+
+def ids_by_words(texts, size):
+    out = []
+    for chunk in T.chunks(pa.array(texts, pa.string()), size):
+        out += [ids.tolist() for ids in K.coder(PATH).rows(chunk)]
+    return out
+
+
+def test_ids_are_the_tokenizers_own(monkeypatch):
+    monkeypatch.setattr(K, "MEMORY", 300)
+    rng = seeded(1)
+    texts = [t for _, t in messy_texts(rng) if t is None or len(t) < 5000]
+    texts += ["".join(rng.choice(SIGNS) for _ in range(rng.randrange(14))) for _ in range(1500)]
+    assert ids_by_words(texts, 60) == ids_by_tokenizer(texts)
+    assert ids_by_words(texts, 1 << 20) == ids_by_tokenizer(texts)
+
+
+def valid(packing, sizes, capacity):
+    items = sorted(i for b in packing for i in b)
+    return items == list(range(len(sizes))) and all(sum(sizes[i] for i in b) <= capacity for b in packing)
+
+
+def test_crossover_keeps_every_piece_once():
+    rng = random.Random(1)
+    for _ in range(40):
+        sizes = [rng.randrange(1, 100) for _ in range(rng.randrange(2, 60))]
+        packings = K.start_packings(sizes, 100, 4, rng)
+        child = K.cross(packings[0], packings[1], sizes, 100, rng)
+        after = K.evolve(packings, sizes, 100, 5, rng)
+        assert valid(child, sizes, 100) and all(valid(p, sizes, 100) for p in [*packings, *after])
+        assert len(after[0]) <= min(map(len, packings))
+
+
+def test_evolution_finds_what_best_fit_does_not():
+    rng = random.Random(2)
+    sizes = []
+    for _ in range(12):  # twelve bins that can be filled to the brim
+        a, b = sorted((rng.randrange(20, 50), rng.randrange(51, 80)))
+        sizes += [a, b - a, 100 - b]
+    start = K.start_packings(sizes, 100, 6, rng)
+    assert len(K.evolve(start, sizes, 100, 60, rng)[0]) <= min(map(len, start))
+
+
+def check_packed(rows, texts, capacity):
+    by_id = collections.defaultdict(list)
+    for (doc_id, _), ids in zip(texts, ids_by_tokenizer([t for _, t in texts])):
+        by_id[doc_id].append(np.array([*ids, K.END], "<u4"))
+    pieces = collections.Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows)
+    expected = collections.Counter(
+        (doc_id, n, at, len(own[at : at + capacity]), zlib.crc32(own[at : at + capacity].tobytes()))
+        for doc_id, every in by_id.items()
+        for own in every
+        for n, at in enumerate(range(0, len(own), capacity))
+    )
+    assert pieces == expected
+    sequences = collections.defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(sequences), -(-sum(r.length for r in rows) // capacity)
+
+
+@pytest.mark.parametrize("block", [16, 64])
+def test_packed_documents(spark, monkeypatch, block):
+    monkeypatch.setattr(K, "BLOCK", block)
+    rng = seeded(block)
+    texts = [(k, prose(rng, rng.randrange(1, 200))) for k in range(150)]
+    cut = K.pieces(documents(spark, texts).select("doc_id", "text"), PATH, 500)
+    items = cut.selectExpr("doc_id * 1000 + piece as item", "length as size")
+    placed = {r.item: r for r in K.pack_items(items, 500, block).collect()}
+    rows = [r for r in cut.collect()]
+    fill = collections.Counter()
+    for r in rows:
+        fill[placed[r.doc_id * 1000 + r.piece].sequence_id] += r.length
+    assert len(placed) == len(rows) and max(fill.values()) <= 500
+    least = -(-sum(fill.values()) // 500)
+    assert len(fill) <= (least + 2 if block > 50 else 1.08 * least)
+
+
+def test_messy_rows(spark):
+    texts = messy_texts(seeded(3))
+    docs = documents(spark, texts)
+    sequences, least = check_packed(K.pack(docs, PATH).collect(), texts, K.CAPACITY)
+    assert sequences <= least + 1
+    check_packed(K.pack(docs.select("doc_id", "text"), PATH, 64).collect(), texts, 64)
+    assert K.pack(none(spark), PATH).count() == 0
+
+
+def test_pieces_that_do_not_go_together(spark):
+    items = spark.range(3000).selectExpr("id as item", "60L as size")
+    rows = K.pack_items(items, 100, 256).collect()
+    assert len({r.sequence_id for r in rows}) == 3000 and {r.offset for r in rows} == {0}

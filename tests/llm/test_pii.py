@@ -1,0 +1,106 @@
+import hashlib
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from repopulse.llm import pii as P
+from tests.llm.samples import documents, messy_texts, none, prose, seeded
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def digits(text):
+    return [int(c) for c in text if c in "0123456789"]
+
+
+def passes_luhn(text):
+    total = 0
+    for k, d in enumerate(reversed(digits(text))):
+        total += d if k % 2 == 0 else d * 2 - 9 * (d > 4)
+    return total % 10 == 0
+
+
+def by_hand(text):
+    spans = [("email", m.start(), m.end()) for m in EMAIL.finditer(text)]
+    spans += [("ip", m.start(), m.end()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    spans += [
+        ("card", m.start(), m.end()) for m in CARD.finditer(text) if 13 <= len(digits(m[0])) <= 19 and passes_luhn(m[0])
+    ]
+    return spans + [("phone", m.start(), m.end()) for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
+
+
+@settings(max_examples=600, deadline=None)
+@given(st.text("a1.2@-+_ %(5é)0", max_size=60))
+def test_formats_on_random_text(text):
+    assert P.base_spans(text) == by_hand(text)
+
+
+def test_formats():
+    text = "é a.b@c-d.org, 1.2.3.4 and 256.1.1.1; 4111 1111 1111 1111, 4111111111111112: +1 (017) 555-7713."
+    assert [(k, text[a:b]) for k, a, b in P.base_spans(text)] == [
+        ("email", "a.b@c-d.org"),
+        ("ip", "1.2.3.4"),
+        ("card", "4111 1111 1111 1111"),
+        ("phone", "+1 (017) 555-7713"),
+    ]
+    assert P.base_spans(text) == by_hand(text)
+
+
+def test_a_long_run_of_digits_takes_no_long_time():
+    text = "7" * 200_000 + " " + "a." * 50_000 + " " + "1." * 50_000
+    assert [k for k, _, _ in P.base_spans(text)].count("ip") == 12_500
+
+
+def learnable(rng):
+    """Accounts with a context of their own, some of which no format matches."""
+    texts = []
+    for k in range(40):
+        card = next(n for n in range(4 * 10**15 + k * 7919, 10**17) if passes_luhn(str(n)))
+        number = str(card) if k < 35 else str(card + 1)
+        texts.append((k, f"{prose(rng, 30)} pay with account number {number} before the month ends {prose(rng, 20)}"))
+    return texts + [(100 + k, f"{prose(rng, 30)} in the year 4000{k}0000000123 of it {prose(rng, 5)}") for k in range(20)]
+
+
+def test_contexts_find_what_formats_miss(spark):
+    texts = learnable(seeded(1))
+    found = {r.doc_id: r for r in P.personal_data(documents(spark, texts)).collect()}
+    assert [found[k].n_card for k in range(35)] == [1] * 35
+    assert [found[k].n_added for k in range(35, 40)] == [1] * 5
+    added = [found[k].spans.split(":") for k in range(35, 40)]
+    assert all(kind == "card" and dict(texts)[k][int(a) : int(b)].isdigit() for k, (kind, a, b) in zip(range(35, 40), added))
+    assert [found[k].n_added for k in range(100, 120)] == [0] * 20
+    clean = {r.doc_id: r.text for r in P.without_personal_data(documents(spark, texts)).select("doc_id", "text").collect()}
+    assert all("account number <CARD> before" in clean[k] for k in range(40))
+    assert all((clean[k] == dict(texts)[k]) == (found[k].n_card == 0) for k in range(100, 120))
+
+
+def test_columns_follow_the_spans(spark):
+    texts = [(k, f"x {prose(seeded(k), 5)} mail me.{k}@a.org or 10.0.0.{k} é +49 (0)30 12345{k}") for k in range(5)]
+    for row in P.personal_data(documents(spark, texts)).collect():
+        spans = by_hand(dict(texts)[row.doc_id])
+        joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest() and row.spans == joined
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == (1, 1, 0, 1)
+
+
+def test_redaction_merges_overlapping_spans():
+    assert P.redact("ab12cd", [("ip", 2, 4), ("email", 0, 3)]) == "<EMAIL>cd"
+    assert P.redact("no", []) == "no"
+
+
+def test_messy_rows(spark):
+    texts = messy_texts(seeded(3)) + [(20, "a@b.org"), (None, "c@d.org"), (20, "a@b.org")]
+    rows = P.personal_data(documents(spark, texts)).collect()
+    assert len(rows) == len(texts) and sum(r.n_email for r in rows) == 3
+    assert {r.base_sha256 for r in rows if r.doc_id in (1, 2)} == {hashlib.sha256(b"").hexdigest()}
+    docs = documents(spark, texts)
+    clean = P.without_personal_data(docs)
+    assert clean.columns == docs.columns
+    kept = clean.select("doc_id", "text", "n_chars").collect()
+    assert len(kept) == len(texts) and [r.text for r in kept].count("<EMAIL>") == 3
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in kept)
+    assert P.personal_data(none(spark)).count() == P.without_personal_data(none(spark)).count() == 0

@@ -1,0 +1,86 @@
+import numpy as np
+import pyarrow as pa
+
+from repopulse.llm import substrings as S
+from repopulse.llm import textops as T
+from tests.llm.samples import documents, messy_texts, none, prose, seeded
+
+
+def sentence_strings(text):
+    chunk = next(T.chunks(pa.array([text], pa.string())))
+    own = S.sentences(chunk)
+    raw = chunk.data.tobytes()
+    return [b" ".join(raw[a:b].split()).decode().lower() for a, b in zip(own.start, own.end)]
+
+
+def by_hand(texts):
+    """Sentences and removed ones per document, by comparing sentences themselves."""
+    seen, out = {}, {}
+    for doc_id, text in sorted({(i, t or "") for i, t in texts if i is not None}):
+        own = sentence_strings(text)
+        gone = set()
+        for k in range(len(own) - S.RUN + 1):
+            run = tuple(own[k : k + S.RUN])
+            if sum(len(s.split()) for s in run) >= S.MIN_WORDS:
+                if seen.setdefault(run, (doc_id, k)) != (doc_id, k):
+                    gone |= set(range(k, k + S.RUN))
+        out[doc_id] = (len(own), len(gone))
+    return out
+
+
+def test_sentences_end_at_stops_and_lines():
+    text = 'One two. "Three four!" five\nsix. Seven... e.g. x'
+    assert sentence_strings(text) == ["one two.", '"three four!"', "five", "six.", "seven...", "e.g.", "x"]
+
+
+def test_long_sentences_are_cut_alike_wherever_they_stand():
+    rng = seeded(4)
+    passage = prose(rng, 80).replace(".", "").replace("!", "").replace("\n", " ")
+    a, b = (sentence_strings(f"{start} {passage}") for start in ("x y z", "other words stand here"))
+    assert len(set(a) & set(b)) >= len(a) - 2 > 3
+
+
+def test_runs_equal_those_by_hand(spark):
+    rng = seeded(1)
+    shared = [prose(rng, 60) for _ in range(4)]
+    texts = [(k, "\n".join([prose(rng, 30), rng.choice(shared), prose(rng, 30)])) for k in range(30)]
+    found = S.without_repeats(documents(spark, texts)).collect()
+    assert {r.doc_id: (r.n_sentences, r.n_removed) for r in found} == by_hand(texts)
+    assert sum(r.n_removed > 0 for r in found) > 15
+
+
+def test_a_passage_stays_in_the_first_document_only(spark):
+    rng = seeded(2)
+    passage = prose(rng, 80)
+    texts = [(k, f"{prose(rng, 40)}\n{passage}\n{prose(rng, 40)}") for k in (7, 3, 5)]
+    found = {r.doc_id: r.text for r in S.without_repeats(documents(spark, texts)).collect()}
+    inner = passage.split("\n")[0].split(".")[1].strip()
+    assert found[3] == dict(texts)[3] and [k for k in found if inner and inner in found[k]] == [3]
+    assert all(dict(texts)[k].startswith(found[k][:20]) for k in found)
+
+
+def test_messy_rows(spark):
+    texts = messy_texts(seeded(3))
+    found = S.without_repeats(documents(spark, texts))
+    rows = [(r.doc_id, r.text, r.n_sentences, r.n_removed) for r in found.select("doc_id", "text", "n_sentences", "n_removed").collect()]
+    assert len(rows) == len(texts)
+    expected = by_hand(texts)
+    assert all((n, gone) == expected[i] for i, _, n, gone in rows if i is not None)
+    by_id = {i: t for i, t, _, _ in rows}
+    assert by_id[1] is None and by_id[2] == "" and by_id[5] == dict(texts)[5] and by_id[6] == ""
+    assert [t for i, t, _, _ in rows if i is None].count(dict(texts)[5]) == 1
+    assert sorted(found.columns) == sorted([*documents(spark, texts).columns, "n_sentences", "n_removed"])
+    assert S.without_repeats(none(spark)).count() == 0
+
+
+def test_hashes_depend_on_every_word():
+    rng = seeded(9)
+    texts = [prose(rng, 12, 5) for _ in range(3000)]
+    strings, hashes = [], []
+    for chunk in T.chunks(pa.array(texts)):
+        own = S.sentences(chunk)
+        raw = chunk.data.tobytes()
+        strings += [b" ".join(raw[a:b].split()) for a, b in zip(own.start, own.end)]
+        hashes += own.hash.tolist()
+    assert len(set(strings)) == len(set(hashes)) == len(set(zip(strings, hashes)))
+    assert np.unique(hashes).size > 1000

@@ -1,0 +1,76 @@
+import zlib
+
+import pytest
+
+from repopulse.llm import toxicity as X
+from tests.llm.samples import documents, messy_texts, none, prose, seeded
+
+LABELS = "doc_id long, quality int, toxic int"
+BAD = ["vile", "rotten", "lousy", "nasty", "awful"]
+
+
+def corpus(many=500):
+    rng = seeded(1)
+    texts, labels = [], []
+    for k in range(many):
+        words = prose(rng, rng.randrange(30, 150)).split()
+        toxic = k % 5 == 0
+        for _ in range(rng.randrange(2, 6) if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        texts.append((k, " ".join(words)))
+        labels.append((k, 1, int(toxic)))
+    return texts, labels
+
+
+@pytest.fixture(scope="module")
+def scored(spark):
+    texts, labels = corpus()
+    df = spark.createDataFrame(labels, LABELS).selectExpr("*", "doc_id as _id", "toxic as text")
+    return labels, X.toxicity(documents(spark, texts), df).collect()
+
+
+def test_held_out_documents_are_told_apart(scored):
+    toxic = {k for k, _, t in scored[0] if t}
+    held = [r for r in scored[1] if r.held_out]
+    right = sum(r.predicted == (r.doc_id in toxic) for r in held)
+    assert len(held) > 80 and right / len(held) > 0.95
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= X.THRESHOLD) for r in scored[1])
+
+
+def test_held_out_rows_follow_the_checksum(scored):
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in scored[1])
+
+
+def test_held_out_labels_are_not_learned(spark, scored):
+    texts, labels = corpus()
+    turned = [(k, q, 1 - t if zlib.crc32(str(k).encode()) % 4 == 2 else t) for k, q, t in labels]
+    again = X.toxicity(documents(spark, texts), spark.createDataFrame(turned, LABELS)).collect()
+    assert {r.doc_id: r.score for r in again} == {r.doc_id: r.score for r in scored[1]}
+
+
+def test_the_sample_is_bounded_and_repeatable(spark):
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(4000)] + [(3, 1, 0), (None, 1, 1), (5, 1, None)], LABELS)
+    rows = X.training_rows(labels, 100, 50).collect()
+    assert len(rows) == 2 * (100 + 50) and 3 not in {r[0] for r in rows}
+    assert sorted(rows) == sorted(X.training_rows(labels.orderBy("doc_id"), 100, 50).collect())
+    assert all((zlib.crc32(str(r[0]).encode()) % 4 in (0, 1)) == r[2] for r in rows)
+
+
+def test_messy_rows(spark):
+    texts = messy_texts(seeded(3))
+    labels = spark.createDataFrame([(5, 1, 1), (6, 1, 0), (6, 1, 1), (None, 1, 1), (8, 0, None)], LABELS)
+    rows = X.toxicity(documents(spark, texts), labels).collect()
+    assert sorted(str(r.doc_id) for r in rows) == sorted(str(i) for i, _ in texts)
+    assert {r.score for r in rows} == {0.5}
+    docs = documents(spark, texts)
+    kept = X.drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "None"]
+    assert X.toxicity(none(spark), labels.limit(0)).count() == 0
+
+
+def test_toxic_documents_go_and_others_stay(spark):
+    texts, labels = corpus()
+    kept = {r.doc_id for r in X.drop_toxic(documents(spark, texts), spark.createDataFrame(labels, LABELS)).collect()}
+    toxic = {k for k, _, t in labels if t}
+    assert len(kept & toxic) <= 5 and len(kept - toxic) >= 390
