@@ -42,8 +42,10 @@ MIN_HASHES = 6
 BAND = 1.05
 #: Members of a band that a query is compared with first.
 TYPICAL = 3
-#: Slots of the table of token frequencies: fixed, so it may be broadcast.
-SKETCH_BITS = 20
+#: Tokens per slot of the table of token frequencies, and its most slots, of a byte each: so many at
+#: most are broadcast. More tokens than these have room for blur the order, which costs time only.
+TOKENS_PER_SLOT = 16
+MOST_SLOT_BITS = 24
 _BLOCK = 1 << 14
 _RANK_SHIFT = np.uint64(58)
 
@@ -72,32 +74,44 @@ def shingles(chunk: T.Chunk, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
     return value, row
 
 
-def token_counts(docs: DataFrame, size: int) -> np.ndarray:
-    """How often tokens occur in all documents, by slot of their hash."""
-    shift = np.uint64(64 - SKETCH_BITS)
+def _bits(docs: DataFrame) -> int:
+    """Bits of a slot's number for these documents, by the characters that they have."""
+    characters = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    slots = characters / 6 / TOKENS_PER_SLOT
+    return int(min(MOST_SLOT_BITS, max(14, np.ceil(np.log2(slots + 1)))))
+
+
+def token_ranks(docs: DataFrame, size: int) -> np.ndarray:
+    """By slot of a token's hash how frequent it is: 0 for up to the usual count, and one more for
+    each doubling. A task's count of a slot stops at 255, which is frequent in any case."""
+    bits = _bits(docs)
+    shift = np.uint64(64 - bits)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << SKETCH_BITS, np.int64)
+        counts = np.zeros(1 << bits, np.uint8)
         for batch in batches:
             for chunk in T.chunks(batch.column("text")):
                 value, _ = shingles(chunk, size)
-                counts += np.bincount((value >> shift).astype(np.int64), minlength=len(counts))
-        yield from _blocks(dict(enumerate(counts.astype(np.int32).reshape(-1, _BLOCK))))
+                slot, many = np.unique((value >> shift).astype(np.int32), return_counts=True)
+                counts[slot] = np.minimum(counts[slot] + many, 255)
+        yield from _blocks(dict(enumerate(counts.reshape(-1, _BLOCK))))
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(data, np.int32).astype(np.int64)
+                part = np.frombuffer(data, np.uint8).astype(np.int64)
                 sums[block] = sums[block] + part if block in sums else part
-        yield from _blocks({block: np.minimum(part, 2**31 - 1).astype(np.int32) for block, part in sums.items()})
+        total = {block: np.minimum(np.log2(np.maximum(part, 1)) * 8, 255) for block, part in sums.items()}
+        yield from _blocks({block: part.astype(np.uint8) for block, part in total.items()})
 
     schema = "block int, counts binary"
     parts = docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)
-    counts = np.zeros(1 << SKETCH_BITS, np.int32)
-    for row in parts.collect():  # 2**SKETCH_BITS counts in all
-        counts[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.counts, np.int32)
-    return counts
+    logs = np.zeros(1 << bits, np.uint8)
+    for row in parts.toLocalIterator():  # a byte a slot in all
+        logs[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.counts, np.uint8)
+    usual = np.log2(max(1.0, 1.5 * float(np.mean(2.0 ** (logs[:: max(1, len(logs) >> 18)] / 8.0)))))
+    return np.clip(logs / 8.0 - usual, 0, 63).astype(np.uint8)
 
 
 def _blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -108,12 +122,6 @@ def _blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def ranks(counts: np.ndarray) -> np.ndarray:
-    """0 for slots with about the mean count, and one more for each doubling."""
-    usual = max(1.0, float(counts.mean()) * 1.5)
-    return np.clip(np.log2(np.maximum(counts, 1) / usual), 0, 63).astype(np.uint8)
-
-
 def _prefix_lengths(n: np.ndarray, least: int) -> np.ndarray:
     """How many of a set's tokens are first tokens. A linked set has at least `least` hundredths of a
     set's tokens, so it shares one of the others' number plus one, and k of that number plus k."""
@@ -155,43 +163,65 @@ def _firsts(row: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, row[1:] != row[:-1]]) if len(row) else np.zeros(0, np.int64)
 
 
+def _sizes(chunk: T.Chunk, value: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row of a chunk the set's size and the two halves of its digest; and where each set starts."""
+    first = _firsts(row)
+    n = np.zeros(chunk.rows, np.int64)
+    digests = np.zeros((2, chunk.rows), np.uint64)
+    if len(first):
+        n[row[first]] = np.diff(np.r_[first, len(row)])
+        digests[:, row[first]] = _digests(value, first)
+    return n, digests, first
+
+
+def _set_sizes(docs: DataFrame, size: int) -> DataFrame:
+    """Per row: doc_id, set size n, digests d1 and d2."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk in T.chunks(batch.column("text")):
+                n, digests, _ = _sizes(chunk, *_sets(chunk, size))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(chunk.first, chunk.rows),
+                        pa.array(n),
+                        *[pa.array(T.signed(d)) for d in digests],
+                    ],
+                    names=["doc_id", "n", "d1", "d2"],
+                )
+
+    return docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+
+
 def _describe(docs: DataFrame, rank: np.ndarray, size: int, least: int) -> DataFrame:
-    """Per row: doc_id, set size, digests, min-hashes and first tokens."""
+    """Per row that has a set: doc_id, its size, digests, min-hashes and first tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(rank)
-    shift = np.uint64(64 - SKETCH_BITS)
+    shift = np.uint64(64 - int(np.log2(len(rank))))
     seeds = T.mix(np.arange(1, MIN_HASHES + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in T.chunks(batch.column("text")):
                 value, row = _sets(chunk, size)
-                first = _firsts(row)
+                n, digests, first = _sizes(chunk, value, row)
                 rows = row[first]
-                n = np.zeros(chunk.rows, np.int64)
-                n[rows] = np.diff(np.r_[first, len(row)])
-                digests = np.zeros((2, chunk.rows), np.uint64)
-                mins = np.zeros((chunk.rows, MIN_HASHES), np.uint64)
-                if len(first):
-                    digests[:, rows] = _digests(value, first)
-                    for k, seed in enumerate(seeds):
-                        mins[rows, k] = np.minimum.reduceat(T.mix(value ^ seed), first)
+                if not len(rows):
+                    continue
+                mins = np.stack([np.minimum.reduceat(T.mix(value ^ seed), first) for seed in seeds], axis=1)
                 # Rank above, hash below: sorts from rare to frequent.
-                rank = shared.value[(value >> shift).astype(np.int64)].astype(np.uint64)
-                token = (rank << _RANK_SHIFT) | (value >> np.uint64(6))
-                order = np.lexsort((token, row))
-                token = token[order]
+                frequent = shared.value[(value >> shift).astype(np.int64)].astype(np.uint64)
+                token = (frequent << _RANK_SHIFT) | (value >> np.uint64(6))
+                token = token[np.lexsort((token, row))]
                 keep = _prefix_lengths(n, least)
                 place = np.arange(len(row)) - np.repeat(first, n[rows])
                 chosen = token[place < keep[row]]
-                many = np.where(n > 0, MIN_HASHES, 0)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(chunk.first, chunk.rows),
-                        pa.array(n),
-                        pa.array(T.signed(digests[0])),
-                        pa.array(T.signed(digests[1])),
-                        _lists(T.signed(mins[n > 0].ravel()), many),
-                        _lists(T.signed(chosen), keep),
+                        batch.column("doc_id").take(pa.array(chunk.first + rows)),
+                        pa.array(n[rows]),
+                        *[pa.array(T.signed(d[rows])) for d in digests],
+                        _lists(T.signed(mins.ravel()), np.full(len(rows), MIN_HASHES)),
+                        _lists(T.signed(chosen), keep[rows]),
                     ],
                     names=["doc_id", "n", "d1", "d2", "mins", "tokens"],
                 )
@@ -216,11 +246,7 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -
             some = held.holds(ids.fill_null(0).to_numpy(zero_copy_only=False))
             batch = batch.filter(pa.array(some & ids.is_valid().to_numpy(zero_copy_only=False)))
             for chunk in T.chunks(batch.column("text")):
-                value, row = _sets(chunk, size)
-                first = _firsts(row)
-                digests = np.zeros((2, chunk.rows), np.uint64)
-                if len(first):
-                    digests[:, row[first]] = _digests(value, first)
+                _, digests, _ = _sizes(chunk, *_sets(chunk, size))
                 part = batch.slice(chunk.first, chunk.rows)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns, pa.array(T.signed(digests[0])), pa.array(T.signed(digests[1]))],
@@ -285,37 +311,58 @@ def _merged(groups: DataFrame, links: DataFrame) -> DataFrame:
     return stored(moved.selectExpr("node", "coalesce(component, grp) as grp"), "groups")
 
 
+def _common(a: str, b: str, least: int) -> str:
+    """SQL: how many tokens sets of these sizes have in common if they link."""
+    return f"ceil({least} * ({a} + {b}) / {100 + least})"
+
+
 def _queries(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(token, node, n, grp, members, band): first tokens that occur in more than one group."""
-    members = groups.groupBy("grp").agg(F.count("*").alias("members"))
-    grouped = nodes.join(groups.join(members, "grp"), "node").select("node", "n", "tokens", "grp", "members")
-    rows = grouped.select("node", "n", "grp", "members", F.explode("tokens").alias("token"))
+    """(token, pos, node, n, grp, members, band): first tokens that more than one node has."""
+    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token"))
     token = Window.partitionBy("token")
-    meeting = rows.select("*", (F.min("grp").over(token) < F.max("grp").over(token)).alias("_meets"))
+    meeting = rows.select("*", (F.min("node").over(token) < F.max("node").over(token)).alias("_meets"))
+    members = groups.groupBy("grp").agg(F.count("*").cast("int").alias("members"))
     band = F.floor(F.log("n") / float(np.log(BAND))).cast("int").alias("band")
-    return stored(meeting.where("_meets").select("token", "node", "n", "grp", "members", band), "queries")
+    found = meeting.where("_meets").select("token", "pos", "node", "n", band)
+    return stored(found.join(groups.join(members, "grp"), "node"), "queries")
 
 
 def _opened(queries: DataFrame, least: int) -> DataFrame:
-    """(node, n, grp, band): queries and the bands of other groups that the matrix does not rule out.
+    """(node, grp, band): queries and the bands of other groups that the matrix does not rule out.
 
     Of two groups the smaller asks, so a group of thousands is asked by a few and does not ask itself.
+    Sets of n and m tokens with c in common share MORE + 1 of their first n - c + MORE + 1 and
+    m - c + MORE + 1 tokens. Only bands that these leave are counted over all first tokens.
     """
-    band = queries.groupBy("grp", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = queries.select("token", "grp", "band", "members").distinct().join(band, ["grp", "band"])
+    bands = queries.groupBy("grp", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    matrix = queries.groupBy("token", "grp", "band", "members").agg(F.min("pos").alias("pos")).join(bands, ["grp", "band"])
+    matrix = stored(matrix, "matrix")
     q, m = queries.alias("q"), matrix.alias("m")
     asks = "q.members < m.members or (q.members = m.members and q.grp < m.grp)"
     fits = f"100 * q.n >= {least} * m.lo and 100 * m.hi >= {least} * q.n"
-    bound = (
-        q.join(m, F.expr(f"q.token = m.token and ({asks}) and {fits}"))
+    # The sizes in the band that could link with the query; with the least of them least is in common.
+    lo, hi = f"greatest(m.lo, ceil(q.n * {least} / 100))", f"least(m.hi, floor(q.n * 100 / {least}))"
+    soon = (
+        f"q.pos < q.n - {_common('q.n', lo, least)} + {MORE + 1}"
+        f" and m.pos < {hi} - {_common('q.n', hi, least)} + {MORE + 1}"
+    )
+    met = (
+        q.join(m, F.expr(f"q.token = m.token and ({asks}) and {fits} and {soon}"))
         .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"), F.col("m.band").alias("band"), "m.lo", "m.hi")
-        .agg(F.count("*").alias("bound"))
+        .agg(F.count("*").alias("shared"))
     )
-    # The need is lowest at the ends of the sizes in a band that could link with the query; one less,
-    # since sizes are whole numbers.
     lo, hi = f"greatest(lo, ceil(n * {least} / 100))", f"least(hi, floor(n * 100 / {least}))"
+    met = met.where(f"shared >= least({MORE + 1}, {_common('n', lo, least)})")
+    counted = (
+        met.drop("shared")
+        .join(queries.select("node", "token"), "node")
+        .join(matrix.select("token", "grp", "band"), ["token", "grp", "band"])
+        .groupBy("node", "n", "grp", "band", "lo", "hi")
+        .agg(F.count("*").alias("bound"))
+    )
+    # The need is lowest at the ends of those sizes; one less, since sizes are whole numbers.
     need = f"least({_needed('n', lo, least)}, {_needed('n', hi, least)}) - 1"
-    return stored(bound.where(f"bound >= greatest(1, {need})").select("node", "n", "grp", "band"), "opened")
+    return stored(counted.where(f"bound >= greatest(1, {need})").select("node", "grp", "band"), "opened")
 
 
 def _typical_members(queries: DataFrame, near: DataFrame) -> DataFrame:
@@ -329,16 +376,22 @@ def _typical_members(queries: DataFrame, near: DataFrame) -> DataFrame:
 
 
 def _members(queries: DataFrame, opened: DataFrame, least: int) -> DataFrame:
-    """(a, b): queries and those members of opened bands that have enough first tokens in common."""
-    asked = queries.select("node", "n", "token").join(opened.select("node", "grp", "band"), "node").alias("q")
+    """(a, b): queries and those members of opened bands that share enough of their first tokens."""
+    asked = queries.select("node", "n", "token", "pos").join(opened.select("node", "grp", "band"), "node").alias("q")
     s = queries.alias("s")
-    met = asked.join(s, F.expr("q.token = s.token and q.grp = s.grp and q.band = s.band")).where(
-        f"100 * least(q.n, s.n) >= {least} * greatest(q.n, s.n)"
+    common = _common("q.n", "s.n", least)
+    met = asked.join(
+        s,
+        F.expr(
+            f"q.token = s.token and q.grp = s.grp and q.band = s.band"
+            f" and 100 * least(q.n, s.n) >= {least} * greatest(q.n, s.n)"
+            f" and q.pos < q.n - {common} + {MORE + 1} and s.pos < s.n - {common} + {MORE + 1}"
+        ),
     )
     counted = met.groupBy(
         F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"), F.col("s.n").alias("m")
-    ).agg(F.count("*").alias("common"))
-    return counted.where(f"common >= {_needed('n', 'm', least)}").select("a", "b")
+    ).agg(F.count("*").alias("shared"))
+    return counted.where(f"shared >= least({MORE + 1}, {_common('n', 'm', least)})").select("a", "b")
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -352,9 +405,8 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     """
     T.small_batches(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    rank = ranks(token_counts(docs.select("text"), size))
-    described = stored(_describe(docs, rank, size, least), "described")
-    known = described.where("n > 0 and doc_id is not null")
+    ranks = token_ranks(docs.select("text"), size)
+    known = _describe(docs.where("doc_id is not null"), ranks, size, least)
     nodes = known.groupBy("d1", "d2").agg(
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("mins").alias("mins"), F.min("tokens").alias("tokens")
     )
@@ -379,7 +431,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     ids = nodes.select("node", "rep", "d1", "d2").join(found, "node")
     least_ids = ids.groupBy("grp").agg(F.min("rep").alias("least_id"))
     by_set = ids.join(least_ids, "grp").select("d1", "d2", "least_id")
-    rows = described.select("doc_id", "n", "d1", "d2").join(by_set, ["d1", "d2"], "left")
+    rows = _set_sizes(docs, size).join(by_set, ["d1", "d2"], "left")
     return rows.selectExpr(
         "doc_id",
         "n as n_shingles",
