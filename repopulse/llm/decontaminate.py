@@ -45,7 +45,7 @@ def _items(benchmark: DataFrame) -> DataFrame:
     """(key, item_id, words, n): a row per item, its words as 64-bit hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             for chunk in T.chunks(batch.column("text")):
                 hashes, row = _words(chunk)
                 parts = np.split(hashes, np.searchsorted(row, np.arange(1, chunk.rows)))
@@ -66,7 +66,7 @@ def _grams(items: DataFrame, size: int) -> DataFrame:
     """(key, gram, pos): every n-gram of every item; an item with fewer words has none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             for key, words in zip(batch.column("key").to_pylist(), batch.column("words").to_pylist()):
                 hashes = np.frombuffer(words, np.uint64)
                 gram, pos = T.ngrams(hashes, np.zeros(len(hashes), np.int64), size)
@@ -83,7 +83,7 @@ def _runs(docs: DataFrame, known: IdFilter, reach: int, size: int) -> DataFrame:
     with as many words on either side; `first` is the run's first word in the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             ids = batch.column("doc_id")
             for chunk in T.chunks(batch.column("text")):
                 hashes, row = _words(chunk)
@@ -210,7 +210,7 @@ def contaminated(
     pairs = met.join(items.withColumnRenamed("words", "item"), "key").join(runs.drop("grams", "at"), "run")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             rows = batch.select(["item", "words", "lo", "hi"]).to_pylist()
             lists, windows, skipped = [], [], []
             for row in rows:

@@ -89,7 +89,7 @@ def token_ranks(docs: DataFrame, size: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.uint8)
-        for batch in batches:
+        for batch in T.each(batches):
             for chunk in T.chunks(batch.column("text")):
                 value, _ = shingles(chunk, size)
                 slot, many = np.unique((value >> shift).astype(np.int32), return_counts=True)
@@ -98,7 +98,7 @@ def token_ranks(docs: DataFrame, size: int) -> np.ndarray:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        for batch in batches:
+        for batch in T.each(batches):
             for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
                 part = np.frombuffer(data, np.uint8).astype(np.int64)
                 sums[block] = sums[block] + part if block in sums else part
@@ -178,7 +178,7 @@ def _set_sizes(docs: DataFrame, size: int) -> DataFrame:
     """Per row: doc_id, set size n, digests d1 and d2."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             for chunk in T.chunks(batch.column("text")):
                 n, digests, _ = _sizes(chunk, *_sets(chunk, size))
                 yield pa.RecordBatch.from_arrays(
@@ -200,7 +200,7 @@ def _describe(docs: DataFrame, rank: np.ndarray, size: int, least: int) -> DataF
     seeds = T.mix(np.arange(1, MIN_HASHES + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             for chunk in T.chunks(batch.column("text")):
                 value, row = _sets(chunk, size)
                 n, digests, first = _sizes(chunk, value, row)
@@ -241,7 +241,7 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -
     held = IdFilter(chosen.select("rep"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             ids = batch.column("doc_id")
             some = held.holds(ids.fill_null(0).to_numpy(zero_copy_only=False))
             batch = batch.filter(pa.array(some & ids.is_valid().to_numpy(zero_copy_only=False)))
@@ -264,7 +264,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, leas
     texts = stored(_texts_of(docs, nodes, wanted, size), "texts")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             for at in range(0, batch.num_rows, _PAIRS):
                 part = batch.slice(at, _PAIRS)
                 sides = [_per_text(part.column(c), size) for c in ("text_a", "text_b")]

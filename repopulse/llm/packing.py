@@ -37,7 +37,8 @@ POPULATION = 4
 FULL = 0.99
 #: Units whose ids a process remembers at most.
 MEMORY = 1_500_000
-_TEXT_BYTES = 1 << 21
+_TEXT_BYTES = 1 << 20
+_UNITS = 20_000
 
 Bins = list[list[int]]
 
@@ -119,8 +120,10 @@ class WordIds:
         if len(self._hashes) + len(hashes) > MEMORY:
             self._forget()
         plain = [u for u, w in zip(units, whole) if not w]
-        encoded = self._tokenizer.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids
-        flat = np.array(encoded, np.uint32)
+        parts = [b" ".join(plain[k : k + _UNITS]).decode() for k in range(0, len(plain), _UNITS)]
+        encode = self._tokenizer.encode_batch_fast
+        encoded = [np.array(encode([p], add_special_tokens=False)[0].ids, np.uint32) for p in parts]
+        flat = np.concatenate([np.zeros(0, np.uint32), *encoded])
         stop = np.flatnonzero(self._ends[flat]) + 1
         if len(stop) != len(plain) or (len(stop) and stop[-1] != len(flat)):
             raise ValueError("this tokenizer does not end each unit with one id of its own")
@@ -129,7 +132,7 @@ class WordIds:
         begin = np.zeros(len(units), np.int64)
         begin[~whole] = np.r_[0, stop[:-1]] if len(stop) else 0
         words = [u.decode() for u, w in zip(units, whole) if w]
-        ids = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        ids = [np.array(e.ids, np.uint32) for e in encode(words, add_special_tokens=False)]
         length[whole] = [len(x) for x in ids]
         begin[whole] = len(flat) + np.cumsum(length[whole]) - length[whole]
         flat = np.concatenate([flat, *ids])
@@ -189,7 +192,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = coder(tokenizer)
-        for batch in batches:
+        for batch in T.each(batches):
             ids = batch.column("doc_id")
             for chunk in T.chunks(batch.column("text"), _TEXT_BYTES):
                 row, piece, start, length, crc = [], [], [], [], []
@@ -315,7 +318,7 @@ def _epoch(islands: DataFrame, capacity: int, epoch: int) -> DataFrame:
     """One epoch of every island; without packings yet, an island starts with its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             out = []
             for row in batch.select(["block", "island", "sizes", "packings"]).to_pylist():
                 rng = random.Random(f"{row['block']} {row['island']} {epoch}")
@@ -346,7 +349,7 @@ def _placed(islands: DataFrame, level: int, capacity: int) -> DataFrame:
     best_first = F.struct(F.expr("size(array_distinct(packings))").alias("n"), "island")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             columns: list[list[int]] = [[], [], [], [], []]
             for row in batch.to_pylist():
                 sizes = row["sizes"]

@@ -151,7 +151,7 @@ def _scan(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, base spans, and all candidates (base ones with their kind)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             base, found = [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
@@ -291,7 +291,7 @@ def without_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     joined = marked.where("_held").join(per_doc, F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_more")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             texts = []
             for text, more in zip(batch.column("_text"), batch.column("_more")):
                 text = text.as_py()

@@ -79,7 +79,7 @@ def _runs(docs: DataFrame, size: int, min_words: int) -> DataFrame:
     """(run, doc_id, place): every run of sentences with enough words; `place` is its first sentence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for chunk in T.chunks(batch.column("text")):
                 own = sentences(chunk)
@@ -148,7 +148,7 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
     held = rows.where("_held").join(per_doc, F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             texts, many, gone = batch.column("_text").to_pylist(), [], []
             counts = [T.per_row(sentences(c).row, c.rows) for c in T.chunks(batch.column("_text"))]
             counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)

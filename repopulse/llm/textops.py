@@ -6,6 +6,7 @@ on a chunk is vectorised. Offsets are bytes within the chunk. A null text is an
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -14,6 +15,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim  # noqa: B018
+except (OSError, AttributeError):  # another C library
+    _libc = None
+
 CHUNK = 1 << 19
 U64 = np.uint64
 #: An odd multiplier and its inverse modulo 2**64.
@@ -159,5 +166,21 @@ def small_batches(df: DataFrame) -> None:
         conf.set(name, str(BATCH_ROWS))
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process lives on after its task, and Arrow and the C
+    library would keep what large arrays have left behind."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
+def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches one after the other; what one took is given back before the next."""
+    for batch in batches:
+        yield batch
+        del batch
+        give_back()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -132,7 +132,7 @@ def training_rows(labels: DataFrame, per_class: int, calibration: int) -> DataFr
 
 
 def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in T.each(batches):
         toxic = batch.column("_toxic").to_numpy()
         for chunk in T.chunks(batch.column("_text")):
             before, word, row = _pairs(chunk)
@@ -173,7 +173,7 @@ def _slots(docs: DataFrame) -> DataFrame:
     rows = counts.selectExpr(f"inline(array({', '.join(kinds)}))").where("x0 > 0 or x1 > 0")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             kind = batch.column("kind").to_numpy()
             before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
             hashes = np.where(kind == 0, _bigram(before, word), before)
@@ -290,7 +290,7 @@ def fit(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             found = features(shared.value, batch.column("_text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_toxic"), *[pa.array(found[:, k]) for k in range(FEATURES)]],
@@ -312,7 +312,7 @@ def score(docs: DataFrame, scorer: Scorer, text: str = "text", column: str = "_s
     text gets the score of one without any evidence. Nothing but the text goes into it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in T.each(batches):
             x = (features(scorer.model.value, batch.column(text)) - scorer.center) / scorer.scale
             value = 1 / (1 + np.exp(-np.clip(x @ scorer.weights[:-1] + scorer.weights[-1], -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], names=[*batch.schema.names, column])
