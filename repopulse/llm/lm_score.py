@@ -23,8 +23,8 @@ from repopulse.llm import textops as T
 ORDER = 2
 BACKOFF = 0.4
 #: Bytes of text in a chunk, and those whose n-grams make a bucket, about.
-CHUNK_BYTES = 16 << 20
-BUCKET_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
 
 
 def _size(docs: DataFrame) -> tuple[int, int]:
@@ -32,7 +32,7 @@ def _size(docs: DataFrame) -> tuple[int, int]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = words = 0
-        for batch in batches:
+        for batch in T.each(batches):
             for chunk in T.chunks(batch.column("text")):
                 size += len(chunk.data)
                 words += len(T.words(chunk).start)
@@ -72,6 +72,7 @@ _PACKED = "chunk long, bucket long, grams binary, counts binary"
 
 def _explode(order: int, bits: int):
     def run(table: pa.Table) -> pa.Table:
+        T.give_back()
         values, there, _ = _grams(table["text"], order)
         gram, count = np.unique(_every(values, there), return_counts=True)
         bucket = (gram >> np.uint64(64 - bits)).astype(np.int64)
@@ -92,9 +93,10 @@ def _explode(order: int, bits: int):
 
 def _totals(table: pa.Table) -> pa.Table:
     """For each chunk's n-grams of the bucket, in their order, how often all chunks have them."""
-    grams = [np.frombuffer(g, np.uint64) for g in table["grams"].to_pylist()]
-    counts = [np.frombuffer(c, np.uint32) for c in table["counts"].to_pylist()]
-    _, which = np.unique(np.concatenate(grams), return_inverse=True)
+    T.give_back()
+    grams = [np.frombuffer(g.as_buffer(), np.uint64) for c in table["grams"].chunks for g in c]
+    counts = [np.frombuffer(g.as_buffer(), np.uint32) for c in table["counts"].chunks for g in c]
+    _, _, which = T.distinct(np.concatenate(grams))
     sums = np.bincount(which, np.concatenate(counts)).astype(np.uint32)
     parts = np.split(sums[which], np.cumsum([len(g) for g in grams])[:-1])
     return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "totals": pa.array([p.tobytes() for p in parts], pa.binary())})
@@ -102,16 +104,17 @@ def _totals(table: pa.Table) -> pa.Table:
 
 def _score(order: int, backoff: float, words: int):
     def run(texts: pa.Table, totals: pa.Table) -> pa.Table:
+        T.give_back()
         values, there, row = _grams(texts["text"], order)
-        every = _every(values, there)
-        _, which = np.unique(every, return_inverse=True)
+        _, _, which = T.distinct(_every(values, there))
         by_bucket = np.argsort(totals["bucket"].to_numpy(), kind="stable")
         packed = totals["totals"].to_pylist()
         total = np.concatenate([np.frombuffer(packed[k], np.uint32) for k in by_bucket] or [np.zeros(0, np.uint32)])
         owner = np.concatenate([row[t] for t in there]).astype(np.int64)
         # What the word's own document has of each n-gram.
         pair = which.astype(np.int64) * max(1, texts.num_rows) + owner
-        _, own_of, own = np.unique(pair, return_inverse=True, return_counts=True)
+        _, _, own_of = T.distinct(pair)
+        own = np.bincount(own_of)
         others = (total[which].astype(np.int64) - own[own_of]).astype(np.float64)
         counts, at = [], 0
         for t in there:
