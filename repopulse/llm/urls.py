@@ -66,17 +66,16 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT) -> DataFr
     """
     host, path = host_and_path(F.col("url"))
     hashed = _hashed(rules)
-    # One row: the lengths that rules have, of which there are few however many rules there are.
-    lengths = hashed.agg(
-        F.sort_array(F.collect_set("labels")).alias("rule_labels"), F.sort_array(F.collect_set("path_length")).alias("rule_paths")
-    )
+    # The lengths that rules have, of which there are few however many rules there are.
+    lengths = hashed.agg(F.collect_set("labels"), F.collect_set("path_length")).first()
+    rule_labels, rule_paths = (f"array({', '.join(map(str, sorted(found)))})" for found in lengths)
     rows = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("row", F.monotonically_increasing_id())
-    parts = rows.join(F.broadcast(lengths)).withColumn("parts", F.split("host", "[.]", -1))
+    parts = rows.withColumn("parts", F.split("host", "[.]", -1))
     # Both lists in one expression, so that a page is one row until they are opened.
-    expressions = """explode_outer(flatten(transform(
-        filter(rule_labels, k -> k <= size(parts)),
+    expressions = f"""explode_outer(flatten(transform(
+        filter(cast({rule_labels} as array<int>), k -> k <= size(parts)),
         k -> transform(
-            filter(rule_paths, l -> l <= length(path)),
+            filter(cast({rule_paths} as array<int>), l -> l <= length(path)),
             l -> concat(array_join(slice(parts, size(parts) - k + 1, k), '.'), substr(path, 1, l))))))"""
     expanded = parts.select("row", "page_id", "host", "path", F.expr(expressions).alias("expression"))
     expanded = expanded.withColumn("digest", F.sha2("expression", 256))
