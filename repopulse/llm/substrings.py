@@ -2,7 +2,8 @@
 
 A text is cut into sentences, and every run of `RUN` consecutive sentences is hashed. Runs are counted over
 all documents; of equal runs the first, by doc_id and place, stays, and every sentence that another one
-covers is removed, so a repeated passage goes from all documents but one, whatever stands around it.
+covers is removed, so a repeated passage goes from all documents but one, whatever stands around it. A run
+of few words is equal to others by chance, so it counts only where it goes on from one with enough.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from repopulse.llm import textops as T
 from repopulse.llm.store import IdFilter, stored
 
 RUN = 3
-#: Words that a run must have: shorter ones are equal by chance.
+#: Words that a run must have to count by itself.
 MIN_WORDS = 12
 #: A sentence with more words is cut after words with a hash that is a multiple of CUT, so that texts
 #: without full stops have sentences too, and the same ones wherever a passage stands.
@@ -76,7 +77,8 @@ def sentences(chunk: T.Chunk) -> Sentences:
 
 
 def _runs(docs: DataFrame, size: int, min_words: int) -> DataFrame:
-    """(run, doc_id, place): every run of sentences with enough words; `place` is its first sentence."""
+    """(run, doc_id, place, enough): every run of sentences; `place` is its first, and `enough` says
+    whether it has enough words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
@@ -86,45 +88,57 @@ def _runs(docs: DataFrame, size: int, min_words: int) -> DataFrame:
                 value, at = T.ngrams(own.hash, own.row, size)
                 words = np.r_[0, np.cumsum(own.words)]
                 enough = words[at + size] - words[at] >= min_words
-                value, at = value[enough], at[enough]
                 place = at - np.searchsorted(own.row, own.row[at])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(T.signed(value)),
                         pa.array(ids[chunk.first + own.row[at]].astype(np.int64)),
                         pa.array(place.astype(np.int32)),
+                        pa.array(enough),
                     ],
-                    names=["run", "doc_id", "place"],
+                    names=["run", "doc_id", "place", "enough"],
                 )
 
-    return docs.mapInArrow(run, "run long, doc_id long, place int")
+    return docs.mapInArrow(run, "run long, doc_id long, place int, enough boolean")
 
 
 def repeated_runs(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, place) of all runs that an earlier one is equal to; `docs` has ids without nulls.
+    """(doc_id, place, enough) of all runs that an earlier one is equal to; `docs` has ids without nulls.
 
     Equal runs are one row per task in the count, and adaptive execution splits them in the join.
     """
     runs = stored(_runs(docs, size, min_words), "runs")
     first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("many"))
     first = first.where("many > 1").select("run", F.col("first.doc_id").alias("id"), F.col("first.place").alias("at"))
-    return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place")
+    return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place", "enough")
 
 
-def _cut(text: str | None, places: list[int], size: int) -> tuple[str | None, int, int]:
-    """The text without the sentences that runs at these places cover, and how many there are and go."""
+def covered(places: list[tuple[int, bool]], size: int, many: int) -> np.ndarray:
+    """Which of `many` sentences repeated runs cover: those with enough words, and others that follow
+    each other from there without a gap."""
+    gone = np.zeros(many, bool)
+    chain: list[tuple[int, bool]] = []
+    for place, enough in [*sorted(places), (many + size, False)]:
+        if chain and place > chain[-1][0] + 1:
+            if any(e for _, e in chain):
+                gone[chain[0][0] : chain[-1][0] + size] = True
+            chain = []
+        chain.append((place, enough))
+    return gone
+
+
+def _cut(text: str, places: list[tuple[int, bool]], size: int) -> tuple[str, int]:
+    """The text without the sentences that repeated runs cover, and how many those are."""
     chunk = next(T.chunks(pa.array([text], pa.string())))
     own = sentences(chunk)
-    gone = np.zeros(len(own.row), bool)
-    for place in places:
-        gone[place : place + size] = True
+    gone = covered(places, size, len(own.row))
     if not gone.any():
-        return text, len(gone), 0
+        return text, 0
     data = chunk.data.tobytes()
     # What stands between sentences goes with the one before it.
     edges = [0, *own.start[1:].tolist(), len(data)]
     kept = b"".join(data[edges[k] : edges[k + 1]] for k in np.flatnonzero(~gone))
-    return kept.decode(), len(gone), int(gone.sum())
+    return kept.decode(), int(gone.sum())
 
 
 def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -139,11 +153,14 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = stored(repeated_runs(texts, size, min_words), "repeated")
     # The runs of one document, so of bounded number.
-    per_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("place").alias("_places"))
+    per_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(
+        F.collect_set(F.struct("place", "enough")).alias("_places"), F.max("enough").alias("_enough")
+    )
+    per_doc = per_doc.where("_enough").drop("_enough")
     rows = docs.select(
         F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text")
-    ).withColumn("_held", IdFilter(found.select("doc_id")).column(F.col("_id")))
-    none = F.lit(None).cast("array<int>").alias("_places")
+    ).withColumn("_held", IdFilter(found.where("enough").select("doc_id")).column(F.col("_id")))
+    none = F.lit(None).cast("array<struct<place:int,enough:boolean>>").alias("_places")
     clean = rows.where("not _held or _held is null").select("_row", "_text", none)
     held = rows.where("_held").join(per_doc, F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_places")
 
@@ -154,7 +171,7 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
             counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             for k, places in enumerate(batch.column("_places").to_pylist()):
                 if places:
-                    texts[k], _, n = _cut(texts[k], places, size)
+                    texts[k], n = _cut(texts[k], [(p["place"], p["enough"]) for p in places], size)
                 else:
                     n = 0
                 gone.append(n)
