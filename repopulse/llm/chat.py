@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from repopulse.llm.textops import small_batches
+from repopulse.llm.textops import prepare
 
 TURN, END = "<|turn|>", "<|end|>\n"
 ASSISTANT = "assistant"
@@ -147,7 +147,7 @@ def read_back(turns: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in map(list, zip(*out))], schema=_READ)
 
-    small_batches(turns)
+    prepare(turns)
     rows = turns.select("conv_id", "position", "segment", "start", "reply", "loss_start", "loss_stop")
     assert names == _READ.names
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "position").mapInArrow(run, schema)

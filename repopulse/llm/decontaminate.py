@@ -175,7 +175,7 @@ def contaminated(
     without an id are not judged. Rows that share an id are rows of one document or item: the best
     alignment counts, and ties go to the first end. Empty tables give no rows, and other columns are ignored.
     """
-    T.small_batches(docs)
+    T.prepare(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null")
     items = stored(_items(bench), "items")

@@ -403,7 +403,7 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     document: each has the size of its own text, and each text's links count. Other columns of
     `docs` are ignored.
     """
-    T.small_batches(docs)
+    T.prepare(docs)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     ranks = token_ranks(docs.select("text"), size)
     known = _describe(docs.where("doc_id is not null"), ranks, size, least)

@@ -157,7 +157,7 @@ def stupid_backoff(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF
     """
     if order < 1:
         raise ValueError("order must be at least 1")
-    T.small_batches(docs)
+    T.prepare(docs)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     size, words = _size(rows)
     chunks = max(1, -(-size // CHUNK_BYTES))

@@ -417,7 +417,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end: int = E
     A null or empty text is the end id alone. Rows that share an id, or have none, are documents of
     their own. Other columns are ignored; no documents give no rows.
     """
-    T.small_batches(docs)
+    T.prepare(docs)
     cut = pieces(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), tokenizer, capacity, end)
     cut = stored(cut.select(F.monotonically_increasing_id().alias("item"), "*"), "pieces")
     placed = pack_items(cut.select("item", F.col("length").alias("size")), capacity)

@@ -221,7 +221,7 @@ def _learn(candidates: DataFrame, rounds: int) -> DataFrame:
 
 def _find(docs: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
     """Per row its base spans, and (row, kind, start, stop) of the spans that learning adds."""
-    T.small_batches(docs)
+    T.prepare(docs)
     rows = _scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "*"), "scanned")
     candidates = rows.select("row", F.explode("found").alias("c")).select("row", "c.*")

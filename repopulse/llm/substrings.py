@@ -24,7 +24,7 @@ RUN = 3
 MIN_WORDS = 12
 #: A sentence with more words is cut after words with a hash that is a multiple of CUT, so that texts
 #: without full stops have sentences too, and the same ones wherever a passage stands.
-LONG, CUT = 24, 8
+LONG, CUT = 16, 6
 #: Base of the polynomial over word hashes, and its inverse modulo 2**64.
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -149,7 +149,7 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
     or empty text stays. A text all of which is repeated becomes empty. Where `docs` has columns of
     the two added names, these are replaced.
     """
-    T.small_batches(docs)
+    T.prepare(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = stored(repeated_runs(texts, size, min_words), "repeated")
     # The runs of one document, so of bounded number.

@@ -7,6 +7,9 @@ on a chunk is vectorised. Offsets are bytes within the chunk. A null text is an
 from __future__ import annotations
 
 import ctypes
+import pathlib
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -157,13 +160,26 @@ def signed(values: np.ndarray) -> np.ndarray:
 BATCH_ROWS = 1000
 
 
-def small_batches(df: DataFrame) -> None:
-    """Let a batch that goes to Python hold `BATCH_ROWS` rows at most, for rows here are whole texts.
-    A session that asks for smaller batches keeps them."""
-    conf = df.sparkSession.conf
+def prepare(df: DataFrame) -> None:
+    """Make a session ready for this package's work in Python.
+
+    A batch holds `BATCH_ROWS` rows at most, for rows here are whole texts; a session that asks for
+    smaller batches keeps them. Workers get the package itself, wherever they run.
+    """
+    spark = df.sparkSession
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
-        conf.set(name, str(BATCH_ROWS))
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    context = spark.sparkContext
+    if not any("repopulse-llm" in name for name in context.listFiles):
+        folder = pathlib.Path(__file__).parent
+        # The driver's own file, from which Spark serves it to executors as long as the session lives.
+        packed = f"{tempfile.mkdtemp(prefix='repopulse-')}/repopulse-llm.zip"
+        with zipfile.ZipFile(packed, "w") as archive:
+            archive.write(folder.parent / "__init__.py", "repopulse/__init__.py")
+            for path in folder.glob("*.py"):
+                archive.write(path, f"repopulse/llm/{path.name}")
+        context.addPyFile(packed)
 
 
 def give_back() -> None:

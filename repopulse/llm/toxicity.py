@@ -281,7 +281,7 @@ def fit(
     """Train on labelled documents, whole texts, that are not held out: two quarters of the ids
     give the counts and one the regression. `per_class` and `calibration` bound the rows of each
     class. Without labels of both classes every score is 1/2."""
-    T.small_batches(docs)
+    T.prepare(docs)
     rows = training_rows(labels, per_class, calibration)
     texts = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"))
     # At most 2 * (per_class + calibration) rows of two numbers and a flag.
