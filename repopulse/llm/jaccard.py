@@ -12,7 +12,7 @@ component holds what links connect. The join is exact:
    share some of these, so a set's overlap with a row bounds its overlap with any member.
 4. A query opens the bands of which the bound is high enough, and no others. It is compared, by whole
    sets, first with a few typical members, and then, where this leaves both in different components,
-   with every member that has enough first tokens in common.
+   with every member, in blocks.
 
 What groups there are decides how fast the join is, and never what it finds.
 """
@@ -42,6 +42,8 @@ MIN_HASHES = 6
 BAND = 1.05
 #: Members of a band that a query is compared with first.
 TYPICAL = 3
+#: Queries, and members, that one task compares with each other at most, about.
+PART = 256
 #: Tokens per slot of the table of token frequencies, and its most slots, of a byte each: so many at
 #: most are broadcast. More tokens than these have room for blur the order, which costs time only.
 TOKENS_PER_SLOT = 16
@@ -375,23 +377,57 @@ def _typical_members(queries: DataFrame, near: DataFrame) -> DataFrame:
     return members.groupBy("grp", "band", part).agg(best).select("grp", "band", F.col("best.node").alias("member"))
 
 
-def _members(queries: DataFrame, opened: DataFrame, least: int) -> DataFrame:
-    """(a, b): queries and those members of opened bands that share enough of their first tokens."""
-    asked = queries.select("node", "n", "token", "pos").join(opened.select("node", "grp", "band"), "node").alias("q")
-    s = queries.alias("s")
-    common = _common("q.n", "s.n", least)
-    met = asked.join(
-        s,
-        F.expr(
-            f"q.token = s.token and q.grp = s.grp and q.band = s.band"
-            f" and 100 * least(q.n, s.n) >= {least} * greatest(q.n, s.n)"
-            f" and q.pos < q.n - {common} + {MORE + 1} and s.pos < s.n - {common} + {MORE + 1}"
-        ),
+def _parts(of: str, own: str, other: str) -> list[str]:
+    """SQL: the part that a row is in by its own side's number, and each part of the other side."""
+    return [f"pmod(xxhash64({of}), ceil({own} / {PART})) as own_part", f"explode(sequence(1L, ceil({other} / {PART}))) as other_part"]
+
+
+def _linked_in_blocks(
+    docs: DataFrame, nodes: DataFrame, queries: DataFrame, asked: DataFrame, typical: DataFrame, size: int, least: int
+) -> DataFrame:
+    """Links (a, b) of the queries in `asked` (node, grp, band) with members of those bands, the typical
+    ones left out: one link for each query and part of a band, since a band's members are connected.
+
+    Queries and members of a band are dealt into parts of bounded size, and each part of the one is
+    compared with each of the other in one task, by whole sets. So no pairs are written.
+    """
+    members = queries.select("grp", "band", "node").distinct().join(
+        typical.withColumnRenamed("member", "node"), ["grp", "band", "node"], "left_anti"
+    )
+    counts = asked.groupBy("grp", "band").agg(F.count("*").alias("n_asked"))
+    held = members.join(counts, ["grp", "band"]).groupBy("grp", "band", "n_asked").agg(F.count("*").alias("n_members"))
+    held = stored(held, "held")
+    asking = asked.join(held, ["grp", "band"]).selectExpr("grp", "band", "node", *_parts("node", "n_asked", "n_members"))
+    asking = asking.selectExpr("grp", "band", "own_part as q_part", "other_part - 1 as m_part", "node")
+    answering = members.join(held, ["grp", "band"]).selectExpr(
+        "grp", "band", "node", *_parts("node", "n_members", "n_asked")
+    )
+    answering = answering.selectExpr("grp", "band", "other_part - 1 as q_part", "own_part as m_part", "node")
+    asking, answering = stored(asking, "asking"), stored(answering, "answering")
+    wanted = asking.select("node").unionByName(answering.select("node")).distinct()
+    texts = stored(_texts_of(docs, nodes, wanted, size), "texts")
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        T.give_back()
+        sets = [_per_text(side["text"], size) for side in (left, right)]
+        ids = [side["node"].to_pylist() for side in (left, right)]
+        links = []
+        for a, x in zip(ids[0], sets[0]):
+            for b, y in zip(ids[1], sets[1]):
+                if 100 * min(len(x), len(y)) < least * max(len(x), len(y)):
+                    continue
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= least * (len(x) + len(y) - common):
+                    links.append((a, b))
+                    break
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    block = ["grp", "band", "q_part", "m_part"]
+    left, right = (
+        side.join(texts, "node").select(*[F.col(c).alias(c) for c in (*block, "node", "text")]).groupBy(*block)
+        for side in (asking, answering)
     )
-    counted = met.groupBy(
-        F.col("q.node").alias("a"), F.col("s.node").alias("b"), F.col("q.n").alias("n"), F.col("s.n").alias("m")
-    ).agg(F.count("*").alias("shared"))
-    return counted.where(f"shared >= least({MORE + 1}, {_common('n', 'm', least)})").select("a", "b")
+    return left.cogroup(right).applyInArrow(compare, "a long, b long")
 
 
 def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST) -> DataFrame:
@@ -417,17 +453,17 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
     groups = stored(groups, "groups")
     queries = _queries(nodes, groups)
     opened = _opened(queries, least)
-    typical = opened.join(_typical_members(queries, near), ["grp", "band"]).selectExpr("node as a", "member as b")
-    typical = stored(typical, "typical")
-    found = _merged(groups, _linked(docs, nodes, typical, size, least))
+    typical = stored(_typical_members(queries, near), "typical")
+    first = opened.join(typical, ["grp", "band"]).selectExpr("node as a", "member as b")
+    found = _merged(groups, _linked(docs, nodes, stored(first, "first"), size, least))
     # What has not come together with an opened group by then is compared with all its members.
     now = opened.join(found.withColumnRenamed("grp", "own"), "node").join(
         groups.selectExpr("node as root", "grp").where("root = grp").join(found.selectExpr("node as root", "grp as other"), "root"),
         "grp",
     )
-    rest = _members(queries, stored(now.where("own <> other").select("node", "grp", "band"), "apart"), least)
-    rest = stored(rest.join(typical, ["a", "b"], "left_anti"), "rest")
-    found = _merged(found, _linked(docs, nodes, rest, size, least))
+    apart = stored(now.where("own <> other").select("node", "grp", "band"), "apart")
+    links = _linked_in_blocks(docs, nodes, queries, apart, typical, size, least)
+    found = _merged(found, stored(links, "links"))
     ids = nodes.select("node", "rep", "d1", "d2").join(found, "node")
     least_ids = ids.groupBy("grp").agg(F.min("rep").alias("least_id"))
     by_set = ids.join(least_ids, "grp").select("d1", "d2", "least_id")
