@@ -67,6 +67,22 @@ def _every(values: list[np.ndarray], there: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([v[t] for v, t in zip(values, there)])
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte: all lowest bytes, then all next ones. Small numbers leave long runs of zeros
+    at the end, which Spark's compression takes away."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def _unpacked(data: pa.Buffer | bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def _steps(grams: np.ndarray) -> np.ndarray:
+    """Sorted numbers as the first and the steps between them, which are smaller."""
+    return np.diff(grams, prepend=np.uint64(0))
+
+
 _PACKED = "chunk long, bucket long, grams binary, counts binary"
 
 
@@ -83,8 +99,8 @@ def _explode(order: int, bits: int):
             {
                 "chunk": pa.array(np.full(len(used), table["chunk"][0].as_py(), np.int64)),
                 "bucket": pa.array(used),
-                "grams": pa.array([gram[edges[b] : edges[b + 1]].tobytes() for b in used], pa.binary()),
-                "counts": pa.array([many[edges[b] : edges[b + 1]].tobytes() for b in used], pa.binary()),
+                "grams": pa.array([_packed(_steps(gram[edges[b] : edges[b + 1]])) for b in used], pa.binary()),
+                "counts": pa.array([_packed(many[edges[b] : edges[b + 1]]) for b in used], pa.binary()),
             }
         )
 
@@ -94,12 +110,12 @@ def _explode(order: int, bits: int):
 def _totals(table: pa.Table) -> pa.Table:
     """For each chunk's n-grams of the bucket, in their order, how often all chunks have them."""
     T.give_back()
-    grams = [np.frombuffer(g.as_buffer(), np.uint64) for c in table["grams"].chunks for g in c]
-    counts = [np.frombuffer(g.as_buffer(), np.uint32) for c in table["counts"].chunks for g in c]
+    grams = [np.cumsum(_unpacked(g.as_buffer(), np.uint64)) for c in table["grams"].chunks for g in c]
+    counts = [_unpacked(g.as_buffer(), np.uint32) for c in table["counts"].chunks for g in c]
     _, _, which = T.distinct(np.concatenate(grams))
     sums = np.bincount(which, np.concatenate(counts)).astype(np.uint32)
     parts = np.split(sums[which], np.cumsum([len(g) for g in grams])[:-1])
-    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "totals": pa.array([p.tobytes() for p in parts], pa.binary())})
+    return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "totals": pa.array([_packed(p) for p in parts], pa.binary())})
 
 
 def _score(order: int, backoff: float, words: int):
@@ -109,7 +125,7 @@ def _score(order: int, backoff: float, words: int):
         _, _, which = T.distinct(_every(values, there))
         by_bucket = np.argsort(totals["bucket"].to_numpy(), kind="stable")
         packed = totals["totals"].to_pylist()
-        total = np.concatenate([np.frombuffer(packed[k], np.uint32) for k in by_bucket] or [np.zeros(0, np.uint32)])
+        total = np.concatenate([_unpacked(packed[k], np.uint32) for k in by_bucket] or [np.zeros(0, np.uint32)])
         owner = np.concatenate([row[t] for t in there]).astype(np.int64)
         # What the word's own document has of each n-gram.
         pair = which.astype(np.int64) * max(1, texts.num_rows) + owner
