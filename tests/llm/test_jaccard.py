@@ -35,8 +35,10 @@ def joined(spark, texts):
     return sorted(map(tuple, J.similar_documents(documents(spark, texts)).collect()), key=str)
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_components_equal_those_by_hand(spark, seed):
+@pytest.mark.parametrize("seed, typical, part", [(1, J.TYPICAL, J.PART), (2, 1, 2), (3, 1, 3)])
+def test_components_equal_those_by_hand(spark, monkeypatch, seed, typical, part):
+    monkeypatch.setattr(J, "TYPICAL", typical)
+    monkeypatch.setattr(J, "PART", part)
     texts = copies(seeded(seed))
     assert joined(spark, texts) == by_hand(texts)
 
