@@ -15,7 +15,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_sentence_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), extend=True)
 
 
 def op2_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:

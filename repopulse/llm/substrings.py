@@ -2,7 +2,9 @@
 
 A text is cut into sentences, and every run of `RUN` consecutive sentences is hashed. Runs are counted over
 all documents; of equal runs the first, by doc_id and place, stays, and every sentence that another one
-covers is removed, so a repeated passage goes from all documents but one, whatever stands around it.
+covers is removed, so a repeated passage goes from all documents but one, whatever stands around it. A run of
+few words is left out or, with `extend`, goes on sentence by sentence until it has enough, so that passages of
+short sentences go as well.
 """
 
 from __future__ import annotations
@@ -44,6 +46,15 @@ class Sentences(T.NamedTuple):
     hash: np.ndarray
 
 
+def _joined(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of the sequence hashes[begin:stop] for each of these bounds."""
+    many = len(hashes)
+    power, inverse = T._power(_BASE, many + 1), T._power(_INVERSE, many + 1)
+    sums = np.zeros(many + 1, np.uint64)
+    np.cumsum(hashes * power[:many], out=sums[1:])
+    return T.mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
+
+
 def sentences(chunk: T.Chunk) -> Sentences:
     """A sentence ends with a word that ends in a full stop or the like, or at the end of its line."""
     found = T.words(chunk)
@@ -68,56 +79,67 @@ def sentences(chunk: T.Chunk) -> Sentences:
     begin, stop = bounds(ends)
     long = np.repeat(stop - begin > LONG, stop - begin)
     begin, stop = bounds(ends | (long & (hashes % np.uint64(CUT) == 0)))
-    power, inverse = T._power(_BASE, many + 1), T._power(_INVERSE, many + 1)
-    sums = np.zeros(many + 1, np.uint64)
-    np.cumsum(hashes * power[:many], out=sums[1:])
-    value = T.mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
+    value = _joined(hashes, begin, stop)
     return Sentences(found.row[begin], found.start[begin], found.end[stop - 1], stop - begin, value)
 
 
-def _runs(docs: DataFrame, size: int, min_words: int) -> DataFrame:
-    """(run, doc_id, place): every run of sentences with enough words; `place` is its first sentence."""
+def run_bounds(own: Sentences, size: int, min_words: int, extend: bool) -> tuple[np.ndarray, np.ndarray]:
+    """First sentence of each run and the one after its last, within a row: `size` sentences with at least
+    `min_words` words or, with `extend`, the fewest that are both, from each sentence on."""
+    many = len(own.row)
+    words = np.r_[0, np.cumsum(own.words)]
+    enough = np.searchsorted(words, words[:-1] + min_words)
+    begin = np.arange(many)
+    stop = np.maximum(begin + size, enough)
+    inside = np.flatnonzero((stop <= many) & (extend | (enough <= begin + size)))
+    inside = inside[own.row[stop[inside] - 1] == own.row[inside]]
+    return inside, stop[inside]
+
+
+def _runs(docs: DataFrame, size: int, min_words: int, extend: bool) -> DataFrame:
+    """(run, doc_id, place, many): every run with enough words; `place` is its first sentence, `many` its number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for chunk in T.chunks(batch.column("text")):
                 own = sentences(chunk)
-                value, at = T.ngrams(own.hash, own.row, size)
-                words = np.r_[0, np.cumsum(own.words)]
-                enough = words[at + size] - words[at] >= min_words
-                value, at = value[enough], at[enough]
+                at, stop = run_bounds(own, size, min_words, extend)
+                value = _joined(own.hash, at, stop)
                 place = at - np.searchsorted(own.row, own.row[at])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(T.signed(value)),
                         pa.array(ids[chunk.first + own.row[at]].astype(np.int64)),
                         pa.array(place.astype(np.int32)),
+                        pa.array((stop - at).astype(np.int32)),
                     ],
-                    names=["run", "doc_id", "place"],
+                    names=["run", "doc_id", "place", "many"],
                 )
 
-    return docs.mapInArrow(run, "run long, doc_id long, place int")
+    return docs.mapInArrow(run, "run long, doc_id long, place int, many int")
 
 
-def repeated_runs(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, place) of all runs that an earlier one is equal to; `docs` has ids without nulls.
+def repeated_runs(
+    docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS, extend: bool = False
+) -> DataFrame:
+    """(doc_id, place, many) of all runs that an earlier one is equal to; `docs` has ids without nulls.
 
     Equal runs are one row per task in the count, and adaptive execution splits them in the join.
     """
-    runs = stored(_runs(docs, size, min_words), "runs")
-    first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("many"))
-    first = first.where("many > 1").select("run", F.col("first.doc_id").alias("id"), F.col("first.place").alias("at"))
-    return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place")
+    runs = stored(_runs(docs, size, min_words, extend), "runs")
+    first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("times"))
+    first = first.where("times > 1").select("run", F.col("first.doc_id").alias("id"), F.col("first.place").alias("at"))
+    return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place", "many")
 
 
-def _cut(text: str | None, places: list[int], size: int) -> tuple[str | None, int, int]:
-    """The text without the sentences that runs at these places cover, and how many there are and go."""
+def _cut(text: str | None, places: list[dict[str, int]]) -> tuple[str | None, int, int]:
+    """The text without the sentences that these runs cover, and how many there are and go."""
     chunk = next(T.chunks(pa.array([text], pa.string())))
     own = sentences(chunk)
     gone = np.zeros(len(own.row), bool)
-    for place in places:
-        gone[place : place + size] = True
+    for run in places:
+        gone[run["place"] : run["place"] + run["many"]] = True
     if not gone.any():
         return text, len(gone), 0
     data = chunk.data.tobytes()
@@ -127,7 +149,9 @@ def _cut(text: str | None, places: list[int], size: int) -> tuple[str | None, in
     return kept.decode(), len(gone), int(gone.sum())
 
 
-def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS, extend: bool = False
+) -> DataFrame:
     """All rows and columns of `docs`, with `text` cut, and n_sentences and n_removed (long).
 
     Rows that share an id are one document given more than once: they are all cut alike, and none for
@@ -137,13 +161,13 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
     """
     T.prepare(docs)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    found = stored(repeated_runs(texts, size, min_words), "repeated")
+    found = stored(repeated_runs(texts, size, min_words, extend), "repeated")
     # The runs of one document, so of bounded number.
-    per_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("place").alias("_places"))
+    per_doc = found.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set(F.struct("place", "many")).alias("_places"))
     rows = docs.select(
         F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text")
     ).withColumn("_held", IdFilter(found.select("doc_id")).column(F.col("_id")))
-    none = F.lit(None).cast("array<int>").alias("_places")
+    none = F.lit(None).cast("array<struct<place:int,many:int>>").alias("_places")
     clean = rows.where("not _held or _held is null").select("_row", "_text", none)
     held = rows.where("_held").join(per_doc, F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_places")
 
@@ -154,7 +178,7 @@ def without_repeats(docs: DataFrame, size: int = RUN, min_words: int = MIN_WORDS
             counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             for k, places in enumerate(batch.column("_places").to_pylist()):
                 if places:
-                    texts[k], _, n = _cut(texts[k], places, size)
+                    texts[k], _, n = _cut(texts[k], places)
                 else:
                     n = 0
                 gone.append(n)

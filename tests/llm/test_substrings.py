@@ -59,6 +59,21 @@ def test_a_passage_stays_in_the_first_document_only(spark):
     assert all(dict(texts)[k].startswith(found[k][:20]) for k in found)
 
 
+def test_copies_with_sentences_of_one_word_go(spark):
+    rng = seeded(5)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    for end in ("!! ", ". ", "\n"):
+        passage = end.join(words)
+        texts = [(1, passage), (2, passage), (3, f"{prose(rng, 20)}\n{passage}\n{prose(rng, 20)}"), (4, "spam!! " * 120)]
+        found = {r.doc_id: r for r in S.without_repeats(documents(spark, texts), extend=True).collect()}
+        assert found[1].text == passage and found[2].text == "" and found[2].n_removed == 120
+        assert found[3].n_removed == 120 and not set(words) & set(found[3].text.replace("!!", "").replace(".", "").split())
+        assert found[4].n_removed == 119
+    short = ". ".join(words[: S.MIN_WORDS - 1])
+    rows = S.without_repeats(documents(spark, [(1, short), (2, short)]), extend=True).collect()
+    assert [r.n_removed for r in rows] == [0, 0]
+
+
 def test_messy_rows(spark):
     texts = messy_texts(seeded(3))
     found = S.without_repeats(documents(spark, texts))
