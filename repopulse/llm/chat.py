@@ -109,9 +109,13 @@ def example_texts(chosen: DataFrame, turns: DataFrame) -> DataFrame:
     return parts.select("conv_id", "example", text.alias("text"), "loss_start", "loss_stop")
 
 
-def read_back(turns: DataFrame) -> DataFrame:
-    """Per conversation what its formatted turns and loss ranges say: n_turns, turns_sha256, loss_chars,
-    loss_sha256, formatted_chars, n_examples."""
+def read_back(turns: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
+    """Per conversation what its formatted turns say, n_turns, turns_sha256 and formatted_chars, and what its
+    examples do, `expanded` or else all of them: loss_chars, loss_sha256, n_examples.
+
+    Fails on an example that is not of an assistant's turn, whose context is not all of the text before the
+    reply, that does not end with the reply, or whose number is not that of the examples before it.
+    """
     schema = (
         "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
         "formatted_chars long, n_examples long"
@@ -121,6 +125,7 @@ def read_back(turns: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One conversation after the other, each in order; only digests are kept.
         now, state, out = None, None, []
+        last, segment, role, begin = None, "", "", 0
 
         def done() -> None:
             if state:
@@ -131,15 +136,28 @@ def read_back(turns: DataFrame) -> DataFrame:
                 if state is None or row["conv_id"] != now:
                     done()
                     now, state = row["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                segment = row["segment"]
-                role, text = read_turn(segment)
-                loss = unescape(segment[row["loss_start"] - row["start"] : row["loss_stop"] - row["start"]])
-                state[0] += 1
-                state[1].update(f"{role}\n{text}\n".encode())
+                    last = None
+                if row["example"] is None:
+                    last, segment, begin = row["position"], row["segment"], state[4]
+                    role, text = read_turn(segment)
+                    state[0] += 1
+                    state[1].update(f"{role}\n{text}\n".encode())
+                    state[4] += len(segment)
+                    continue
+                # An example comes after the turn that it ends with.
+                where = f"example {row['example']} of conversation {now}"
+                if row["position"] != last or role != ASSISTANT:
+                    raise ValueError(f"{where}: no reply at its position")
+                if row["example"] != state[5]:
+                    raise ValueError(f"{where}: number {state[5]} is next")
+                if row["loss_start"] != begin + segment.index("\n") + 1:
+                    raise ValueError(f"{where}: its context does not end where the reply starts")
+                if row["loss_stop"] != begin + len(segment) - len(END):
+                    raise ValueError(f"{where}: it does not end with the reply")
+                loss = unescape(segment[row["loss_start"] - begin : row["loss_stop"] - begin])
                 state[2] += len(loss)
                 state[3].update(loss.encode())
-                state[4] += len(segment)
-                state[5] += row["reply"]
+                state[5] += 1
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in map(list, zip(*out))], schema=_READ)
                 out.clear()
@@ -148,9 +166,15 @@ def read_back(turns: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in map(list, zip(*out))], schema=_READ)
 
     prepare(turns)
-    rows = turns.select("conv_id", "position", "segment", "start", "reply", "loss_start", "loss_stop")
+    own = examples(turns) if expanded is None else expanded
+    # Turns and examples meet by (conv_id, position) where each conversation is read in order; nulls are equal
+    # there, and an example without a turn is not lost.
+    rows = turns.select("conv_id", "position", "segment").unionByName(
+        own.select("conv_id", "position", "example", "loss_start", "loss_stop"), allowMissingColumns=True
+    )
     assert names == _READ.names
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "position").mapInArrow(run, schema)
+    order = ["conv_id", "position", F.col("example").asc_nulls_first()]
+    return rows.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 _READ = pa.schema(

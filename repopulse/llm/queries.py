@@ -49,7 +49,8 @@ def op8_grouping_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_prefix_target_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = "conv_id long, turn long, role string, text string"
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(chat.formatted(rows.unionByName(spark.createDataFrame(list(chat.ADDED), columns))))
+    turns = chat.formatted(rows.unionByName(spark.createDataFrame(list(chat.ADDED), columns)))
+    return chat.read_back(turns, chat.examples(turns))
 
 
 def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,7 @@
 import hashlib
 
+import pytest
+
 from repopulse.llm import chat as C
 from tests.llm.samples import seeded
 
@@ -59,6 +61,27 @@ def test_every_reply_is_an_example_with_all_turns_before_it(spark):
         assert own == list(enumerate(replies))
 
 
+def test_reading_depends_on_every_example(spark):
+    rows = [(conv, k, role, f"{role} {k}") for conv in (1, None) for k, role in enumerate(["user", "assistant"] * 3)]
+    turns = C.formatted(spark.createDataFrame(rows, COLUMNS))
+    own = C.examples(turns)
+    found = C.read_back(turns, own).collect()
+    assert sorted(found, key=str) == sorted(C.read_back(turns).collect(), key=str)
+    assert [(r.n_turns, r.n_examples, r.loss_chars) for r in found] == [(6, 3, 33)] * 2
+    fewer = C.read_back(turns, own.where("example < 2")).collect()
+    assert [(r.n_turns, r.n_examples, r.loss_chars) for r in fewer] == [(6, 2, 22)] * 2
+    wrong = {
+        "number": own.where("example <> 1"),
+        "next": own.unionByName(own),
+        "context": own.withColumn("loss_start", own.loss_start - 1),
+        "end with": own.withColumn("loss_stop", own.loss_stop + 1),
+        "no reply": own.withColumn("position", own.position + 1),
+    }
+    for message, spoilt in wrong.items():
+        with pytest.raises(Exception, match=message):
+            C.read_back(turns, spoilt).collect()
+
+
 def test_empty_table(spark):
     assert C.read_back(C.formatted(spark.createDataFrame([], COLUMNS))).count() == 0
 
