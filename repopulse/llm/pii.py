@@ -1,7 +1,7 @@
 """Personal data: fixed formats, and what contexts learned from them find besides.
 
-Matches of four formats are the seeds. Every identifier-like token is a possible instance; the words
-around it are its lexical patterns. Spark scores the graph of patterns and instances in rounds: a
+Matches of four formats are the seeds. Every identifier-like token, and every few neighbouring groups of
+digits, is a possible instance; the words around it are its lexical patterns, and its shape is one more. Spark scores the graph of patterns and instances in rounds: a
 pattern counts for a kind by the share and number of known instances of the kind among all that it
 holds, and an instance by the patterns that hold it. Accepted instances count as known in the next
 round, and at the end their spans are added.
@@ -44,6 +44,9 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _AROUND = "\"'()[]{}<>,;:.!?|#*$%&="
 _TOKEN = re.compile(r"\S*[0-9@]\S*")
 _LEAST_LENGTH, _LEAST_DIGITS, _MOST_LENGTH = 6, 4, 256
+#: Neighbouring groups of digits, which may be one number, and the most digits of one.
+_GROUPS = re.compile(r"(?<![\w().+/-])[(+]{0,2}[0-9][0-9()./-]*+(?:[ \u00a0][(]?[0-9][0-9()./-]*+)++")
+_MOST_DIGITS = 19
 
 Span = tuple[str, int, int]
 
@@ -122,21 +125,42 @@ def patterns(text: str, start: int, end: int) -> list[str]:
     return found
 
 
-def tokens(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """Identifier-like tokens that no base span touches: those with an `@` or a few digits."""
-    edges = sorted((start, end) for _, start, end in taken)
-    at = 0
+def _single(text: str) -> Iterator[tuple[int, int]]:
+    """Tokens with an `@` or a few digits."""
     for m in _TOKEN.finditer(text):
         core = m[0].strip(_AROUND)
         digits = sum("0" <= c <= "9" for c in core)
-        if not _LEAST_LENGTH <= len(core) <= _MOST_LENGTH or (digits < _LEAST_DIGITS and "@" not in core):
-            continue
-        start = m.start() + m[0].index(core)
-        end = start + len(core)
-        while at < len(edges) and edges[at][1] <= start:
-            at += 1
-        if not any(a < end and start < b for a, b in edges[max(0, at - 1) : at + 4]):
-            yield start, end
+        if _LEAST_LENGTH <= len(core) <= _MOST_LENGTH and (digits >= _LEAST_DIGITS or "@" in core):
+            start = m.start() + m[0].index(core)
+            yield start, start + len(core)
+
+
+def _grouped(text: str) -> Iterator[tuple[int, int]]:
+    """Two or more neighbouring groups of digits that may be one number."""
+    for m in _GROUPS.finditer(text):
+        core = m[0].rstrip("(./-")
+        if m.end() < len(text) and (text[m.end()].isalnum() or text[m.end()] in "_@"):
+            # The last group goes on as a word.
+            core = re.sub(r"[ \u00a0][^ \u00a0]*$", "", m[0]).rstrip("(./-")
+            if not re.search("[ \u00a0]", core):
+                continue
+        if "(" not in core:
+            core = core.rstrip(")")
+        digits = sum("0" <= c <= "9" for c in core)
+        if _LEAST_LENGTH <= len(core) <= _MOST_LENGTH and _LEAST_DIGITS <= digits <= _MOST_DIGITS:
+            yield m.start(), m.start() + len(core)
+
+
+def tokens(text: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """Identifier-like tokens, and neighbouring groups of digits, that no base span touches."""
+    edges = sorted((start, end) for _, start, end in taken)
+    for found in (_single(text), _grouped(text)):
+        at = 0
+        for start, end in found:
+            while at < len(edges) and edges[at][1] <= start:
+                at += 1
+            if not any(a < end and start < b for a, b in edges[max(0, at - 1) : at + 4]):
+                yield start, end
 
 
 def _number(value: str) -> int:
@@ -144,7 +168,7 @@ def _number(value: str) -> int:
 
 
 _SPAN = "struct<kind:string,start:long,stop:long>"
-_CANDIDATE = "struct<kind:string,start:long,stop:long,value:long,shape:long,patterns:array<long>>"
+_CANDIDATE = "struct<kind:string,start:long,stop:long,value:long,patterns:array<long>>"
 
 
 def _scan(docs: DataFrame) -> DataFrame:
@@ -165,14 +189,13 @@ def _scan(docs: DataFrame) -> DataFrame:
                             "start": s,
                             "stop": e,
                             "value": _number(text[s:e]),
-                            "shape": _number(shape(text[s:e])),
-                            "patterns": [_number(p) for p in patterns(text, s, e)],
+                            "patterns": [_number(p) for p in (*patterns(text, s, e), f"s {shape(text[s:e])}")],
                         }
                         for k, s, e in rows
                     ]
                 )
             span = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("stop", pa.int64())])
-            more = [("value", pa.int64()), ("shape", pa.int64()), ("patterns", pa.list_(pa.int64()))]
+            more = [("value", pa.int64()), ("patterns", pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -188,28 +211,27 @@ def _scan(docs: DataFrame) -> DataFrame:
 def _learn(candidates: DataFrame, rounds: int) -> DataFrame:
     """(value, kind) of the instances that the rounds accept.
 
-    A pattern or value with very many occurrences is one row per task in each count. A value of two
+    A value's shape is a pattern like its contexts, so one context and the shape can accept it, or two
+    contexts whatever its shape. A pattern or value with very many occurrences is one row per task in each count. A value of two
     base kinds has the first of them.
     """
     edges = stored(candidates.selectExpr("explode(patterns) as pattern", "value").distinct(), "edges")
     held = stored(edges.groupBy("pattern").agg(F.count("*").alias("held")).where(f"held >= {PATTERN_KNOWN}"), "held")
     edges = stored(edges.join(held.select("pattern"), "pattern"), "edges")
-    values = candidates.groupBy("value").agg(F.min("kind").alias("kind"), F.min("shape").alias("shape"))
+    values = candidates.groupBy("value").agg(F.min("kind").alias("kind"))
     values = stored(values, "values")
     known = values.where("kind is not null").select("value", "kind")
     for _ in range(rounds):
         counted = edges.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("known"))
         good = counted.join(held, "pattern").selectExpr("pattern", "kind", "known", "known / held as share")
         good = good.where(f"known >= {PATTERN_KNOWN} and share >= {PATTERN_SHARE}")
-        shapes = known.join(values.select("value", "shape"), "value").select("kind", "shape").distinct()
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("share"), F.lit(0.01)))))
         new = (
             edges.join(good, "pattern")
             .groupBy("value", "kind")
             .agg((1 - doubt).alias("confidence"), F.count("*").alias("patterns"))
             .where(f"confidence >= {INSTANCE_CONFIDENCE} and patterns >= {INSTANCE_PATTERNS}")
-            .join(values.where("kind is null").select("value", "shape"), "value")
-            .join(shapes, ["kind", "shape"], "left_semi")
+            .join(values.where("kind is null").select("value"), "value")
             .groupBy("value")
             .agg(F.max(F.struct("confidence", "kind")).alias("best"))
             .select("value", "best.kind")
@@ -247,7 +269,10 @@ def personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         "row", F.struct(F.expr(f"case kind {order} end").alias("n"), "start", "stop", "kind").alias("span")
     )
     # The spans of one document, so of bounded number.
-    per_row = ordered.groupBy("row").agg(F.collect_list("span").alias("more"))
+    per_row = ordered.groupBy("row").agg(F.collect_list("span").alias("every"))
+    # A token within a longer added span is part of it.
+    wider = "o.start <= s.start and o.stop >= s.stop and o.stop - o.start > s.stop - s.start"
+    per_row = per_row.selectExpr("row", f"filter(every, s -> not exists(every, o -> {wider})) as more")
     joined = rows.join(per_row, "row", "left")
     base = f"transform(base, s -> struct(case s.kind {order} end as n, s.start as start, s.stop as stop, s.kind as kind))"
     every = f"array_sort(concat({base}, coalesce(more, array())))"

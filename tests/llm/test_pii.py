@@ -78,6 +78,24 @@ def test_contexts_find_what_formats_miss(spark):
     assert all((clean[k] == dict(texts)[k]) == (found[k].n_card == 0) for k in range(100, 120))
 
 
+def test_contexts_find_forms_that_no_known_value_has(spark):
+    rng = seeded(2)
+    forms = ["555-7713", "017-555-7714", "017 555 7715", "(017) 555-7716", "0175557717"]
+    numbers = [f"+1 (017) 555-{k}" for k in range(2000, 2040)] + forms
+    texts = [(k, f"{prose(rng, 30)} please call me at {n} after lunch today {prose(rng, 20)}") for k, n in enumerate(numbers)]
+    texts += [(100 + k, f"{prose(rng, 30)} built in 555-{k}000 of it {prose(rng, 5)}") for k in range(1, 9)]
+    found = {r.doc_id: r for r in P.personal_data(documents(spark, texts)).collect()}
+    assert all(found[k].n_phone == 1 and found[k].n_added == 0 for k in range(40))
+    for k, form in enumerate(forms, 40):
+        start = dict(texts)[k].index(form)
+        assert (found[k].n_phone, found[k].spans) == (0, f"phone:{start}:{start + len(form)}")
+    assert all(found[k].n_added == 0 for k in range(101, 109))
+    clean = {r.doc_id: r.text for r in P.without_personal_data(documents(spark, texts)).select("doc_id", "text").collect()}
+    assert all("me at <PHONE> after" in clean[k] for k in range(45))
+    assert list(P._grouped("7 " * 100_000 + "7x")) == list(P._grouped("017 5557715x")) == []
+    assert list(P._grouped("017 555 7715x (017) 555.")) == [(0, 7), (14, 23)]
+
+
 def test_columns_follow_the_spans(spark):
     texts = [(k, f"x {prose(seeded(k), 5)} mail me.{k}@a.org or 10.0.0.{k} é +49 (0)30 12345{k}") for k in range(5)]
     for row in P.personal_data(documents(spark, texts)).collect():
