@@ -3,8 +3,8 @@
 A text is cut into sentences, and every run of `RUN` consecutive sentences is hashed. Runs are counted over
 all documents; of equal runs the first, by doc_id and place, stays, and every sentence that another one
 covers is removed, so a repeated passage goes from all documents but one, whatever stands around it. A run of
-few words is left out or, with `extend`, goes on sentence by sentence until it has enough, so that passages of
-short sentences go as well.
+few words is left out or, with `extend`, goes on sentence by sentence until it has enough, forwards from its
+first sentence and backwards from its last, so that passages of short sentences go whole, with both ends.
 """
 
 from __future__ import annotations
@@ -26,6 +26,9 @@ MIN_WORDS = 12
 #: A sentence with more words is cut after words with a hash that is a multiple of CUT, so that texts
 #: without full stops have sentences too, and the same ones wherever a passage stands.
 LONG, CUT = 24, 8
+#: The same where runs go on, with as many runs as passages with few stops need; what is still longer than the
+#: first of these is cut after every so many words.
+FINE_LONG, FINE_CUT = 16, 6
 #: Base of the polynomial over word hashes, and its inverse modulo 2**64.
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -55,8 +58,12 @@ def _joined(hashes: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarr
     return T.mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
 
 
-def sentences(chunk: T.Chunk) -> Sentences:
-    """A sentence ends with a word that ends in a full stop or the like, or at the end of its line."""
+def sentences(chunk: T.Chunk, fine: bool = False) -> Sentences:
+    """A sentence ends with a word that ends in a full stop or the like, or at the end of its line.
+
+    Long ones are cut; `fine` cuts shorter ones too, and leaves none over `FINE_LONG` words.
+    """
+    length, every = (FINE_LONG, FINE_CUT) if fine else (LONG, CUT)
     found = T.words(chunk)
     many = len(found.start)
     if not many:
@@ -77,15 +84,22 @@ def sentences(chunk: T.Chunk) -> Sentences:
         return np.r_[0, stop[:-1]], stop
 
     begin, stop = bounds(ends)
-    long = np.repeat(stop - begin > LONG, stop - begin)
-    begin, stop = bounds(ends | (long & (hashes % np.uint64(CUT) == 0)))
+    long = np.repeat(stop - begin > length, stop - begin)
+    ends |= long & (hashes % np.uint64(every) == 0)
+    begin, stop = bounds(ends)
+    if fine:
+        since = np.arange(many) - np.repeat(begin, stop - begin)
+        begin, stop = bounds(ends | (since % length == length - 1))
     value = _joined(hashes, begin, stop)
     return Sentences(found.row[begin], found.start[begin], found.end[stop - 1], stop - begin, value)
 
 
 def run_bounds(own: Sentences, size: int, min_words: int, extend: bool) -> tuple[np.ndarray, np.ndarray]:
     """First sentence of each run and the one after its last, within a row: `size` sentences with at least
-    `min_words` words or, with `extend`, the fewest that are both, from each sentence on."""
+    `min_words` words or, with `extend`, the fewest that are both, from each sentence on and up to each.
+
+    Any passage that is as long as a run is then covered by the runs within it.
+    """
     many = len(own.row)
     words = np.r_[0, np.cumsum(own.words)]
     enough = np.searchsorted(words, words[:-1] + min_words)
@@ -93,7 +107,14 @@ def run_bounds(own: Sentences, size: int, min_words: int, extend: bool) -> tuple
     stop = np.maximum(begin + size, enough)
     inside = np.flatnonzero((stop <= many) & (extend | (enough <= begin + size)))
     inside = inside[own.row[stop[inside] - 1] == own.row[inside]]
-    return inside, stop[inside]
+    if not extend:
+        return inside, stop[inside]
+    ends = np.arange(1, many + 1)
+    back = np.minimum(ends - size, np.searchsorted(words, words[1:] - min_words, "right") - 1)
+    # Most of these are runs from their first sentence as well.
+    more = np.flatnonzero((back >= 0) & (stop[back] != ends))
+    more = more[own.row[back[more]] == own.row[more]]
+    return np.r_[inside, back[more]], np.r_[stop[inside], ends[more]]
 
 
 def _runs(docs: DataFrame, size: int, min_words: int, extend: bool) -> DataFrame:
@@ -103,7 +124,7 @@ def _runs(docs: DataFrame, size: int, min_words: int, extend: bool) -> DataFrame
         for batch in T.each(batches):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             for chunk in T.chunks(batch.column("text")):
-                own = sentences(chunk)
+                own = sentences(chunk, extend)
                 at, stop = run_bounds(own, size, min_words, extend)
                 value = _joined(own.hash, at, stop)
                 place = at - np.searchsorted(own.row, own.row[at])
@@ -133,10 +154,10 @@ def repeated_runs(
     return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place", "many")
 
 
-def _cut(text: str | None, places: list[dict[str, int]]) -> tuple[str | None, int, int]:
+def _cut(text: str | None, places: list[dict[str, int]], fine: bool) -> tuple[str | None, int, int]:
     """The text without the sentences that these runs cover, and how many there are and go."""
     chunk = next(T.chunks(pa.array([text], pa.string())))
-    own = sentences(chunk)
+    own = sentences(chunk, fine)
     gone = np.zeros(len(own.row), bool)
     for run in places:
         gone[run["place"] : run["place"] + run["many"]] = True
@@ -174,11 +195,11 @@ def without_repeats(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
             texts, many, gone = batch.column("_text").to_pylist(), [], []
-            counts = [T.per_row(sentences(c).row, c.rows) for c in T.chunks(batch.column("_text"))]
+            counts = [T.per_row(sentences(c, extend).row, c.rows) for c in T.chunks(batch.column("_text"))]
             counts = np.concatenate(counts) if counts else np.zeros(0, np.int64)
             for k, places in enumerate(batch.column("_places").to_pylist()):
                 if places:
-                    texts[k], _, n = _cut(texts[k], places)
+                    texts[k], _, n = _cut(texts[k], places, extend)
                 else:
                     n = 0
                 gone.append(n)

@@ -74,6 +74,27 @@ def test_copies_with_sentences_of_one_word_go(spark):
     assert [r.n_removed for r in rows] == [0, 0]
 
 
+def test_the_ends_of_a_passage_go_with_it(spark):
+    rng = seeded(6)
+    line = " ".join(f"w{rng.randrange(10**6)}" for _ in range(15))
+    passages = [f"{line}. a. b. c. d.", f"a. b. c. d. {line}.", f"{line}. a. b. c. d. {line}x. e. f. g. h."]
+    for passage in passages:
+        texts = [(k, f"{prose(rng, 30)}.\n{passage}\n{prose(rng, 30)}") for k in range(3)]
+        found = {r.doc_id: r for r in S.without_repeats(documents(spark, texts), extend=True).collect()}
+        assert found[0].text == dict(texts)[0]
+        for k in (1, 2):
+            assert found[k].text == dict(texts)[k].replace(f"{passage}\n", "")
+
+
+def test_sentences_are_short_where_no_word_cuts_them(spark):
+    for word in ("spam", "ham", "eggs", "tea"):
+        own = S.sentences(next(T.chunks(pa.array([f"{word} " * 200]))), fine=True)
+        assert own.words.max() <= S.FINE_LONG and own.words.sum() == 200
+        texts = [(1, f"one. {word}" + f" {word}" * 199), (2, f"two. {word}" + f" {word}" * 199)]
+        found = {r.doc_id: r.text for r in S.without_repeats(documents(spark, texts), extend=True).collect()}
+        assert found[2].split() == ["two."]
+
+
 def test_messy_rows(spark):
     texts = messy_texts(seeded(3))
     found = S.without_repeats(documents(spark, texts))
