@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from repopulse.llm import chat, decontaminate, jaccard, lm_score, packing, pii, quality, substrings, toxicity, urls
+from repopulse.llm import chat, decontaminate, jaccard, lm_score, mixing, packing, pii, quality, substrings, toxicity, urls
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op10_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken_words(mixing.schedule(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_span_dedup": op1_sentence_span_dedup,
@@ -69,9 +73,10 @@ def queries() -> dict[str, Query]:
         "op8_grouping_genetic_packing": op8_grouping_genetic_packing,
         "op9_prefix_target_chat": op9_prefix_target_chat,
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
+        "op11_weighted_fair_mix": op11_weighted_fair_mix,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_hashed_url_rules": urls.oracle(), "op9_prefix_target_chat": chat.ORACLE}
+    return {"op5_hashed_url_rules": urls.oracle(), "op9_prefix_target_chat": chat.ORACLE, "op11_weighted_fair_mix": mixing.ORACLE}
