@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from repopulse.llm import chat, decontaminate, jaccard, lm_score, mixing, packing, pii, quality, substrings, toxicity, urls
+from repopulse.llm import chat, decontaminate, jaccard, lm_score, mixing, packing, pii, quality, repair, substrings, toxicity, urls
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,11 @@ def op11_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.schedule(table(spark, sf_dir, "documents")))
 
 
+def op12_grammar_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return repair.summaries(repair.planned(repair.damaged(rows), rows))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_span_dedup": op1_sentence_span_dedup,
@@ -74,9 +79,15 @@ def queries() -> dict[str, Query]:
         "op9_prefix_target_chat": op9_prefix_target_chat,
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
         "op11_weighted_fair_mix": op11_weighted_fair_mix,
+        "op12_grammar_structure_repair": op12_grammar_structure_repair,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_hashed_url_rules": urls.oracle(), "op9_prefix_target_chat": chat.ORACLE, "op11_weighted_fair_mix": mixing.ORACLE}
+    return {
+        "op5_hashed_url_rules": urls.oracle(),
+        "op9_prefix_target_chat": chat.ORACLE,
+        "op11_weighted_fair_mix": mixing.ORACLE,
+        "op12_grammar_structure_repair": repair.ORACLE,
+    }
