@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from repopulse.llm import chat, decontaminate, jaccard, lm_score, mixing, packing, pii, quality, repair, substrings, toxicity, urls
+from repopulse.llm import chat, decontaminate, jaccard, lm_score, mixing, packing, pii, quality, ranking, repair, substrings, toxicity, urls
 from repopulse.llm.textops import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,10 @@ def op12_grammar_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame
     return repair.summaries(repair.planned(repair.damaged(rows), rows))
 
 
+def op13_impact_ordered_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentence_span_dedup": op1_sentence_span_dedup,
@@ -80,6 +84,7 @@ def queries() -> dict[str, Query]:
         "op10_kneser_ney_toxicity": op10_kneser_ney_toxicity,
         "op11_weighted_fair_mix": op11_weighted_fair_mix,
         "op12_grammar_structure_repair": op12_grammar_structure_repair,
+        "op13_impact_ordered_search": op13_impact_ordered_search,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -90,4 +95,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_prefix_target_chat": chat.ORACLE,
         "op11_weighted_fair_mix": mixing.ORACLE,
         "op12_grammar_structure_repair": repair.ORACLE,
+        "op13_impact_ordered_search": ranking.ORACLE,
     }

@@ -15,7 +15,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_sql(spark, name):
     connection = duckdb.connect()
-    for t in ("documents", "pages", "conversations", "labels"):
+    for t in ("documents", "pages", "conversations", "labels", "benchmark"):
         connection.execute(f"CREATE VIEW {t} AS FROM '{SF_DIR}/{t}.parquet'")
     df = entry.queries()[name](spark, SF_DIR)
     result = connection.execute(entry.oracle_sql()[name])
