@@ -5,10 +5,13 @@ Dates and timestamps leave these queries as ISO text; the library functions retu
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import functools
 import os
 import tempfile
-import zlib
+import uuid
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +20,13 @@ from pyspark.sql import functions as F
 from repopulse import sinks
 from repopulse.operators import activity, checks, staging
 from repopulse.plans import dashboard, insights, layers, marts
-from repopulse.plans.refresh import refresh
+from repopulse.plans.refresh import DAILY, STATS, count, refresh
 from repopulse.sample.adapter import (
     FEW,
     FULL,
     GAPS,
     MANY,
+    SPOILT,
     TIMED_GAPS,
     TIMED_PULL_REQUESTS,
     bad_daily,
@@ -31,17 +35,17 @@ from repopulse.sample.adapter import (
 )
 from repopulse.sample.oracle import AS_OF, ORACLE
 from repopulse.session import apply_settings, scratch_dir
+from repopulse.sources import landing
 from repopulse.sources.layout import LAYOUT, TABLES
 from repopulse.sources.readers import read_raw
 
 try:
     from repopulse.llm import queries as llm
-except ModuleNotFoundError as missing:  # the package and its pipeline may be left out
+except ImportError as missing:  # the package, its pipeline or what they need may not be here
     if missing.name not in ("repopulse.llm", "corpus_pipeline"):
-        raise
+        warnings.warn(f"no text operators: {missing}", stacklevel=1)
     llm = None
 
-ROUNDTRIP_LAYER = "repopulse_roundtrip"
 # For sessions on this machine that name no shared folder.
 LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "repopulse-queries")
 
@@ -98,15 +102,26 @@ def _raw_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """The query's own folder for these tables in this session: a later call writes over an earlier one."""
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder for one call of a query; it goes when the session's process ends."""
     local = LOCAL_SCRATCH if spark.sparkContext.master.startswith("local") else None
-    tables = f"{zlib.crc32(sf_dir.encode()):08x}"
-    return scratch_dir(spark, f"{spark.sparkContext.applicationId}-{name}-{tables}", local)
+    folder = scratch_dir(spark, f"{name}-{uuid.uuid4().hex}", local)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
-def _write(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
-    df.write.mode("overwrite").format(fmt).save(folder)
+def _layer(spark: SparkSession, name: str, folder: str) -> str:
+    """A new layer for one call of a query; it is dropped at the end, if the session is still there."""
+    layer = f"repopulse_{name}_{uuid.uuid4().hex[:12]}"
+    sinks.ensure_layer(spark, layer, f"{folder}/{layer}.db")
+
+    def drop() -> None:
+        with contextlib.suppress(Exception):
+            sinks.drop_layer(spark, layer)
+
+    atexit.register(drop)
+    return layer
 
 
 OBJECTS = {name: [c.field for c in columns if c.path] for name, columns in LAYOUT.items()}
@@ -114,43 +129,63 @@ OBJECTS = {name: [c.field for c in columns if c.path] for name, columns in LAYOU
 
 def _landed_json(table: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        root = _folder(spark, sf_dir, f"json-{table}")
+        root = _folder(spark, f"json-{table}")
         objects = {name: F.parse_json(name) for name in OBJECTS[table]}
-        _write(raw_view(spark, sf_dir, FULL[table]).withColumns(objects), f"{root}/{table}", "json")
+        raw_view(spark, sf_dir, FULL[table]).withColumns(objects).write.json(f"{root}/{table}")
         return staging.stage(table, read_raw(spark, root, table, fmt="json"))
 
     return build
 
 
+def _landed(spark: SparkSession, sf_dir: str, *tables: str) -> landing.Landed:
+    """Landed JSON lines of which some are cut off, with those put aside."""
+    root = _folder(spark, "lines")
+    for table in tables:
+        rows = raw_view(spark, sf_dir, FULL[table], times="string")
+        line = F.to_json(F.struct(*rows.columns))
+        broken = F.substr(line, F.lit(1), (F.length(line) / 2).cast("int"))
+        rows.select(F.when(F.expr(SPOILT), broken).otherwise(line)).write.text(f"{root}/{table}")
+    return landing.land(spark, root, _folder(spark, "landed"), tables)
+
+
+def _landed_with_bad_lines(table: str) -> Query:
+    return lambda spark, sf_dir: staging.stage(table, _landed(spark, sf_dir, table).raw[table])
+
+
+def _bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The check rows, beside the number of lines that were put aside."""
+    landed = _landed(spark, sf_dir, "comments", "issues", "repositories")
+    aside = landed.quarantine.where(f"{landing.RECORD} is not null").groupBy("relation").agg(F.count("*").alias("put_aside"))
+    return spark.createDataFrame(landed.checks).join(aside, "relation")
+
+
 def _stored_variant_pull_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _folder(spark, sf_dir, "variants")
+    root = _folder(spark, "variants")
     objects = {name: F.parse_json(name) for name in OBJECTS["pull_requests"]}
-    _write(raw_view(spark, sf_dir, FULL["pull_requests"]).withColumns(objects), f"{root}/pull_requests")
+    raw_view(spark, sf_dir, FULL["pull_requests"]).withColumns(objects).write.parquet(f"{root}/pull_requests")
     return staging.stage_pull_requests(read_raw(spark, root, "pull_requests", objects="variant"))
 
 
-def _registered(spark: SparkSession, sf_dir: str, name: str, views: dict, tables: list[str]) -> tuple[str, str]:
-    """Raw tables stored and registered in a layer of the query's own; the layer, and one for staging."""
-    root = _folder(spark, sf_dir, name)
-    for table in tables:
-        _write(raw_view(spark, sf_dir, views[table]), f"{root}/{table}")
-    raw, staged = (f"repopulse_{name}_{kind}_{zlib.crc32(sf_dir.encode()):08x}" for kind in ("raw", "staging"))
-    for layer in (raw, staged):
-        sinks.ensure_layer(spark, layer, f"{root}/{layer}.db")
-    layers.register_raw(spark, root, raw, tables=tables)
+def _registered(spark: SparkSession, sf_dir: str, table: str, views: dict) -> tuple[str, str]:
+    """A raw table, registered over a few rows, used by a staging view, and then registered anew over all rows; the
+    layers of both."""
+    root = _folder(spark, "views")
+    raw, staged = (_layer(spark, kind, root) for kind in ("raw", "staging"))
+    rows = raw_view(spark, sf_dir, views[table])
+    for part, stored in (("few", rows.limit(3)), ("all", rows)):
+        stored.write.parquet(f"{root}/{part}/{table}")
+        layers.register_raw(spark, f"{root}/{part}", raw, tables=[table])
+        if part == "few":
+            layers.create_staging_views(spark, staged, raw, tables=[table])
     return raw, staged
 
 
-def _staging_view_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, staged = _registered(spark, sf_dir, "views", FULL, ["comments"])
-    layers.create_staging_views(spark, staged, raw, tables=["comments"])
-    return spark.table(f"{staged}.comments")
+def _staging_view(table: str, views: dict) -> Query:
+    return lambda spark, sf_dir: spark.table(f"{_registered(spark, sf_dir, table, views)[1]}.{table}")
 
 
-def _refreshed_staging_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, staged = _registered(spark, sf_dir, "refreshed", FEW, list(TABLES))
-    _refreshed(spark, sf_dir, layers.raw_frames(spark, raw), staging=staged, raw_layer=raw)
-    return spark.table(f"{staged}.users")
+def _registered_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.table(f"{_registered(spark, sf_dir, 'repositories', FEW)[0]}.repositories")
 
 
 def _null_keys(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
@@ -189,19 +224,70 @@ def _gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows).select("*", stops)
 
 
-def _refreshed(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame] | None = None, **more: str):
-    """A refresh into one layer for all queries, of which the last runs stay."""
-    place = _folder(spark, "", "roundtrip")
-    raw = raw or raw_tables(spark, sf_dir)
-    scratch = LOCAL_SCRATCH if spark.sparkContext.master.startswith("local") else None
-    return refresh(spark, raw, AS_OF, layer=ROUNDTRIP_LAYER, location=place, keep=2, scratch=scratch, **more)
+def _refresh_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a refresh finds in the records with gaps, while it stores the counts and in one look at them."""
+    staged = staging.stage_all(raw_tables(spark, sf_dir, GAPS))
+    return spark.createDataFrame(count(staged, _layer(spark, "checked", _folder(spark, "checked")), enforce=False).checks)
+
+
+def _bucketed_stats(spark: SparkSession, sf_dir: str, views: dict) -> DataFrame:
+    """The current state of the repositories from tables stored in buckets of their name."""
+    staged = staging.stage_all(raw_tables(spark, sf_dir, views))
+    done = count(staged, _layer(spark, "buckets", _folder(spark, "bucketed")), enforce=False)
+    stats = marts.repo_current_stats_from_counts(done.repositories, done.counts, AS_OF)
+    return stats.unionByName(marts.without_activity(done.unnamed))
+
+
+class _Published:
+    """A layer of its own with the marts, as often refreshed as asked."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.place = spark, _folder(spark, "marts")
+        self.layer = _layer(spark, "mart", self.place)
+
+    def refresh(self, raw: dict[str, DataFrame]):
+        scratch = LOCAL_SCRATCH if self.spark.sparkContext.master.startswith("local") else None
+        return refresh(self.spark, raw, AS_OF, layer=self.layer, keep=1, scratch=scratch)
+
+    def view(self, name: str) -> str:
+        return f"{self.layer}.{name}"
+
+
+def _refreshed(spark: SparkSession, sf_dir: str):
+    return _Published(spark).refresh(raw_tables(spark, sf_dir))
+
+
+def _both_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One query over both published views, after a second refresh has taken the place of one without comments."""
+    marts_of, raw = _Published(spark), raw_tables(spark, sf_dir)
+    marts_of.refresh({**raw, "comments": raw["comments"].limit(0)})
+    marts_of.refresh(raw)
+    daily, stats = marts_of.view(DAILY), marts_of.view(STATS)
+    return spark.sql(
+        f"SELECT s.repo_full_name, s.prs_created_30d, s.comments_created_30d, d.prs_created, d.comments_created"
+        f" FROM {stats} s LEFT JOIN (SELECT repo_full_name, sum(prs_created) AS prs_created,"
+        f" sum(comments_created) AS comments_created FROM {daily} GROUP BY repo_full_name) d"
+        " ON s.repo_full_name = d.repo_full_name"
+    )
+
+
+def _kept_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A frame of one run, read after a later run has been published."""
+    marts_of, raw = _Published(spark), raw_tables(spark, sf_dir)
+    series = dashboard.activity_time_series(marts_of.refresh(raw).daily)
+    marts_of.refresh({**raw, "comments": raw["comments"].limit(0)})
+    return series
+
+
+def _one_repository(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir).daily.where("repo_full_name = 'NATION_7'")
 
 
 def _crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily mart where a join task may get one id of a name only."""
     issues, prs, comments, repositories = _staged(spark, sf_dir, *STREAMS, "repositories", views=GAPS)
-    counts = activity.without_unkeyed(activity.activity_counts(issues, prs, comments))
-    return marts.with_repository(counts, repositories, ids_per_task=1).drop(marts.SPREAD)
+    crowds = marts.crowded_names(repositories, ids_per_task=1)
+    return marts.repo_daily_activity(issues, prs, comments, repositories, crowds)
 
 
 def _rolling(spark: SparkSession, sf_dir: str, views: dict = FEW) -> DataFrame:
@@ -222,14 +308,18 @@ def queries() -> dict[str, Query]:
         "scan_raw_users": _scan(FULL["users"]),
         "raw_pass_through": _raw_pass_through,
         **{f"landed_json_{table}": _landed_json(table) for table in TABLES},
+        "landed_json_bad_lines_issues": _landed_with_bad_lines("issues"),
+        "landed_json_bad_lines_repositories": _landed_with_bad_lines("repositories"),
+        "dq_unreadable_records": _bad_lines,
         "stored_variant_pull_requests": _stored_variant_pull_requests,
         "stage_comments": _stage(FULL["comments"]),
         "stage_issues": _stage(FULL["issues"]),
         "stage_pull_requests": _stage(FULL["pull_requests"]),
         "stage_repositories": _stage(FULL["repositories"]),
         "stage_users": _stage(FULL["users"]),
-        "staging_view_comments": _staging_view_comments,
-        "refreshed_staging_users": _refreshed_staging_users,
+        "registered_raw_repositories": _registered_raw,
+        "staging_view_comments": _staging_view("comments", FULL),
+        "refreshed_staging_users": _staging_view("users", FEW),
         "issue_daily": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues")),
         "issue_daily_gaps": lambda spark, sf: activity.issue_daily(*_staged(spark, sf, "issues", views=GAPS)),
         "pr_daily": lambda spark, sf: activity.pr_daily(*_staged(spark, sf, "pull_requests")),
@@ -246,12 +336,17 @@ def queries() -> dict[str, Query]:
         "repo_current_stats": _stats,
         "repo_current_stats_many_repos": lambda spark, sf: _stats(spark, sf, MANY),
         "repo_current_stats_gaps": lambda spark, sf: _stats(spark, sf, GAPS),
+        "bucketed_current_stats_many_repos": lambda spark, sf: _bucketed_stats(spark, sf, MANY),
+        "bucketed_current_stats_gaps": lambda spark, sf: _bucketed_stats(spark, sf, GAPS),
         "activity_time_series": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf)),
         "activity_time_series_gaps": lambda spark, sf: dashboard.activity_time_series(_daily(spark, sf, GAPS)),
         "top_repos_by_prs": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf)),
         "top_repos_by_prs_gaps": lambda spark, sf: dashboard.top_repos_by_prs(_daily(spark, sf, GAPS)),
         "published_time_series": lambda spark, sf: dashboard.activity_time_series(_refreshed(spark, sf).daily),
         "published_top_repos": lambda spark, sf: dashboard.top_repos_by_prs(_refreshed(spark, sf).daily),
+        "published_both_marts": _both_marts,
+        "published_kept_run": _kept_run,
+        "published_one_repository": _one_repository,
         "dq_null_keys": _null_keys,
         "dq_null_keys_gaps": lambda spark, sf: _null_keys(spark, sf, GAPS),
         "dq_duplicate_keys": _duplicate_keys,
@@ -261,6 +356,7 @@ def queries() -> dict[str, Query]:
         "dq_measures": lambda spark, sf: checks.bad_measures(_daily(spark, sf), "repo_daily_activity"),
         "dq_measures_gaps": lambda spark, sf: checks.bad_measures(bad_daily(spark, sf), "orders"),
         "dq_gate_gaps": _gate,
+        "dq_refresh_gaps": _refresh_checks,
         "pr_lead_time": _lead_time(TIMED_PULL_REQUESTS),
         "pr_lead_time_gaps": _lead_time(TIMED_GAPS),
         "issue_backlog": lambda spark, sf: insights.issue_backlog(*_staged(spark, sf, "issues")),

@@ -9,15 +9,24 @@ import datetime
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import sinks
+from repopulse.operators import checks
 from repopulse.operators.activity import activity_counts
-from repopulse.operators.checks import bad_measures, doubled_days, duplicate_keys, gate, null_keys, orphans
 from repopulse.operators.staging import stage_all
 from repopulse.plans.layers import create_staging_views
-from repopulse.plans.marts import SPREAD, daily_from_counts, repo_current_stats
+from repopulse.plans.marts import (
+    IDS_PER_TASK,
+    SPREAD,
+    STATS_COLUMNS,
+    crowded,
+    daily_from_counts,
+    listed_names,
+    repo_current_stats_from_counts,
+    without_activity,
+)
 from repopulse.session import apply_settings, scratch_dir
 
 DAILY, STATS = "repo_daily_activity", "repo_current_stats"
@@ -49,23 +58,64 @@ def new_run(as_of: datetime.date) -> str:
 
 
 STREAMS = {"issues": "issues_created", "pull_requests": "prs_created", "comments": "comments_created"}
+NAME = "repo_full_name"
+#: How long a run stays readable after the next one is published.
+HOLD = datetime.timedelta(days=1)
+#: Bytes of the parts of a file that statistics are kept for.
+ROW_GROUP = 32 * 1024 * 1024
 
 
-def check_inputs(counts: DataFrame, staged: dict[str, DataFrame]) -> tuple[DataFrame, ...]:
-    """Checks on the raw records of each stream, from the counts per repository and day instead of
-    the records, and on the names of the repositories."""
-    repositories = staged["repositories"]
-    streams = []
-    for name, rows in STREAMS.items():
-        weight = F.col(rows)
-        streams.append(null_keys(counts, name, ["repo_full_name", "day"], weight))
-        streams.append(orphans(counts, name, "repo_full_name", repositories, "repo_full_name", weight))
-    return *streams, duplicate_keys(repositories, "repositories", ["repo_full_name"])
+def daily_order() -> list[Column | str]:
+    """The stored daily mart is in order of the week, and within a week of the repository. So a filter on days reads the
+    weeks that it touches, and one on a repository a small part of each week."""
+    return [F.date_trunc("week", F.col("day")), NAME, "day", "repo_id"]
 
 
-def check_daily(counts: DataFrame, repositories: DataFrame) -> tuple[DataFrame, ...]:
-    """Checks on the daily mart, from the counts and names that it is made of."""
-    return doubled_days(counts, repositories, DAILY), bad_measures(counts, DAILY)
+def count_checks() -> list[checks.Check]:
+    """Checks that the counts per repository and day pass on their way into storage: the keys of the records of each
+    stream, and the measures."""
+    found = [checks.null_key_check(name, [NAME, "day"], F.col(rows)) for name, rows in STREAMS.items()]
+    return [*found, checks.measures_check(DAILY)]
+
+
+@dataclass(frozen=True)
+class Counted:
+    """What a refresh stores before it builds the marts, and what the checks found in it."""
+
+    counts: DataFrame
+    repositories: DataFrame
+    unnamed: DataFrame
+    crowds: DataFrame | None
+    checks: list[Row]
+
+
+def count(
+    staged: dict[str, DataFrame],
+    work: str,
+    buckets: int | None = None,
+    enforce: bool = True,
+    ids_per_task: int = IDS_PER_TASK,
+) -> Counted:
+    """Store the counts per repository and day, and the repositories, in buckets of the name, and check them.
+
+    Records are counted while they are written; what both tables have to be looked at for is one aggregation that
+    reads each of them once and shuffles neither. The number of names that very many ids share comes from it too,
+    and only if there are any, they are dealt into parts. Repositories without a name, of which there may be any number,
+    have no activity and no bucket.
+    """
+    observation, own = Observation("counts"), count_checks()
+    counts = activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
+    counts = sinks.write_bucketed(
+        counts, "activity_counts", work, NAME, buckets, lambda rows: checks.observed(rows, observation, *own)
+    )
+    listed = staged["repositories"].select(*STATS_COLUMNS)
+    repositories = sinks.write_bucketed(listed.where(F.col(NAME).isNotNull()), "repositories", work, NAME, buckets)
+    names = listed_names(repositories)
+    together, tested = checks.names_checks(counts, names, STREAMS, DAILY, ids_per_task)
+    *found, crowds = checks.results(together, *tested).collect()
+    rows = checks.judge([*checks.observed_rows(observation, *own), *found], enforce)
+    unnamed = listed.where(F.col(NAME).isNull())
+    return Counted(counts, repositories, unnamed, crowded(names, ids_per_task) if crowds.failures else None, rows)
 
 
 def refresh(
@@ -75,23 +125,28 @@ def refresh(
     layer: str = "mart",
     location: str | None = None,
     keep: int = 2,
+    hold: datetime.timedelta = HOLD,
     enforce: bool = True,
     prefix: str = "",
     staging: str | None = None,
     raw_layer: str = "raw",
     scratch: str | None = None,
+    buckets: int | None = None,
 ) -> Refreshed:
-    """Stage, count, check, build both marts, and only then publish them.
+    """Stage, count, check, build both marts, and only then publish them, together and in one statement.
 
-    The raw activity is scanned once: the counts per repository and day are kept for the length of
-    the run as a table in the shared scratch folder, and the checks and the marts read those.
+    The raw activity is scanned once: the counts per repository and day and the
+    repositories are kept for the length of the run as tables in the shared scratch folder, in `buckets` of the name (as
+    many as there are shuffle partitions, if not given), and the marts read those without shuffling them by name.
     Doubled repositories stop the run before they can multiply the daily mart. With
     `enforce=False` the marts are published whatever the checks find. `prefix` goes before the names
-    of both marts, for readers that know them by longer names. `staging` names a layer in which the five
-    staging views are made, or made anew, over the raw tables of `raw_layer`. `scratch` is the shared
+    of both marts and of their pointer, for readers that know them by longer names. `staging` names a layer in which
+    the five staging views are made, or made anew, over the raw tables of `raw_layer`. `scratch` is the shared
     folder where the cluster names none.
 
-    A run that fails, in publishing too, leaves readers both marts as they were and drops what it built.
+    The last `keep` runs stay, and every run until `hold` has passed since the next one was published, so that what
+    readers have begun they can end. A run that fails, in publishing too, leaves readers both marts as they were and
+    drops what it built.
     """
     apply_settings(spark)
     if as_of is None:
@@ -102,25 +157,21 @@ def refresh(
     names = [prefix + DAILY, prefix + STATS]
     work = f"repopulse_work_{run}"
     sinks.ensure_layer(spark, layer, location)
-    for name in names:
-        sinks.published_run(spark, name, layer)  # raises if the name is taken by something else
+    sinks.require_free(spark, names, layer, prefix + sinks.POINTER)
     if staging:
         create_staging_views(spark, staging, raw_layer)
     sinks.ensure_layer(spark, work, scratch_dir(spark, root=scratch))
     staged = stage_all(raw)
     try:
-        counts = activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
-        counts = sinks.write_run(counts, "activity_counts", run, work)
-        checked = gate(*check_inputs(counts, staged), enforce=enforce)
-        checked += gate(*check_daily(counts, staged["repositories"]), enforce=enforce)
-        # Stored once before it is dealt into ranges, since finding the ranges reads it one more time.
-        built = sinks.write_run(daily_from_counts(counts, staged["repositories"]), "daily", run, work)
-        daily = sinks.write_run(built, names[0], run, layer, ("day", "repo_full_name", "repo_id"), SPREAD)
-        stats = repo_current_stats(staged["repositories"], daily, as_of)
-        stats = sinks.write_run(stats, "stats", run, work)
-        sinks.write_run(stats, names[1], run, layer, ("repo_full_name", "repo_id"))
+        done = count(staged, work, buckets, enforce)
+        # Stored once before they are dealt into ranges, since finding the ranges reads them one more time.
+        built = sinks.write_table(daily_from_counts(done.counts, done.repositories, done.crowds), "daily", work)
+        sinks.write_run(built, names[0], run, layer, daily_order(), SPREAD, ROW_GROUP)
+        stats = repo_current_stats_from_counts(done.repositories, done.counts, as_of)
+        stats = sinks.write_table(stats.unionByName(without_activity(done.unnamed)), "stats", work)
+        sinks.write_run(stats, names[1], run, layer, (NAME, "repo_id"), row_group=ROW_GROUP)
         comments = dict(zip(names, (COMMENTS[DAILY], COMMENTS[STATS])))
-        daily, stats = sinks.publish_all(spark, names, run, layer, comments, COLUMN_COMMENTS)
+        daily, stats = sinks.publish_all(spark, names, run, layer, comments, COLUMN_COMMENTS, prefix + sinks.POINTER)
     except Exception:
         for name in names:
             sinks.drop_run(spark, name, run, layer)
@@ -128,5 +179,5 @@ def refresh(
     finally:
         sinks.drop_layer(spark, work)
     for name in names:
-        sinks.retire(spark, name, run, keep, layer)
-    return Refreshed(run, daily, stats, checked)
+        sinks.retire(spark, name, run, keep, layer, hold)
+    return Refreshed(run, daily, stats, done.checks)

@@ -11,6 +11,7 @@ from repopulse.sample.adapter import (
     FULL,
     GAPS,
     MANY,
+    SPOILT,
     TIMED_GAPS,
     TIMED_PULL_REQUESTS,
     field_expressions,
@@ -146,6 +147,20 @@ def _check(check: str, relation: str, key: str, severity: str, failures: str) ->
     )
 
 
+def _readable(name: str) -> str:
+    """The staged rows of a table whose landed lines are whole; the first staged column is the id."""
+    return f"{_stage_query(FULL, name)} WHERE NOT ({SPOILT.replace('id', LAYOUT[name][0].name)})"
+
+
+def _unreadable(*names: str) -> str:
+    rows = [
+        f"SELECT '{name}' AS relation, 'unreadable_records' AS \"check\", 'record' AS key, 'warn' AS severity,"
+        f" count(*) AS failures, count(*) AS put_aside FROM ({_raw(FULL[name])}) WHERE {SPOILT} HAVING count(*) > 0"
+        for name in names
+    ]
+    return " UNION ALL ".join(rows)
+
+
 def _null_keys(views: dict = FEW) -> str:
     keys = {
         "issues": ("repo_name", "issue_created_at"),
@@ -198,12 +213,12 @@ def _orphans(views: dict = FEW) -> str:
 _MEASURE_TESTS = {**{m: f"{m} < 0" for m in _MEASURES}, "prs_merged<=prs_created": "prs_merged > prs_created"}
 
 
-def _bad_measures() -> str:
+def _bad_measures(views: dict = FEW) -> str:
     rows = [
         _check("bad_measures", "repo_daily_activity", key, "error", f"SELECT count(*) FROM daily WHERE {test}")
         for key, test in _MEASURE_TESTS.items()
     ]
-    return f"{_with_daily(FEW)} " + " UNION ALL ".join(rows)
+    return f"{_with_daily(views)} " + " UNION ALL ".join(rows)
 
 
 def _bad_measures_gaps() -> str:
@@ -225,6 +240,25 @@ def _gate() -> str:
     return f"SELECT *, severity = 'error' AND failures > 0 AS stops FROM ({rows}) every_check"
 
 
+def _refresh_checks() -> str:
+    """The checks of a refresh name the keys as the counts do."""
+    names = {"repo_name": "repo_full_name", "issue_created_at": "day", "pr_created_at": "day", "comment_created_at": "day"}
+    cases = " ".join(f"WHEN '{key}' THEN '{name}'" for key, name in names.items())
+    parts = [
+        f"SELECT * REPLACE (CASE key {cases} ELSE key END AS key) FROM ({sql}) q{n}"
+        for n, sql in enumerate((_null_keys(GAPS), _orphans(GAPS), _duplicate_keys(GAPS), _bad_measures(GAPS)))
+    ]
+    return f"SELECT * FROM ({' UNION ALL '.join(parts)}) every_check WHERE relation <> 'comments' OR \"check\" <> 'duplicate_keys'"
+
+
+def _both_marts() -> str:
+    return f"""SELECT s.repo_full_name, s.prs_created_30d, s.comments_created_30d, d.prs_created, d.comments_created
+    FROM ({_stats(FEW)}) s LEFT JOIN (
+        SELECT repo_full_name, CAST(sum(prs_created) AS BIGINT) AS prs_created,
+               CAST(sum(comments_created) AS BIGINT) AS comments_created
+        FROM ({_daily(FEW)}) days GROUP BY repo_full_name) d ON s.repo_full_name = d.repo_full_name"""
+
+
 def _lead_time(view: tuple) -> str:
     return f"""WITH {_staged({"pull_requests": view}, "pull_requests")}, lead AS (
     SELECT repo_name, epoch(pr_merged_at)::BIGINT - epoch(pr_created_at)::BIGINT AS seconds
@@ -296,12 +330,16 @@ ORACLE = {
         f"SELECT '{name}' AS relation, id, _airbyte_raw_id FROM ({_raw(view)})" for name, view in FEW.items()
     ),
     **{f"landed_json_{name}": _stage_query(FULL, name) for name in TABLES},
+    "landed_json_bad_lines_issues": _readable("issues"),
+    "landed_json_bad_lines_repositories": _readable("repositories"),
+    "dq_unreadable_records": _unreadable("comments", "issues", "repositories"),
     "stored_variant_pull_requests": _stage_query(FULL, "pull_requests"),
     "stage_comments": _stage_query(FULL, "comments"),
     "stage_issues": _stage_query(FULL, "issues"),
     "stage_pull_requests": _stage_query(FULL, "pull_requests"),
     "stage_repositories": _stage_query(FULL, "repositories"),
     "stage_users": _stage_query(FULL, "users"),
+    "registered_raw_repositories": _raw(FEW["repositories"]),
     "staging_view_comments": _stage_query(FULL, "comments"),
     "refreshed_staging_users": _stage_query(FEW, "users"),
     "issue_daily": _counts("issues", _ISSUE_DAYS, "opened AS issues_created"),
@@ -320,12 +358,17 @@ ORACLE = {
     "repo_current_stats": _stats(FEW),
     "repo_current_stats_many_repos": _stats(MANY),
     "repo_current_stats_gaps": _stats(GAPS),
+    "bucketed_current_stats_many_repos": _stats(MANY),
+    "bucketed_current_stats_gaps": _stats(GAPS),
     "activity_time_series": _time_series(),
     "activity_time_series_gaps": _time_series(GAPS),
     "top_repos_by_prs": _top(),
     "top_repos_by_prs_gaps": _top(GAPS),
     "published_time_series": _time_series(),
     "published_top_repos": _top(),
+    "published_both_marts": _both_marts(),
+    "published_kept_run": _time_series(),
+    "published_one_repository": f"SELECT * FROM ({_daily(FEW)}) WHERE repo_full_name = 'NATION_7'",
     "dq_null_keys": _null_keys(),
     "dq_null_keys_gaps": _null_keys(GAPS),
     "dq_duplicate_keys": _duplicate_keys(),
@@ -335,6 +378,7 @@ ORACLE = {
     "dq_measures": _bad_measures(),
     "dq_measures_gaps": _bad_measures_gaps(),
     "dq_gate_gaps": _gate(),
+    "dq_refresh_gaps": _refresh_checks(),
     "pr_lead_time": _lead_time(TIMED_PULL_REQUESTS),
     "pr_lead_time_gaps": _lead_time(TIMED_GAPS),
     "issue_backlog": _backlog(),

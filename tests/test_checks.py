@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import Observation
 
 from repopulse.operators import checks
 from repopulse.operators.activity import MEASURES
@@ -74,3 +75,33 @@ def test_gate_raises_on_errors_only(spark):
     with pytest.raises(checks.ChecksFailed, match="duplicate_keys t.k: 1") as raised:
         checks.gate(warning, checks.duplicate_keys(df, "t", ["k"]))
     assert [row.check for row in raised.value.rows] == ["duplicate_keys"]
+
+
+def test_checks_are_counted_while_the_rows_are_written(spark, tmp_path):
+    rows = [("a", 1, 2, 2, 0), (None, -1, 0, 0, -3), (None, 0, 1, 2, -1)]
+    daily = spark.createDataFrame(rows, "k string, " + ", ".join(f"{m} long" for m in MEASURES))
+    tested = [checks.null_key_check("t", ["k"], daily["prs_created"]), checks.measures_check("t")]
+    expected = tuples(checks.results(daily, *tested))
+    observation = Observation("t")
+    checks.observed(daily.repartition(3), observation, *tested).write.parquet(str(tmp_path / "t"))
+    assert [tuple(r) for r in checks.observed_rows(observation, *tested)] == expected
+    assert len(expected) == 6 and expected[0] == ("null_keys", "t", "k", "warn", 1)
+    none = Observation("none")
+    checks.observed(daily.where("false"), none, *tested).write.parquet(str(tmp_path / "none"))
+    assert [r.failures for r in checks.observed_rows(none, *tested)] == [0] * 6
+
+
+def test_one_look_at_counts_and_names(spark):
+    counts = spark.createDataFrame(
+        [("a", "2024-01-01", 1, 2), ("a", None, 1, 0), ("x", "2024-01-01", 3, 5), (None, "2024-01-01", 9, 9)],
+        "repo_full_name string, day string, issues long, comments long",
+    )
+    names = spark.createDataFrame([("a", 2, 2), ("b", 3, 1), ("c", 1, 1)], "repo_full_name string, listed long, ids long")
+    together, tested = checks.names_checks(counts, names, {"issues": "issues", "comments": "comments"}, "daily", 1)
+    assert [(r.check, r.relation, r.failures) for r in checks.results(together, *tested).collect()] == [
+        ("orphans", "issues", 3),
+        ("orphans", "comments", 5),
+        ("duplicate_keys", "repositories", 2),
+        ("duplicate_keys", "daily", 1),
+        ("crowded_names", "repositories", 1),
+    ]

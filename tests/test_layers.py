@@ -1,6 +1,8 @@
 import re
+import threading
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from repopulse import run, sinks
@@ -90,6 +92,75 @@ def test_a_stored_table_is_not_replaced_by_a_raw_one(spark, tmp_path, names):
     assert spark.table(f"{names['raw']}.issues").count() == 3
 
 
+def test_a_definition_that_fails_leaves_all_names_as_they_were(spark, tmp_path, names, monkeypatch):
+    raw = golden_raw(spark)
+    land(raw, tmp_path / "a", "parquet")
+    layers.register_raw(spark, str(tmp_path / "a"), names["raw"])
+    before = {r.tableName for r in spark.sql(f"SHOW TABLES IN {names['raw']}").collect()}
+    whole = layers.raw_schema
+
+    def broken(table, *more):
+        if table == "repositories":
+            raise RuntimeError("lost")
+        return whole(table, *more)
+
+    monkeypatch.setattr(layers, "raw_schema", broken)
+    with pytest.raises(RuntimeError):
+        layers.register_raw(spark, str(tmp_path / "b"), names["raw"])
+    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {names['raw']}").collect()} == before
+    assert spark.table(f"{names['raw']}.comments").count() == raw["comments"].count()
+
+
+def test_a_reader_finds_a_raw_table_at_any_time(spark, tmp_path, names):
+    raw = golden_raw(spark)
+    land(raw, tmp_path / "a", "parquet")
+    land({name: df.limit(1) for name, df in raw.items()}, tmp_path / "b", "parquet")
+    layers.register_raw(spark, str(tmp_path / "a"), names["raw"], tables=["issues"])
+    ended, swaps = threading.Event(), []
+
+    def swap():
+        while not ended.is_set():
+            layers.register_raw(spark, str(tmp_path / "ba"[len(swaps) % 2]), names["raw"], tables=["issues"])
+            swaps.append(1)
+
+    writer = threading.Thread(target=swap)
+    writer.start()
+    try:
+        seen = set()
+        while len(seen) < 2 or len(swaps) < 20:
+            try:
+                seen.add(spark.table(f"{names['raw']}.issues").count())
+            except AnalysisException as lost:
+                # Between the name and the table behind it; never the name itself.
+                assert "issues__" in str(lost)
+    finally:
+        ended.set()
+        writer.join()
+    assert seen == {1, raw["issues"].count()}
+
+
+def test_the_same_definition_changes_nothing(spark, tmp_path, names):
+    land(golden_raw(spark), tmp_path, "parquet")
+    layers.register_raw(spark, str(tmp_path), names["raw"])
+    before = sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {names['raw']}").collect())
+    layers.register_raw(spark, str(tmp_path), names["raw"])
+    assert sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {names['raw']}").collect()) == before
+    assert len(before) == 2 * len(TABLES)
+
+
+def test_somebody_elses_view_or_files_are_not_replaced(spark, tmp_path, names):
+    land(golden_raw(spark), tmp_path, "parquet")
+    sinks.ensure_layer(spark, names["raw"])
+    spark.sql(f"CREATE VIEW {names['raw']}.users AS SELECT 1 AS one")
+    with pytest.raises(ValueError, match="VIEW, not a raw table"):
+        layers.register_raw(spark, str(tmp_path), names["raw"])
+    spark.sql(f"DROP VIEW {names['raw']}.users")
+    spark.sql(f"CREATE TABLE {names['raw']}.users (id LONG) USING parquet LOCATION '{tmp_path}/users'")
+    with pytest.raises(ValueError, match="EXTERNAL, not a raw table"):
+        layers.register_raw(spark, str(tmp_path), names["raw"])
+    assert [r.tableName for r in spark.sql(f"SHOW TABLES IN {names['raw']}").collect()] == ["users"]
+
+
 def test_refresh_makes_the_staging_views(spark, tmp_path, names):
     land(golden_raw(spark), tmp_path, "parquet")
     options = f"--raw {tmp_path} --as-of 2024-01-31 --layer {names['mart']} --shuffle-gb 1"

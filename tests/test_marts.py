@@ -59,7 +59,8 @@ def test_dealing_the_ids_of_crowded_names_changes_nothing_but_the_tasks(spark, t
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     try:
         whole = marts.with_repository(counts, staged["repositories"]).drop(marts.SPREAD)
-        dealt = marts.with_repository(counts, staged["repositories"], ids_per_task=1).drop(marts.SPREAD)
+        crowds = marts.crowded_names(staged["repositories"], ids_per_task=1)
+        dealt = marts.with_repository(counts, staged["repositories"], crowds).drop(marts.SPREAD)
         assert unordered(tuples(whole)) == unordered(tuples(dealt))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -77,11 +78,39 @@ def test_only_crowded_names_are_dealt(spark):
     )
     plain = marts.with_repository(counts, repositories)
     assert "id_part" not in plain._jdf.queryExecution().toString()
-    dealt = marts.with_repository(counts, repositories, ids_per_task=1000)
+    dealt = marts.with_repository(counts, repositories, found)
     assert "id_part" in dealt._jdf.queryExecution().toString()
     assert plain.count() == dealt.count() == 2 * 2400 + 2
 
 
+def test_building_the_daily_mart_starts_no_job(spark):
+    staged = golden_staged(spark)
+    context = spark.sparkContext
+    context.setJobGroup("lazy", "lazy")
+    try:
+        daily = daily_of(staged)
+        marts.repo_daily_activity(
+            *[staged[n] for n in ("issues", "pull_requests", "comments", "repositories")],
+            marts.crowded_names(staged["repositories"], 1),
+        )
+        assert not context.statusTracker().getJobIdsForGroup("lazy")
+        daily.count()
+        assert context.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-31", "2024-02-10"])
+def test_current_stats_from_counts_equal_those_from_the_daily_mart(spark, as_of):
+    more = [{"id": 9, "full_name": "o/a"}, {"id": 1, "full_name": "o/a"}, {"id": 4, "full_name": None}, {"id": None, "full_name": "o/x"}]
+    staged = golden_staged(spark, REPOSITORIES + more)
+    counts = activity.activity_counts(staged["issues"], staged["pull_requests"], staged["comments"])
+    found = marts.repo_current_stats_from_counts(staged["repositories"], counts, as_of)
+    whole = marts.repo_current_stats(staged["repositories"], daily_of(staged), as_of)
+    assert found.dtypes == whole.dtypes
+    assert unordered(tuples(found)) == unordered(tuples(whole))
+
+
 @pytest.mark.parametrize(
     "as_of, expected",
     [
