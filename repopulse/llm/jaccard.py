@@ -4,26 +4,29 @@ Two documents link when the Jaccard similarity of their sets of 5-word shingles
 component holds what links connect. The join is exact:
 
 1. Documents with the same set become one node.
-2. Similar nodes are put into groups: nodes that share min-hashes are compared with the most typical
-   of them, and what links forms a group. So thousands of near copies are compared with one node
-   instead of with each other.
-3. The matrix holds each group's union of tokens, by bands of size: (token, group, band). Tokens are
-   ordered from rare to frequent, and only a set's first tokens go in: two sets with similarity 0.8
-   share some of these, so a set's overlap with a row bounds its overlap with any member.
-4. A query opens the bands of which the bound is high enough, and no others. It is compared, by whole
-   sets, first with a few typical members, and then, where this leaves both in different components,
-   with every member, in blocks.
+2. A node is compared with the most typical of those that share two min-hashes with it. Links among these join most of a
+   large group of near copies before anything else. Nodes that are similar to the same typical one, which asks for less
+   than a link does, are a family, and make groups of about one size and of `GROUP` members at most, about.
+3. The matrix holds each group's union of tokens: (token, group), with the sizes and positions it has there. Tokens are
+   ordered from rare to frequent, and only a set's first tokens go in: two sets with similarity 0.8 share some of
+   these, so the tokens that two rows of groups share bound the overlap of any two members. Groups meet in the matrix,
+   not documents, so a family of thousands is a few rows for each token.
+4. Only pairs of groups are opened that the bound leaves, and not those whose members have all come together. There a
+   query's whole set is first held against the union of the other group's tokens, and then, where that is enough,
+   against the members that it is not connected with.
 
 What groups there are decides how fast the join is, and never what it finds.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repopulse.llm import textops as T
@@ -38,12 +41,12 @@ MORE = 3
 #: Pairs that are compared at a time.
 _PAIRS = 256
 MIN_HASHES = 6
-#: Sizes in a band of a group differ by this factor at most, so that bounds by size are close.
-BAND = 1.05
-#: Members of a band that a query is compared with first.
-TYPICAL = 3
-#: Queries, and members, that one task compares with each other at most, about.
-PART = 256
+#: Least similarity, in hundredths, of a node and the typical one that its family is named after.
+LOOSE = 25
+#: Sizes in a group differ by this factor at most, so that bounds by size are close.
+BAND = 1.12
+#: Members of a group at most, about; a task compares two groups.
+GROUP = 256
 #: Tokens per slot of the table of token frequencies, and its most slots, of a byte each: so many at
 #: most are broadcast. More tokens than these have room for blur the order, which costs time only.
 TOKENS_PER_SLOT = 16
@@ -102,7 +105,7 @@ def token_ranks(docs: DataFrame, size: int) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in T.each(batches):
             for block, data in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-                part = np.frombuffer(data, np.uint8).astype(np.int64)
+                part = np.frombuffer(zlib.decompress(data), np.uint8).astype(np.int64)
                 sums[block] = sums[block] + part if block in sums else part
         total = {block: np.minimum(np.log2(np.maximum(part, 1)) * 8, 255) for block, part in sums.items()}
         yield from _blocks({block: part.astype(np.uint8) for block, part in total.items()})
@@ -111,14 +114,15 @@ def token_ranks(docs: DataFrame, size: int) -> np.ndarray:
     parts = docs.mapInArrow(count, schema).repartition("block").mapInArrow(add, schema)
     logs = np.zeros(1 << bits, np.uint8)
     for row in parts.toLocalIterator():  # a byte a slot in all
-        logs[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(row.counts, np.uint8)
+        logs[row.block * _BLOCK : (row.block + 1) * _BLOCK] = np.frombuffer(zlib.decompress(row.counts), np.uint8)
     usual = np.log2(max(1.0, 1.5 * float(np.mean(2.0 ** (logs[:: max(1, len(logs) >> 18)] / 8.0)))))
     return np.clip(logs / 8.0 - usual, 0, 63).astype(np.uint8)
 
 
 def _blocks(blocks: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
     if blocks:
-        counts = [part.tobytes() for part in blocks.values()]
+        # Most counts are 0 or 1, so blocks are sent packed.
+        counts = [zlib.compress(part.tobytes(), 1) for part in blocks.values()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(blocks), pa.int32()), pa.array(counts, pa.binary())], names=["block", "counts"]
         )
@@ -131,21 +135,6 @@ def _prefix_lengths(n: np.ndarray, least: int) -> np.ndarray:
     return np.minimum(n, n - common + 1 + MORE)
 
 
-def _rest(n: str, least: int) -> str:
-    """SQL: the number of tokens that are no first tokens."""
-    return f"greatest(0, ceil({least} * {n} / 100) - {1 + MORE})"
-
-
-def _needed(a: str, b: str, least: int) -> str:
-    """SQL: how many first tokens sets of the sizes a and b share at least if they link.
-
-    Of the common tokens, all that are first tokens of the set whose first tokens end sooner are first
-    tokens of the other too; no more than the rest of that set can be missing.
-    """
-    common = f"ceil({least} * ({a} + {b}) / {100 + least})"
-    return f"greatest(1, {common} - greatest({_rest(a, least)}, {_rest(b, least)}))"
-
-
 def _sets(chunk: T.Chunk, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each row, rows in order and hashes sorted."""
     value, row = shingles(chunk, size)
@@ -255,13 +244,15 @@ def _texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -
                     names=["doc_id", "text", "d1", "d2"],
                 )
 
-    # Rows that share an id and a set stand for the same node: the least text is as good as any.
+    # Rows that share an id and a set stand for the same node: the least text is as good as any. They are where the
+    # join has put them already.
     found = docs.mapInArrow(run, "doc_id long, text string, d1 long, d2 long").withColumnRenamed("doc_id", "rep")
-    return chosen.join(found, ["rep", "d1", "d2"]).groupBy("node").agg(F.min("text").alias("text"))
+    own = chosen.join(found, ["rep", "d1", "d2"]).groupBy("rep", "d1", "d2")
+    return own.agg(F.min("node").alias("node"), F.min("text").alias("text")).select("node", "text")
 
 
-def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, least: int) -> DataFrame:
-    """The pairs (a, b) of nodes with sets that are similar enough, by their whole sets."""
+def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """The pairs (a, b) of nodes with how many tokens their whole sets have in common, and how many in all."""
     wanted = pairs.selectExpr("explode(array(a, b)) as node").distinct()
     texts = stored(_texts_of(docs, nodes, wanted, size), "texts")
 
@@ -270,16 +261,15 @@ def _linked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, leas
             for at in range(0, batch.num_rows, _PAIRS):
                 part = batch.slice(at, _PAIRS)
                 sides = [_per_text(part.column(c), size) for c in ("text_a", "text_b")]
-                similar = np.zeros(part.num_rows, bool)
-                for i, (x, y) in enumerate(zip(*sides)):
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    similar[i] = 100 * common >= least * (len(x) + len(y) - common)
-                yield part.select(["a", "b"]).filter(pa.array(similar))
+                common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(*sides)]
+                every = [len(x) + len(y) - c for x, y, c in zip(*sides, common)]
+                columns = [part.column("a"), part.column("b"), pa.array(common, pa.int64()), pa.array(every, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "common", "every"])
 
     sided = pairs.join(texts.selectExpr("node as a", "text as text_a"), "a").join(
         texts.selectExpr("node as b", "text as text_b"), "b"
     )
-    return sided.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return sided.select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long, common long, every long")
 
 
 def _per_text(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -290,15 +280,19 @@ def _per_text(texts: pa.Array, size: int) -> list[np.ndarray]:
     return sets
 
 
-def _star_pairs(nodes: DataFrame) -> DataFrame:
-    """Pairs of a node and the most typical node with which it shares two min-hashes or more."""
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    """(k, key, many, node, n), stored: the min-hashes of each node that more than one node has."""
     keys = nodes.select("node", "n", F.posexplode("mins").alias("k", "key"))
-    sizes = keys.groupBy("k", "key").agg(F.count("*").alias("many")).where("many > 1")
-    shared = keys.join(sizes, ["k", "key"])
-    typical = shared.groupBy("node").agg(F.sum("many").alias("typical"))
-    known = stored(shared.join(typical, "node").select("k", "key", "node", "n", "typical"), "keys")
-    centers = known.groupBy("k", "key").agg(F.max(F.struct("typical", "node", "n")).alias("center"))
-    pairs = known.join(centers, ["k", "key"]).where("node <> center.node")
+    many = stored(keys.groupBy("k", "key").agg(F.count("*").alias("many")).where("many > 1"), "many")
+    return stored(keys.join(many, ["k", "key"]).select("k", "key", "many", "node", "n"), "keys")
+
+
+def _star_pairs(shared: DataFrame) -> DataFrame:
+    """Pairs of a node and the most typical node with which it shares two min-hashes or more."""
+    typical = stored(shared.groupBy("node").agg(F.sum("many").alias("typical")), "typical")
+    known = shared.join(typical, "node")
+    centers = stored(known.groupBy("k", "key").agg(F.max(F.struct("typical", "node", "n")).alias("center")), "centers")
+    pairs = shared.join(centers, ["k", "key"]).where("node <> center.node")
     pairs = pairs.where(f"100 * least(n, center.n) >= {LEAST} * greatest(n, center.n)")
     return pairs.groupBy(F.col("node").alias("a"), F.col("center.node").alias("b")).agg(
         F.count("*").alias("keys")
@@ -318,119 +312,186 @@ def _common(a: str, b: str, least: int) -> str:
     return f"ceil({least} * ({a} + {b}) / {100 + least})"
 
 
-def _queries(nodes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(token, pos, node, n, grp, members, band): first tokens that more than one node has."""
-    rows = nodes.select("node", F.col("n").cast("int").alias("n"), F.posexplode("tokens").alias("pos", "token"))
-    token = Window.partitionBy("token")
-    meeting = rows.select("*", (F.min("node").over(token) < F.max("node").over(token)).alias("_meets"))
-    members = groups.groupBy("grp").agg(F.count("*").cast("int").alias("members"))
-    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int").alias("band")
-    found = meeting.where("_meets").select("token", "pos", "node", "n", band)
-    return stored(found.join(groups.join(members, "grp"), "node"), "queries")
+def _dealt(nodes: DataFrame, compared: DataFrame, found: DataFrame, group: int) -> tuple[DataFrame, DataFrame]:
+    """(node, n, grp, part), stored: `found` (node, grp) are the components so far, and `part` is the group that the node is
+    dealt into, by the typical node that it is most similar to, its size, and a number that bounds the group. A group is
+    named after its least node, and a node alone is a group alone. The second table (node, part) has the others only."""
+    loose = compared.where(f"100 * common >= {LOOSE} * every")
+    best = loose.groupBy("a").agg(F.max(F.struct(F.expr("common / every"), "b")).alias("best"))
+    best = stored(best.selectExpr("a as node", "best.b as family"), "families")
+    many = stored(best.groupBy("family").agg(F.count("*").alias("many")), "many")
+    # A typical node belongs to its own family, unless it is more like another one.
+    family = best.join(many, "family").select("node", "family", "many").unionByName(
+        many.selectExpr("family as node", "family", "many").join(best.select("node"), "node", "left_anti")
+    )
+    sized = family.join(nodes.select("node", "n"), "node")
+    band = F.floor(F.log("n") / float(np.log(BAND))).cast("int")
+    number = F.pmod(F.xxhash64("node"), F.greatest(F.ceil(F.col("many") / group), F.lit(1)))
+    keyed = stored(sized.select("node", "family", band.alias("band"), number.alias("number")), "keyed")
+    key = ["family", "band", "number"]
+    named = stored(keyed.groupBy(*key).agg(F.min("node").alias("part")), "named")
+    grouped = stored(keyed.join(named, key).select("node", "part"), "grouped")
+    sizes = nodes.select("node", F.col("n").cast("int").alias("n")).join(found, "node").join(grouped, "node", "left")
+    return stored(sizes.select("node", "n", "grp", F.coalesce("part", "node").alias("part")), "dealt"), grouped
+
+
+def _placed(nodes: DataFrame, grouped: DataFrame) -> DataFrame:
+    """(part, n, tokens) of each node. Only the nodes that are not groups of their own are shuffled for it."""
+    alone = F.col("node")
+    held = IdFilter(grouped.select("node")).column(F.col("node"))
+    rows = nodes.select("node", F.col("n").cast("int").alias("n"), "tokens", held.alias("_held"))
+    sure = rows.where("not _held").select(alone.alias("part"), "n", "tokens")
+    rest = rows.where("_held").join(grouped, "node", "left").select(F.coalesce("part", alone).alias("part"), "n", "tokens")
+    return sure.unionByName(rest)
+
+
+def _matrix(placed: DataFrame) -> DataFrame:
+    """(token, part, pos, lo, hi), stored: for each token that more than one group has, and each of these, where it comes
+    soonest, and the least and the largest size of the sets that have it."""
+    ends = placed.select("part", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.min("part").alias("first"), F.max("part").alias("last")
+    )
+    meeting = stored(ends.where("first <> last").select("token"), "meeting")
+    held = IdFilter(meeting)
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in T.each(batches):
+            tokens = batch.column("tokens")
+            many = tokens.value_lengths().to_numpy()
+            token = tokens.flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), many)
+            pos = np.arange(len(token)) - np.repeat(np.cumsum(many) - many, many)
+            keep = held.holds(token)
+            at = pa.array(row[keep])
+            columns = [pa.array(token[keep]), batch.column("part").take(at), pa.array(pos[keep].astype(np.int32)), batch.column("n").take(at)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "part", "pos", "n"])
+
+    rows = placed.mapInArrow(some, "token long, part long, pos int, n int").join(meeting, "token", "left_semi")
+    found = rows.groupBy("token", "part").agg(F.min("pos").alias("pos"), F.min("n").alias("lo"), F.max("n").alias("hi"))
+    return stored(found, "matrix")
 
 
-def _opened(queries: DataFrame, least: int) -> DataFrame:
-    """(node, grp, band): queries and the bands of other groups that the matrix does not rule out.
+def _opened(nodes: DataFrame, dealt: DataFrame, grouped: DataFrame, least: int) -> DataFrame:
+    """(x, y), stored: pairs of groups, x <= y, that may hold a link between nodes which have not come together.
 
-    Of two groups the smaller asks, so a group of thousands is asked by a few and does not ask itself.
     Sets of n and m tokens with c in common share MORE + 1 of their first n - c + MORE + 1 and
-    m - c + MORE + 1 tokens. Only bands that these leave are counted over all first tokens.
+    m - c + MORE + 1 tokens, or all c. So rows of the matrix meet only where the token comes soon enough in both, for
+    some sizes of the groups, and a pair needs that many of them.
     """
-    bands = queries.groupBy("grp", "band").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
-    matrix = queries.groupBy("token", "grp", "band", "members").agg(F.min("pos").alias("pos")).join(bands, ["grp", "band"])
-    matrix = stored(matrix, "matrix")
-    q, m = queries.alias("q"), matrix.alias("m")
-    asks = "q.members < m.members or (q.members = m.members and q.grp < m.grp)"
-    fits = f"100 * q.n >= {least} * m.lo and 100 * m.hi >= {least} * q.n"
-    # The sizes in the band that could link with the query; with the least of them least is in common.
-    lo, hi = f"greatest(m.lo, ceil(q.n * {least} / 100))", f"least(m.hi, floor(q.n * 100 / {least}))"
-    soon = (
-        f"q.pos < q.n - {_common('q.n', lo, least)} + {MORE + 1}"
-        f" and m.pos < {hi} - {_common('q.n', hi, least)} + {MORE + 1}"
+    one = dealt.groupBy("part").agg(
+        F.min("grp").alias("first"), F.max("grp").alias("last"), F.count("*").alias("members")
     )
+    one = stored(one.selectExpr("part", "members", "if(first = last, first, null) as whole"), "wholes")
+    matrix = _matrix(_placed(nodes, grouped)).join(one, "part")
+    matrix = stored(matrix.select("token", "part", "pos", "lo", "hi", "whole"), "matrix")
+    x, y = matrix.alias("x"), matrix.alias("y")
+
+    def soon(own: str, other: str) -> str:
+        # Largest for the largest own set and the smallest other one that can link with it.
+        most, fewest = f"{own}.hi", f"greatest({other}.lo, ceil({own}.hi * {least} / 100))"
+        rounded = f"if({own}.lo < {own}.hi, 1, 0)"  # a smaller set can be one ahead where halves are rounded up
+        return f"{own}.pos < {most} - {_common(most, fewest, least)} + {MORE + 1} + {rounded}"
+
+    fits = f"100 * x.hi >= {least} * y.lo and 100 * y.hi >= {least} * x.lo"
+    apart = "(x.whole is null or y.whole is null or x.whole <> y.whole)"
     met = (
-        q.join(m, F.expr(f"q.token = m.token and ({asks}) and {fits} and {soon}"))
-        .groupBy("q.node", "q.n", F.col("m.grp").alias("grp"), F.col("m.band").alias("band"), "m.lo", "m.hi")
-        .agg(F.count("*").alias("shared"))
-    )
-    lo, hi = f"greatest(lo, ceil(n * {least} / 100))", f"least(hi, floor(n * 100 / {least}))"
-    met = met.where(f"shared >= least({MORE + 1}, {_common('n', lo, least)})")
-    counted = (
-        met.drop("shared")
-        .join(queries.select("node", "token"), "node")
-        .join(matrix.select("token", "grp", "band"), ["token", "grp", "band"])
-        .groupBy("node", "n", "grp", "band", "lo", "hi")
-        .agg(F.count("*").alias("bound"))
+        x.join(y, F.expr(f"x.token = y.token and x.part < y.part and {apart} and {fits} and {soon('x', 'y')} and {soon('y', 'x')}"))
+        .groupBy(F.col("x.part").alias("x"), F.col("y.part").alias("y"))
+        .agg(F.count("*").alias("shared"), F.min(F.expr(_common("x.lo", "y.lo", least))).alias("common"))
     )
-    # The need is lowest at the ends of those sizes; one less, since sizes are whole numbers.
-    need = f"least({_needed('n', lo, least)}, {_needed('n', hi, least)}) - 1"
-    return stored(counted.where(f"bound >= greatest(1, {need})").select("node", "grp", "band"), "opened")
+    pairs = met.where(f"shared >= least({MORE + 1}, common)").select("x", "y")
+    within = one.where("members > 1 and whole is null").selectExpr("part as x", "part as y")
+    return stored(pairs.unionByName(within), "opened")
 
 
-def _typical_members(queries: DataFrame, near: DataFrame) -> DataFrame:
-    """(grp, band, member): the members of each band that most others are known to be similar to."""
-    degree = near.selectExpr("explode(array(a, b)) as node").groupBy("node").agg(F.count("*").alias("degree"))
-    members = queries.select("grp", "band", "node").distinct().join(degree, "node", "left")
-    # The best of each part of a band, so that each count keeps one row.
-    part = F.pmod(F.xxhash64("node"), F.lit(TYPICAL)).alias("part")
-    best = F.max(F.struct(F.coalesce("degree", F.lit(0)), "node")).alias("best")
-    return members.groupBy("grp", "band", part).agg(best).select("grp", "band", F.col("best.node").alias("member"))
-
-
-def _parts(of: str, own: str, other: str) -> list[str]:
-    """SQL: the part that a row is in by its own side's number, and each part of the other side."""
-    return [f"pmod(xxhash64({of}), ceil({own} / {PART})) as own_part", f"explode(sequence(1L, ceil({other} / {PART}))) as other_part"]
-
-
-def _linked_in_blocks(
-    docs: DataFrame, nodes: DataFrame, queries: DataFrame, asked: DataFrame, typical: DataFrame, size: int, least: int
-) -> DataFrame:
-    """Links (a, b) of the queries in `asked` (node, grp, band) with members of those bands, the typical
-    ones left out: one link for each query and part of a band, since a band's members are connected.
+def _common(a: str, b: str, least: int) -> str:
+    """SQL: how many tokens sets of these sizes have in common if they link."""
+    return f"ceil({least} * ({a} + {b}) / {100 + least})"
 
-    Queries and members of a band are dealt into parts of bounded size, and each part of the one is
-    compared with each of the other in one task, by whole sets. So no pairs are written.
-    """
-    members = queries.select("grp", "band", "node").distinct().join(
-        typical.withColumnRenamed("member", "node"), ["grp", "band", "node"], "left_anti"
-    )
-    counts = asked.groupBy("grp", "band").agg(F.count("*").alias("n_asked"))
-    held = members.join(counts, ["grp", "band"]).groupBy("grp", "band", "n_asked").agg(F.count("*").alias("n_members"))
-    held = stored(held, "held")
-    asking = asked.join(held, ["grp", "band"]).selectExpr("grp", "band", "node", *_parts("node", "n_asked", "n_members"))
-    asking = asking.selectExpr("grp", "band", "own_part as q_part", "other_part - 1 as m_part", "node")
-    answering = members.join(held, ["grp", "band"]).selectExpr(
-        "grp", "band", "node", *_parts("node", "n_members", "n_asked")
-    )
-    answering = answering.selectExpr("grp", "band", "other_part - 1 as q_part", "own_part as m_part", "node")
-    asking, answering = stored(asking, "asking"), stored(answering, "answering")
-    wanted = asking.select("node").unionByName(answering.select("node")).distinct()
-    texts = stored(_texts_of(docs, nodes, wanted, size), "texts")
 
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+class _Connected:
+    """Which of the nodes that a task sees have come together."""
+
+    def __init__(self, groups: np.ndarray):
+        self.above = np.unique(groups, return_inverse=True)[1].reshape(-1)
+        self.above = np.r_[np.arange(self.above.max() + 1 if len(groups) else 0), self.above]
+        self.first = len(self.above) - len(groups)
+
+    def root(self, i: int) -> int:
+        i = int(self.above[self.first + i])
+        while self.above[i] != i:
+            self.above[i] = self.above[self.above[i]]
+            i = int(self.above[i])
+        return i
+
+    def roots(self) -> np.ndarray:
+        now = self.above[self.above[self.first :]]
+        while (then := self.above[now]).tolist() != now.tolist():
+            now = then
+        return now
+
+    def join(self, i: int, j: int) -> None:
+        i, j = self.root(i), self.root(j)
+        self.above[max(i, j)] = min(i, j)
+
+
+def linked_groups(
+    nodes: list[int], sets: list[np.ndarray], groups: np.ndarray, split: int, least: int
+) -> list[tuple[int, int]]:
+    """Links that bring together what is linked between the first `split` sets and the others, or, if there are no others,
+    among the first: as few as do it. `groups` says what has come together before."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    connected, links = _Connected(groups), []
+    others = np.arange(split, len(sets)) if split < len(sets) else np.arange(split)
+    token = np.concatenate([sets[j] for j in others]) if len(others) else np.zeros(0, np.uint64)
+    owner = np.repeat(others, sizes[others])
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    for i in range(split):
+        able = (100 * sizes >= least * sizes[i]) & (100 * sizes[i] >= least * sizes)
+        able[: len(sets) - len(others)] = False
+        if split == len(sets):
+            able[: i + 1] = False
+        able &= connected.roots() != connected.root(i)
+        if not able.any():
+            continue
+        begin, end = np.searchsorted(token, sets[i], "left"), np.searchsorted(token, sets[i], "right")
+        # The union of the group's tokens bounds the overlap with any member.
+        fewest = int(sizes[able].min())
+        if (end > begin).sum() * (100 + least) < least * (sizes[i] + fewest):
+            continue
+        many = end - begin
+        at = np.repeat(begin - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+        common = np.bincount(owner[at], minlength=len(sets))
+        similar = able & (100 * common >= least * (sizes + sizes[i] - common))
+        for j in np.flatnonzero(similar).tolist():
+            if connected.root(i) != connected.root(j):
+                connected.join(i, j)
+                links.append((nodes[i], nodes[j]))
+    return links
+
+
+def _linked_between(docs: DataFrame, nodes: DataFrame, dealt: DataFrame, opened: DataFrame, size: int, least: int) -> DataFrame:
+    """Links (a, b) that bring together what is linked in the opened pairs of groups, by whole sets."""
+    sides = opened.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("part"))
+    members = stored(sides.join(dealt.select("node", "grp", "part"), "part"), "members")
+    texts = stored(_texts_of(docs, nodes, members.select("node").distinct(), size), "texts")
+
+    def compare(table: pa.Table) -> pa.Table:
         T.give_back()
-        sets = [_per_text(side["text"], size) for side in (left, right)]
-        ids = [side["node"].to_pylist() for side in (left, right)]
-        links = []
-        for a, x in zip(ids[0], sets[0]):
-            for b, y in zip(ids[1], sets[1]):
-                if 100 * min(len(x), len(y)) < least * max(len(x), len(y)):
-                    continue
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= least * (len(x) + len(y) - common):
-                    links.append((a, b))
-                    break
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
-
-    block = ["grp", "band", "q_part", "m_part"]
-    left, right = (
-        side.join(texts, "node").select(*[F.col(c).alias(c) for c in (*block, "node", "text")]).groupBy(*block)
-        for side in (asking, answering)
-    )
-    return left.cogroup(right).applyInArrow(compare, "a long, b long")
+        own = pc.equal(table["part"], table["x"])
+        table = pa.concat_tables([table.filter(own), table.filter(pc.invert(own))])
+        split = pc.sum(own).as_py()
+        found = linked_groups(
+            table["node"].to_pylist(), _per_text(table["text"], size), table["grp"].to_numpy(), split, least
+        )
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
+    whole = members.join(texts, "node").select("x", "y", "part", "node", "grp", "text")
+    return whole.groupBy("x", "y").applyInArrow(compare, "a long, b long")
 
-def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST) -> DataFrame:
+
+def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST, group: int = GROUP) -> DataFrame:
     """(doc_id, n_shingles, component_id), a row per row of `docs`.
 
     `component_id` is the smallest doc_id that links connect the document with, itself included. A
@@ -447,23 +508,14 @@ def similar_documents(docs: DataFrame, size: int = SHINGLE, least: int = LEAST)
         F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("mins").alias("mins"), F.min("tokens").alias("tokens")
     )
     nodes = stored(nodes.select(F.monotonically_increasing_id().alias("node"), "*"), "nodes")
-    near = stored(_linked(docs, nodes, stored(_star_pairs(nodes), "star"), size, least), "near")
-    first = components(near).withColumnRenamed("component", "grp")
+    star = stored(_star_pairs(_shared_keys(nodes)), "star")
+    compared = stored(_compared(docs, nodes, star, size), "compared")
+    first = components(compared.where(f"100 * common >= {least} * every").select("a", "b")).withColumnRenamed("component", "grp")
     groups = nodes.select("node").join(first, "node", "left").selectExpr("node", "coalesce(grp, node) as grp")
     groups = stored(groups, "groups")
-    queries = _queries(nodes, groups)
-    opened = _opened(queries, least)
-    typical = stored(_typical_members(queries, near), "typical")
-    first = opened.join(typical, ["grp", "band"]).selectExpr("node as a", "member as b")
-    found = _merged(groups, _linked(docs, nodes, stored(first, "first"), size, least))
-    # What has not come together with an opened group by then is compared with all its members.
-    now = opened.join(found.withColumnRenamed("grp", "own"), "node").join(
-        groups.selectExpr("node as root", "grp").where("root = grp").join(found.selectExpr("node as root", "grp as other"), "root"),
-        "grp",
-    )
-    apart = stored(now.where("own <> other").select("node", "grp", "band"), "apart")
-    links = _linked_in_blocks(docs, nodes, queries, apart, typical, size, least)
-    found = _merged(found, stored(links, "links"))
+    dealt, grouped = _dealt(nodes, compared, groups, group)
+    opened = _opened(nodes, dealt, grouped, least)
+    found = _merged(groups, stored(_linked_between(docs, nodes, dealt, opened, size, least), "links"))
     ids = nodes.select("node", "rep", "d1", "d2").join(found, "node")
     least_ids = ids.groupBy("grp").agg(F.min("rep").alias("least_id"))
     by_set = ids.join(least_ids, "grp").select("d1", "d2", "least_id")

@@ -31,16 +31,89 @@ def by_hand(texts):
     return sorted([(i, len(s), None if i is None else root(i)) for i, s in sets], key=str)
 
 
-def joined(spark, texts):
-    return sorted(map(tuple, J.similar_documents(documents(spark, texts)).collect()), key=str)
+def joined(spark, texts, **more):
+    return sorted(map(tuple, J.similar_documents(documents(spark, texts), **more).collect()), key=str)
 
 
-@pytest.mark.parametrize("seed, typical, part", [(1, J.TYPICAL, J.PART), (2, 1, 2), (3, 1, 3)])
-def test_components_equal_those_by_hand(spark, monkeypatch, seed, typical, part):
-    monkeypatch.setattr(J, "TYPICAL", typical)
-    monkeypatch.setattr(J, "PART", part)
+@pytest.mark.parametrize("seed, group", [(1, J.GROUP), (2, 2), (3, 5), (4, 1)])
+def test_components_equal_those_by_hand(spark, seed, group):
     texts = copies(seeded(seed))
-    assert joined(spark, texts) == by_hand(texts)
+    assert joined(spark, texts, group=group) == by_hand(texts)
+
+
+def family(rng, many, words=40, edits=3):
+    """Copies of one text with some words replaced: similar, and mostly not linked."""
+    base = prose(rng, words).split()
+    texts = []
+    for k in range(many):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = f"new{rng.randrange(10**9)}"
+        texts.append((k, " ".join(own)))
+    return texts
+
+
+@pytest.mark.parametrize("edits, group", [(1, 8), (2, 64), (3, 16)])
+def test_families_that_hardly_link(spark, edits, group):
+    texts = family(seeded(edits), 150, edits=edits)
+    assert joined(spark, texts, group=group) == by_hand(texts)
+
+
+def matrix_rows(spark, texts):
+    """Rows that the groups of a family make where they meet, and the pairs of groups that are opened."""
+    docs = documents(spark, texts).select("doc_id", "text")
+    nodes = J.stored(
+        J._describe(docs, J.token_ranks(docs.select("text"), J.SHINGLE), J.SHINGLE, J.LEAST).withColumnRenamed("doc_id", "rep")
+        .withColumn("node", F.col("rep")), "nodes",
+    )
+    star = J.stored(J._star_pairs(J._shared_keys(nodes)), "star")
+    compared = J.stored(J._compared(docs, nodes, star, J.SHINGLE), "compared")
+    dealt, grouped = J._dealt(nodes, compared, nodes.selectExpr("node", "node as grp"), J.GROUP)
+    matrix = nodes.select("node", F.explode("tokens").alias("token")).join(dealt, "node").select("token", "part").distinct()
+    met = matrix.join(matrix.withColumnRenamed("part", "other"), "token").where("part < other").count()
+    return met, J._opened(nodes, dealt, grouped, J.LEAST).count(), dealt.select("part").distinct().count()
+
+
+def test_a_large_family_meets_in_groups(spark):
+    small, large = (matrix_rows(spark, family(seeded(9), many)) for many in (500, 2000))
+    # Each document apart would make some 11,000 and 160,000 rows where they meet.
+    assert small[0] <= 1000 and large[0] <= 1000
+    assert large[1] <= 40 and large[2] <= 800
+
+
+def test_links_of_two_groups_bring_together_what_is_linked():
+    rng = np.random.default_rng(4)
+    for case in range(60):
+        base = rng.choice(500, 40, replace=False)
+        sets = []
+        for _ in range(int(rng.integers(1, 30))):
+            keep = base[rng.random(40) > rng.choice([0, 0.05, 0.15, 0.5])]
+            sets.append(np.unique(np.r_[keep, rng.integers(1000, 10**6, int(rng.integers(1, 4)))]).astype(np.uint64))
+        many = len(sets)
+        split = many if case % 3 == 0 else int(rng.integers(0, many + 1))
+        groups = rng.integers(0, max(1, many // 2), many) * 10 if case % 2 else np.arange(many)
+        nodes = (np.arange(many) * 7).tolist()
+        label = {i: int(groups[i]) for i in range(many)}
+
+        def merge(a, b):
+            low, high = sorted((label[a], label[b]))
+            for k, v in label.items():
+                if v == high:
+                    label[k] = low
+
+        found = J.linked_groups(nodes, sets, np.array(groups, np.int64), split, 80)
+        mine = dict(label)
+        for a, b in found:
+            assert label[a // 7] != label[b // 7]  # none too many
+            merge(a // 7, b // 7)
+        got, label = label, mine
+        for i in range(many):
+            for j in range(i + 1, many):
+                across = split == many or (i < split <= j)
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if across and 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                    merge(i, j)
+        assert got == label
 
 
 def test_short_texts_and_chains(spark):
@@ -78,14 +151,6 @@ def test_prefixes_and_needs_lose_no_pair():
         assert common >= max(1, whole - max(len(a) - la, len(b) - lb))
 
 
-def test_the_need_in_sql_is_that_by_hand(spark):
-    sizes = spark.range(1, 90).crossJoin(spark.range(1, 90).withColumnRenamed("id", "m")).withColumnRenamed("id", "n")
-    rows = sizes.select("n", "m", F.expr(J._needed("n", "m", J.LEAST)).alias("need")).collect()
-    for r in rows:
-        la, lb = J._prefix_lengths(np.array([r.n, r.m]), J.LEAST).tolist()
-        assert r.need == max(1, -(-J.LEAST * (r.n + r.m) // (100 + J.LEAST)) - max(r.n - la, r.m - lb))
-
-
 def test_components(spark):
     rng = seeded(8)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(500, 600)]
