@@ -113,7 +113,7 @@ def _totals(table: pa.Table) -> pa.Table:
     grams = [np.cumsum(_unpacked(g.as_buffer(), np.uint64)) for c in table["grams"].chunks for g in c]
     counts = [_unpacked(g.as_buffer(), np.uint32) for c in table["counts"].chunks for g in c]
     _, _, which = T.distinct(np.concatenate(grams))
-    sums = np.bincount(which, np.concatenate(counts)).astype(np.uint32)
+    sums = np.bincount(which, np.concatenate(counts)).astype(np.uint64)  # whole numbers are exact up to 2**53
     parts = np.split(sums[which], np.cumsum([len(g) for g in grams])[:-1])
     return pa.table({"chunk": table["chunk"], "bucket": table["bucket"], "totals": pa.array([_packed(p) for p in parts], pa.binary())})
 
@@ -125,7 +125,7 @@ def _score(order: int, backoff: float, words: int):
         _, _, which = T.distinct(_every(values, there))
         by_bucket = np.argsort(totals["bucket"].to_numpy(), kind="stable")
         packed = totals["totals"].to_pylist()
-        total = np.concatenate([_unpacked(packed[k], np.uint32) for k in by_bucket] or [np.zeros(0, np.uint32)])
+        total = np.concatenate([_unpacked(packed[k], np.uint64) for k in by_bucket] or [np.zeros(0, np.uint64)])
         owner = np.concatenate([row[t] for t in there]).astype(np.int64)
         # What the word's own document has of each n-gram.
         pair = which.astype(np.int64) * max(1, texts.num_rows) + owner

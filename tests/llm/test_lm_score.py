@@ -1,6 +1,8 @@
 import collections
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from repopulse.llm import lm_score as L
@@ -52,3 +54,18 @@ def test_messy_rows(spark):
     assert L.stupid_backoff(none(spark)).count() == 0
     with pytest.raises(ValueError):
         L.stupid_backoff(none(spark), 0)
+
+
+def test_totals_beyond_32_bits():
+    grams = [np.array(g, np.uint64) for g in ([5, 9], [5, 1 << 60])]
+    counts = [np.array(c, np.uint32) for c in ([3_000_000_000, 1], [3_000_000_000, 2])]
+    table = pa.table(
+        {
+            "chunk": [0, 1],
+            "bucket": [0, 0],
+            "grams": pa.array([L._packed(L._steps(g)) for g in grams], pa.binary()),
+            "counts": pa.array([L._packed(c) for c in counts], pa.binary()),
+        }
+    )
+    found = [L._unpacked(t, np.uint64).tolist() for t in L._totals(table)["totals"].to_pylist()]
+    assert found == [[6_000_000_000, 1], [6_000_000_000, 2]]
