@@ -7,7 +7,8 @@ parent whole, loses the sequences of the other that repeat their pieces, and bes
 displaces. After each epoch an island's best packing goes to the next island of its block.
 
 Well-filled sequences of a block's best packing are final. The others of all blocks, about one a block,
-are dealt anew, so each level has a small part of the pieces of the one before, and the last is one block.
+are dealt anew. Where sizes do not go together and most sequences stay under that fill, the emptiest of
+each block are. Each level has at most about half of the pieces of the one before, and the last is one block.
 """
 
 from __future__ import annotations
@@ -31,10 +32,14 @@ END = 1
 BLOCK = 1024
 ISLANDS = 2
 EPOCHS = 2
-GENERATIONS = 3
-POPULATION = 4
+GENERATIONS = 30
+POPULATION = 16
 #: A sequence is final from this fill on.
 FULL = 0.99
+#: The emptiest sequences of a block that is not well filled are dealt anew, up to this part of its pieces.
+AGAIN = 0.25
+#: Sequences that a block can fill at least, on average.
+LEAST_SEQUENCES = 8
 #: Units whose ids a process remembers at most.
 MEMORY = 1_500_000
 _TEXT_BYTES = 1 << 20
@@ -344,8 +349,25 @@ def _migrated(islands: DataFrame, count: int) -> DataFrame:
     )
 
 
+def dealt_anew(bins: Bins, sizes: list[int], capacity: int) -> list[bool]:
+    """For each sequence of a block, whether its pieces are dealt anew: those under the fill that is
+    final if they hold half of the pieces at most, and otherwise the emptiest of them, the first always."""
+    fill = [sum(sizes[i] for i in b) for b in bins]
+    under = sorted((b for b in range(len(bins)) if fill[b] < FULL * capacity), key=lambda b: fill[b])
+    most = len(sizes) / 2
+    if sum(len(bins[b]) for b in under) > most:
+        most = AGAIN * len(sizes)
+    again, many = [False] * len(bins), 0
+    for n, b in enumerate(under):
+        many += len(bins[b])
+        if n and many > most:
+            break
+        again[b] = True
+    return again
+
+
 def _placed(islands: DataFrame, level: int, capacity: int) -> DataFrame:
-    """(item, size, sequence_id, offset, fill) by the best packing of each block."""
+    """(item, size, sequence_id, offset, again) by the best packing of each block."""
     best_first = F.struct(F.expr("size(array_distinct(packings))").alias("n"), "island")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,15 +377,17 @@ def _placed(islands: DataFrame, level: int, capacity: int) -> DataFrame:
                 sizes = row["sizes"]
                 choices = [_decode(p) for p in row["best"]]
                 bins = min(choices, key=lambda p: (len(p), -fitness(p, sizes, capacity)))
+                again = dealt_anew(bins, sizes, capacity)
                 for b, own in enumerate(bins):
-                    fill = sum(sizes[i] for i in own)
                     at = 0
                     for i in own:
-                        for column, value in zip(columns, (row["items"][i], sizes[i], (level << 56) | (row["block"] << 16) | b, at, fill)):
+                        for column, value in zip(columns, (row["items"][i], sizes[i], (level << 56) | (row["block"] << 16) | b, at, again[b])):
                             column.append(value)
                         at += sizes[i]
+            kinds = [*[pa.int64()] * 4, pa.bool_()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64()) for x in columns], names=["item", "size", "sequence_id", "offset", "fill"]
+                [pa.array(x, kind) for x, kind in zip(columns, kinds)],
+                names=["item", "size", "sequence_id", "offset", "again"],
             )
 
     blocks = islands.groupBy("block").agg(
@@ -371,7 +395,7 @@ def _placed(islands: DataFrame, level: int, capacity: int) -> DataFrame:
         F.max_by("sizes", best_first).alias("sizes"),
         F.collect_list(F.expr("packings[0]")).alias("best"),
     )
-    return blocks.mapInArrow(run, "item long, size long, sequence_id long, offset long, fill long")
+    return blocks.mapInArrow(run, "item long, size long, sequence_id long, offset long, again boolean")
 
 
 def pack_items(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
@@ -380,12 +404,13 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -
     whole = items.where(F.col("size") >= capacity).selectExpr("item", "-1 - item as sequence_id", "0L as offset")
     done = [whole]
     rest = items.where(F.col("size") < capacity).select("item", F.col("size").cast("long").alias("size"))
-    many = rest.count()
+    many, total = rest.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     level = 1
     while many:
-        blocks = -(-many // block)
+        # Blocks of small pieces have more of them, so that there are sequences to fill.
+        blocks = max(1, min(-(-many // block), total // (LEAST_SEQUENCES * capacity)))
         dealt = rest.withColumn("block", F.pmod(F.xxhash64("item", F.lit(level)), F.lit(blocks)))
-        # A block holds about `block` items, whatever the number of all.
+        # A block holds about `block` items, or a few sequences of small ones, whatever the number of all.
         grouped = dealt.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("item", "size"))).alias("own"))
         islands = grouped.select(
             "block",
@@ -398,13 +423,12 @@ def pack_items(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -
         for epoch in range(EPOCHS):
             islands = _epoch(_migrated(islands, ISLANDS) if epoch else islands, capacity, epoch)
         placed = stored(_placed(islands, level, capacity), f"level{level}")
-        full = F.col("fill") >= FULL * capacity
-        left = placed.where(~full)
-        remaining = left.count() if blocks > 1 else 0
-        # A level that fills few sequences has pieces that do not go together; another would not help.
-        last = blocks == 1 or 2 * remaining > many
-        done.append((placed if last else placed.where(full)).select("item", "sequence_id", "offset"))
-        rest, many, level = left.select("item", "size"), 0 if last else remaining, level + 1
+        rest, before = placed.where("again").select("item", "size"), (many, total)
+        many, total = (0, 0) if blocks == 1 else rest.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+        if (many, total) == before:
+            many = 0
+        done.append((placed.where("not again") if many else placed).select("item", "sequence_id", "offset"))
+        level += 1
     result = done[0]
     for part in done[1:]:
         result = result.unionByName(part)

@@ -63,6 +63,18 @@ def test_evolution_finds_what_best_fit_does_not():
     assert len(K.evolve(start, sizes, 100, 60, rng)[0]) <= min(map(len, start))
 
 
+def test_evolution_lowers_the_number_of_best_fit():
+    before = after = 0
+    for seed in range(4):
+        rng = random.Random(seed)
+        sizes = [rng.randrange(800, 2000) for _ in range(200)]
+        start = K.start_packings(sizes, 4096, K.POPULATION, rng)
+        best = K.evolve(start, sizes, 4096, K.EPOCHS * K.GENERATIONS, rng)[0]
+        assert valid(best, sizes, 4096) and len(best) <= min(map(len, start))
+        before, after = before + min(map(len, start)), after + len(best)
+    assert after < before
+
+
 def check_packed(rows, texts, capacity):
     by_id = collections.defaultdict(list)
     for (doc_id, _), ids in zip(texts, ids_by_tokenizer([t for _, t in texts])):
@@ -117,3 +129,25 @@ def test_pieces_that_do_not_go_together(spark):
     items = spark.range(3000).selectExpr("id as item", "60L as size")
     rows = K.pack_items(items, 100, 256).collect()
     assert len({r.sequence_id for r in rows}) == 3000 and {r.offset for r in rows} == {0}
+
+
+def test_part_filled_sequences_of_many_blocks_are_dealt_anew(spark):
+    # Three of these go into a sequence and never fill it to 99 %.
+    items = spark.range(12_288).selectExpr("id as item", "1100 + pmod(xxhash64(id), 201) as size")
+    packed = K.pack_items(items, 4096)
+    fills = packed.join(items, "item").groupBy("sequence_id").agg({"size": "sum", "item": "count"}).collect()
+    assert len(fills) == 4096
+    assert {r["count(item)"] for r in fills} == {3} and max(r["sum(size)"] for r in fills) <= 4096
+
+
+def test_very_small_pieces_fill_sequences(spark):
+    items = spark.range(5000).selectExpr("id as item", "1L as size").union(spark.range(40).selectExpr("10000 + id", "60L"))
+    rows = K.pack_items(items, 100, 64).collect()
+    assert len(rows) == 5040 and len({r.sequence_id for r in rows}) <= 75
+
+
+def test_the_emptiest_sequences_are_dealt_anew():
+    sizes = [99, 100, 40, 60, 80, 70]
+    assert K.dealt_anew([[0], [1], [2, 3], [4], [5]], sizes, 100) == [False, False, False, True, True]
+    assert K.dealt_anew([[0], [1], [2], [3], [4], [5]], sizes, 100) == [False, False, True, False, False, False]
+    assert K.dealt_anew([[0, 2]], [50, 1, 30], 100) == [True]
