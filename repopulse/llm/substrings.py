@@ -146,11 +146,13 @@ def repeated_runs(
 ) -> DataFrame:
     """(doc_id, place, many) of all runs that an earlier one is equal to; `docs` has ids without nulls.
 
-    Equal runs are one row per task in the count, and adaptive execution splits them in the join.
+    Equal runs are one row per task in the count. What is counted is stored before it is joined, as
+    adaptive execution splits a hot run in a join of two tables, but not in one with a count beside it.
     """
     runs = stored(_runs(docs, size, min_words, extend), "runs")
     first = runs.groupBy("run").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("times"))
     first = first.where("times > 1").select("run", F.col("first.doc_id").alias("id"), F.col("first.place").alias("at"))
+    first = stored(first, "first")
     return runs.join(first, "run").where("doc_id <> id or place <> at").select("doc_id", "place", "many")
 
 
