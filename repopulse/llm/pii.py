@@ -102,7 +102,9 @@ def shape(value: str) -> str:
 
 
 def _words(text: str) -> list[str]:
-    return [re.sub(r"[0-9]+", "0", w.strip(_AROUND).lower()) for w in text.split()]
+    """The words of a context; signs that stand alone, such as those between columns, are none."""
+    bare = (w.strip(_AROUND).lower() for w in text.split())
+    return [re.sub(r"[0-9]+", "0", w) for w in bare if w]
 
 
 def patterns(text: str, start: int, end: int) -> list[str]:
@@ -224,7 +226,8 @@ def _learn(candidates: DataFrame, rounds: int) -> DataFrame:
     for _ in range(rounds):
         counted = edges.join(known, "value").groupBy("pattern", "kind").agg(F.count("*").alias("known"))
         good = counted.join(held, "pattern").selectExpr("pattern", "kind", "known", "known / held as share")
-        good = good.where(f"known >= {PATTERN_KNOWN} and share >= {PATTERN_SHARE}")
+        # Stored before it is joined, so that the rows of a hot shape can be split.
+        good = stored(good.where(f"known >= {PATTERN_KNOWN} and share >= {PATTERN_SHARE}"), "good")
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("share"), F.lit(0.01)))))
         new = (
             edges.join(good, "pattern")
