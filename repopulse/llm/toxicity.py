@@ -1,16 +1,25 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Two bigram models, of toxic and of ordinary text, give each word of a document a log-likelihood
-ratio. Each model discounts its bigrams, falls back to its own continuation counts of the word (the
-different words before it), and from there to counts that both classes share: again continuation
-counts, the number of classes that know the word. So a word known to one class only weighs the more
-the more often it was seen, and a rare one says little. Ratios are normalised by length, over the document and over short windows, since one
-insult in a long document is lost in the mean; a logistic regression on these few figures gives the
-score.
-
-Every count is kept in one of `SLOTS` hashed slots, so the model has a fixed size, whatever the
-vocabulary, and may be broadcast. Where bigrams or words meet in a slot the most frequent has it, and a
-tag tells the others apart, which then count as never seen.
+ratio. With n_c(v w) occurrences of a bigram in class c, N_c(v) = sum of n_c(v .), and D = `DISCOUNT`:
+
+    P_c(w | v) = max(n_c(v w) - D, 0) / N_c(v) + D * |{w: n_c(v w) > 0}| / N_c(v) * Q_c(w)
+    Q_c(w)     = max(t_c(w) - D, 0) / T_c + D * V_c / T_c * S(w)
+    S(w)       = (max(t(w) - D, 0) + D * V / (V + 1)) / T
+
+t_c(w) is the number of different words before w in class c, T_c their sum, V_c the words of the class;
+t, T and V are the same over both classes together, with one more word for all that neither knows. A
+class without the context goes to Q_c, one without any text to S. So a rare expression of one class has
+the other's probability from counts that both share, and says little.
+
+The score is a logistic regression on a few ratios of the toxic to the ordinary likelihood: those of all
+words under both orders of the models, by P and by Q, normalised by length; the highest of windows of `WINDOWS`
+words, and what is over `LEVELS`, shares of the highest ratio that any word of the model has, per hundred
+words and in all, since one insult in a long document is lost in the mean. These take Q alone: after a context that
+one class has once, P's ratio says more of the context than of the word.
+
+Every count is kept, those of bigrams seen once too, under 64-bit hashes. The model may be broadcast because its
+training texts are bounded: `MAX_BYTES` of each class have at most half as many words.
 """
 
 from __future__ import annotations
@@ -21,23 +30,25 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from repopulse.llm import textops as T
+from repopulse.llm.store import stored
 
-SLOTS = 1 << 20
 THRESHOLD = 0.3
 #: Labelled documents of each class that train the models, and that fit the regression.
 MAX_PER_CLASS = 8000
 MAX_CALIBRATION = 4000
-WINDOW = 8
-#: A ratio from which a word is a clear case.
-CLEAR = 3.0
+#: Bytes of each class's texts in either part, with `ROW_BYTES` for every row.
+MAX_BYTES = 1 << 25
+ROW_BYTES = 64
+WINDOWS = (1, 8)
+LEVELS = (0.7, 0.9)
 #: Kneser-Ney discount of bigrams and of continuation counts.
 DISCOUNT = 0.75
-FEATURES = 5
+FEATURES = 2 + len(WINDOWS) + 2 * len(LEVELS)
 _START = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -48,20 +59,20 @@ def bucket(doc_id: Column) -> Column:
 
 @dataclass(frozen=True)
 class Model:
-    """Logarithms per slot for both classes, [ordinary, toxic], as half floats.
+    """Logarithms for both classes, [ordinary, toxic]; the last entry of each is that of an unknown key.
 
-    `words`: a word by continuation counts and backoff. `unseen`: the same of a word no class knows,
-    one number a class. `pairs`: discounted counts of bigrams; `totals` and `spare`: per context,
-    all its bigrams, and those whose mass goes to the word's own probability.
+    `words` are sorted hashes: `own` is Q_c of a word, `total` and `back` are N_c and the weight of Q_c
+    after it. `pairs` are sorted hashes of bigrams, `counts` their discounted counts (half floats). `top`
+    is the highest ratio of Q_toxic to Q_ordinary.
     """
 
     words: np.ndarray
-    unseen: np.ndarray
+    own: np.ndarray
+    total: np.ndarray
+    back: np.ndarray
     pairs: np.ndarray
-    totals: np.ndarray
-    spare: np.ndarray
-    word_tags: np.ndarray
-    pair_tags: np.ndarray
+    counts: np.ndarray
+    top: float
 
 
 @dataclass(frozen=True)
@@ -94,15 +105,6 @@ _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(33, 127) if not chr(b).isalnum()]] = True
 
 
-def _slot(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
-
-
-def _tag(hashes: np.ndarray) -> np.ndarray:
-    """1 to 2**15, from other bits than the slot; 0 is an empty slot."""
-    return ((hashes >> np.uint64(44)) & np.uint64(0x7FFF)).astype(np.int32) + 1
-
-
 def _bigram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return T.mix(before * np.uint64(3) + word)
 
@@ -152,110 +154,130 @@ def _count_bigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _slots(docs: DataFrame) -> DataFrame:
-    """(kind, slot, x0, x1): all counts of the model, at most 4 * SLOTS rows.
+def within(chosen: DataFrame, most: int) -> DataFrame:
+    """The rows of `chosen`, by ids in the order of their hashes, up to `most` bytes of each class and
+    part. All rows of an id count; one with more than an eighth of `most` is left out."""
+    cost = F.sum(F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long") + ROW_BYTES).alias("_cost")
+    sizes = chosen.groupBy("_id", "_toxic", "_fit").agg(cost).where(F.col("_cost") <= most // 8)
+    # One row per sampled id, of which there are at most as many as the sample's bounds allow.
+    running = F.sum("_cost").over(Window.partitionBy("_toxic", "_fit").orderBy(F.xxhash64("_id"), "_id"))
+    kept = sizes.withColumn("_running", running).where(F.col("_running") <= most).select("_id")
+    return chosen.join(F.broadcast(kept), "_id")
 
-    Bigrams seen once in all leave their mass to the backoff.
-    """
-    counts = (
-        docs.mapInArrow(_count_bigrams, "before long, word long, n0 long, n1 long")
+
+def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash of each bigram and its discounted counts, logarithms as the bits of half floats."""
+    for batch in T.each(batches):
+        before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
+        with np.errstate(divide="ignore"):
+            logs = [np.log(np.maximum(batch.column(c).to_numpy() - DISCOUNT, 0)) for c in ("n0", "n1")]
+        codes = [pa.array(x.astype(np.float16).view(np.int16)) for x in logs]
+        keys = pa.array(T.signed(_bigram(before, word)))
+        yield pa.RecordBatch.from_arrays([keys, *codes], names=["key", "l0", "l1"])
+
+
+def _log(x: str) -> str:
+    return f"float(if({x} > 0, ln({x}), double('-Infinity')))"
+
+
+def train(docs: DataFrame) -> Model:
+    """The model of a bounded table (_text, _toxic)."""
+    counts = stored(
+        docs.select("_text", "_toxic")
+        .mapInArrow(_count_bigrams, "before long, word long, n0 long, n1 long")
         .groupBy("before", "word")
-        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+        .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")),
+        "toxic-bigrams",
     )
-    less = [f"if(n0 + n1 > 1, greatest(n{c} - {DISCOUNT}D, 0D), 0D)" for c in (0, 1)]
-    kinds = (
-        f"named_struct('kind', 0, 'before', before, 'word', word, 'x0', {less[0]}, 'x1', {less[1]})",
-        f"named_struct('kind', 1, 'before', before, 'word', 0L, 'x0', {less[0]}, 'x1', {less[1]})",
-        "named_struct('kind', 2, 'before', before, 'word', 0L, 'x0', double(n0), 'x1', double(n1))",
-        "named_struct('kind', 3, 'before', word, 'word', 0L, 'x0', double(n0 > 0), 'x1', double(n1 > 0))",
+    seen = [f"int(n{c} > 0)" for c in (0, 1)]
+    sides = (
+        f"named_struct('key', before, 'n0', n0, 'n1', n1, 'd0', {seen[0]}, 'd1', {seen[1]}, 't0', 0, 't1', 0, 't', 0)",
+        f"named_struct('key', word, 'n0', 0L, 'n1', 0L, 'd0', 0, 'd1', 0, 't0', {seen[0]}, 't1', {seen[1]}, 't', 1)",
     )
-    # A bigram's slot needs the 64-bit mixing that Python does, so rows keep the hashes until then.
-    rows = counts.selectExpr(f"inline(array({', '.join(kinds)}))").where("x0 > 0 or x1 > 0")
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in T.each(batches):
-            kind = batch.column("kind").to_numpy()
-            before, word = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "word"))
-            hashes = np.where(kind == 0, _bigram(before, word), before)
-            tag = np.where((kind == 0) | (kind == 3), _tag(hashes), 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("kind"), pa.array(_slot(hashes)), pa.array(tag), batch.column("x0"), batch.column("x1")],
-                names=["kind", "slot", "tag", "x0", "x1"],
-            )
-
-    placed = rows.mapInArrow(place, "kind int, slot long, tag int, x0 double, x1 double")
-    summed = placed.groupBy("kind", "slot", "tag").agg(F.sum("x0").alias("x0"), F.sum("x1").alias("x1"))
-    best = F.max(F.struct(F.expr("x0 + x1"), "tag", "x0", "x1")).alias("best")
-    return summed.groupBy("kind", "slot").agg(best).select("kind", "slot", "best.tag", "best.x0", "best.x1")
-
-
-def _model(found: pa.Table) -> Model:
-    tables, tags = np.zeros((4, 2, SLOTS)), np.zeros((4, SLOTS), np.int32)
-    kind, slot = found["kind"].to_numpy(), found["slot"].to_numpy()
-    for c in (0, 1):
-        tables[kind, c, slot] = found[f"x{c}"].to_numpy()
-    tags[kind, slot] = found["tag"].to_numpy()
-    seen, kept, contexts, types = tables
-    every = np.maximum(types.sum(axis=1, keepdims=True), 1)
-    # Half a class for a word never seen; all that meet in a slot share it.
-    shared = (types > 0).sum(axis=0) + 0.5
-    shared = shared / shared.sum()
-    own = np.maximum(types - DISCOUNT, 0) / every
-    backoff = 1 - own.sum(axis=1, keepdims=True)
-    with np.errstate(divide="ignore"):
-        return Model(
-            words=np.log(own + backoff * shared).astype(np.float16),
-            unseen=np.log(backoff * shared.min()).ravel(),
-            pairs=np.log(seen).astype(np.float16),
-            totals=np.log(contexts + 1).astype(np.float16),
-            spare=np.log(contexts - kept + 1).astype(np.float16),
-            word_tags=tags[3].astype(np.uint16),
-            pair_tags=tags[0].astype(np.uint16),
-        )
-
-
-def _ratios(model: Model, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """log P(word | before, toxic) - log P(word | before, ordinary)."""
-    hashes = _bigram(before, word)
-    pair, context, single = _slot(hashes), _slot(before), _slot(word)
-    known_pair = model.pair_tags[pair] == _tag(hashes)
-    known_word = model.word_tags[single] == _tag(word)
-    logs = []
-    for c in (0, 1):
-        value = np.where(known_word, model.words[c][single], model.unseen[c]).astype(np.float32)
-        total = model.totals[c][context].astype(np.float32)
-        value += model.spare[c][context] - total
-        pairs = np.flatnonzero(known_pair)
-        more = np.minimum(model.pairs[c][pair[pairs]].astype(np.float32) - total[pairs], 0)
-        value[pairs] = np.logaddexp(value[pairs], more)
-        logs.append(value)
-    return logs[1] - logs[0]
+    rows = counts.selectExpr(f"inline(array({', '.join(sides)}))")
+    words = stored(rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in rows.columns[1:]]), "toxic-words")
+    sums = [f"sum({t}) as {t}" for t in ("t0", "t1", "t")] + [f"count_if({t} > 0) as v{t[1:]}" for t in ("t0", "t1", "t")]
+    every = {k: v or 0 for k, v in words.selectExpr(*sums).first().asDict().items()}
+
+    def discounted(t: str, c: str, lower: str) -> str:
+        if not every[f"t{c}"]:
+            return lower
+        return f"((greatest({t} - {DISCOUNT}D, 0D) + {DISCOUNT * every[f'v{c}']!r}D * {lower}) / {every[f't{c}']}D)"
+
+    shared = {t: discounted(t, "", f"{1 / (every['v'] + 1)!r}D") for t in ("t", "0")}
+    own = [discounted(f"t{c}", str(c), shared["t"]) for c in (0, 1)]
+    unknown = [discounted("0", str(c), shared["0"]) for c in (0, 1)]
+    after = [f"if(n{c} > 0, {_log(f'double(n{c})')}, 0F)" for c in (0, 1)]
+    back = [f"if(n{c} > 0, {_log(f'{DISCOUNT}D * d{c} / n{c}')}, 0F)" for c in (0, 1)]
+    names = [f"{name}{c}" for name in ("own", "total", "back") for c in (0, 1)]
+    values = [_log(own[0]), _log(own[1]), *after, *back]
+    spark = docs.sparkSession
+    least = [*spark.range(1).selectExpr(*[_log(u) for u in unknown]).first(), 0.0, 0.0, 0.0, 0.0]
+    found = words.selectExpr("key", *[f"{v} as {n}" for v, n in zip(values, names, strict=True)]).toArrow()
+    keys, order = _sorted(found)
+    table = {n: np.append(found[n].to_numpy()[order], np.float32(x)) for n, x in zip(names, least, strict=True)}
+    found = counts.mapInArrow(_pair_rows, "key long, l0 short, l1 short").toArrow()
+    pairs, order = _sorted(found)
+    none = np.float16(-np.inf)
+    logs = [np.append(found[n].to_numpy().view(np.float16)[order], none) for n in ("l0", "l1")]
+    own, total, back = (np.stack([table[f"{n}0"], table[f"{n}1"]]) for n in ("own", "total", "back"))
+    return Model(keys, own, total, back, pairs, np.stack(logs), float((own[1] - own[0]).max()))
+
+
+def _sorted(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    keys = found["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], order
+
+
+def _find(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each hash is among the sorted keys; -1, the entry of unknown ones, if it is not."""
+    if not len(keys):
+        return np.full(len(hashes), -1)
+    asked, _, which = T.distinct(hashes)
+    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return np.where(keys[at] == asked, at, -1)[which]
+
+
+def log_likelihoods(model: Model, before: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log P_c(word | before) and log Q_c(word) for c of ordinary, toxic. `before` is `word` moved by one, or
+    the start."""
+    single = _find(model.words, word)
+    context = np.empty_like(single)
+    context[1:] = single[:-1]
+    context[before == _START] = _find(model.words, np.array([_START]))[0]
+    pair = _find(model.pairs, _bigram(before, word))
+    known = np.flatnonzero(pair >= 0)
+    own = model.own[:, single]
+    value = own + model.back[:, context]
+    more = model.counts[:, pair[known]].astype(np.float32) - model.total[:, context[known]]
+    value[:, known] = np.logaddexp(value[:, known], more)
+    return value, own
 
 
 def features(model: Model, texts: pa.Array) -> np.ndarray:
-    """Per text: mean ratio of its words, highest ratio of a word, highest mean of a window, and
-    excess of ratios over the level of a clear case, per hundred words and in all (as logarithm).
-    All zero for a text without words."""
+    """Per text: mean ratio by P, and by Q; the highest mean by Q of its windows of each length (the sum
+    divided by that length where the text is shorter); the excess by Q over each level, per hundred words and
+    in all (as logarithm). All zero for a text without words."""
     out = np.zeros((len(texts), FEATURES))
     for chunk in T.chunks(texts):
         before, word, row = _pairs(chunk)
         if not len(word):
             continue
-        ratio = _ratios(model, before, word).astype(np.float64)
+        after, alone = (x[1].astype(np.float64) - x[0] for x in log_likelihoods(model, before, word))
         first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        rows = row[first]
         length = np.diff(np.r_[first, len(row)])
-        sums = np.r_[0.0, np.cumsum(ratio)]
+        begin = np.repeat(first, length)
+        sums = np.r_[0.0, np.cumsum(alone)]
         at = np.arange(len(row))
-        start = np.maximum(at - WINDOW + 1, np.repeat(first, length))
-        windows = (sums[at + 1] - sums[start]) / WINDOW
-        clear = np.maximum(ratio - CLEAR, 0)
-        values = out[chunk.first : chunk.first + chunk.rows]
-        values[rows, 0] = np.add.reduceat(ratio, first) / length
-        values[rows, 1] = np.maximum.reduceat(ratio, first)
-        values[rows, 2] = np.maximum.reduceat(windows, first)
-        values[rows, 3] = np.add.reduceat(clear, first) / length * 100
-        values[rows, 4] = np.log1p(np.add.reduceat(clear, first))
+        found = [np.add.reduceat(ratio, first) / length for ratio in (after, alone)]
+        for window in WINDOWS:
+            means = (sums[at + 1] - sums[np.maximum(at - window + 1, begin)]) / window
+            found.append(np.maximum.reduceat(means, first))
+        for level in LEVELS:
+            excess = np.add.reduceat(np.maximum(alone - level * model.top, 0), first)
+            found += [excess / length * 100, np.log1p(excess)]
+        out[chunk.first + row[first]] = np.stack(found, axis=1)
     return out
 
 
@@ -277,17 +299,19 @@ def fit(
     text: str = "text",
     per_class: int = MAX_PER_CLASS,
     calibration: int = MAX_CALIBRATION,
+    most_bytes: int = MAX_BYTES,
 ) -> Scorer:
     """Train on labelled documents, whole texts, that are not held out: two quarters of the ids
-    give the counts and one the regression. `per_class` and `calibration` bound the rows of each
-    class. Without labels of both classes every score is 1/2."""
+    give the counts and one the regression. `per_class` and `calibration` bound the ids of each
+    class, `most_bytes` their texts, also where many rows share an id. Without labels of both classes
+    every score is 1/2."""
     T.prepare(docs)
     rows = training_rows(labels, per_class, calibration)
     texts = docs.select(F.col("doc_id").alias("_id"), F.col(text).alias("_text"))
     # At most 2 * (per_class + calibration) rows of two numbers and a flag.
-    chosen = texts.join(F.broadcast(rows), "_id").select("_text", "_toxic", "_fit")
-    model = _model(_slots(chosen.where("_fit").drop("_fit")).toArrow())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    chosen = stored(within(texts.join(F.broadcast(rows), "_id"), most_bytes), "toxic-sample")
+    shared = docs.sparkSession.sparkContext.broadcast(train(chosen.where("_fit")))
+    T.give_back()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
@@ -298,7 +322,7 @@ def fit(
             )
 
     schema = "toxic int, " + ", ".join(f"f{k} double" for k in range(FEATURES))
-    held = chosen.where("not _fit").drop("_fit").mapInArrow(measure, schema).toArrow()
+    held = chosen.where("not _fit").select("_text", "_toxic").mapInArrow(measure, schema).toArrow()
     x = np.stack([held[f"f{k}"].to_numpy() for k in range(FEATURES)], axis=1)
     y = held["toxic"].to_numpy().astype(float)
     if len(x) == 0 or y.min() == y.max():

@@ -1,7 +1,13 @@
+import math
+import re
 import zlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
+from repopulse.llm import textops as T
 from repopulse.llm import toxicity as X
 from tests.llm.samples import documents, messy_texts, none, prose, seeded
 
@@ -74,3 +80,120 @@ def test_toxic_documents_go_and_others_stay(spark):
     kept = {r.doc_id for r in X.drop_toxic(documents(spark, texts), spark.createDataFrame(labels, LABELS)).collect()}
     toxic = {k for k, _, t in labels if t}
     assert len(kept & toxic) <= 5 and len(kept - toxic) >= 390
+
+
+TOY = [
+    ("the cat sat on the mat", 0), ("The cat ran. the dog sat", 0), ("", 0), (None, 1), ("dog", 0), ("you vile cat", 1),
+    ("you vile vile dog", 1), ("the mat", 1), ("on the vile mat", 0), ("\u00fcber-cat  the\tcat!", 1), ("!!! ...", 0),
+]
+
+
+def by_hand(rows):
+    """log P and log Q of both classes by the formulas of the docstring, on words themselves."""
+    pairs = [Counter(), Counter()]
+    for text, kind in rows:
+        found = words_of(text)
+        pairs[kind].update(zip(["<s>", *found], found))
+    types = [Counter(w for _, w in p) for p in pairs]
+    both = Counter(w for _, w in set(pairs[0]) | set(pairs[1]))
+    d, every, many = X.DISCOUNT, sum(both.values()), len(both)
+
+    def shared(w):
+        return (max(both[w] - d, 0) + d * many / (many + 1)) / every if every else 1 / (many + 1)
+
+    def own(c, w):
+        total = sum(types[c].values())
+        return (max(types[c][w] - d, 0) + d * len(types[c]) * shared(w)) / total if total else shared(w)
+
+    def likelihood(c, v, w):
+        after = [n for (x, _), n in pairs[c].items() if x == v]
+        total = sum(after)
+        return (max(pairs[c][v, w] - d, 0) + d * len(after) * own(c, w)) / total if total else own(c, w)
+
+    return likelihood, own, sorted(both)
+
+
+def words_of(text):
+    return re.findall(r"[0-9a-z\u0080-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def trained(spark, rows):
+    return X.train(spark.createDataFrame(rows, "_text string, _toxic int").repartition(3))
+
+
+def measured(model, text):
+    chunk = next(T.chunks(pa.array([text])))
+    before, word, _ = X._pairs(chunk)
+    return X.log_likelihoods(model, before, word)
+
+
+@pytest.mark.parametrize("rows", [TOY, [r for r in TOY if r[1] == 0], [r for r in TOY if not r[0]]])
+def test_likelihoods_are_those_of_the_formulas(spark, rows):
+    model, (likelihood, own, known) = trained(spark, rows), by_hand(rows)
+    assert len(model.words) == len(known) + (1 if known else 0)  # the start too, as a context
+    for text in [t for t, _ in TOY if words_of(t)] + ["a cat never seen sat", "vile new vile", "mat the"]:
+        after, alone = measured(model, text)
+        found = words_of(text)
+        for k, (v, w) in enumerate(zip(["<s>", *found], found)):
+            for c in (0, 1):
+                assert math.isclose(after[c][k], math.log(likelihood(c, v, w)), abs_tol=2e-3), (text, v, w, c)
+                assert math.isclose(alone[c][k], math.log(own(c, w)), abs_tol=1e-4)
+
+
+def test_likelihoods_after_a_word_sum_to_one(spark):
+    model, (_, _, known) = trained(spark, TOY), by_hand(TOY)
+    for v in ["the", "vile", "never"]:
+        sums = sum(np.exp(measured(model, f"{v} {w}")[0][:, 1]) for w in [*known, "unseen"])
+        assert np.allclose(sums, 1, atol=2e-3)
+
+
+def test_every_bigram_is_kept(spark):
+    rng = seeded(7)
+    rows = [(" ".join(f"w{rng.randrange(3000)}" for _ in range(400)), k % 2) for k in range(60)]
+    model = trained(spark, rows)
+    pairs = {p for text, _ in rows for p in zip(["<s>", *text.split()], text.split())}
+    assert len(model.pairs) == len(set(model.pairs.tolist())) == len(pairs)
+    assert np.isfinite(model.counts[:, :-1].astype(float).max(axis=0)).all()
+
+
+def test_figures_of_a_document(spark):
+    model, (likelihood, own, _) = trained(spark, TOY), by_hand(TOY)
+    text = "you vile cat on the new mat you vile dog sat"
+    found = words_of(text)
+    after = [math.log(likelihood(1, v, w) / likelihood(0, v, w)) for v, w in zip(["<s>", *found], found)]
+    alone = [math.log(own(1, w) / own(0, w)) for w in found]
+    eight = [sum(alone[max(k - 7, 0) : k + 1]) / 8 for k in range(len(alone))]
+    wanted = [sum(after) / len(after), sum(alone) / len(alone), max(alone), max(eight)]
+    for level in X.LEVELS:
+        excess = sum(max(a - level * model.top, 0) for a in alone)
+        wanted += [excess / len(alone) * 100, math.log1p(excess)]
+    got = X.features(model, pa.array([None, text, "", "!", text]))
+    assert np.allclose(got[1], wanted, atol=5e-3) and (got[1] == got[4]).all()
+    assert not got[[0, 2, 3]].any()
+
+
+def test_messy_rows_with_a_trained_scorer(spark):
+    texts, labels = corpus(300)
+    messy = [(10_000 + k, text) for k, (_, text) in enumerate(messy_texts(seeded(3)))]
+    messy += [(None, "vile"), (20_000, "Vile! " * 40), (20_000, "Vile! " * 40), (20_001, "\u00e9" * 300_000)]
+    labels += [(None, 1, 1), (3, 1, 1), (5, None, None), (20_000, 1, 1), (7, 1, 9)]
+    table = spark.createDataFrame(labels, LABELS).selectExpr("*", "doc_id as _toxic", "toxic as _text")
+    docs = documents(spark, texts + messy)
+    rows = X.toxicity(docs, table).collect()
+    assert Counter(r.doc_id for r in rows) == Counter(i for i, _ in texts + messy)
+    assert all(0 <= r.score <= 1 for r in rows) and len({r.score for r in rows}) > 100
+    assert {r.predicted for r in rows if r.doc_id == 20_000} == {1}
+    blank = {r.score for r in rows if not words_of(dict(texts + messy).get(r.doc_id)) and r.doc_id is not None}
+    assert len(blank) == 1
+    kept = X.drop_toxic(docs, table)
+    assert kept.columns == docs.columns and 20_000 not in {r.doc_id for r in kept.collect()}
+
+
+def test_a_labelled_id_with_many_rows_is_bounded(spark):
+    rows = [(k, "a few words", k % 2, True) for k in range(40)] + [(99, "again " * 10, 1, True)] * 500
+    chosen = spark.createDataFrame(rows, "_id long, _text string, _toxic int, _fit boolean")
+    kept = X.within(chosen, 8 * 12 * 75).collect()
+    assert Counter(r[0] for r in kept) == Counter(range(40))
+    some = X.within(chosen.where("_id < 99"), 8 * 75).collect()
+    assert Counter(r["_toxic"] for r in some) == {0: 8, 1: 8}
+    assert sorted(some) == sorted(X.within(chosen.where("_id < 99").orderBy("_id"), 8 * 75).collect())
