@@ -61,7 +61,7 @@ def bucket(doc_id: Column) -> Column:
 class Model:
     """Logarithms for both classes, [ordinary, toxic]; the last entry of each is that of an unknown key.
 
-    `words` are sorted hashes: `own` is Q_c of a word, `total` and `back` are N_c and the weight of Q_c
+    `words` are sorted hashes, as signed numbers: `own` is Q_c of a word, `total` and `back` are N_c and the weight of Q_c
     after it. `pairs` are sorted hashes of bigrams, `counts` their discounted counts (half floats). `top`
     is the highest ratio of Q_toxic to Q_ordinary.
     """
@@ -213,28 +213,24 @@ def train(docs: DataFrame) -> Model:
     values = [_log(own[0]), _log(own[1]), *after, *back]
     spark = docs.sparkSession
     least = [*spark.range(1).selectExpr(*[_log(u) for u in unknown]).first(), 0.0, 0.0, 0.0, 0.0]
-    found = words.selectExpr("key", *[f"{v} as {n}" for v, n in zip(values, names, strict=True)]).toArrow()
-    keys, order = _sorted(found)
-    table = {n: np.append(found[n].to_numpy()[order], np.float32(x)) for n, x in zip(names, least, strict=True)}
-    found = counts.mapInArrow(_pair_rows, "key long, l0 short, l1 short").toArrow()
-    pairs, order = _sorted(found)
-    none = np.float16(-np.inf)
-    logs = [np.append(found[n].to_numpy().view(np.float16)[order], none) for n in ("l0", "l1")]
+    # Spark sorts, so that the driver holds no more than what it fetched and the arrays themselves.
+    columns = [f"{v} as {n}" for v, n in zip(values, names, strict=True)]
+    found = words.selectExpr("key", *columns).orderBy("key").toArrow()
+    keys = found["key"].to_numpy()
+    table = {n: np.append(found[n].to_numpy(), np.float32(x)) for n, x in zip(names, least, strict=True)}
+    found = counts.mapInArrow(_pair_rows, "key long, l0 short, l1 short").orderBy("key").toArrow()
+    pairs = found["key"].to_numpy()
+    logs = [np.append(found[n].to_numpy().view(np.float16), np.float16(-np.inf)) for n in ("l0", "l1")]
+    del found
     own, total, back = (np.stack([table[f"{n}0"], table[f"{n}1"]]) for n in ("own", "total", "back"))
     return Model(keys, own, total, back, pairs, np.stack(logs), float((own[1] - own[0]).max()))
 
 
-def _sorted(found: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    keys = found["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], order
-
-
 def _find(keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Where each hash is among the sorted keys; -1, the entry of unknown ones, if it is not."""
     if not len(keys):
         return np.full(len(hashes), -1)
-    asked, _, which = T.distinct(hashes)
+    asked, _, which = T.distinct(T.signed(hashes))
     at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
     return np.where(keys[at] == asked, at, -1)[which]
 
