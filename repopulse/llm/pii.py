@@ -307,7 +307,9 @@ def without_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     Base spans are found again where the document is read, so only documents with added spans, which
     are few, are joined with them.
     """
-    docs_rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
+    # The text goes to Python once, beside the other columns.
+    others = F.struct(*[T.column(c) for c in docs.columns if c != "text"]).alias("_row")
+    docs_rows = docs.select(others, F.col("doc_id").cast("long").alias("_id"), F.col("text").alias("_text"))
     rows, added = _find(docs, rounds)
     spans = added.join(rows.select("row", "doc_id"), "row").where("doc_id is not null")
     spans = stored(spans.select("doc_id", "kind", "start", "stop").distinct(), "added")

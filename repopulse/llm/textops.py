@@ -16,7 +16,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 try:
     _libc = ctypes.CDLL("libc.so.6")
@@ -50,7 +51,7 @@ def _power(base: int, n: int) -> np.ndarray:
     """base**i for i < n at least."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, CHUNK * 2), base, np.uint64)
+        steps = np.full(max(n, CHUNK + 1), base, np.uint64)
         steps[0] = 1
         have = _powers[base] = np.multiply.accumulate(steps)
     return have
@@ -198,5 +199,10 @@ def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         give_back()
 
 
+def column(name: str) -> Column:
+    """The column of that very name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

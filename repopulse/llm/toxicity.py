@@ -361,6 +361,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     """The rows of `docs` with a score below the threshold, with their columns. A document with
     a null or empty text, or without words, has nothing to be rejected for and stays."""
     scorer = fit(docs, labels, **bounds)
-    scored = score(docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text")), scorer, "_text")
+    # The text goes to Python once, beside the other columns.
+    others = F.struct(*[T.column(c) for c in docs.columns if c != "text"]).alias("_row")
+    scored = score(docs.select(others, F.col("text").alias("_text")), scorer, "_text")
     worded = F.coalesce(F.col("_text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    return scored.where((F.col("_score") < threshold) | ~worded).select("_row.*")
+    every = [(F.col("_text") if c == "text" else F.col("_row").getField(c)).alias(c) for c in docs.columns]
+    return scored.where((F.col("_score") < threshold) | ~worded).select(*every)
