@@ -66,3 +66,47 @@ def test_messy_rows(spark, corpus):
     empty = labels.limit(0)
     assert all(r.kept == (not r.base_failed) for r in Q.quality(documents(spark, texts), empty).collect())
     assert Q.quality(none(spark), labels).count() == 0
+
+
+def test_every_label_counts(spark):
+    """More labels of a class than the 10,000 that once were taken: all are known, and all good text is the target."""
+    labels = spark.range(25_000).selectExpr("id as doc_id", "if(id < 12500, 1, 0) as quality")
+    known = Q.labelled_rows(labels)
+    assert known.groupBy("_good").count().orderBy("_good").collect() == [(0, 12_500), (1, 12_500)]
+    docs = spark.range(25_001).selectExpr("nullif(id, 25000) as _id", "if(id % 5 = 0, null, 'one two') as _text")
+    for bits in (25, 12, 3):  # the smaller ones hold many other ids
+        every, good = Q.bucket_counts(Q.with_target(docs, known, bits))
+        # Two words and a pair in each text; the text of the null id has the number 25,000 and none.
+        assert (every.sum(), good.sum()) == (3 * 20_000, 3 * 10_000)
+
+
+def test_threshold_of_a_table(spark):
+    rng = seeded(8)
+    for good_mean, n in ((0.5, 400), (0.0, 300), (-1.0, 50), (0.4, 2), (0.0, 1)):
+        rows = [(round(rng.gauss(good_mean * g, 0.3), 2), g) for g in [int(rng.random() < 0.6) for _ in range(n)]]
+        expected = Q.threshold(np.array([s for s, _ in rows]), np.array([g for _, g in rows]) == 1, 0.9)
+        assert Q.threshold_of(spark.createDataFrame(rows, "_score double, _good int"), 0.9) == expected
+    assert Q.threshold_of(spark.createDataFrame([], "_score double, _good int")) == -np.inf
+
+
+def test_score_is_the_mean_ratio_to_all_good_text(spark, corpus):
+    """Rows repeat and have null ids; every good row is in the target."""
+    good, bad = corpus
+    rows = good + good[:5] + bad + [(None, good[0][1]), (3, None)]
+    labels = spark.createDataFrame([(k, int(k < 200)) for k, _ in good + bad] + [(7, 0), (None, 1)], "doc_id long, quality int")
+    every, target = np.zeros(Q.BUCKETS, np.int64), np.zeros(Q.BUCKETS, np.int64)
+    for k, text in rows:
+        for chunk in Q.T.chunks(pa.array([text], pa.string())):
+            own = np.bincount(Q._buckets(chunk)[0], minlength=Q.BUCKETS)
+            every += own
+            target += own * (k is not None and k < 200 and k != 7)
+    texts = pa.array([t for _, t in rows], pa.string())
+    expected = Q.mean_ratios(Q.ratios(every, target), texts)
+    apart = Q.mean_ratios_apart(every, target, texts)
+    for n in (0, 60, 119):
+        own = np.bincount(Q._buckets(next(Q.T.chunks(texts[n : n + 1])))[0], minlength=Q.BUCKETS)
+        assert np.isclose(apart[n], Q.mean_ratios(Q.ratios(every, target - own), texts[n : n + 1])[0], atol=1e-6)
+    found = [(r.doc_id, r.score) for r in Q.quality(documents(spark, rows), labels).collect()]
+    key = lambda r: (str(r[0]), r[1])
+    assert [k for k, _ in sorted(found, key=key)] == [k for k, _ in sorted(((k, e) for (k, _), e in zip(rows, expected)), key=key)]
+    assert np.allclose(sorted(s for _, s in found), sorted(expected))
