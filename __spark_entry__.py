@@ -49,6 +49,9 @@ except ImportError as missing:  # the package, its pipeline or what they need ma
 # For sessions on this machine that name no shared folder.
 LOCAL_SCRATCH = os.path.join(tempfile.gettempdir(), "repopulse-queries")
 
+# Landed lines are packed; a packed file cannot be split, so its number of lines is bounded.
+PACKED_LINES = {"compression": "gzip", "maxRecordsPerFile": 250_000}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -131,7 +134,7 @@ def _landed_json(table: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = _folder(spark, f"json-{table}")
         objects = {name: F.parse_json(name) for name in OBJECTS[table]}
-        raw_view(spark, sf_dir, FULL[table]).withColumns(objects).write.json(f"{root}/{table}")
+        raw_view(spark, sf_dir, FULL[table]).withColumns(objects).write.options(**PACKED_LINES).json(f"{root}/{table}")
         return staging.stage(table, read_raw(spark, root, table, fmt="json"))
 
     return build

@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+import __spark_entry__ as entry
 from repopulse import run, sinks
 from repopulse.operators.checks import ChecksFailed
 from repopulse.plans import layers
@@ -89,3 +90,22 @@ def test_command_line_with_bad_lines(spark, tmp_path, capsys):
             sinks.drop_layer(spark, layer)
     with pytest.raises(SystemExit):
         run.main(f"--raw {tmp_path}/in --landing {tmp_path}/other".split())
+
+
+@pytest.fixture
+def items(spark, tmp_path, monkeypatch):
+    """A folder with line items, and the folders of the queries inside it."""
+    monkeypatch.setattr(entry, "_folder", lambda spark, name: str(tmp_path / name))
+    columns = ["id as l_orderkey", "id % 7 as l_partkey", "id % 5 as l_suppkey", "1 as l_linenumber"]
+    rows = spark.range(200).selectExpr(*columns, "timestamp_ntz '1995-01-02 03:04:05' as l_shipdate")
+    rows.coalesce(1).write.parquet(str(tmp_path / "lineitem.parquet"))
+    return tmp_path
+
+
+def test_landed_json_is_packed_in_files_of_bounded_length(spark, items, monkeypatch):
+    monkeypatch.setitem(entry.PACKED_LINES, "maxRecordsPerFile", 60)
+    found = entry._landed_json("comments")(spark, str(items))
+    files = sorted(p.name for p in (items / "json-comments" / "comments").glob("part-*"))
+    assert len(files) == 4 and all(name.endswith(".json.gz") for name in files)
+    assert sorted(found.select("comment_id").collect()) == [(10 * k + 1,) for k in range(200)]
+    assert {r.commenter_login for r in found.collect()} == {f"user{k}" for k in range(7)}
