@@ -147,7 +147,8 @@ def _landed(spark: SparkSession, sf_dir: str, *tables: str) -> landing.Landed:
         rows = raw_view(spark, sf_dir, FULL[table], times="string")
         line = F.to_json(F.struct(*rows.columns))
         broken = F.substr(line, F.lit(1), (F.length(line) / 2).cast("int"))
-        rows.select(F.when(F.expr(SPOILT), broken).otherwise(line)).write.text(f"{root}/{table}")
+        lines = rows.select(F.when(F.expr(SPOILT), broken).otherwise(line))
+        lines.write.options(**PACKED_LINES).text(f"{root}/{table}")
     return landing.land(spark, root, _folder(spark, "landed"), tables)
 
 

@@ -8,7 +8,8 @@ check of the bad ones costs no scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import contextlib
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -36,6 +37,19 @@ def unreadable_check(relation: str, severity: str = checks.WARN) -> checks.Check
     return checks.Check("unreadable_records", relation, severity, {RECORD: F.count_if(F.col(RECORD).isNotNull())})
 
 
+@contextlib.contextmanager
+def _both_parts_open(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, a task keeps the files of both parts open instead of sorting its rows, which may be many where
+    packed files are read."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "2")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def land_table(
     spark: SparkSession,
     root: str,
@@ -60,7 +74,8 @@ def land_table(
     )
     observation, check = Observation(f"landing {table}"), unreadable_check(table, severity)
     rows = checks.observed(rows, observation, check)
-    rows.write.mode("errorifexists").partitionBy(ASIDE).parquet(f"{folder.rstrip('/')}/{table}")
+    with _both_parts_open(spark):
+        rows.write.mode("errorifexists").partitionBy(ASIDE).parquet(f"{folder.rstrip('/')}/{table}")
     return checks.observed_rows(observation, check)[0]
 
 

@@ -109,3 +109,18 @@ def test_landed_json_is_packed_in_files_of_bounded_length(spark, items, monkeypa
     assert len(files) == 4 and all(name.endswith(".json.gz") for name in files)
     assert sorted(found.select("comment_id").collect()) == [(10 * k + 1,) for k in range(200)]
     assert {r.commenter_login for r in found.collect()} == {f"user{k}" for k in range(7)}
+
+
+def test_lines_are_packed_and_land_without_a_sort(spark, items, monkeypatch):
+    monkeypatch.setitem(entry.PACKED_LINES, "maxRecordsPerFile", 60)
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    with landing._both_parts_open(spark):
+        assert spark.conf.get(name) == "2"
+    landed = entry._landed(spark, str(items), "comments")
+    files = sorted(p.name for p in (items / "lines" / "comments").glob("part-*"))
+    assert len(files) == 4 and all(f.endswith(".txt.gz") for f in files)
+    assert spark.conf.get(name) == before
+    spoilt = [k for k in range(200) if (10 * k + 1) % 97 == 5]
+    assert landed.checks[0].failures == landed.quarantine.count() == len(spoilt) > 0
+    assert sorted(r.id for r in landed.raw["comments"].collect()) == [10 * k + 1 for k in range(200) if k not in spoilt]
