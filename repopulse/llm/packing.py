@@ -41,8 +41,8 @@ AGAIN = 0.25
 #: Sequences that a block can fill at least, on average.
 LEAST_SEQUENCES = 8
 #: Units whose ids a process remembers at most.
-MEMORY = 1_500_000
-_TEXT_BYTES = 1 << 20
+MEMORY = 400_000
+_TEXT_BYTES = 1 << 19
 _UNITS = 20_000
 
 Bins = list[list[int]]

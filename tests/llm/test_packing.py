@@ -151,3 +151,17 @@ def test_the_emptiest_sequences_are_dealt_anew():
     assert K.dealt_anew([[0], [1], [2, 3], [4], [5]], sizes, 100) == [False, False, False, True, True]
     assert K.dealt_anew([[0], [1], [2], [3], [4], [5]], sizes, 100) == [False, False, True, False, False, False]
     assert K.dealt_anew([[0, 2]], [50, 1, 30], 100) == [True]
+
+
+def test_a_process_remembers_a_bounded_number_of_units():
+    coder = K.WordIds(public_tokenizers.path("word_bpe_49k.json"))
+    letters = [chr(97 + k) for k in range(26)]
+    words = [a + b + c + d for a in letters for b in letters for c in letters for d in letters]
+    texts = [" ".join(words[k : k + 4000]) for k in range(0, len(words), 4000)]
+    most = 0
+    for chunk in T.chunks(pa.array(texts), K._TEXT_BYTES):
+        found = coder.rows(chunk)
+        most = max(most, len(coder._hashes))
+        last = coder._tokenizer.encode(texts[chunk.first + chunk.rows - 1], add_special_tokens=False).ids
+        assert found[-1].tolist() == last
+    assert most <= 400_000 < len(words)
