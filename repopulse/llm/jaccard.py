@@ -335,27 +335,31 @@ def _dealt(nodes: DataFrame, compared: DataFrame, found: DataFrame, group: int)
     return stored(sizes.select("node", "n", "grp", F.coalesce("part", "node").alias("part")), "dealt"), grouped
 
 
-def _placed(nodes: DataFrame, grouped: DataFrame) -> DataFrame:
-    """(part, n, tokens) of each node. Only the nodes that are not groups of their own are shuffled for it."""
-    alone = F.col("node")
-    held = IdFilter(grouped.select("node")).column(F.col("node"))
-    rows = nodes.select("node", F.col("n").cast("int").alias("n"), "tokens", held.alias("_held"))
-    sure = rows.where("not _held").select(alone.alias("part"), "n", "tokens")
-    rest = rows.where("_held").join(grouped, "node", "left").select(F.coalesce("part", alone).alias("part"), "n", "tokens")
-    return sure.unionByName(rest)
-
-
-def _matrix(placed: DataFrame) -> DataFrame:
+def _matrix(nodes: DataFrame, grouped: DataFrame) -> DataFrame:
     """(token, part, pos, lo, hi), stored: for each token that more than one group has, and each of these, where it comes
-    soonest, and the least and the largest size of the sets that have it."""
+    soonest, and the least and the largest size of the sets that have it.
+
+    Only the nodes that are not groups of their own are shuffled to find their group. No task has two Python workers
+    at once: an executor would keep both.
+    """
+    dealt = IdFilter(grouped.select("node"))
+    rows = nodes.select(F.col("node").alias("part"), F.col("n").cast("int").alias("n"), "tokens")
+    marked = rows.withColumn("_held", dealt.column(F.col("part")))
+    named = grouped.select("node", F.col("part").alias("_part"))
+    # With an exchange at any size, so that its Python is not in the task of what comes after.
+    moved = marked.where("_held").join(named.hint("merge"), F.col("part") == F.col("node"), "left")
+    moved = moved.select(F.coalesce("_part", "part").alias("part"), "n", "tokens")
+    placed = marked.where("not _held").select("part", "n", "tokens").unionByName(moved)
     ends = placed.select("part", F.explode("tokens").alias("token")).groupBy("token").agg(
         F.min("part").alias("first"), F.max("part").alias("last")
     )
     meeting = stored(ends.where("first <> last").select("token"), "meeting")
     held = IdFilter(meeting)
 
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def some(batches: Iterator[pa.RecordBatch], left_out: IdFilter | None = None) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
+            if left_out is not None:
+                batch = batch.filter(pa.array(~left_out.among(batch.column("part"))))
             tokens = batch.column("tokens")
             many = tokens.value_lengths().to_numpy()
             token = tokens.flatten().to_numpy()
@@ -366,7 +370,9 @@ def _matrix(placed: DataFrame) -> DataFrame:
             columns = [pa.array(token[keep]), batch.column("part").take(at), pa.array(pos[keep].astype(np.int32)), batch.column("n").take(at)]
             yield pa.RecordBatch.from_arrays(columns, names=["token", "part", "pos", "n"])
 
-    rows = placed.mapInArrow(some, "token long, part long, pos int, n int").join(meeting, "token", "left_semi")
+    schema = "token long, part long, pos int, n int"
+    alone = rows.mapInArrow(lambda batches: some(batches, dealt), schema)
+    rows = alone.unionByName(moved.mapInArrow(some, schema)).join(meeting, "token", "left_semi")
     found = rows.groupBy("token", "part").agg(F.min("pos").alias("pos"), F.min("n").alias("lo"), F.max("n").alias("hi"))
     return stored(found, "matrix")
 
@@ -382,7 +388,7 @@ def _opened(nodes: DataFrame, dealt: DataFrame, grouped: DataFrame, least: int)
         F.min("grp").alias("first"), F.max("grp").alias("last"), F.count("*").alias("members")
     )
     one = stored(one.selectExpr("part", "members", "if(first = last, first, null) as whole"), "wholes")
-    matrix = _matrix(_placed(nodes, grouped)).join(one, "part")
+    matrix = _matrix(nodes, grouped).join(one, "part")
     matrix = stored(matrix.select("token", "part", "pos", "lo", "hi", "whole"), "matrix")
     x, y = matrix.alias("x"), matrix.alias("y")
 

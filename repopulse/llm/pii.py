@@ -305,7 +305,7 @@ def without_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     that they hold themselves; a null text stays null.
 
     Base spans are found again where the document is read, so only documents with added spans, which
-    are few, are joined with them.
+    are few, are joined with them. No task has two Python workers at once: an executor would keep both.
     """
     # The text goes to Python once, beside the other columns.
     others = F.struct(*[T.column(c) for c in docs.columns if c != "text"]).alias("_row")
@@ -313,15 +313,17 @@ def without_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     rows, added = _find(docs, rounds)
     spans = added.join(rows.select("row", "doc_id"), "row").where("doc_id is not null")
     spans = stored(spans.select("doc_id", "kind", "start", "stop").distinct(), "added")
-    held = IdFilter(spans.select("doc_id")).column(F.col("_id"))
+    held = IdFilter(spans.select("doc_id"))
     per_doc = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("kind", "start", "stop")).alias("_more"))
-    marked = docs_rows.withColumn("_held", held)
-    none = F.lit(None).cast(f"array<{_SPAN}>")
-    plain = marked.where("not _held or _held is null").select("_row", "_text", none.alias("_more"))
-    joined = marked.where("_held").join(per_doc, F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_more")
+    plain = docs_rows.select("_row", "_id", "_text", F.lit(None).cast(f"array<{_SPAN}>").alias("_more"))
+    marked = docs_rows.where(held.column(F.col("_id")))
+    # With an exchange at any size, so that its Python is not in the task of what comes after.
+    joined = marked.join(per_doc.hint("merge"), F.col("_id") == F.col("_doc"), "left").select("_row", "_text", "_more")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], left_out: IdFilter | None = None) -> Iterator[pa.RecordBatch]:
         for batch in T.each(batches):
+            if left_out is not None:
+                batch = batch.filter(pa.array(~left_out.among(batch.column("_id"))))
             texts = []
             for text, more in zip(batch.column("_text"), batch.column("_more")):
                 text = text.as_py()
@@ -334,7 +336,8 @@ def without_personal_data(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(texts, pa.string())], names=["_row", "_text"])
 
     fields = [docs_rows.schema["_row"], StructField("_text", StringType())]
-    clean = plain.unionByName(joined).mapInArrow(run, StructType(fields))
+    clean = plain.mapInArrow(lambda batches: run(batches, held), StructType(fields))
+    clean = clean.unionByName(joined.mapInArrow(run, StructType(fields)))
     columns = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
     lengths = {f.name for f in docs.schema if f.name == "n_chars" and isinstance(f.dataType, LongType)}
     return clean.select(

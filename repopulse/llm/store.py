@@ -68,6 +68,11 @@ class IdFilter:
         flags = self._flags.value[(slot >> np.uint64(3)).astype(np.int64)]
         return (flags >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
+    def among(self, ids: pa.Array) -> np.ndarray:
+        """True where an id (long) may be among those; false for null."""
+        held = self.holds(ids.fill_null(0).to_numpy(zero_copy_only=False))
+        return held & ids.is_valid().to_numpy(zero_copy_only=False)
+
     def __getstate__(self):
         return {"_mask": self._mask, "_flags": self._flags}
 
