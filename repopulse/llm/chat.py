@@ -65,6 +65,8 @@ def formatted(conversations: DataFrame) -> DataFrame:
     rows = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
+    # Bare rows are sent to their conversation's task, so that turns and examples share the one shuffle of the texts.
+    rows = rows.repartition("conv_id")
     head = F.concat(F.lit(TURN), escaped_role(F.col("role")), F.lit("\n"))
     body = escaped(F.col("text"))
     turns = rows.select(
@@ -125,7 +127,7 @@ def read_back(turns: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One conversation after the other, each in order; only digests are kept.
         now, state, out = None, None, []
-        last, segment, role, begin = None, "", "", 0
+        last, segment, role, begin, place = None, "", "", 0, 0
 
         def done() -> None:
             if state:
@@ -133,10 +135,13 @@ def read_back(turns: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
-                if state is None or row["conv_id"] != now:
+                if row["place"] == 1:
                     done()
                     now, state = row["conv_id"], [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                    last = None
+                    last, place = None, 0
+                place += 1
+                if state is None or row["conv_id"] != now or row["place"] != place:
+                    raise ValueError(f"conversation {row['conv_id']} does not come whole and in order")
                 if row["example"] is None:
                     last, segment, begin = row["position"], row["segment"], state[4]
                     role, text = read_turn(segment)
@@ -168,13 +173,16 @@ def read_back(turns: DataFrame, expanded: DataFrame | None = None) -> DataFrame:
     prepare(turns)
     own = examples(turns) if expanded is None else expanded
     # Turns and examples meet by (conv_id, position) where each conversation is read in order; nulls are equal
-    # there, and an example without a turn is not lost.
+    # there, and an example without a turn is not lost. The window is what holds a conversation in one task: both
+    # sides are dealt by conv_id already, so Spark leaves a repartition out and then may merge small partitions of
+    # one side otherwise than those of the other.
     rows = turns.select("conv_id", "position", "segment").unionByName(
         own.select("conv_id", "position", "example", "loss_start", "loss_stop"), allowMissingColumns=True
     )
     assert names == _READ.names
     order = ["conv_id", "position", F.col("example").asc_nulls_first()]
-    return rows.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(run, schema)
+    placed = rows.withColumn("place", F.row_number().over(Window.partitionBy("conv_id").orderBy(*order[1:])))
+    return placed.sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
 _READ = pa.schema(

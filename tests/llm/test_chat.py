@@ -82,6 +82,45 @@ def test_reading_depends_on_every_example(spark):
             C.read_back(turns, spoilt).collect()
 
 
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_turns_and_examples_meet_however_small_partitions_are_merged(spark, reuse):
+    settings = {
+        "spark.sql.exchange.reuse": reuse,
+        "spark.sql.shuffle.partitions": "24",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b",
+    }
+    rng = seeded(2)
+    rows = [
+        (conv, k, rng.choice(["user", "assistant"]), "".join(rng.choice("abcdefgh <|\\") for _ in range(rng.randrange(400))))
+        for conv in [None, *range(150)]
+        for k in range(rng.randrange(1, 9))
+    ]
+    expected = by_hand(rows)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {name: spark.conf.get(name, None) for name in [*settings, size]}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        for merged in ("5k", "8k", "12k", "16k", "24k", "40k"):
+            spark.conf.set(size, merged)
+            turns = C.formatted(spark.createDataFrame(rows, COLUMNS))
+            found = C.read_back(turns, C.examples(turns)).collect()
+            assert len(found) == len(expected)
+            assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in found} == expected
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_texts_are_shuffled_once(spark):
+    turns = C.formatted(spark.createDataFrame(conversations(), COLUMNS))
+    read = C.read_back(turns, C.examples(turns))
+    read.collect()
+    plan = read._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("ReusedExchange") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_empty_table(spark):
     assert C.read_back(C.formatted(spark.createDataFrame([], COLUMNS))).count() == 0
 
